@@ -65,7 +65,9 @@ class EntityQuery:
         """The conjunctive filter for a frame with ``schema`` (None = no filter)."""
         types = {f.name: f.dataType for f in schema.fields}
         preds: list[Column | None] = [_field_predicate(n, v, types.get(n)) for n, v in self.filters.items()]
-        if self.SINCE_COLUMN is not None:
+        if self.sinceTime is not None:
+            if self.SINCE_COLUMN is None:
+                raise ValueError(f"{type(self).__name__} has no time column for sinceTime")
             preds.append(P.since(self.SINCE_COLUMN, self.sinceTime, now=now))
         return P.all_of(preds)
 
@@ -119,13 +121,14 @@ MachinesQuery = _model("MachinesQuery", {
     "aadDeviceId": None, "machineTags": None, "lastSeen": None, "exposureLevel": "EXPOSURE_LEVEL",
     "onboardingStatus": "ONBOARDING_STATUS", "lastIpAddress": None, "healthStatus": "MACHINE_HEALTH_STATUS",
     "osPlatform": None, "riskScore": "RISK_SCORE", "rbacGroupId": None,
-})
-MachinesExportQuery = _model("MachinesExportQuery", {}, PAGE_MAX=EXPORT_PAGE_MAX, PAGE_DEFAULT=50_000)
+}, SINCE_COLUMN="lastSeen")
+MachinesExportQuery = _model("MachinesExportQuery", {}, PAGE_MAX=EXPORT_PAGE_MAX, PAGE_DEFAULT=50_000,
+                             SINCE_COLUMN="lastSeen")
 AlertsQuery = _model("AlertsQuery", {
     "id": None, "alertCreationTime": None, "lastUpdateTime": None, "incidentId": None,
     "InvestigationId": None, "assignedTo": None, "detectionSource": None, "lastEventTime": None,
     "status": "ALERT_STATUS", "severity": "ALERT_SEVERITY", "category": None,
-})
+}, SINCE_COLUMN="alertCreationTime")
 InvestigationQuery = _model("InvestigationQuery", {
     "id": None, "startTime": None, "state": "INVESTIGATION_STATE", "machineId": None, "triggeringAlertId": None,
 })
@@ -154,6 +157,10 @@ RecommendationQuery = _model("RecommendationQuery", {
     "remediationType": None, "recommendedProgram": None, "recommendedVendor": None, "status": None,
 })
 RemediationQuery = _model("RemediationQuery", {"createdon": None, "status": None})
+# Change feed (X1): rows at or after the bound on the event time.
+VulnerabilityChangesQuery = _model("VulnerabilityChangesQuery", {
+    "deviceId": None, "cveId": None, "status": None,
+}, PAGE_MAX=EXPORT_PAGE_MAX, PAGE_DEFAULT=50_000, SINCE_COLUMN="eventTimestamp")
 DeviceAVHealthQuery = _model("DeviceAVHealthQuery", {
     "machineId": None, "computerDnsName": None, "osKind": None, "osPlatform": None, "osVersion": None,
     "avMode": None, "avSignatureVersion": None, "avEngineVersion": None, "avPlatformVersion": None,

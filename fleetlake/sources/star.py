@@ -187,7 +187,7 @@ def file_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 VULN_CATALOG_COLUMNS = {
     "id": "'CVE-' || CAST(s_suppkey AS STRING)",
     "name": "s_name",
-    "cvssV3": "round(s_acctbal / 1000, 1)",
+    "cvssV3": "s_acctbal / 1000",
     "severity": "CASE WHEN s_acctbal >= 7000 THEN 'High' WHEN s_acctbal >= 3000 THEN 'Medium' ELSE 'Low' END",
     "publishedOn": "TIMESTAMP '2020-01-01 00:00:00' + make_dt_interval(CAST(s_suppkey AS INT), 0, 0, 0)",
     "status": "'Active'",
