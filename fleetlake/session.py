@@ -67,3 +67,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for a written intermediate table."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in executor Python workers (once per context).
+
+    Needed only by the few operators that run Python on executors
+    (``mapInPandas``); zips the package and hands it to ``addPyFile``, which
+    distributes it to every executor like ``--py-files`` would.
+    """
+    sc = spark.sparkContext
+    key = id(sc._jsc)  # noqa: SLF001 - one entry per live context
+    if key in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="fleetlake-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out_dir, "fleetlake"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
