@@ -201,3 +201,339 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     out = stats.domain_stats(stats.evidence_rows(alerts))
     return out.select("host", "orgPrevalence", "organizationPrevalence",
                       _ts("orgFirstSeen").alias("orgFirstSeen"), _ts("orgLastSeen").alias("orgLastSeen"))
+
+
+# ------------------------------------------------- more joins (J1-J25) ----
+
+def _users(spark: SparkSession, d: str) -> DataFrame:
+    """User table derived from logons (G12) -- the join target of J1 / J11."""
+    return stats.user_footprint(star.logons(spark, d))
+
+
+def machine_logon_users(spark: SparkSession, d: str) -> DataFrame:
+    """Per machine, the users seen logged on (alerts' loggedOnUsers x user table)."""
+    out = relate.machine_logon_users(star.alerts(spark, d, with_evidence=False), _users(spark, d))
+    return out.select("machineId", F.col("id").alias("userId"), "logOnMachinesCount")
+
+
+def machine_software(spark: SparkSession, d: str) -> DataFrame:
+    """Per machine, installed software joined to the software catalog."""
+    out = relate.machine_software(star.asset_software(spark, d), star.software_catalog(spark, d))
+    return out.select("machineId", "id", "name", "vendor", "category")
+
+
+def machine_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    """Per machine, the recommendations that apply."""
+    out = relate.machine_recommendations(star.asset_vulnerabilities(spark, d), star.recommendations(spark, d))
+    return out.select("machineId", "id", "productName", "status")
+
+
+def alert_domains(spark: SparkSession, d: str) -> DataFrame:
+    """Per alert, hosts from nested domains and evidence URLs."""
+    return relate.alert_domains(star.alerts(spark, d))
+
+
+def alert_files(spark: SparkSession, d: str) -> DataFrame:
+    """Per alert, file evidence joined (left) to the file table."""
+    out = relate.alert_files(star.alerts(spark, d), star.file_catalog(spark, d))
+    return out.select("alertId", "sha1", "fileType", "size")
+
+
+def alert_user(spark: SparkSession, d: str) -> DataFrame:
+    """Per alert, the related user from the user table."""
+    out = relate.alert_user(star.alerts(spark, d, with_evidence=False), _users(spark, d))
+    return out.select("alertId", F.col("id").alias("userId"), _ts("lastSeen").alias("lastSeen"))
+
+
+def domain_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """Per host, the alerts touching it."""
+    out = relate.domain_alerts(star.alerts(spark, d))
+    return out.select("host", F.col("id").alias("alertId"), "status")
+
+
+def ip_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """Per IP, the alerts with it in evidence."""
+    out = relate.ip_alerts(star.alerts(spark, d))
+    return out.select("ipAddress", F.col("id").alias("alertId"))
+
+
+def user_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """Per account, alerts naming it as related user or in evidence."""
+    out = relate.user_alerts(star.alerts(spark, d))
+    return out.select("accountName", F.col("id").alias("alertId"))
+
+
+def user_machines(spark: SparkSession, d: str) -> DataFrame:
+    """Per account, the machines it logged on to."""
+    out = relate.user_machines(star.logons(spark, d), star.machines(spark, d))
+    return out.select("accountName", F.col("id").alias("machineId"), "healthStatus")
+
+
+def software_vulnerabilities(spark: SparkSession, d: str) -> DataFrame:
+    """Per software, its CVEs joined to the CVE catalog."""
+    out = relate.software_vulnerabilities(star.asset_vulnerabilities(spark, d), star.vulnerability_catalog(spark, d))
+    return out.select("softwareId", "id", "severity")
+
+
+def software_missing_kbs(spark: SparkSession, d: str) -> DataFrame:
+    """Per software, the security updates that fix it, with fleet counts."""
+    out = relate.software_missing_kbs(star.asset_vulnerabilities(spark, d))
+    return out.select("softwareId", "id", "machineMissedOn", "cveAddressed")
+
+
+def recommendation_software(spark: SparkSession, d: str) -> DataFrame:
+    """Per recommendation, the catalog software it is about."""
+    out = relate.recommendation_software(star.recommendations(spark, d), star.software_catalog(spark, d))
+    return out.select("recommendationId", "id", "name", "vendor")
+
+
+def recommendation_machines(spark: SparkSession, d: str) -> DataFrame:
+    """Per recommendation, the machines it applies to."""
+    out = relate.recommendation_machines(star.asset_vulnerabilities(spark, d), star.machines(spark, d))
+    return out.select("recommendationId", F.col("id").alias("machineId"), "rbacGroupId")
+
+
+def recommendation_vulnerabilities(spark: SparkSession, d: str) -> DataFrame:
+    """Per recommendation, the CVEs it addresses."""
+    out = relate.recommendation_vulnerabilities(star.asset_vulnerabilities(spark, d), star.vulnerability_catalog(spark, d))
+    return out.select("recommendationId", "id", "name")
+
+
+# ------------------------------------------------ more rollups (G5-G11) ----
+
+def software_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Per software: installed / exposed machines, weaknesses, version list."""
+    out = stats.software_rollup(star.asset_software(spark, d), star.asset_vulnerabilities(spark, d))
+    dist = F.transform("distributions", lambda x: F.concat_ws(":", x.getField("version"),
+                                                               x.getField("installations").cast("string"),
+                                                               x.getField("vulnerabilities").cast("string")))
+    return out.select("id", "installedMachines", "exposedMachines", "weaknesses",
+                      F.array_join(dist, ",").alias("distributions"))
+
+
+def recommendation_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Per recommendation: weaknesses, exposed and total machines."""
+    return stats.recommendation_rollup(star.asset_vulnerabilities(spark, d))
+
+
+def baseline_profile_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Per baseline profile: devices passing all applicable settings, total devices."""
+    return stats.baseline_profile_rollup(star.baseline_assessments(spark, d))
+
+
+def scan_success(spark: SparkSession, d: str) -> DataFrame:
+    """Per scan session: targets and successfully scanned targets."""
+    out = stats.scan_success(star.scan_history(spark, d))
+    return out.select("sessionId", "scanDefinitionId", "numberOfTargets", "numberOfSuccessfullyScannedTargets")
+
+
+def latest_score_per_group(spark: SparkSession, d: str) -> DataFrame:
+    """Per group, the most recent score (ties by event id)."""
+    out = stats.latest_score_per_group(star.exposure_scores(spark, d), tiebreak=["eventId"])
+    return out.select("rbacGroupId", _ts("time").alias("time"), "score")
+
+
+# ------------------------------------------ change feed (X1, X2, X3, X4) ----
+
+def vulnerability_changes_since(spark: SparkSession, d: str) -> DataFrame:
+    """X1 + F7: changes at or after 2024-01-20 (UTC), New or Fixed only."""
+    from .functions.query_models import VulnerabilityChangesQuery
+
+    q = VulnerabilityChangesQuery(sinceTime=datetime(2024, 1, 20), status=["New", "Fixed"])
+    out = q.apply(star.vulnerability_changes(spark, d))
+    return out.select("id", "status", _ts("eventTimestamp").alias("eventTimestamp"), "eventId")
+
+
+def _apply_output(df: DataFrame) -> DataFrame:
+    return df.select("id", "cveId", "status", _ts("eventTimestamp").alias("eventTimestamp"), "cvssScore")
+
+
+def vulnerability_snapshot_apply(spark: SparkSession, d: str) -> DataFrame:
+    """Snapshot + delta -> latest state per id; Fixed removes, others upsert."""
+    from .operators.changes import apply_changes
+
+    new = apply_changes(star.vulnerability_snapshot(spark, d), star.vulnerability_changes(spark, d),
+                        order=["eventTimestamp", "eventId"], terminal=("Fixed",))
+    return _apply_output(new)
+
+
+def vulnerability_changes_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The delta landed as files, streamed (availableNow) with watermark
+    de-duplication and applied per micro-batch to a snapshot table kept under
+    the session's checkpoint folder; returns the final snapshot.
+
+    The watermark delay (30 days) covers the feed's whole event-time range, so
+    no event counts as late and the result equals the batch X2.
+    """
+    import uuid
+
+    from .session import scratch_path
+    from .streaming import changefeed as CF
+
+    run = scratch_path(spark, f"x3-{uuid.uuid4().hex}")
+    delta = star.vulnerability_changes(spark, d)
+    delta.write.parquet(f"{run}/delta")
+    CF.write_initial_snapshot(star.vulnerability_snapshot(spark, d), f"{run}/snapshot")
+    stream = spark.readStream.schema(delta.schema).parquet(f"{run}/delta")
+    q = CF.apply_changes_stream(CF.dedup_changes(stream, key=["id", "eventTimestamp", "eventId"], delay="30 days"),
+                                f"{run}/snapshot", order=["eventTimestamp", "eventId"],
+                                checkpoint=f"{run}/checkpoint")
+    q.awaitTermination()
+    return _apply_output(CF.latest_snapshot(spark, f"{run}/snapshot"))
+
+
+def change_counts_daily(spark: SparkSession, d: str) -> DataFrame:
+    """X4 (batch form): changes per day and status."""
+    from .streaming.changefeed import change_counts_batch
+
+    out = change_counts_batch(star.vulnerability_changes(spark, d), window="1 day")
+    return out.select(_ts("windowStart").alias("windowStart"), _ts("windowEnd").alias("windowEnd"), "status", "changes")
+
+
+# ------------------------------------------------- quality (C4, C6, C10) ----
+
+def machine_contract_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """C4: per NOT NULL column of the machine contract, rows violating it."""
+    from .operators.quality import nullability_report
+
+    return nullability_report(star.machines(spark, d), "machine")
+
+
+def document_domain_check(spark: SparkSession, d: str) -> DataFrame:
+    """documents' lang / source values outside their allowed lists."""
+    from .operators.quality import domain_report
+
+    docs = star.table(spark, d, "documents")
+    return domain_report(docs, {"lang": ["en", "de", "fr", "es"],
+                                "source": [f"src{i}" for i in range(10)]})
+
+
+def label_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    """Labels vs labels re-derived from documents (quality = long text)."""
+    from .operators.quality import reconcile
+
+    left = star.table(spark, d, "labels")
+    right = star.table(spark, d, "documents").selectExpr(
+        "doc_id", "CAST(n_chars > 2000 AS INT) AS quality", "0 AS toxic")
+    return reconcile(left, right, "doc_id")
+
+
+# ---------------------------------------------------- updates (W1-W13) ----
+
+def alerts_batch_patch(spark: SparkSession, d: str) -> DataFrame:
+    """New high-severity alerts -> InProgress, assigned, with a comment."""
+    from .operators.updates import patch_alerts
+
+    alerts = star.alerts(spark, d, with_evidence=False)
+    changes = alerts.filter((F.col("severity") == "High") & (F.col("status") == "New")).select(
+        F.col("id").alias("alertId"), F.lit("InProgress").alias("status"), F.lit("soc@corp").alias("assignedTo"),
+        F.lit("triage").alias("comment"), F.lit("bot").alias("createdBy"),
+        F.lit("2024-03-01 00:00:00").alias("createdTime"))
+    out = patch_alerts(alerts, changes)
+    n = F.when(F.col("comments").isNull(), F.lit(0)).otherwise(F.size("comments"))
+    return out.select("id", "status", "assignedTo", n.alias("comments"))
+
+
+def indicator_import_results(spark: SparkSession, d: str) -> DataFrame:
+    """W5 + C9: indicator submissions from page URLs -> per-row import outcome."""
+    from .operators.updates import import_indicators
+
+    empty = spark.createDataFrame([], star.contract_schema("indicator"))
+    _, results = import_indicators(empty, star.indicator_submissions(spark, d))
+    return results.select("id", "indicator", "isFailed", "failureReason")
+
+
+def alert_delete_outcome(spark: SparkSession, d: str) -> DataFrame:
+    """Delete alerts by id (ids from events); report which ids existed."""
+    from .operators.updates import delete_by_ids
+
+    ids = star.table(spark, d, "events").select((F.col("event_id") * 2).cast("string").alias("id"))
+    _, found = delete_by_ids(star.alerts(spark, d, with_evidence=False), ids)
+    return found
+
+
+def machine_tag_update(spark: SparkSession, d: str) -> DataFrame:
+    """Tag high-risk machines 'reviewed'; drop 'household' from NoSensorData ones."""
+    from .operators.updates import tag_machines
+
+    m = star.machines(spark, d)
+    add = m.filter(F.col("riskScore") == "High").select(
+        F.lit("reviewed").alias("Value"), F.lit("Add").alias("Action"), F.array("id").alias("MachineIds"))
+    rm = m.filter(F.col("healthStatus") == "NoSensorData").select(
+        F.lit("household").alias("Value"), F.lit("Remove").alias("Action"), F.array("id").alias("MachineIds"))
+    out = tag_machines(m, add.unionByName(rm))
+    return out.select("id", F.array_join(F.array_sort("machineTags"), ",").alias("machineTags"))
+
+
+def device_group_assignment(spark: SparkSession, d: str) -> DataFrame:
+    """Each machine's device group by rule evaluation (lowest priority wins)."""
+    from .operators.updates import assign_device_groups
+
+    out = assign_device_groups(spark, star.machines(spark, d), star.device_groups(spark, d))
+    return out.select("id", "deviceGroupId")
+
+
+# ---------------------------------------------------- hunting, flatten ----
+
+HUNTING_TEXT = """
+SELECT a.severity, count(*) AS alerts, count(DISTINCT a.machineId) AS machines
+FROM AlertInfo a JOIN DeviceInfo m ON a.machineId = m.id
+WHERE a.status = 'New' AND m.healthStatus <> 'Inactive'
+GROUP BY a.severity
+"""
+
+
+def hunting_query(spark: SparkSession, d: str) -> DataFrame:
+    """H1: a free-form SQL hunting query over registered views."""
+    from .operators.hunt import run_hunting
+
+    return run_hunting(spark, HUNTING_TEXT, {"AlertInfo": star.alerts(spark, d, with_evidence=False),
+                                             "DeviceInfo": star.machines(spark, d)})
+
+
+def av_health_flatten(spark: SparkSession, d: str) -> DataFrame:
+    """A1-A4: antivirus-health export lines flattened to the device_av_info contract."""
+    from .operators.flatten import flatten_av_health
+
+    out = flatten_av_health(star.av_export_lines(spark, d))
+    return out.select("id", "machineId", "computerDnsName", "osKind", "avMode", "quickScanResult", "quickScanError",
+                      _ts("quickScanTime").alias("quickScanTime"), "fullScanResult", "fullScanError",
+                      "avIsSignatureUpToDate", "rbacGroupId", _ts("dataRefreshTimestamp").alias("dataRefreshTimestamp"))
+
+
+REPORTS.update({
+    "machine_logon_users": machine_logon_users,
+    "machine_software": machine_software,
+    "machine_recommendations": machine_recommendations,
+    "alert_domains": alert_domains,
+    "alert_files": alert_files,
+    "alert_user": alert_user,
+    "domain_alerts": domain_alerts,
+    "ip_alerts": ip_alerts,
+    "user_alerts": user_alerts,
+    "user_machines": user_machines,
+    "software_vulnerabilities": software_vulnerabilities,
+    "software_missing_kbs": software_missing_kbs,
+    "recommendation_software": recommendation_software,
+    "recommendation_machines": recommendation_machines,
+    "recommendation_vulnerabilities": recommendation_vulnerabilities,
+    "software_rollup": software_rollup,
+    "recommendation_rollup": recommendation_rollup,
+    "baseline_profile_rollup": baseline_profile_rollup,
+    "scan_success": scan_success,
+    "latest_score_per_group": latest_score_per_group,
+    "vulnerability_changes_since": vulnerability_changes_since,
+    "vulnerability_snapshot_apply": vulnerability_snapshot_apply,
+    "vulnerability_changes_stream": vulnerability_changes_stream,
+    "change_counts_daily": change_counts_daily,
+    "machine_contract_nulls": machine_contract_nulls,
+    "document_domain_check": document_domain_check,
+    "label_reconcile": label_reconcile,
+    "alerts_batch_patch": alerts_batch_patch,
+    "indicator_import_results": indicator_import_results,
+    "alert_delete_outcome": alert_delete_outcome,
+    "machine_tag_update": machine_tag_update,
+    "device_group_assignment": device_group_assignment,
+    "hunting_query": hunting_query,
+    "av_health_flatten": av_health_flatten,
+})

@@ -35,7 +35,9 @@ A = """a AS (
     CASE o_orderstatus WHEN 'F' THEN 'Resolved' WHEN 'O' THEN 'New' ELSE 'InProgress' END AS status,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'High' WHEN '2-HIGH' THEN 'Medium' WHEN '3-MEDIUM' THEN 'Low'
       WHEN '4-NOT SPECIFIED' THEN 'UnSpecified' ELSE 'Informational' END AS severity,
-    o_orderdate AS alertCreationTime
+    o_orderdate AS alertCreationTime,
+    'user' || CAST(o_custkey % 29 AS VARCHAR) AS relatedUserName,
+    'user' || CAST(o_orderkey % 150 AS VARCHAR) AS loggedOnUser
   FROM orders)"""
 
 EV = f"""ev AS (
@@ -57,7 +59,7 @@ AV = """av AS (
     'CVE-' || CAST(l_suppkey AS VARCHAR) AS cveId, l_discount * 100 AS cvssScore,
     CASE WHEN l_linestatus = 'O' THEN 'KB' || CAST(5000000 + l_suppkey % 40 AS VARCHAR) END AS recommendedSecurityUpdateId,
     CASE WHEN l_linestatus = 'O' THEN 'Update ' || CAST(5000000 + l_suppkey % 40 AS VARCHAR) END AS recommendedSecurityUpdate,
-    'sca-' || CAST(l_partkey % 60 AS VARCHAR) AS recommendationReference
+    'sca-' || CAST(l_partkey AS VARCHAR) AS recommendationReference
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 VC = """vc AS (
@@ -166,3 +168,246 @@ SELECT accountDomain || '\\' || accountName AS id, accountName,
   (list(machineId ORDER BY n, machineId))[1] AS leastPrevalentMachineId
 FROM pm GROUP BY accountName, accountDomain""",
 }
+
+
+from .plans.domains import DOMAINS  # noqa: E402
+
+
+def _in_list(domain: str) -> str:
+    return "(" + ", ".join("'" + v + "'" for v in DOMAINS[domain]) + ")"
+
+
+SC = """sc AS (
+  SELECT 'vendor' || CAST(p_partkey % 25 AS VARCHAR) || '-_-sw' || CAST(p_partkey AS VARCHAR) AS id,
+    'sw' || CAST(p_partkey AS VARCHAR) AS name, 'vendor' || CAST(p_partkey % 25 AS VARCHAR) AS vendor, p_type AS category
+  FROM part)"""
+
+RC = """rc AS (
+  SELECT 'sca-' || CAST(p_partkey AS VARCHAR) AS id, 'sw' || CAST(p_partkey AS VARCHAR) AS productName,
+    'vendor' || CAST(p_partkey % 25 AS VARCHAR) AS vendor,
+    CASE WHEN p_size > 25 THEN 'Active' ELSE 'Exception' END AS status
+  FROM part)"""
+
+USERS = f"""pm AS (
+  SELECT accountName, accountDomain, machineId, count(*) AS n, min(logonTime) AS f, max(logonTime) AS l
+  FROM lg WHERE machineId IS NOT NULL GROUP BY 1, 2, 3),
+users AS (
+  SELECT accountName, accountDomain, accountDomain || '\\' || accountName AS id, count(*) AS logOnMachinesCount,
+    max(l) AS lastSeen
+  FROM pm GROUP BY 1, 2)"""
+
+KB = """kb AS (
+  SELECT recommendedSecurityUpdateId AS id, count(DISTINCT deviceId) AS machineMissedOn, count(DISTINCT cveId) AS cveAddressed
+  FROM av WHERE recommendedSecurityUpdateId IS NOT NULL GROUP BY 1)"""
+
+DELTA = """d AS (
+  SELECT CAST(user_id AS VARCHAR) AS id, 'CVE-' || CAST(user_id % 100 AS VARCHAR) AS cveId,
+    CASE event_type WHEN 'signup' THEN 'New' WHEN 'purchase' THEN 'Fixed' WHEN 'error' THEN 'Fixed' ELSE 'Updated' END AS status,
+    ts AS eventTimestamp, value AS cvssScore, event_id AS eventId
+  FROM events)"""
+
+APPLY = w(DELTA) + f""", latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY eventTimestamp DESC, eventId DESC) AS rn FROM d)
+  WHERE rn = 1),
+snap AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS id, 'CVE-' || CAST(c_custkey % 100 AS VARCHAR) AS cveId, 'New' AS status,
+    TIMESTAMP '2023-12-31 00:00:00' AS eventTimestamp, c_acctbal / 1000 AS cvssScore
+  FROM customer),
+ch AS (SELECT latest.* FROM latest LEFT JOIN snap ON latest.id = snap.id
+       WHERE snap.id IS NULL OR latest.eventTimestamp >= snap.eventTimestamp)
+SELECT id, cveId, status, strftime(eventTimestamp, {TS}) AS eventTimestamp, cvssScore
+FROM snap WHERE id NOT IN (SELECT id FROM ch)
+UNION ALL
+SELECT id, cveId, status, strftime(eventTimestamp, {TS}) AS eventTimestamp, cvssScore FROM ch WHERE status <> 'Fixed'"""
+
+SUBMISSIONS = """s AS (
+  SELECT CASE WHEN page_id % 11 = 0 THEN '' ELSE url END AS indicatorValue,
+    CASE WHEN page_id % 13 = 0 THEN 'Host' ELSE 'Url' END AS indicatorType,
+    CASE page_id % 3 WHEN 0 THEN 'Block' WHEN 1 THEN 'Audit' ELSE 'Warn' END AS action,
+    CASE WHEN page_id % 17 = 0 THEN NULL ELSE 'page ' || CAST(page_id AS VARCHAR) END AS title,
+    'Medium' AS severity
+  FROM pages)"""
+
+AVX = """x AS (
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_custkey % 6 AS k,
+    CASE c_nationkey % 5 WHEN 0 THEN 'Windows10' WHEN 1 THEN 'Windows11' WHEN 2 THEN 'WindowsServer2019'
+      WHEN 3 THEN 'Linux' ELSE 'macOS' END AS os,
+    CASE c_custkey % 3 WHEN 0 THEN 'Normal' WHEN 1 THEN 'Passive' ELSE 'SideBySidePassive' END AS mode
+  FROM customer),
+y AS (SELECT *, starts_with(lower(os), 'macos') OR starts_with(lower(os), 'linux') AS nonwin FROM x)"""
+
+SQL.update({
+    "machine_logon_users": w(LG) + ", " + USERS + """,
+lb AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS machineId, 'user' || CAST(o_orderkey % 150 AS VARCHAR) AS accountName,
+         'CORP' AS accountDomain FROM orders)
+SELECT lb.machineId, users.id AS userId, users.logOnMachinesCount
+FROM lb JOIN users ON lb.accountName = users.accountName AND lb.accountDomain = users.accountDomain""",
+
+    "machine_software": w(AV, SC) + """SELECT DISTINCT av.deviceId AS machineId, sc.id, sc.name, sc.vendor, sc.category
+FROM av JOIN sc ON av.softwareVendor = sc.vendor AND av.softwareName = sc.name""",
+
+    "machine_recommendations": w(AV, RC) + """SELECT DISTINCT av.deviceId AS machineId, rc.id, rc.productName, rc.status
+FROM av JOIN rc ON av.recommendationReference = rc.id""",
+
+    "alert_domains": w(EV) + "SELECT DISTINCT alertId, host FROM evh WHERE host IS NOT NULL",
+
+    "alert_files": w(EV) + """SELECT DISTINCT ev.alertId, ev.sha1, p.p_type AS fileType, CAST(p.p_size AS BIGINT) * 1024 AS size
+FROM ev LEFT JOIN part p ON CAST(p.p_partkey AS VARCHAR) = ev.sha1 WHERE ev.sha1 IS NOT NULL""",
+
+    "alert_user": w(A, LG) + ", " + USERS + f"""
+SELECT a.id AS alertId, users.id AS userId, strftime(users.lastSeen, {TS}) AS lastSeen
+FROM a JOIN users ON a.relatedUserName = users.accountName AND users.accountDomain = 'CORP'""",
+
+    "domain_alerts": w(A, EV) + """SELECT DISTINCT evh.host, a.id AS alertId, a.status
+FROM evh JOIN a ON evh.alertId = a.id WHERE evh.host IS NOT NULL""",
+
+    "ip_alerts": w(EV) + "SELECT DISTINCT ipAddress, alertId FROM ev WHERE ipAddress IS NOT NULL",
+
+    "user_alerts": w(A, EV) + """SELECT DISTINCT accountName, alertId FROM (
+  SELECT relatedUserName AS accountName, id AS alertId FROM a
+  UNION ALL SELECT accountName, alertId FROM ev) WHERE accountName IS NOT NULL""",
+
+    "user_machines": w(M, LG) + """SELECT DISTINCT lg.accountName, m.id AS machineId, m.healthStatus
+FROM lg JOIN m ON lg.machineId = m.id""",
+
+    "software_vulnerabilities": w(AV, VC) + """SELECT DISTINCT av.softwareVendor || '-_-' || av.softwareName AS softwareId, vc.id, vc.severity
+FROM av JOIN vc ON av.cveId = vc.id""",
+
+    "software_missing_kbs": w(AV) + ", " + KB + """
+SELECT DISTINCT av.softwareVendor || '-_-' || av.softwareName AS softwareId, kb.id, kb.machineMissedOn, kb.cveAddressed
+FROM av JOIN kb ON av.recommendedSecurityUpdateId = kb.id""",
+
+    "recommendation_software": w(RC, SC) + """SELECT rc.id AS recommendationId, sc.id, sc.name, sc.vendor
+FROM rc JOIN sc ON rc.productName = sc.name AND rc.vendor = sc.vendor""",
+
+    "recommendation_machines": w(M, AV) + """SELECT DISTINCT av.recommendationReference AS recommendationId, m.id AS machineId,
+  CAST(m.rbacGroupId AS BIGINT) AS rbacGroupId
+FROM av JOIN m ON av.deviceId = m.id""",
+
+    "recommendation_vulnerabilities": w(AV, VC) + """SELECT DISTINCT av.recommendationReference AS recommendationId, vc.id, vc.name
+FROM av JOIN vc ON av.cveId = vc.id""",
+
+    "software_rollup": w(AV) + """, ver AS (
+  SELECT softwareVendor || '-_-' || softwareName AS id, softwareVersion AS version, count(DISTINCT deviceId) AS inst,
+    max(numberOfWeaknesses) AS vul
+  FROM av GROUP BY 1, 2),
+dist AS (SELECT id, string_agg(version || ':' || CAST(inst AS VARCHAR) || ':' || CAST(vul AS VARCHAR), ','
+           ORDER BY version, inst, vul) AS distributions FROM ver GROUP BY id),
+agg AS (SELECT softwareVendor || '-_-' || softwareName AS id, count(DISTINCT deviceId) AS installedMachines,
+          count(DISTINCT deviceId) AS exposedMachines, count(DISTINCT cveId) AS weaknesses FROM av GROUP BY 1)
+SELECT agg.id, agg.installedMachines, agg.exposedMachines, agg.weaknesses, dist.distributions
+FROM agg JOIN dist ON agg.id = dist.id""",
+
+    "recommendation_rollup": w(AV) + """SELECT recommendationReference AS id, count(DISTINCT cveId) AS weaknesses,
+  count(DISTINCT CASE WHEN cveId IS NOT NULL THEN deviceId END) AS exposedMachinesCount,
+  count(DISTINCT deviceId) AS totalMachineCount
+FROM av WHERE recommendationReference IS NOT NULL GROUP BY 1""",
+
+    "baseline_profile_rollup": """WITH b AS (
+  SELECT 'profile-' || CAST(l_suppkey % 10 AS VARCHAR) AS profileId, CAST(o_custkey AS VARCHAR) AS deviceId,
+    l_linenumber <> 7 AS isApplicable, l_returnflag <> 'R' AS isCompliant, l_tax = 0 AS isExempt
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+pd AS (
+  SELECT profileId, deviceId,
+    coalesce(bool_and(CASE WHEN isApplicable AND NOT coalesce(isExempt, false) THEN coalesce(isCompliant, false) END), true) AS passed
+  FROM b GROUP BY 1, 2)
+SELECT profileId AS id, count(*) FILTER (WHERE passed) AS passedDevices, count(*) AS totalDevices FROM pd GROUP BY 1""",
+
+    "scan_success": """SELECT CAST(o_orderkey AS VARCHAR) AS sessionId, 'def-' || CAST(o_custkey % 50 AS VARCHAR) AS scanDefinitionId,
+  CAST(count(l_orderkey) AS INTEGER) AS numberOfTargets,
+  CAST(count(l_orderkey) FILTER (WHERE l_returnflag = 'N') AS INTEGER) AS numberOfSuccessfullyScannedTargets
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey""",
+
+    "latest_score_per_group": f"""SELECT rbacGroupId, strftime(time, {TS}) AS time, score FROM (
+  SELECT CAST(user_id AS BIGINT) AS rbacGroupId, ts AS time, value AS score,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+
+    "vulnerability_changes_since": w(DELTA) + f"""SELECT id, status, strftime(eventTimestamp, {TS}) AS eventTimestamp, eventId
+FROM d WHERE eventTimestamp >= TIMESTAMP '2024-01-20 00:00:00' AND status IN ('New', 'Fixed')""",
+
+    "vulnerability_snapshot_apply": APPLY,
+    "vulnerability_changes_stream": APPLY,
+
+    "change_counts_daily": w(DELTA) + f"""SELECT strftime(date_trunc('day', eventTimestamp), {TS}) AS windowStart,
+  strftime(date_trunc('day', eventTimestamp) + INTERVAL 1 DAY, {TS}) AS windowEnd, status, count(*) AS changes
+FROM d GROUP BY 1, 2, 3""",
+
+    "machine_contract_nulls": """SELECT * FROM (VALUES ('id'), ('isPotentialDuplication'), ('isExcluded'), ('healthStatus'),
+  ('deviceValue'), ('rbacGroupId'), ('exposureLevel'), ('onboardingStatus')) AS t("column")
+  CROSS JOIN (SELECT CAST(0 AS BIGINT) AS violations)
+UNION ALL SELECT 'managedBy', count(*) FROM customer
+UNION ALL SELECT 'managedByStatus', count(*) FROM customer
+UNION ALL SELECT 'vmMetadata.cloudProvider', CAST(0 AS BIGINT)""",
+
+    "document_domain_check": """SELECT 'lang' AS "column",
+  count(*) FILTER (WHERE lang IS NOT NULL AND lang NOT IN ('en', 'de', 'fr', 'es')) AS violations FROM documents
+UNION ALL SELECT 'source', count(*) FILTER (WHERE source IS NOT NULL AND source NOT IN
+  ('src0', 'src1', 'src2', 'src3', 'src4', 'src5', 'src6', 'src7', 'src8', 'src9')) FROM documents""",
+
+    "label_reconcile": """WITH r AS (SELECT doc_id, CAST(n_chars > 2000 AS INTEGER) AS quality, 0 AS toxic FROM documents),
+j AS (
+  SELECT coalesce(l.doc_id, r.doc_id) AS doc_id, l.doc_id IS NOT NULL AS hl, r.doc_id IS NOT NULL AS hr,
+    l.quality AS lq, r.quality AS rq, l.toxic AS lt, r.toxic AS rt
+  FROM labels l FULL OUTER JOIN r ON l.doc_id = r.doc_id)
+SELECT doc_id, '_row' AS "column", CASE WHEN hl THEN 'present' ELSE 'absent' END AS "left",
+  CASE WHEN hr THEN 'present' ELSE 'absent' END AS "right" FROM j WHERE NOT (hl AND hr)
+UNION ALL SELECT doc_id, 'quality', CAST(lq AS VARCHAR), CAST(rq AS VARCHAR) FROM j WHERE hl AND hr AND lq IS DISTINCT FROM rq
+UNION ALL SELECT doc_id, 'toxic', CAST(lt AS VARCHAR), CAST(rt AS VARCHAR) FROM j WHERE hl AND hr AND lt IS DISTINCT FROM rt""",
+
+    "alerts_batch_patch": w(A) + """SELECT id,
+  CASE WHEN severity = 'High' AND status = 'New' THEN 'InProgress' ELSE status END AS status,
+  CASE WHEN severity = 'High' AND status = 'New' THEN 'soc@corp' END AS assignedTo,
+  CASE WHEN severity = 'High' AND status = 'New' THEN 1 ELSE 0 END AS comments
+FROM a""",
+
+    "indicator_import_results": w(SUBMISSIONS) + f""", e AS (
+  SELECT *, concat_ws('; ',
+    CASE WHEN indicatorValue IS NULL THEN 'indicatorValue is required' END,
+    CASE WHEN indicatorType IS NULL THEN 'indicatorType is required' END,
+    CASE WHEN action IS NULL THEN 'action is required' END,
+    CASE WHEN indicatorValue IS NOT NULL AND length(indicatorValue) < 1 THEN 'indicatorValue must have at least 1 character(s)' END,
+    CASE WHEN indicatorType IS NOT NULL AND indicatorType NOT IN {_in_list('TI_INDICATOR_TYPE')}
+      THEN 'indicatorType must be one of TI_INDICATOR_TYPE' END,
+    CASE WHEN action IS NOT NULL AND action NOT IN {_in_list('TI_INDICATOR_ACTION')} THEN 'action must be one of TI_INDICATOR_ACTION' END,
+    CASE WHEN severity IS NOT NULL AND severity NOT IN {_in_list('SEVERITY')} THEN 'severity must be one of SEVERITY' END,
+    CASE WHEN title IS NULL THEN 'title is required' END) AS reasons
+  FROM s)
+SELECT CASE WHEN reasons = '' THEN sha256(indicatorType || '|' || indicatorValue) END AS id, indicatorValue AS indicator,
+  reasons <> '' AS isFailed, nullif(reasons, '') AS failureReason
+FROM e""",
+
+    "alert_delete_outcome": """WITH ids AS (SELECT DISTINCT CAST(event_id * 2 AS VARCHAR) AS id FROM events),
+o AS (SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS id FROM orders)
+SELECT ids.id, o.id IS NOT NULL AS found FROM ids LEFT JOIN o ON ids.id = o.id""",
+
+    "machine_tag_update": w(M) + """, t AS (
+  SELECT id, lower(split_part(machineTags[1], ',', 1)) AS tag, healthStatus FROM m
+  UNION ALL SELECT id, machineTags[2], healthStatus FROM m
+  UNION ALL SELECT id, 'reviewed', healthStatus FROM m WHERE riskScore = 'High')
+SELECT id, string_agg(DISTINCT tag, ',' ORDER BY tag) AS machineTags FROM t
+WHERE NOT (healthStatus = 'NoSensorData' AND tag = 'household') GROUP BY id""",
+
+    "device_group_assignment": """SELECT CAST(c_custkey AS VARCHAR) AS id,
+  (list(n_nationkey ORDER BY n_regionkey * 100 + n_nationkey, n_nationkey))[1] AS deviceGroupId
+FROM customer JOIN nation ON starts_with(lower(c_name), 'customer#') AND (
+  c_nationkey = n_nationkey OR (n_nationkey < 5 AND starts_with('nation-' || CAST(c_nationkey AS VARCHAR), 'nation-1')))
+GROUP BY c_custkey""",
+
+    "hunting_query": w(M, A) + """SELECT a.severity, count(*) AS alerts, count(DISTINCT a.machineId) AS machines
+FROM a JOIN m ON a.machineId = m.id
+WHERE a.status = 'New' AND m.healthStatus <> 'Inactive'
+GROUP BY a.severity""",
+
+    "av_health_flatten": w(AVX) + """SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(c_custkey AS VARCHAR) AS machineId, c_name AS computerDnsName,
+  CASE WHEN starts_with(lower(os), 'windows') THEN 'windows' WHEN starts_with(lower(os), 'linux') THEN 'linux'
+       WHEN starts_with(lower(os), 'macos') THEN 'mac' END AS osKind,
+  CASE WHEN k IN (0, 1, 2, 4) THEN mode END AS avMode,
+  CASE WHEN k = 0 THEN 'Completed' WHEN k = 4 THEN 'Preset' WHEN k IN (1, 3, 5) AND nonwin THEN '-' END AS quickScanResult,
+  CASE WHEN k = 0 THEN (CASE WHEN nonwin THEN '-' ELSE '' END) WHEN k IN (1, 3, 4, 5) AND nonwin THEN '-' END AS quickScanError,
+  CASE WHEN k = 0 THEN '2024-01-15 08:00:00' END AS quickScanTime,
+  CASE WHEN k = 0 THEN (CASE WHEN nonwin THEN '-' ELSE '' END) WHEN k IN (1, 3, 4, 5) AND nonwin THEN '-' END AS fullScanResult,
+  CASE WHEN k = 0 THEN '0x80' WHEN k IN (1, 3, 4, 5) AND nonwin THEN '-' END AS fullScanError,
+  CASE WHEN k = 0 THEN (CASE WHEN c_acctbal > 5000 THEN 'True' ELSE 'False' END) END AS avIsSignatureUpToDate,
+  CAST(c_nationkey AS BIGINT) AS rbacGroupId, '2024-02-01 00:00:00' AS dataRefreshTimestamp
+FROM y""",
+})

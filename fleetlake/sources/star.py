@@ -81,6 +81,9 @@ ALERT_COLUMNS = {
                  "WHEN '3-MEDIUM' THEN 'Low' WHEN '4-NOT SPECIFIED' THEN 'UnSpecified' ELSE 'Informational' END"),
     "alertCreationTime": "CAST(o_orderdate AS TIMESTAMP)",
     "title": "'alert ' || CAST(o_orderkey AS STRING)",
+    "relatedUser": "named_struct('userName', 'user' || CAST(o_custkey % 29 AS STRING), 'domainName', 'CORP')",
+    "loggedOnUsers": ("array(named_struct('accountName', 'user' || CAST(o_orderkey % 150 AS STRING), "
+                      "'domainName', 'CORP'))"),
 }
 
 EVIDENCE_COLUMNS = {
@@ -131,7 +134,7 @@ VULN_ROW_COLUMNS = {
     "vulnerabilitySeverityLevel": "CASE WHEN l_discount >= 0.07 THEN 'High' WHEN l_discount >= 0.03 THEN 'Medium' ELSE 'Low' END",
     "recommendedSecurityUpdateId": "CASE WHEN l_linestatus = 'O' THEN 'KB' || CAST(5000000 + l_suppkey % 40 AS STRING) END",
     "recommendedSecurityUpdate": "CASE WHEN l_linestatus = 'O' THEN 'Update ' || CAST(5000000 + l_suppkey % 40 AS STRING) END",
-    "recommendationReference": "'sca-' || CAST(l_partkey % 60 AS STRING)",
+    "recommendationReference": "'sca-' || CAST(l_partkey AS STRING)",
     "securityUpdateAvailable": "l_linestatus = 'O'",
     "lastSeenTimestamp": "CAST(l_shipdate AS STRING)",
 }
@@ -239,3 +242,139 @@ def vulnerability_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'CVE-' || CAST(c_custkey % 100 AS STRING) AS cveId", "'New' AS status",
         "TIMESTAMP '2023-12-31 00:00:00' AS eventTimestamp", "c_acctbal / 1000 AS cvssScore")
     return conform(df, "delta_asset_vulnerability")
+
+
+RECOMMENDATION_COLUMNS = {
+    "id": "'sca-' || CAST(p_partkey AS STRING)",
+    "productName": "'sw' || CAST(p_partkey AS STRING)",
+    "vendor": "'vendor' || CAST(p_partkey % 25 AS STRING)",
+    "recommendationName": "'Update sw' || CAST(p_partkey AS STRING)",
+    "severityScore": "p_retailprice / 100",
+    "status": "CASE WHEN p_size > 25 THEN 'Active' ELSE 'Exception' END",
+}
+
+
+def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """recommendation catalog rows, one per part."""
+    df = table(spark, sf_dir, "part").selectExpr(*[f"{e} AS `{k}`" for k, e in RECOMMENDATION_COLUMNS.items()])
+    return conform(df, "recommendation")
+
+
+BASELINE_COLUMNS = {
+    "id": "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)",
+    "profileId": "'profile-' || CAST(l_suppkey % 10 AS STRING)",
+    "deviceId": "CAST(o_custkey AS STRING)",
+    "configurationId": "'scid-' || CAST(l_partkey AS STRING)",
+    "isApplicable": "l_linenumber <> 7",
+    "isCompliant": "l_returnflag <> 'R'",
+    "isExempt": "l_tax = 0",
+}
+
+
+def baseline_assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """asset_baseline_assessment rows (device x profile x setting), one per line item."""
+    df = _order_lines(spark, sf_dir).selectExpr(*[f"{e} AS `{k}`" for k, e in BASELINE_COLUMNS.items()])
+    return conform(df, "asset_baseline_assessment")
+
+
+def scan_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """auth_scan_history rows, one per order; scanned targets nested from its line items."""
+    li = table(spark, sf_dir, "lineitem")
+    targets = li.select(
+        F.expr("CAST(l_orderkey AS STRING)").alias("sessionId"),
+        F.struct(F.lit("00:00:05").alias("scanDuration"),
+                 F.expr("'10.1.' || CAST(l_suppkey DIV 256 AS STRING) || '.' || CAST(l_suppkey % 256 AS STRING)").alias("ip"),
+                 F.expr("CASE l_returnflag WHEN 'N' THEN 'Success' WHEN 'A' THEN 'Failure' ELSE 'PartialSuccess' END").alias("scanStatus"),
+                 ).alias("t")).groupBy("sessionId").agg(F.collect_list("t").alias("scannedTargets"))
+    o = table(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey AS STRING) AS sessionId",
+                                                  "'def-' || CAST(o_custkey % 50 AS STRING) AS scanDefinitionId")
+    return conform(o.join(targets, "sessionId", "left"), "auth_scan_history_contract")
+
+
+SCORE_COLUMNS = {
+    "time": "CAST(ts AS TIMESTAMP)",
+    "score": "value",
+    "rbacGroupId": "CAST(user_id AS BIGINT)",
+    "rbacGroupName": "'group-' || CAST(user_id AS STRING)",
+    "eventId": "event_id",
+}
+
+
+def exposure_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """configuration_score rows (time, group, score), one per event (+ event id tie-break)."""
+    df = table(spark, sf_dir, "events").selectExpr(*[f"{e} AS `{k}`" for k, e in SCORE_COLUMNS.items()])
+    return conform(df, "configuration_score", keep=["eventId"])
+
+
+def indicator_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indicator change-set rows from page URLs (some deliberately invalid)."""
+    p = table(spark, sf_dir, "pages")
+    return p.selectExpr(
+        "CAST(page_id AS STRING) AS requestId",
+        "CASE WHEN page_id % 11 = 0 THEN '' ELSE url END AS indicatorValue",
+        "CASE WHEN page_id % 13 = 0 THEN 'Host' ELSE 'Url' END AS indicatorType",
+        "CASE page_id % 3 WHEN 0 THEN 'Block' WHEN 1 THEN 'Audit' ELSE 'Warn' END AS action",
+        "CASE WHEN page_id % 17 = 0 THEN NULL ELSE 'page ' || CAST(page_id AS STRING) END AS title",
+        "'Medium' AS severity")
+
+
+def device_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """device_group rows from nations (name + tag rules), plus an unassigned group."""
+    n = table(spark, sf_dir, "nation")
+    cond = "struct<condition:string,value:string>"
+    tag_conds = F.when(F.col("n_nationkey") < 5, F.array(
+        F.struct(F.lit("Equals").alias("condition"), F.concat(F.lit("nation-"), F.col("n_nationkey").cast("string")).alias("value")),
+        F.struct(F.lit("StartsWith").alias("condition"), F.lit("nation-1").alias("value")))).otherwise(F.array(
+        F.struct(F.lit("Equals").alias("condition"), F.concat(F.lit("nation-"), F.col("n_nationkey").cast("string")).alias("value"))))
+    rules = F.struct(
+        F.array(F.struct(F.lit("StartsWith").alias("condition"), F.lit("Customer#").alias("value"))).alias("devicesNamesConditions"),
+        F.lit(None).cast(f"array<{cond}>").alias("devicesDomainsConditions"),
+        tag_conds.alias("devicesTagsConditions"),
+        F.lit(None).cast("array<struct<condition:string,valuesList:array<string>>>").alias("devicesOsConditions"))
+    g = n.select(F.col("n_nationkey").alias("id"), (F.col("n_regionkey") * 100 + F.col("n_nationkey")).alias("priority"),
+                 F.col("n_name").alias("deviceGroupName"), F.lit(False).alias("isUnassignedDeviceGroup"),
+                 rules.alias("deviceGroupRules"))
+    spark_ = n.sparkSession
+    unassigned = spark_.createDataFrame([(999, 100000, "Unassigned", True)],
+                                        "id int, priority int, deviceGroupName string, isUnassignedDeviceGroup boolean")
+    return conform(g.unionByName(unassigned, allowMissingColumns=True), "device_group")
+
+
+def av_export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw antivirus-health export lines (JSON text), one per customer, in six shapes.
+
+    Shapes cycle with the customer key: a string-encoded gathered-info blob with
+    string-encoded scan results; without scan results; with unparseable scan
+    results; an unparseable blob; an object blob with a preset scan field; no
+    blob and a null top-level avMode.
+    """
+    c = table(spark, sf_dir, "customer")
+    os_ = F.expr(MACHINE_COLUMNS["osPlatform"])
+    mode = F.expr("CASE c_custkey % 3 WHEN 0 THEN 'Normal' WHEN 1 THEN 'Passive' ELSE 'SideBySidePassive' END")
+    scans = F.to_json(F.struct(
+        F.struct(F.lit("Completed").alias("ScanStatus"), F.lit(0).alias("ErrorCode"),
+                 F.lit("2024-01-15T08:00:00Z").alias("Timestamp")).alias("Quick"),
+        F.struct(F.lit("").alias("ScanStatus"), F.lit("0x80").alias("ErrorCode")).alias("Full")))
+    up_to_date = F.col("c_acctbal") > 5000
+    info0 = F.to_json(F.struct(mode.alias("AvMode"), F.concat(F.lit("1.2."), F.col("c_custkey").cast("string")).alias("AvSignatureVersion"),
+                               up_to_date.alias("AvIsSignatureUptoDate"), scans.alias("AvScanResults")))
+    info1 = F.to_json(F.struct(mode.alias("AvMode")))
+    info2 = F.to_json(F.struct(mode.alias("AvMode"), F.lit("not json").alias("AvScanResults")))
+    info4 = F.struct(mode.alias("AvMode"), F.lit("Preset").alias("quickScanResult"))
+    base = [F.col("c_custkey").cast("string").alias("DeviceId"), F.col("c_name").alias("DeviceName"),
+            os_.alias("OsPlatform"), F.col("c_nationkey").alias("RbacGroupId"),
+            F.lit("2024-02-01T00:00:00Z").alias("Timestamp")]
+    k = F.col("c_custkey") % 6
+    line = (F.when(k == 0, F.to_json(F.struct(*base, info0.alias("DeviceGatheredInfo"))))
+             .when(k == 1, F.to_json(F.struct(*base, info1.alias("DeviceGatheredInfo"))))
+             .when(k == 2, F.to_json(F.struct(*base, info2.alias("DeviceGatheredInfo"))))
+             .when(k == 3, F.to_json(F.struct(*base, F.lit("garbage").alias("DeviceGatheredInfo"))))
+             .when(k == 4, F.to_json(F.struct(*base, info4.alias("DeviceGatheredInfo"))))
+             .otherwise(F.to_json(F.struct(*base, F.lit(None).cast("string").alias("avMode")),
+                                  {"ignoreNullFields": "false"})))
+    return c.select(line.alias("value"))
+
+
+def contract_schema(name: str):
+    from ..plans.contracts import contract
+    return contract(name)
