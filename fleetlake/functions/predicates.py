@@ -121,7 +121,7 @@ def lookup_ids(df: DataFrame, ids, column: str = "id") -> DataFrame:
     frame is proven small, otherwise left to AQE).
     """
     if isinstance(ids, DataFrame):
-        return semi_join(df, ids, column)
+        return semi_join(df, ids, column, key_column=ids.columns[0])
     vals = id_list(ids)
     if len(vals) <= 1000:
         return df.filter(is_in(column, vals))

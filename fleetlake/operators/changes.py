@@ -35,18 +35,30 @@ def latest_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> Dat
 
 def apply_changes(snapshot: DataFrame, delta: DataFrame, *, key: str | list[str] = "id",
                   order: list[str] | None = None, status: str = "status",
-                  terminal: tuple[str, ...] = DEFAULT_TERMINAL, only_newer: bool = True) -> DataFrame:
+                  terminal: tuple[str, ...] = DEFAULT_TERMINAL, only_newer: bool = True,
+                  keep_terminal: bool = False) -> DataFrame:
     """New snapshot = snapshot without changed keys + latest non-terminal changes.
 
     The latest event per key wins; if its ``status`` is terminal the key is
     removed, otherwise its row replaces (or adds) the key. With
     ``only_newer`` (default) a change whose order tuple is not newer than the
     snapshot row's is ignored, so late or replayed micro-batches cannot roll
-    a key back. Output columns are the snapshot's.
+    a key back. With ``keep_terminal`` a terminal event is kept as a
+    tombstone row (its status is terminal) instead of removing the key, so a
+    later, older event for that key is still recognised as older -- the form
+    an incrementally maintained snapshot needs. Output columns are the
+    snapshot's.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = order or ["eventTimestamp"]
     latest = latest_per_key(delta, keys, order)
+    if keep_terminal:
+        # Incremental form: the stored snapshot carries every order column, so
+        # the next batch compares full order tuples (older rows hold nulls,
+        # which order before any value).
+        for c in order:
+            if c not in snapshot.columns:
+                snapshot = snapshot.withColumn(c, F.lit(None).cast(delta.schema[c].dataType))
     avail = [c for c in order if c in snapshot.columns] if only_newer else []
     if avail:
         # Compare on the order columns the snapshot keeps: strictly newer when
@@ -55,6 +67,6 @@ def apply_changes(snapshot: DataFrame, delta: DataFrame, *, key: str | list[str]
         mine = F.struct(*[F.col(c) for c in avail])
         newer = mine > F.col("_cur") if len(avail) == len(order) else mine >= F.col("_cur")
         latest = latest.join(cur, keys, "left").filter(F.col("_cur").isNull() | newer).drop("_cur")
-    survivors = latest.filter(~F.coalesce(F.col(status).isin(list(terminal)), F.lit(False)))
+    survivors = latest if keep_terminal else latest.filter(~F.coalesce(F.col(status).isin(list(terminal)), F.lit(False)))
     kept = snapshot.join(latest.select(*keys), keys, "left_anti")
     return kept.unionByName(survivors.select(*snapshot.columns))

@@ -97,6 +97,12 @@ def coercion_loss_report(wire_df: DataFrame, schema: StructType) -> DataFrame:
 
 # ------------------------------------------------------------------ C4 ----
 
+def _field_is_null(field: str):
+    def test(x: Column) -> Column:
+        return x.getField(field).isNull()
+    return test
+
+
 def nullability_report(df: DataFrame, contract_name: str) -> DataFrame:
     """C4: per NOT NULL column (and NOT NULL field inside arrays / structs), rows violating it."""
     from ..plans.contracts import required_nested
@@ -112,8 +118,7 @@ def nullability_report(df: DataFrame, contract_name: str) -> DataFrame:
         dtype = schema[col_name].dataType
         for field in fields:
             if isinstance(dtype, ArrayType):
-                rules[f"{col_name}[].{field}"] = F.coalesce(
-                    F.exists(F.col(col_name), lambda x, fld=field: x.getField(fld).isNull()), F.lit(False))
+                rules[f"{col_name}[].{field}"] = F.coalesce(F.exists(F.col(col_name), _field_is_null(field)), F.lit(False))
             else:
                 rules[f"{col_name}.{field}"] = F.col(col_name).isNotNull() & F.col(col_name).getField(field).isNull()
     return _unpivot_counts(df, rules, "column")

@@ -379,7 +379,7 @@ def vulnerability_changes_stream(spark: SparkSession, d: str) -> DataFrame:
                                 f"{run}/snapshot", order=["eventTimestamp", "eventId"],
                                 checkpoint=f"{run}/checkpoint")
     q.awaitTermination()
-    return _apply_output(CF.latest_snapshot(spark, f"{run}/snapshot"))
+    return _apply_output(CF.latest_snapshot(spark, f"{run}/snapshot", terminal=("Fixed",)))
 
 
 def change_counts_daily(spark: SparkSession, d: str) -> DataFrame:

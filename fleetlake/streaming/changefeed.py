@@ -72,8 +72,10 @@ def apply_changes_stream(changes: DataFrame, snapshot_path: str, *, key: str = "
     """Apply each micro-batch of changes to the parquet snapshot at ``snapshot_path``.
 
     Versions are written to ``snapshot_path/v=<batch>``; ``latest_snapshot``
-    reads the newest complete one. A replayed batch id rewrites the same
-    version, so a retried batch is idempotent.
+    reads the newest complete one. Keys removed by a terminal event stay in
+    the stored table as tombstones (so an older event arriving in a later
+    batch cannot bring them back) and are filtered out on read. A replayed
+    batch id rewrites the same version, so a retried batch is idempotent.
     """
     spark = changes.sparkSession
     ckpt = checkpoint or scratch_path(spark, "changefeed-checkpoint")
@@ -81,8 +83,8 @@ def apply_changes_stream(changes: DataFrame, snapshot_path: str, *, key: str = "
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        current = latest_snapshot(spark, snapshot_path)
-        new = apply_changes(current, batch, key=key, order=order, terminal=terminal)
+        current = latest_snapshot(spark, snapshot_path, live_only=False)
+        new = apply_changes(current, batch, key=key, order=order, terminal=terminal, keep_terminal=True)
         new.write.mode("overwrite").parquet(os.path.join(snapshot_path, f"v={batch_id + 1:012d}"))
 
     w = changes.writeStream.foreachBatch(apply_batch).option("checkpointLocation", ckpt)
@@ -90,16 +92,20 @@ def apply_changes_stream(changes: DataFrame, snapshot_path: str, *, key: str = "
     return w.start()
 
 
-def latest_snapshot(spark: SparkSession, snapshot_path: str) -> DataFrame:
+def latest_snapshot(spark: SparkSession, snapshot_path: str, *, live_only: bool = True, status: str = "status",
+                    terminal: tuple[str, ...] = DEFAULT_TERMINAL) -> DataFrame:
     """The newest snapshot version.
 
-    Versions are ``v=`` partitions of one parquet table; the max partition
-    value is answered from the file listing, and the read is pruned to that
-    one partition. Spark's commit protocol only publishes complete versions.
+    Versions are ``v=`` folders under one path; the max version is answered
+    from the partition listing, then only that folder is read. Spark's commit
+    protocol only publishes complete versions.
     """
-    table = spark.read.parquet(snapshot_path)
-    newest = table.agg(F.max("v")).first()[0]
-    return table.filter(F.col("v") == F.lit(newest)).drop("v")
+    newest = spark.read.parquet(snapshot_path).agg(F.max("v")).first()[0]
+    # Read the newest version's own folder: versions may differ in columns.
+    snap = spark.read.parquet(os.path.join(snapshot_path, f"v={int(newest):012d}"))
+    if live_only:
+        snap = snap.filter(~F.coalesce(F.col(status).isin(list(terminal)), F.lit(False)))
+    return snap
 
 
 def write_initial_snapshot(snapshot: DataFrame, snapshot_path: str) -> None:
