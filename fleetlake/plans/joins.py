@@ -1,11 +1,14 @@
 """Join planning helpers: size-checked broadcast, key frames, semi / anti joins.
 
 Broadcast is only ever requested for a side whose row count has been proven
-under a bound (a literal key list, or a bounded ``limit(n+1).count()`` probe).
-Anything else is left to AQE, which turns a join into a broadcast at run time
-only when the materialised shuffle stage is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``, and otherwise keeps a
-sort-merge join (with skew-join splitting of hot partitions).
+under a bound: a literal key list (its length is known on the driver), or a
+catalog / dimension table checked with a bounded ``limit(n+1).count()`` probe
+(a cheap scan that stops after n+1 rows). Broadcasting such a side up front
+means the large side is never shuffled at all. Key sets derived from data are
+left to AQE, which turns a join into a broadcast at run time only when the
+materialised side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
+and otherwise keeps a sort-merge join (with skew-join splitting of hot
+partitions).
 """
 
 from __future__ import annotations
@@ -35,14 +38,24 @@ def key_frame(spark: SparkSession, values, column: str = "id") -> DataFrame:
 
 
 def semi_join(df: DataFrame, keys: DataFrame, column: str, key_column: str | None = None,
-              *, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of ``df`` whose ``column`` appears in ``keys`` (left semi join)."""
+              *, max_broadcast_rows: int | None = None) -> DataFrame:
+    """Rows of ``df`` whose ``column`` appears in ``keys`` (left semi join).
+
+    Without ``max_broadcast_rows`` no probe runs: a key frame derived from
+    data is left to AQE, which broadcasts it at run time only if its
+    materialised size is under the threshold (probing it here would re-run
+    its upstream work). Pass a bound to probe and broadcast explicitly.
+    """
     k = keys.select(F.col(key_column or column).alias(column))
-    return df.join(bounded_broadcast(k, max_broadcast_rows), on=column, how="left_semi")
+    if max_broadcast_rows is not None:
+        k = bounded_broadcast(k, max_broadcast_rows)
+    return df.join(k, on=column, how="left_semi")
 
 
 def anti_join(df: DataFrame, keys: DataFrame, column: str, key_column: str | None = None,
-              *, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+              *, max_broadcast_rows: int | None = None) -> DataFrame:
     """Rows of ``df`` whose ``column`` does not appear in ``keys`` (left anti join)."""
     k = keys.select(F.col(key_column or column).alias(column))
-    return df.join(bounded_broadcast(k, max_broadcast_rows), on=column, how="left_anti")
+    if max_broadcast_rows is not None:
+        k = bounded_broadcast(k, max_broadcast_rows)
+    return df.join(k, on=column, how="left_anti")

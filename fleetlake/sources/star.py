@@ -108,14 +108,15 @@ def alerts(spark: SparkSession, sf_dir: str, *, with_evidence: bool = True) -> D
     is reused by the join and only ``orders`` is shuffled for it.
     """
     o = table(spark, sf_dir, "orders")
-    a = o.selectExpr(*[f"{e} AS `{k}`" for k, e in ALERT_COLUMNS.items()])
     if not with_evidence:
-        return conform(a, "alert")
+        return conform(o.selectExpr(*[f"{e} AS `{k}`" for k, e in ALERT_COLUMNS.items()]), "alert")
     li = table(spark, sf_dir, "lineitem")
     ev_fields = [F.expr(e).alias(k) for k, e in EVIDENCE_COLUMNS.items() if k != "alertId"]
-    ev = (li.select(F.expr(EVIDENCE_COLUMNS["alertId"]).alias("id"), F.struct(*ev_fields).alias("e"))
-            .groupBy("id").agg(F.collect_list("e").alias("evidence")))
-    return conform(a.join(ev, "id", "left"), "alert")
+    ev = (li.select(F.col("l_orderkey").alias("o_orderkey"), F.struct(*ev_fields).alias("e"))
+            .groupBy("o_orderkey").agg(F.collect_list("e").alias("evidence")))
+    joined = o.join(ev, "o_orderkey", "left")
+    a = joined.selectExpr(*[f"{e} AS `{k}`" for k, e in ALERT_COLUMNS.items()], "evidence")
+    return conform(a, "alert")
 
 
 SOFTWARE_ROW_COLUMNS = {
