@@ -537,3 +537,137 @@ REPORTS.update({
     "hunting_query": hunting_query,
     "av_health_flatten": av_health_flatten,
 })
+
+
+# ------------------------------------------------------- batch 3 --------
+
+def machine_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """Alerts of every Active machine (the key set is itself a frame)."""
+    keys = star.machines(spark, d).filter(F.col("healthStatus") == "Active").select("id")
+    out = relate.machine_alerts(star.alerts(spark, d, with_evidence=False), keys)
+    return out.select("machineId", "id", "severity")
+
+
+def file_machines(spark: SparkSession, d: str) -> DataFrame:
+    """Per file hash, the machines with alerts on it (J14 then J10)."""
+    out = relate.file_machines(star.alerts(spark, d), star.machines(spark, d))
+    return out.select("hash", F.col("id").alias("machineId"), "computerDnsName")
+
+
+def remediation_machines(spark: SparkSession, d: str) -> DataFrame:
+    """Per remediation task, the machines its recommendation applies to."""
+    out = relate.remediation_machines(star.remediation_tasks(spark, d), star.asset_vulnerabilities(spark, d),
+                                      star.machines(spark, d))
+    return out.select("taskId", F.col("id").alias("machineId"))
+
+
+def remediation_progress(spark: SparkSession, d: str) -> DataFrame:
+    """Per task, targeted devices and devices no longer exposed.
+
+    Targets come from the full inventory; "still exposed" is the inventory
+    rows whose security update is still pending.
+    """
+    inv = star.asset_vulnerabilities(spark, d)
+    targets = relate.remediation_machines(star.remediation_tasks(spark, d), inv, star.machines(spark, d))
+    return stats.remediation_progress(targets, inv.filter(F.col("securityUpdateAvailable")))
+
+
+def alert_create(spark: SparkSession, d: str) -> DataFrame:
+    """W3 + C9: alerts created from event references (invalid requests rejected)."""
+    from .operators.updates import create_alerts
+
+    out, _ = create_alerts(star.alerts(spark, d, with_evidence=False), star.alert_requests(spark, d),
+                           star.machines(spark, d))
+    return out.filter(F.col("id").startswith("ref_")).select(
+        "id", "machineId", "computerDnsName", "severity", "status", _ts("alertCreationTime").alias("created"))
+
+
+def indicator_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """URL indicators (Audit) upserted with Block for URLs carrying a query string."""
+    from .operators.updates import upsert
+
+    p = star.table(spark, d, "pages")
+    cols = ["indicatorValue", "indicatorType", "action"]
+    existing = p.select(F.col("url").alias("indicatorValue"), F.lit("Url").alias("indicatorType"),
+                        F.lit("Audit").alias("action"))
+    changes = p.filter(F.col("url").contains("?")).select(
+        F.col("url").alias("indicatorValue"), F.lit("Url").alias("indicatorType"), F.lit("Block").alias("action"),
+        "page_id")
+    out = upsert(existing, changes, ["indicatorType", "indicatorValue"], order=["page_id"])
+    return out.select(*cols)
+
+
+def machine_value_update(spark: SparkSession, d: str) -> DataFrame:
+    """W9 + W10: high-risk machines get deviceValue High and are excluded (Other)."""
+    from .operators.updates import set_machine_fields
+
+    m = star.machines(spark, d)
+    ch = m.filter(F.col("riskScore") == "High").select(
+        "id", F.lit("High").alias("deviceValue"), F.lit(True).alias("isExcluded"), F.lit("Other").alias("exclusionReason"))
+    out = set_machine_fields(m, ch, ("deviceValue", "isExcluded", "exclusionReason"),
+                             {"deviceValue": "DEVICE_VALUE", "exclusionReason": "EXCLUSION_REASON"})
+    return out.select("id", "deviceValue", "isExcluded", "exclusionReason")
+
+
+def _landing(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from .session import scratch_path
+    return scratch_path(spark, f"landing-{name}-{uuid.uuid4().hex}")
+
+
+def export_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """S1-S3 + C1 + D1: machine records landed as gzip NDJSON blobs, scanned back
+    with the machines reader (text numbers / ISO times coerced, unknown field dropped)."""
+    from .sources.readers import read_export
+
+    path = _landing(spark, "machines")
+    star.machine_wire_records(spark, d).write.option("compression", "gzip").json(path)
+    out = read_export(spark, "machines", [path + "/"])
+    return out.select("id", "healthStatus", "rbacGroupId", _ts("lastSeen").alias("lastSeen"),
+                      F.size("ipAddresses").alias("interfaces"), F.array_join("machineTags", ",").alias("machineTags"))
+
+
+def page_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """S5-S6 + D2: alerts landed as API page envelopes (<=1000 records a page,
+    with next links), scanned back with the alerts reader."""
+    from .sources.readers import read_pages
+
+    path = _landing(spark, "alert-pages")
+    a = star.alerts(spark, d, with_evidence=False)
+    rec = F.struct("id", "machineId", "status", "severity",
+                   F.date_format("alertCreationTime", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("alertCreationTime"))
+    page_no = (F.col("id").cast("bigint") / 1000).cast("bigint")
+    pages = a.groupBy(page_no.alias("page")).agg(F.collect_list(rec).alias("value"))
+    env = pages.select("page", F.to_json(F.struct("value", F.concat(F.lit("/alerts?page="), (F.col("page") + 1).cast("string"))
+                                                  .alias("@odata.nextLink"))).alias("value"))
+    env.write.partitionBy("page").text(path)  # one response file per page
+    out = read_pages(spark, "alerts", path)
+    return out.select("id", "machineId", "status", "severity", _ts("alertCreationTime").alias("created"))
+
+
+def av_export_files(spark: SparkSession, d: str) -> DataFrame:
+    """D22 files variant: antivirus export lines landed gzip-compressed, read with
+    the av_health reader (FAILFAST on bad lines) and flattened (A1)."""
+    from .sources.readers import read_export
+
+    path = _landing(spark, "av")
+    star.av_export_lines(spark, d).write.option("compression", "gzip").text(path)
+    out = read_export(spark, "av_health", [path + "/"])
+    return out.select("id", "machineId", "computerDnsName", "osKind", "avMode", "quickScanResult", "quickScanError",
+                      _ts("quickScanTime").alias("quickScanTime"), "fullScanResult", "fullScanError",
+                      "avIsSignatureUpToDate", "rbacGroupId", _ts("dataRefreshTimestamp").alias("dataRefreshTimestamp"))
+
+
+REPORTS.update({
+    "machine_alerts": machine_alerts,
+    "file_machines": file_machines,
+    "remediation_machines": remediation_machines,
+    "remediation_progress": remediation_progress,
+    "alert_create": alert_create,
+    "indicator_upsert": indicator_upsert,
+    "machine_value_update": machine_value_update,
+    "export_roundtrip": export_roundtrip,
+    "page_roundtrip": page_roundtrip,
+    "av_export_files": av_export_files,
+})

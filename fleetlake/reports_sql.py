@@ -59,7 +59,8 @@ AV = """av AS (
     'CVE-' || CAST(l_suppkey AS VARCHAR) AS cveId, l_discount * 100 AS cvssScore,
     CASE WHEN l_linestatus = 'O' THEN 'KB' || CAST(5000000 + l_suppkey % 40 AS VARCHAR) END AS recommendedSecurityUpdateId,
     CASE WHEN l_linestatus = 'O' THEN 'Update ' || CAST(5000000 + l_suppkey % 40 AS VARCHAR) END AS recommendedSecurityUpdate,
-    'sca-' || CAST(l_partkey AS VARCHAR) AS recommendationReference
+    'sca-' || CAST(l_partkey AS VARCHAR) AS recommendationReference,
+    l_linestatus = 'O' AS securityUpdateAvailable
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 VC = """vc AS (
@@ -411,3 +412,52 @@ GROUP BY a.severity""",
   CAST(c_nationkey AS BIGINT) AS rbacGroupId, '2024-02-01 00:00:00' AS dataRefreshTimestamp
 FROM y""",
 })
+
+
+TASKS = """t AS (
+  SELECT DISTINCT 'task-' || CAST(p_partkey AS VARCHAR) AS taskId, av.recommendationReference AS rec, m.id AS machineId
+  FROM part JOIN av ON av.recommendationReference = 'sca-' || CAST(p_partkey AS VARCHAR)
+  JOIN m ON av.deviceId = m.id)"""
+
+SQL.update({
+    "machine_alerts": w(M, A) + """SELECT a.machineId, a.id, a.severity FROM a JOIN m ON a.machineId = m.id
+WHERE m.healthStatus = 'Active'""",
+
+    "file_machines": w(M, A, EV) + """SELECT DISTINCT ev.sha1 AS hash, m.id AS machineId, m.computerDnsName
+FROM ev JOIN a ON ev.alertId = a.id JOIN m ON a.machineId = m.id WHERE ev.sha1 IS NOT NULL""",
+
+    "remediation_machines": w(M, AV, TASKS) + "SELECT taskId, machineId FROM t",
+
+    "remediation_progress": w(M, AV, TASKS) + """, still AS (
+  SELECT DISTINCT recommendationReference AS rec, deviceId AS machineId FROM av WHERE securityUpdateAvailable)
+SELECT t.taskId AS id, count(*) AS targetDevices, count(*) FILTER (WHERE still.machineId IS NULL) AS fixedDevices
+FROM t LEFT JOIN still ON t.rec = still.rec AND t.machineId = still.machineId GROUP BY t.taskId""",
+
+    "alert_create": f"""WITH r AS (
+  SELECT CAST(user_id AS VARCHAR) AS machineId,
+    CASE event_type WHEN 'purchase' THEN 'High' WHEN 'view' THEN 'Low' WHEN 'click' THEN 'Medium'
+      WHEN 'error' THEN 'Severe' ELSE 'Informational' END AS severity,
+    CAST(event_id AS VARCHAR) AS reportId, ts, event_type
+  FROM events)
+SELECT 'ref_' || reportId || '_' || r.machineId AS id, r.machineId, c.c_name AS computerDnsName, severity, 'New' AS status,
+  strftime(ts, {TS}) AS created
+FROM r LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = r.machineId
+WHERE severity IN {_in_list('ALERT_SEVERITY')} AND event_type <> 'signup'""",
+
+    "indicator_upsert": """WITH ex AS (SELECT url AS indicatorValue, 'Url' AS indicatorType, 'Audit' AS action FROM pages),
+ch AS (SELECT url AS indicatorValue, 'Url' AS indicatorType, 'Block' AS action, page_id FROM pages WHERE contains(url, '?')),
+chl AS (SELECT indicatorValue, indicatorType, action FROM (
+  SELECT *, row_number() OVER (PARTITION BY indicatorType, indicatorValue ORDER BY page_id DESC) AS rn FROM ch) WHERE rn = 1)
+SELECT indicatorValue, indicatorType, action FROM ex
+WHERE NOT EXISTS (SELECT 1 FROM chl WHERE chl.indicatorValue = ex.indicatorValue AND chl.indicatorType = ex.indicatorType)
+UNION ALL SELECT indicatorValue, indicatorType, action FROM chl""",
+
+    "machine_value_update": w(M) + """SELECT id, CASE WHEN riskScore = 'High' THEN 'High' ELSE 'Normal' END AS deviceValue,
+  riskScore = 'High' AS isExcluded, CASE WHEN riskScore = 'High' THEN 'Other' END AS exclusionReason FROM m""",
+
+    "export_roundtrip": w(M) + f"""SELECT id, healthStatus, rbacGroupId, strftime(lastSeen, {TS}) AS lastSeen, 3 AS interfaces,
+  array_to_string(machineTags, ',') AS machineTags FROM m""",
+
+    "page_roundtrip": w(A) + f"""SELECT id, machineId, status, severity, strftime(alertCreationTime, {TS}) AS created FROM a""",
+})
+SQL["av_export_files"] = SQL["av_health_flatten"]

@@ -12,6 +12,9 @@
   ``quarantine`` to get the bad lines back as a second table instead.
 * S11 every row carries ``_source``, its blob location with any query string
   or fragment removed.
+
+A path ending in ``/`` is a folder of blobs (e.g. one export's landing
+folder); Spark lists it and picks the codec per file name.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from ..functions.scalars import redact_url
 from ..operators.conform import conform_to, wire_schema
 from ..session import ship_package
 
-NATIVE_SUFFIXES = (".gz", ".json", ".ndjson", ".jsonl", ".txt")
+NATIVE_SUFFIXES = (".gz", ".json", ".ndjson", ".jsonl", ".txt", "/")  # "/" = a folder of such files
 GZIP_MAGIC = b"\x1f\x8b"
 SOURCE = "_source"
 CORRUPT = "_corrupt_record"

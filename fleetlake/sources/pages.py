@@ -43,15 +43,21 @@ def envelope_records(docs: DataFrame, column: str = "value", path: str = "path")
         "path", F.call_function("to_json", F.col("_r")).alias("value"))
 
 
-def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per landed file: (path, whole text)."""
-    t = spark.read.text(paths, wholetext=True)
-    return t.select(F.col("_metadata.file_path").alias("path"), "value")
+def read_documents(spark: SparkSession, paths: str | list[str], *, layout: str = "file") -> DataFrame:
+    """(path, text) per landed response.
+
+    ``layout="file"``: one response per file (a page file may be pretty
+    printed over many lines); ``layout="lines"``: one response per line
+    (NDJSON of envelopes). Either way each response is bounded by the page
+    size, so whole-text rows stay small.
+    """
+    t = spark.read.text(paths, wholetext=(layout == "file"))
+    return t.select(F.col("_metadata.file_path").alias("path"), "value").filter(F.length(F.trim("value")) > 0)
 
 
-def scan_pages(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
+def scan_pages(spark: SparkSession, paths: str | list[str], schema: StructType, *, layout: str = "file") -> DataFrame:
     """Landed page (or single-object) responses -> conformed rows + ``_source``."""
-    recs = envelope_records(read_documents(spark, paths))
+    recs = envelope_records(read_documents(spark, paths, layout=layout))
     return conform_to(parse_records(recs, schema, mode="FAILFAST"), schema, keep=[SOURCE])
 
 

@@ -78,10 +78,10 @@ def read_export(spark: SparkSession, dataset: str, paths: list[str], *, mode: st
     return _post(dataset, scan_export(spark, paths, contract(ds.contract), mode=mode, detect=detect))
 
 
-def read_pages(spark: SparkSession, dataset: str, paths: str | list[str]) -> DataFrame:
+def read_pages(spark: SparkSession, dataset: str, paths: str | list[str], *, layout: str = "file") -> DataFrame:
     """Pages variant: landed page / single-object responses -> conformed rows."""
     ds = DATASETS[dataset]
-    return _post(dataset, scan_pages(spark, paths, contract(ds.contract)))
+    return _post(dataset, scan_pages(spark, paths, contract(ds.contract), layout=layout))
 
 
 def _post(dataset: str, df: DataFrame, *, keep_secrets: bool = False) -> DataFrame:

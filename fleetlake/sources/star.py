@@ -379,3 +379,41 @@ def av_export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def contract_schema(name: str):
     from ..plans.contracts import contract
     return contract(name)
+
+
+REMEDIATION_COLUMNS = {
+    "id": "'task-' || CAST(p_partkey AS STRING)",
+    "title": "'Update sw' || CAST(p_partkey AS STRING)",
+    "recommendationReference": "'sca-' || CAST(p_partkey AS STRING)",
+    "status": "CASE p_size % 3 WHEN 0 THEN 'Active' WHEN 1 THEN 'Completed' ELSE 'Active' END",
+    "createdOn": "TIMESTAMP '2024-01-01 00:00:00'",
+}
+
+
+def remediation_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """remediation_task rows, one per part (each targets that part's recommendation)."""
+    df = table(spark, sf_dir, "part").selectExpr(*[f"{e} AS `{k}`" for k, e in REMEDIATION_COLUMNS.items()])
+    return conform(df, "remediation_task")
+
+
+def alert_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create-alert-by-reference requests, one per event (some invalid by category / severity)."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(user_id AS STRING) AS machineId",
+        "CASE event_type WHEN 'purchase' THEN 'High' WHEN 'view' THEN 'Low' WHEN 'click' THEN 'Medium' "
+        "WHEN 'error' THEN 'Severe' ELSE 'Informational' END AS severity",
+        "'event ' || CAST(event_id AS STRING) AS title", "event_type AS description",
+        "'investigate' AS recommendedAction",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS eventTime",
+        "CAST(event_id AS STRING) AS reportId",
+        "CASE WHEN event_type = 'signup' THEN 'UnknownCategory' ELSE 'Malware' END AS category")
+
+
+def machine_wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Machine records as an export would carry them: numbers as text, ISO-8601 times
+    with seven fractional digits and a Z, one unknown field."""
+    m = machines(spark, sf_dir)
+    return m.select(
+        "id", "computerDnsName", "healthStatus", F.col("rbacGroupId").cast("string").alias("rbacGroupId"),
+        F.date_format("lastSeen", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSS'Z'").alias("lastSeen"),
+        "machineTags", "ipAddresses", F.lit("x").alias("unknownVendorField"))
