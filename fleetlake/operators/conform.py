@@ -84,19 +84,71 @@ def coerce(col: Column, src: DataType, dst: DataType) -> Column:
     return col.try_cast(dst)
 
 
-def _contract_columns(df: DataFrame, schema: StructType) -> list[Column]:
-    have = {f.name: f.dataType for f in df.schema.fields}
-    return [
-        (coerce(F.col(f"`{f.name}`"), have[f.name], f.dataType) if f.name in have
-         else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema.fields
-    ]
+def quote(name: str) -> str:
+    """A SQL identifier in backticks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_string(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_type(dtype: DataType) -> str:
+    """SQL type text, with struct field names quoted."""
+    if isinstance(dtype, StructType):
+        return "STRUCT<" + ", ".join(f"{quote(f.name)}: {sql_type(f.dataType)}" for f in dtype.fields) + ">"
+    if isinstance(dtype, ArrayType):
+        return f"ARRAY<{sql_type(dtype.elementType)}>"
+    if isinstance(dtype, MapType):
+        return f"MAP<{sql_type(dtype.keyType)}, {sql_type(dtype.valueType)}>"
+    return dtype.simpleString()
+
+
+def coerce_sql(expr: str, src: DataType, dst: DataType, depth: int = 0) -> str:
+    """SQL text of :func:`coerce` -- the same rules, parsed once by the JVM.
+
+    Building the projection as text keeps plan construction to one call per
+    projection instead of one round trip per expression node.
+    """
+    if src == dst:
+        return expr
+    null = f"CAST(NULL AS {sql_type(dst)})"
+    if isinstance(dst, StructType):
+        if isinstance(src, StringType):
+            w = wire_schema(dst)
+            return coerce_sql(f"from_json({expr}, {sql_string(sql_type(w))})", w, dst, depth)
+        if not isinstance(src, StructType):
+            return null
+        have = {f.name: f.dataType for f in src.fields}
+        parts = []
+        for f in dst.fields:
+            v = (coerce_sql(f"{expr}.{quote(f.name)}", have[f.name], f.dataType, depth) if f.name in have
+                 else f"CAST(NULL AS {sql_type(f.dataType)})")
+            parts.append(f"{sql_string(f.name)}, {v}")
+        return f"CASE WHEN {expr} IS NULL THEN {null} ELSE named_struct({', '.join(parts)}) END"
+    if isinstance(dst, ArrayType):
+        if isinstance(src, StringType):
+            w = wire_schema(dst)
+            return coerce_sql(f"from_json({expr}, {sql_string(sql_type(w))})", w, dst, depth)
+        if not isinstance(src, ArrayType):
+            return null
+        x = f"x{depth}"
+        return f"transform({expr}, {x} -> {coerce_sql(x, src.elementType, dst.elementType, depth + 1)})"
+    if isinstance(dst, StringType) and isinstance(src, (StructType, ArrayType, MapType)):
+        return f"to_json({expr})"
+    if isinstance(src, (StructType, ArrayType, MapType)):
+        return null
+    return f"try_cast({expr} AS {sql_type(dst)})"
 
 
 def conform_to(df: DataFrame, schema: StructType, *, keep: list[str] | None = None) -> DataFrame:
     """Project ``df`` onto ``schema`` (order, drop unknown, null missing, coerce)."""
-    extra = [F.col(f"`{k}`") for k in (keep or []) if k not in schema.fieldNames()]
-    return df.select(*_contract_columns(df, schema), *extra)
+    have = {f.name: f.dataType for f in df.schema.fields}
+    exprs = [f"{coerce_sql(quote(f.name), have[f.name], f.dataType) if f.name in have else f'CAST(NULL AS {sql_type(f.dataType)})'}"
+             f" AS {quote(f.name)}" for f in schema.fields]
+    exprs += [quote(k) for k in (keep or []) if k not in schema.fieldNames()]
+    return df.selectExpr(*exprs)
 
 
 def conform(df: DataFrame, name: str, *, keep: list[str] | None = None) -> DataFrame:

@@ -4,9 +4,10 @@ A1 flattens antivirus-health export records. The export wraps the health
 fields in ``DeviceGatheredInfo`` -- a JSON object *encoded as a string* --
 whose ``AvScanResults`` is again a JSON string, uses PascalCase names, and
 relies on "set if absent" defaults. Absent and null keys therefore behave
-differently, which a fixed-schema read cannot see; so each raw line is parsed
-to a VARIANT and every rule is a column expression on it (``variant_get``,
-``schema_of_variant``, ``try_parse_json``). No Python runs per row.
+differently, which a fixed-schema read cannot see; so each JSON level is
+parsed once to a ``map<string, variant>`` (key present even when its value is
+null) and every rule is a column expression on those maps. No Python runs
+per row.
 
 Rules, in order:
 
@@ -42,6 +43,7 @@ from pyspark.sql import functions as F
 
 from ..plans.contracts import contract
 from .conform import conform
+from .conform import quote as quote_ident
 
 # --- fixed values: export -> contract field names for antivirus health ---
 AV_FIELD_MAP: dict[str, str] = {
@@ -75,173 +77,103 @@ SCAN_PLACEHOLDER = "-"
 BOOL_FLAG_COLUMNS = ("avIsSignatureUpToDate", "avIsEngineUpToDate", "avIsPlatformUpToDate")
 
 
-def _vget(v: Column, key: str, as_type: str | None = None) -> Column:
-    path = F.lit(f"$['{key}']")
-    if as_type is None:
-        return F.call_function("variant_get", v, path)
-    return F.call_function("variant_get", v, path, F.lit(as_type))
+def _sql_text(v: str) -> str:
+    return f"variant_get({v}, '$', 'string')"
 
 
-def _kind(v: Column) -> Column:
-    return F.call_function("schema_of_variant", v)
+def _sql_truthy(v: str) -> str:
+    """Python truthiness of a JSON value: null, "", 0, false, {} and [] are falsy.
 
-
-def _is_object(v: Column) -> Column:
-    return F.coalesce(_kind(v).startswith("OBJECT"), F.lit(False))
-
-
-def _is_string(v: Column) -> Column:
-    return F.coalesce(_kind(v) == F.lit("STRING"), F.lit(False))
-
-
-def _text(v: Column) -> Column:
-    """Variant as text (strings unquoted, other scalars / objects as JSON)."""
-    return F.call_function("variant_get", v, F.lit("$"), F.lit("string"))
-
-
-def _truthy(v: Column) -> Column:
-    """Python truthiness of a JSON value: null, "", 0, false, {} and [] are falsy."""
-    k = _kind(v)
-    t = _text(v)
-    falsy = (v.isNull() | F.call_function("is_variant_null", v)
-             | ((k == "STRING") & (t == ""))
-             | (k.startswith("OBJECT") & (t == "{}"))
-             | (k.startswith("ARRAY") & (t == "[]"))
-             | ((k == "BOOLEAN") & (t == "false"))
-             | ((~k.isin("STRING", "BOOLEAN", "VARIANT")) & ~k.startswith("OBJECT") & ~k.startswith("ARRAY")
-                & (F.coalesce(t.try_cast("double"), F.lit(1.0)) == 0)))
-    return ~F.coalesce(falsy, F.lit(False))
-
-
-def _first_present(cands: list[tuple[Column, Column]], default: Column | None = None) -> Column:
-    """Value of the first (present, value) pair whose key is present, else default."""
-    out = default if default is not None else F.lit(None).cast("string")
-    for present, value in reversed(cands):
-        out = F.when(present, value).otherwise(out)
-    return out
+    Decided on the value's JSON text (one ``to_json``), which is cheaper than
+    rendering its full type with ``schema_of_variant``.
+    """
+    t = f"to_json({v})"
+    falsy = f"{v} IS NULL OR {t} IN ('null', '\"\"', 'false', '[]', '{{}}') OR try_cast({t} AS DOUBLE) = 0"
+    return f"NOT coalesce({falsy}, false)"
 
 
 def flatten_av_health(raw: DataFrame, column: str = "value") -> DataFrame:
     """A1: raw antivirus-health export lines (JSON text) -> device_av_info rows.
 
-    The parse steps are separate projections (record, nested record, scan
-    results), so each JSON text is parsed once per row and the final
-    projection only reads fields from already-parsed variants.
+    Each JSON level (record, gathered-info blob, scan results, Quick / Full)
+    is parsed once, in its own projection, into a ``map<string, variant>``.
+    In such a map an absent key reads as SQL NULL while a key holding JSON
+    null reads as a variant null, so "first present key wins" is a plain
+    ``coalesce`` over the candidate lookups. Every rule is SQL text; no
+    lambdas, no Python per row.
     """
-    # Stage 1: the record; stage 2: the nested record and platform facts.
-    s1 = raw.select(F.call_function("try_parse_json", F.col(column)).alias("_rec"))
-    rec = F.col("_rec")
-    dgi = _vget(rec, "DeviceGatheredInfo")
-    os_top = F.coalesce(_vget(rec, "OsPlatform", "string"), F.lit(""))
-    s2 = s1.select(
-        "_rec",
-        F.when(_is_string(dgi), F.call_function("try_parse_json", _text(dgi))).when(_is_object(dgi), dgi).alias("_n0"),
-        (F.lower(os_top).startswith(NON_WINDOWS_PREFIXES[0])
-         | F.lower(os_top).startswith(NON_WINDOWS_PREFIXES[1])).alias("_nonwin"),
-    )
-    s2 = s2.select("_rec", "_nonwin", F.when(_is_object(F.col("_n0")), F.col("_n0")).alias("_nested"))
-    nested = F.col("_nested")
-    # Stage 3: AvScanResults, a JSON string inside the nested record.
-    av_raw = _vget(nested, "AvScanResults")
-    s3 = s2.select("_rec", "_nonwin", "_nested", _is_string(av_raw).alias("_avstr"),
-                   F.call_function("try_parse_json", _text(av_raw)).alias("_scans"))
-    scans = F.col("_scans")
-    quick_v, full_v = _vget(scans, "Quick"), _vget(scans, "Full")
-    scans_ok = F.col("_avstr") & _is_object(scans)
-    s4 = s3.select("_rec", "_nonwin", "_nested", "_avstr", quick_v.alias("_quick"), full_v.alias("_full"),
-                   scans_ok.alias("_scans_ok"))
-    quick_ok = F.col("_scans_ok") & (~_truthy(F.col("_quick")) | _is_object(F.col("_quick")))
-    s5 = s4.withColumn("_quick_ok", quick_ok)
-    s5 = s5.withColumn("_full_ok", F.col("_quick_ok") & (~_truthy(F.col("_full")) | _is_object(F.col("_full"))))
-
-    non_windows = F.col("_nonwin")
-    av_is_str = F.col("_avstr")
-    placeholder = F.when(non_windows, F.lit(SCAN_PLACEHOLDER)).otherwise(F.lit(""))
-
-    def top_has(k: str) -> Column:
-        return _vget(rec, k).isNotNull()
-
-    def nest_has(k: str) -> Column:
-        return F.coalesce(_vget(nested, k).isNotNull(), F.lit(False))
-
-    def top_txt(k: str) -> Column:
-        return _vget(rec, k, "string")
-
-    def nest_txt(k: str) -> Column:
-        return _vget(nested, k, "string")
-
-    def scan_value(part: str, key: str, ok: str, with_placeholder: bool) -> Column:
-        v = _vget(F.col(part), key)
-        val = F.when(_truthy(v), _text(v))
-        if with_placeholder:
-            val = F.coalesce(val, placeholder)
-        return F.when(F.col(ok), val)
+    vmap = "map<string,variant>"
+    empty = f"CAST(map() AS {vmap})"
+    src = quote_ident(column)
+    # Stage 1: the record (a line that is not a JSON object has no keys).
+    s1 = raw.selectExpr(f"coalesce(try_variant_get(try_parse_json({src}), '$', '{vmap}'), {empty}) AS _top")
+    # Stage 2 (rules 1-2): the gathered-info blob -- a string is parsed, an object is
+    # used (its JSON text parses to the same map); the platform from the top level.
+    dgi = "_top['DeviceGatheredInfo']"
+    dk = f"schema_of_variant({dgi})"
+    os_platform = "_top['OsPlatform']"
+    os_top = f"lower(coalesce({_sql_text(os_platform)}, ''))"
+    s2 = s1.selectExpr("_top",
+                       f"CASE WHEN {dk} = 'STRING' OR {dk} LIKE 'OBJECT%' THEN {_sql_text(dgi)} END AS _dgi",
+                       " OR ".join(f"startswith({os_top}, '{p}')" for p in NON_WINDOWS_PREFIXES) + " AS _nonwin")
+    s3 = s2.selectExpr("_top", "_nonwin", f"coalesce(try_variant_get(try_parse_json(_dgi), '$', '{vmap}'), {empty}) AS _nested")
+    # Stage 3 (rule 3): AvScanResults -- a JSON string inside the nested record.
+    av = "_nested['AvScanResults']"
+    s4 = s3.selectExpr("_top", "_nested", "_nonwin", f"coalesce(schema_of_variant({av}) = 'STRING', false) AS _avstr")
+    s5 = s4.selectExpr("*", f"try_variant_get(try_parse_json(CASE WHEN _avstr THEN {_sql_text(av)} END), '$', '{vmap}') AS _scans")
+    s6 = s5.selectExpr("_top", "_nested", "_nonwin", "_avstr",
+                       "_scans IS NOT NULL AS _scans_ok", "_scans['Quick'] AS _qv", "_scans['Full'] AS _fv",
+                       f"try_variant_get(_scans['Quick'], '$', '{vmap}') AS _quick",
+                       f"try_variant_get(_scans['Full'], '$', '{vmap}') AS _full")
+    # A truthy non-object Quick sets nothing; a truthy non-object Full keeps Quick's three.
+    s7 = s6.selectExpr("*", f"_scans_ok AND (NOT ({_sql_truthy('_qv')}) OR _quick IS NOT NULL) AS _quick_ok")
+    s7 = s7.selectExpr("*", f"_quick_ok AND (NOT ({_sql_truthy('_fv')}) OR _full IS NOT NULL) AS _full_ok")
+
+    placeholder = f"CASE WHEN _nonwin THEN '{SCAN_PLACEHOLDER}' ELSE '' END"
+
+    def scan(part: str, key: str, ok: str, with_placeholder: bool) -> str:
+        v = f"{part}['{key}']"
+        if not with_placeholder:
+            return f"CASE WHEN {ok} THEN {_sql_text(v)} END"
+        val = f"coalesce(CASE WHEN {_sql_truthy(v)} THEN {_sql_text(v)} END, {placeholder})"
+        # Rule 4: non-Windows without a string AvScanResults -> '-'.
+        return f"CASE WHEN {ok} THEN {val} WHEN NOT _avstr AND _nonwin THEN '{SCAN_PLACEHOLDER}' END"
+
+    def level(k: str) -> str:
+        """Pre-rename merged value: the top-level key if present, else the nested one."""
+        return _sql_text(f"coalesce(_top['{k}'], _nested['{k}'])")
 
     derived = {
-        "quickScanResult": (F.col("_quick_ok"), scan_value("_quick", "ScanStatus", "_quick_ok", True)),
-        "quickScanError": (F.col("_quick_ok"), scan_value("_quick", "ErrorCode", "_quick_ok", True)),
-        "quickScanTime": (F.col("_quick_ok"), scan_value("_quick", "Timestamp", "_quick_ok", False)),
-        "fullScanResult": (F.col("_full_ok"), scan_value("_full", "ScanStatus", "_full_ok", True)),
-        "fullScanError": (F.col("_full_ok"), scan_value("_full", "ErrorCode", "_full_ok", True)),
-        "fullScanTime": (F.col("_full_ok"), scan_value("_full", "Timestamp", "_full_ok", False)),
+        "quickScanResult": scan("_quick", "ScanStatus", "_quick_ok", True),
+        "quickScanError": scan("_quick", "ErrorCode", "_quick_ok", True),
+        "quickScanTime": scan("_quick", "Timestamp", "_quick_ok", False),
+        "fullScanResult": scan("_full", "ScanStatus", "_full_ok", True),
+        "fullScanError": scan("_full", "ErrorCode", "_full_ok", True),
+        "fullScanTime": scan("_full", "Timestamp", "_full_ok", False),
+        # Rule 6: osKind from the platform prefix; rule 7: id from machineId / DeviceId.
+        "osKind": "CASE " + " ".join(f"WHEN startswith(_plat, '{p}') THEN '{k}'" for p, k in OS_KIND_PREFIXES) + " END",
+        "id": f"coalesce(nullif({level('machineId')}, ''), nullif({level('DeviceId')}, ''))",
     }
-    # Rule 4: non-Windows without a string AvScanResults -> '-' for results / errors.
-    for k in ("quickScanResult", "quickScanError", "fullScanResult", "fullScanError"):
-        ok, val = derived[k]
-        fallback = (~av_is_str) & non_windows
-        derived[k] = (ok | fallback, F.when(ok, val).when(fallback, F.lit(SCAN_PLACEHOLDER)))
+    plat = f"lower(coalesce(nullif({level('OsPlatform')}, ''), nullif({level('osPlatform')}, ''), ''))"
+    s8 = s7.selectExpr("_top", "_nested", "_quick", "_full", "_quick_ok", "_full_ok", "_avstr", "_nonwin", f"{plat} AS _plat")
+    s9 = s8.selectExpr("_top", "_nested", *[f"{e} AS _d_{n}" for n, e in derived.items()])
 
     aliases: dict[str, list[str]] = {}
-    for src, dst in AV_FIELD_MAP.items():
-        aliases.setdefault(dst, []).append(src)
-
-    def merged(name: str) -> tuple[Column, Column]:
-        """(present, text) for a contract name after merge + rename (rules 3-5, 9)."""
-        keys = [name, *aliases.get(name, [])]
-        cands = [(top_has(k), top_txt(k)) for k in keys] + [(nest_has(k), nest_txt(k)) for k in keys]
-        if name in derived:
-            cands.append(derived[name])
-        present = F.lit(False)
-        for p, _ in cands:
-            present = present | F.coalesce(p, F.lit(False))
-        return present, _first_present([(F.coalesce(p, F.lit(False)), v) for p, v in cands])
-
-    def merged_raw(name: str) -> Column:
-        keys = [name, *aliases.get(name, [])]
-        cands = [(top_has(k), _vget(rec, k)) for k in keys] + [(nest_has(k), _vget(nested, k)) for k in keys]
-        out = F.lit(None).cast("variant")
-        for p, v in reversed(cands):
-            out = F.when(F.coalesce(p, F.lit(False)), v).otherwise(out)
-        return out
-
-    cols: dict[str, Column] = {}
+    for src_name, dst in AV_FIELD_MAP.items():
+        aliases.setdefault(dst, []).append(src_name)
+    popped = {"DeviceGatheredInfo", "AvScanResults"}
+    exprs = []
     for f in contract("device_av_info").fields:
-        cols[f.name] = merged(f.name)[1]
-
-    # Rule 6: osKind from the merged platform (exact key first, then alias).
-    def level_txt(k: str) -> Column:
-        return _first_present([(top_has(k), top_txt(k)), (nest_has(k), nest_txt(k))])
-
-    plat = F.lower(F.coalesce(F.nullif(level_txt("OsPlatform"), F.lit("")),
-                              F.nullif(level_txt("osPlatform"), F.lit("")), F.lit("")))
-    kind = F.lit(None).cast("string")
-    for prefix, k in reversed(OS_KIND_PREFIXES):
-        kind = F.when(plat.startswith(prefix), F.lit(k)).otherwise(kind)
-    has_kind, kind_txt = merged("osKind")
-    cols["osKind"] = F.when(has_kind, kind_txt).otherwise(kind)
-
-    # Rule 7: id from machineId / DeviceId when absent.
-    mid = F.coalesce(F.nullif(level_txt("machineId"), F.lit("")), F.nullif(level_txt("DeviceId"), F.lit("")))
-    has_id, id_txt = merged("id")
-    cols["id"] = F.when(has_id, id_txt).otherwise(mid)
-
-    # Rule 8: JSON booleans in the up-to-date flags -> Python's True / False.
-    for name in BOOL_FLAG_COLUMNS:
-        v = merged_raw(name)
-        cols[name] = F.when(F.coalesce(_kind(v) == "BOOLEAN", F.lit(False)), F.initcap(_text(v))).otherwise(cols[name])
-
-    flat = s5.select(*[c.alias(n) for n, c in cols.items()])
-    return conform(flat, "device_av_info")
+        keys = [k for k in (f.name, *aliases.get(f.name, [])) if k not in popped]
+        # Rules 5 + 9: top level before nested; on one level the contract name before its alias.
+        v = "coalesce(" + ", ".join([f"_top['{k}']" for k in keys] + [f"_nested['{k}']" for k in keys]) + ")"
+        txt = _sql_text(v)
+        if f.name in BOOL_FLAG_COLUMNS:  # rule 8: JSON booleans -> Python's True / False
+            txt = f"CASE WHEN schema_of_variant({v}) = 'BOOLEAN' THEN initcap({txt}) ELSE {txt} END"
+        if f.name in derived:  # set-if-absent defaults (rules 3, 4, 6, 7)
+            txt = f"CASE WHEN {v} IS NULL THEN _d_{f.name} ELSE {txt} END"
+        exprs.append(f"{txt} AS {quote_ident(f.name)}")
+    return conform(s9.selectExpr(*exprs), "device_av_info")
 
 
 def apply_record_transform(df: DataFrame, transform: Callable | None, *, column: str = "value") -> DataFrame:

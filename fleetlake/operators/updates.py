@@ -39,13 +39,13 @@ def patch_alerts(alerts: DataFrame, changes: DataFrame, *, seq: str | None = Non
     ``changes`` rows carry ``alertIds`` (array) or ``alertId`` plus any of
     status / assignedTo / classification / determination / comment. A
     ``comment`` is appended to the alert's ``comments``. Domains are checked
-    first (C6); an invalid value raises ``ValueError`` with the count.
+    inline (C6): a value outside its domain fails the job.
     """
     ids = F.explode("alertIds") if "alertIds" in changes.columns else F.col("alertId")
     cols = [c for c in (*ALERT_PATCH_FIELDS, "comment", comment_author, comment_time, seq) if c and c in changes.columns]
-    flat = changes.select(ids.alias("id"), *cols)
-    _check_domains(flat, {"status": "ALERT_STATUS", "classification": "ALERT_CLASSIFICATION",
-                          "determination": "ALERT_DETERMINATION"})
+    flat = _check_domains(changes.select(ids.alias("id"), *cols),
+                          {"status": "ALERT_STATUS", "classification": "ALERT_CLASSIFICATION",
+                           "determination": "ALERT_DETERMINATION"})
     p = _last_patch(flat, "id", seq).select("id", *[F.col(c).alias(f"_p_{c}") for c in cols])
     j = alerts.join(p, "id", "left")
     out = []
@@ -65,13 +65,19 @@ def patch_alerts(alerts: DataFrame, changes: DataFrame, *, seq: str | None = Non
     return j.select(*out)
 
 
-def _check_domains(df: DataFrame, columns: dict[str, str]) -> None:
-    present = {c: d for c, d in columns.items() if c in df.columns}
-    if not present:
-        return
-    bad = Q.domain_report(df, present).filter("violations > 0").collect()
-    if bad:
-        raise ValueError("values outside domain: " + ", ".join(f"{r[0]}={r[1]}" for r in bad))
+def _check_domains(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Fail the job on a value outside its enum domain (checked inline, lazily:
+    no separate validation pass over the change-set)."""
+    from ..plans.domains import DOMAINS
+
+    for c, dom in columns.items():
+        if c not in df.columns:
+            continue
+        col = F.col(c)
+        bad = col.isNotNull() & ~col.isin(list(DOMAINS[dom]))
+        df = df.withColumn(c, F.when(bad, F.raise_error(F.concat(F.lit(f"{c} outside domain {dom}: "), col)))
+                              .otherwise(col))
+    return df
 
 
 def create_alerts(alerts: DataFrame, requests: DataFrame, machines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -172,7 +178,7 @@ def tag_machines(machines: DataFrame, changes: DataFrame) -> DataFrame:
     all additions are applied, then all removals; a null tag list counts as
     empty.
     """
-    _check_domains(changes, {"Action": "TAG_ACTION"})
+    changes = _check_domains(changes, {"Action": "TAG_ACTION"})
     ops = changes.select(F.explode("MachineIds").alias("id"), "Value", "Action")
     per = ops.groupBy("id").agg(
         F.collect_set(F.when(F.col("Action") == "Add", F.col("Value"))).alias("_add"),
@@ -188,7 +194,7 @@ def tag_machines(machines: DataFrame, changes: DataFrame) -> DataFrame:
 def set_machine_fields(machines: DataFrame, changes: DataFrame, fields: tuple[str, ...],
                        domains: dict[str, str] | None = None) -> DataFrame:
     """Set fields (e.g. deviceValue; isExcluded + exclusionReason) by machine id."""
-    _check_domains(changes, domains or {})
+    changes = _check_domains(changes, domains or {})
     p = changes.select(F.col("id"), *[F.col(f).alias(f"_p_{f}") for f in fields]).dropDuplicates(["id"])
     j = machines.join(p, "id", "left")
     return j.select(*[F.coalesce(F.col(f"_p_{c}"), F.col(c)).alias(c) if c in fields else F.col(c)

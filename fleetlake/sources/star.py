@@ -26,8 +26,18 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, resolved once per session (file listing + footer schema)
+    and reused like a catalog table; every action still reads the files."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)  # noqa: SLF001 - one entry per live session
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 # --- SQL expressions per stand-in column (kept as text so tests can mirror them) ---
@@ -54,23 +64,21 @@ MACHINE_COLUMNS = {
     "onboardingStatus": "'Onboarded'",
     "isExcluded": "false",
     "isPotentialDuplication": "false",
+    "ipAddresses": ("array("
+                    "named_struct('ipAddress', '10.' || CAST((c_custkey DIV 65536) % 256 AS STRING) || '.' || "
+                    "CAST((c_custkey DIV 256) % 256 AS STRING) || '.' || CAST(c_custkey % 256 AS STRING), "
+                    "'macAddress', CAST(NULL AS STRING), 'type', 'Ethernet', 'operationalStatus', 'Up'), "
+                    "named_struct('ipAddress', 'fe80::' || CAST(c_custkey AS STRING), "
+                    "'macAddress', CAST(NULL AS STRING), 'type', 'Ethernet', 'operationalStatus', 'Up'), "
+                    "named_struct('ipAddress', '192.168.' || CAST(c_nationkey AS STRING) || '.1', "
+                    "'macAddress', CAST(NULL AS STRING), 'type', 'Wireless', 'operationalStatus', 'Down'))"),
 }
 
 
 def machines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """machine contract rows, one per customer."""
     c = table(spark, sf_dir, "customer")
-    df = c.selectExpr(*[f"{e} AS `{k}`" for k, e in MACHINE_COLUMNS.items()])
-    ips = F.array(
-        F.struct(F.col("lastIpAddress").alias("ipAddress"), F.lit(None).cast("string").alias("macAddress"),
-                 F.lit("Ethernet").alias("type"), F.lit("Up").alias("operationalStatus")),
-        F.struct(F.concat(F.lit("fe80::"), F.col("id")).alias("ipAddress"), F.lit(None).cast("string").alias("macAddress"),
-                 F.lit("Ethernet").alias("type"), F.lit("Up").alias("operationalStatus")),
-        F.struct(F.concat(F.lit("192.168."), F.col("rbacGroupId").cast("string"), F.lit(".1")).alias("ipAddress"),
-                 F.lit(None).cast("string").alias("macAddress"), F.lit("Wireless").alias("type"),
-                 F.lit("Down").alias("operationalStatus")),
-    )
-    return conform(df.withColumn("ipAddresses", ips), "machine")
+    return conform(c.selectExpr(*[f"{e} AS `{k}`" for k, e in MACHINE_COLUMNS.items()]), "machine")
 
 
 ALERT_COLUMNS = {
