@@ -105,18 +105,23 @@ def machine_recommendations(vuln_inventory: DataFrame, recommendations: DataFram
 def missing_kb_rollup(vuln_inventory: DataFrame) -> DataFrame:
     """Per security update, the machines missing it and the CVEs it fixes.
 
-    ``productsNames`` is the set of affected software names (bounded by the
-    distinct names per update); counts are exact two-phase distinct counts.
+    Two plain hash aggregates joined on the update id: exact distinct counts
+    (two-phase, hot updates pre-aggregated map-side) and the distinct
+    affected software names, de-duplicated *before* they are gathered into
+    ``productsNames`` (so the list is built from at most one row per name).
     """
-    rows = vuln_inventory.filter(F.col("recommendedSecurityUpdateId").isNotNull())
-    agg = rows.groupBy(F.col("recommendedSecurityUpdateId").alias("id")).agg(
-        F.first("recommendedSecurityUpdate", ignorenulls=True).alias("name"),
-        F.array_sort(F.collect_set("softwareName")).alias("productsNames"),
-        F.first("recommendedSecurityUpdateUrl", ignorenulls=True).alias("url"),
+    rows = vuln_inventory.filter(F.col("recommendedSecurityUpdateId").isNotNull()).select(
+        F.col("recommendedSecurityUpdateId").alias("id"), "recommendedSecurityUpdate", "recommendedSecurityUpdateUrl",
+        "deviceId", "cveId", "softwareName")
+    counts = rows.groupBy("id").agg(
+        F.max("recommendedSecurityUpdate").alias("name"),
+        F.max("recommendedSecurityUpdateUrl").alias("url"),
         F.count_distinct("deviceId").alias("machineMissedOn"),
         F.count_distinct("cveId").alias("cveAddressed"),
     )
-    return conform(agg, "public_product_fix_dto")
+    names = (rows.select("id", "softwareName").dropna().distinct()
+                 .groupBy("id").agg(F.array_sort(F.collect_list("softwareName")).alias("productsNames")))
+    return conform(counts.join(names, "id", "left"), "public_product_fix_dto")
 
 
 def machine_missing_kbs(vuln_inventory: DataFrame, machine_ids=None) -> DataFrame:
