@@ -41,32 +41,43 @@ def apply_changes(snapshot: DataFrame, delta: DataFrame, *, key: str | list[str]
 
     The latest event per key wins; if its ``status`` is terminal the key is
     removed, otherwise its row replaces (or adds) the key. With
-    ``only_newer`` (default) a change whose order tuple is not newer than the
-    snapshot row's is ignored, so late or replayed micro-batches cannot roll
-    a key back. With ``keep_terminal`` a terminal event is kept as a
-    tombstone row (its status is terminal) instead of removing the key, so a
-    later, older event for that key is still recognised as older -- the form
+    ``only_newer`` (default) a change that is not newer than the snapshot
+    row (compared on the order columns the snapshot keeps) is ignored, so
+    late or replayed micro-batches cannot roll a key back. With
+    ``keep_terminal`` a terminal event stays as a tombstone row instead of
+    removing the key, and the snapshot carries every order column -- the form
     an incrementally maintained snapshot needs. Output columns are the
     snapshot's.
+
+    Plan: one aggregate over the delta (latest per key, partial aggregation
+    map-side) and one full outer join with the snapshot on the key.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = order or ["eventTimestamp"]
-    latest = latest_per_key(delta, keys, order)
     if keep_terminal:
-        # Incremental form: the stored snapshot carries every order column, so
-        # the next batch compares full order tuples (older rows hold nulls,
-        # which order before any value).
         for c in order:
             if c not in snapshot.columns:
                 snapshot = snapshot.withColumn(c, F.lit(None).cast(delta.schema[c].dataType))
+    latest = latest_per_key(delta, keys, order)
+    values = [c for c in snapshot.columns if c not in keys]
     avail = [c for c in order if c in snapshot.columns] if only_newer else []
+
+    def field(df: DataFrame, c: str):
+        return F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(snapshot.schema[c].dataType)
+
+    new = latest.select(*keys, F.struct(*[field(latest, c).alias(c) for c in values]).alias("_new"),
+                        F.col(status).alias("_new_status"),
+                        F.struct(*[F.col(c) for c in avail]).alias("_new_ord") if avail else F.lit(None).alias("_new_ord"))
+    old = snapshot.select(*keys, F.struct(*[F.col(f"`{c}`") for c in values]).alias("_old"),
+                          F.struct(*[F.col(c) for c in avail]).alias("_old_ord") if avail else F.lit(None).alias("_old_ord"))
+    j = old.join(new, keys, "full_outer")
     if avail:
-        # Compare on the order columns the snapshot keeps: strictly newer when
-        # it keeps them all, not older when it keeps only a prefix.
-        cur = snapshot.select(*keys, F.struct(*[F.col(c) for c in avail]).alias("_cur"))
-        mine = F.struct(*[F.col(c) for c in avail])
-        newer = mine > F.col("_cur") if len(avail) == len(order) else mine >= F.col("_cur")
-        latest = latest.join(cur, keys, "left").filter(F.col("_cur").isNull() | newer).drop("_cur")
-    survivors = latest if keep_terminal else latest.filter(~F.coalesce(F.col(status).isin(list(terminal)), F.lit(False)))
-    kept = snapshot.join(latest.select(*keys), keys, "left_anti")
-    return kept.unionByName(survivors.select(*snapshot.columns))
+        # strictly newer when the snapshot keeps every order column, not older when only a prefix
+        newer = F.col("_new_ord") > F.col("_old_ord") if len(avail) == len(order) else F.col("_new_ord") >= F.col("_old_ord")
+        take_new = F.col("_new").isNotNull() & (F.col("_old").isNull() | newer)
+    else:
+        take_new = F.col("_new").isNotNull()
+    is_terminal = F.coalesce(F.col("_new_status").isin(list(terminal)), F.lit(False))
+    keep = F.when(take_new, F.lit(True) if keep_terminal else ~is_terminal).otherwise(F.col("_old").isNotNull())
+    cols = [F.when(take_new, F.col(f"_new.`{c}`")).otherwise(F.col(f"_old.`{c}`")).alias(c) for c in values]
+    return j.filter(keep).select(*keys, *cols).select(*snapshot.columns)
