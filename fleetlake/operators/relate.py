@@ -13,7 +13,7 @@ Plan shape:
   (key, related-id) pairs *before* the join -- a two-phase hash aggregate
   that pre-aggregates hot keys map-side;
 * the related catalog is broadcast when its size is proven under
-  ``BROADCAST_MAX_ROWS``; otherwise the join is a sort-merge join that AQE can
+  ``BROADCAST_MAX_BYTES`` (estimated); otherwise a sort-merge join that AQE can
   split when a key is skewed.
 """
 

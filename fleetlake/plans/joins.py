@@ -15,9 +15,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
-# Default row bound under which a key / lookup side may be broadcast.
+# Default bounds under which a side may be broadcast: rows for literal key
+# lists, estimated bytes for tables (rows x estimated row width).
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def rows_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -25,8 +28,26 @@ def rows_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint on ``df`` only if its row count is proven <= ``max_rows``."""
+def estimated_row_bytes(dtype: DataType) -> int:
+    """A generous per-row size estimate from the schema (strings 32 B, arrays 4 elements)."""
+    if isinstance(dtype, StructType):
+        return 8 + sum(estimated_row_bytes(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, ArrayType):
+        return 16 + 4 * estimated_row_bytes(dtype.elementType)
+    if isinstance(dtype, MapType):
+        return 16 + 4 * (estimated_row_bytes(dtype.keyType) + estimated_row_bytes(dtype.valueType))
+    if isinstance(dtype, (StringType, BinaryType)):
+        return 32
+    return 8
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint on ``df`` only if it is proven small.
+
+    The bound is in bytes: at most ``max_bytes / estimated row width`` rows,
+    checked with a ``limit(n+1).count()`` probe that stops after n+1 rows.
+    """
+    max_rows = max(1, max_bytes // estimated_row_bytes(df.schema))
     return F.broadcast(df) if rows_at_most(df, max_rows) else df
 
 
@@ -38,24 +59,24 @@ def key_frame(spark: SparkSession, values, column: str = "id") -> DataFrame:
 
 
 def semi_join(df: DataFrame, keys: DataFrame, column: str, key_column: str | None = None,
-              *, max_broadcast_rows: int | None = None) -> DataFrame:
+              *, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Rows of ``df`` whose ``column`` appears in ``keys`` (left semi join).
 
-    Without ``max_broadcast_rows`` no probe runs: a key frame derived from
+    Without ``max_broadcast_bytes`` no probe runs: a key frame derived from
     data is left to AQE, which broadcasts it at run time only if its
     materialised size is under the threshold (probing it here would re-run
     its upstream work). Pass a bound to probe and broadcast explicitly.
     """
     k = keys.select(F.col(key_column or column).alias(column))
-    if max_broadcast_rows is not None:
-        k = bounded_broadcast(k, max_broadcast_rows)
+    if max_broadcast_bytes is not None:
+        k = bounded_broadcast(k, max_broadcast_bytes)
     return df.join(k, on=column, how="left_semi")
 
 
 def anti_join(df: DataFrame, keys: DataFrame, column: str, key_column: str | None = None,
-              *, max_broadcast_rows: int | None = None) -> DataFrame:
+              *, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Rows of ``df`` whose ``column`` does not appear in ``keys`` (left anti join)."""
     k = keys.select(F.col(key_column or column).alias(column))
-    if max_broadcast_rows is not None:
-        k = bounded_broadcast(k, max_broadcast_rows)
+    if max_broadcast_bytes is not None:
+        k = bounded_broadcast(k, max_broadcast_bytes)
     return df.join(k, on=column, how="left_anti")
