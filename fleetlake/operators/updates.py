@@ -104,11 +104,22 @@ def create_alerts(alerts: DataFrame, requests: DataFrame, machines: DataFrame) -
 
 
 def upsert(table: DataFrame, changes: DataFrame, key: str | list[str], *, order: list[str] | None = None) -> DataFrame:
-    """Insert or replace rows by ``key`` (latest change per key when ``order`` is given)."""
+    """Insert or replace rows by ``key`` (latest change per key when ``order`` is given).
+
+    ``table`` is keyed (one row per key). One pass over the change-set
+    (latest per key as a partial aggregate) and one full outer join with the
+    table on the key.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     ch = latest_per_key(changes, keys, order) if order else changes.dropDuplicates(keys)
-    kept = table.join(ch.select(*keys), keys, "left_anti")
-    return kept.unionByName(ch.select(*table.columns))
+    values = [c for c in table.columns if c not in keys]
+    new = ch.select(*keys, F.struct(*[F.col(f"`{c}`") if c in ch.columns else F.lit(None).cast(table.schema[c].dataType)
+                                      for c in values]).alias("_new"))
+    old = table.select(*keys, F.struct(*[F.col(f"`{c}`") for c in values]).alias("_old"))
+    j = old.join(new, keys, "full_outer")
+    take_new = F.col("_new").isNotNull()
+    return j.select(*keys, *[F.when(take_new, F.col(f"_new.`{c}`")).otherwise(F.col(f"_old.`{c}`")).alias(c)
+                             for c in values]).select(*table.columns)
 
 
 INDICATOR_KEY = ("indicatorType", "indicatorValue")
