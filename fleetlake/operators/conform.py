@@ -11,14 +11,13 @@ Rule (a decision; the upstream coercion code is not public):
   serialised to JSON text;
 * nested structs and arrays are conformed field by field, recursively.
 
-Everything is a column expression, so the whole projection stays inside
-whole-stage codegen and Catalyst can still prune and push down through it.
+Everything is one SQL projection, so it stays inside whole-stage codegen
+and Catalyst can still prune and push down through it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     ArrayType,
     AtomicType,
@@ -51,39 +50,6 @@ def contract_wire_schema(name: str) -> StructType:
     return wire_schema(contract(name))  # type: ignore[return-value]
 
 
-def coerce(col: Column, src: DataType, dst: DataType) -> Column:
-    """Expression turning ``col`` (of type ``src``) into type ``dst``."""
-    if src == dst:
-        return col
-    if isinstance(dst, StructType):
-        if isinstance(src, StringType):
-            return coerce(F.from_json(col, wire_schema(dst)), wire_schema(dst), dst)
-        if not isinstance(src, StructType):
-            return F.lit(None).cast(dst)
-        have = {f.name: f.dataType for f in src.fields}
-        fields = [
-            (coerce(col.getField(f.name), have[f.name], f.dataType) if f.name in have
-             else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in dst.fields
-        ]
-        return F.when(col.isNull(), F.lit(None).cast(dst)).otherwise(F.struct(*fields))
-    if isinstance(dst, ArrayType):
-        if isinstance(src, StringType):
-            w = wire_schema(dst)
-            return coerce(F.from_json(col, w), w, dst)
-        if not isinstance(src, ArrayType):
-            return F.lit(None).cast(dst)
-        el_src, el_dst = src.elementType, dst.elementType
-        return F.transform(col, lambda x: coerce(x, el_src, el_dst))
-    if isinstance(dst, StringType) and isinstance(src, (StructType, ArrayType, MapType)):
-        return F.to_json(col)
-    if isinstance(dst, AtomicType):
-        if isinstance(src, (StructType, ArrayType, MapType)):
-            return F.lit(None).cast(dst)
-        return col.try_cast(dst)
-    return col.try_cast(dst)
-
-
 def quote(name: str) -> str:
     """A SQL identifier in backticks."""
     return "`" + name.replace("`", "``") + "`"
@@ -106,10 +72,10 @@ def sql_type(dtype: DataType) -> str:
 
 
 def coerce_sql(expr: str, src: DataType, dst: DataType, depth: int = 0) -> str:
-    """SQL text of :func:`coerce` -- the same rules, parsed once by the JVM.
+    """SQL expression turning ``expr`` (of type ``src``) into type ``dst``.
 
-    Building the projection as text keeps plan construction to one call per
-    projection instead of one round trip per expression node.
+    Emitted as text so a whole projection is one ``selectExpr`` call, parsed
+    once by the JVM, instead of one round trip per expression node.
     """
     if src == dst:
         return expr

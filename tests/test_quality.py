@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fleetlake.operators import quality as Q
