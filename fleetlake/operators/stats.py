@@ -55,11 +55,31 @@ def file_stats(file_rows: DataFrame, files: DataFrame | None = None, *, k: int =
                machine: str = "machineId", ts: str = "evidenceCreationTime") -> DataFrame:
     """Per SHA-1, org prevalence, first / last seen and the top-k file names.
 
-    Global columns come from the file table when given (left join), else null.
+    One partial aggregate per (sha1, machine, name) feeds both outputs -- the
+    per-file figures (distinct machines as a count of (sha1, machine) groups)
+    and the name counts for the top-k. That reduced table is checkpointed
+    (reliably, to the session's checkpoint folder) so the evidence is read
+    and shuffled once; both outputs then read the checkpoint. Global columns
+    come from the file table when given (left join), else null.
     """
-    rows = file_rows.filter(F.col("sha1").isNotNull())
-    prev = _prevalence(rows, "sha1", machine, ts)
-    names = top_values(rows, "sha1", "fileName", k, out="topFileNames")
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(file_rows.sparkSession)
+    base = (file_rows.filter(F.col("sha1").isNotNull())
+                     .groupBy("sha1", machine, "fileName")
+                     .agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+                     .checkpoint(eager=True))
+    per_machine = base.groupBy("sha1", machine).agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+    prev = per_machine.groupBy("sha1").agg(
+        F.count(F.lit(1)).cast("int").alias("organizationPrevalence"),
+        F.min("_first").alias("orgFirstSeen"), F.max("_last").alias("orgLastSeen"),
+    ).withColumn("orgPrevalence", F.col("organizationPrevalence").cast("string"))
+    name_counts = base.filter(F.col("fileName").isNotNull()).groupBy("sha1", "fileName").agg(F.sum("_n").alias("_n"))
+    w = Window.partitionBy("sha1").orderBy(F.col("_n").desc(), F.col("fileName").asc())
+    ranked = name_counts.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= k)
+    names = ranked.groupBy("sha1").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_rk", "fileName"))), lambda x: x.getField("fileName"))
+        .alias("topFileNames"))
     out = prev.join(names, "sha1", "left")
     if files is not None:
         g = files.select("sha1", F.col("globalPrevalence").cast("int").alias("globallyPrevalence"),
