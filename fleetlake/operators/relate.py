@@ -113,15 +113,15 @@ def missing_kb_rollup(vuln_inventory: DataFrame) -> DataFrame:
     rows = vuln_inventory.filter(F.col("recommendedSecurityUpdateId").isNotNull()).select(
         F.col("recommendedSecurityUpdateId").alias("id"), "recommendedSecurityUpdate", "recommendedSecurityUpdateUrl",
         "deviceId", "cveId", "softwareName")
-    counts = rows.groupBy("id").agg(
-        F.max("recommendedSecurityUpdate").alias("name"),
-        F.max("recommendedSecurityUpdateUrl").alias("url"),
-        F.count_distinct("deviceId").alias("machineMissedOn"),
-        F.count_distinct("cveId").alias("cveAddressed"),
-    )
+    counts = rows.groupBy("id").agg(F.count_distinct("deviceId").alias("machineMissedOn"),
+                                    F.count_distinct("cveId").alias("cveAddressed"))
+    # name / url are per-update attributes: de-duplicate first, then pick one (no string buffers on the big side)
+    labels = (rows.select("id", "recommendedSecurityUpdate", "recommendedSecurityUpdateUrl").distinct()
+                  .groupBy("id").agg(F.max("recommendedSecurityUpdate").alias("name"),
+                                     F.max("recommendedSecurityUpdateUrl").alias("url")))
     names = (rows.select("id", "softwareName").dropna().distinct()
                  .groupBy("id").agg(F.array_sort(F.collect_list("softwareName")).alias("productsNames")))
-    return conform(counts.join(names, "id", "left"), "public_product_fix_dto")
+    return conform(counts.join(labels, "id", "left").join(names, "id", "left"), "public_product_fix_dto")
 
 
 def machine_missing_kbs(vuln_inventory: DataFrame, machine_ids=None) -> DataFrame:

@@ -57,18 +57,17 @@ def file_stats(file_rows: DataFrame, files: DataFrame | None = None, *, k: int =
 
     One partial aggregate per (sha1, machine, name) feeds both outputs -- the
     per-file figures (distinct machines as a count of (sha1, machine) groups)
-    and the name counts for the top-k. That reduced table is checkpointed
-    (reliably, to the session's checkpoint folder) so the evidence is read
-    and shuffled once; both outputs then read the checkpoint. Global columns
+    and the name counts for the top-k. That reduced table is written once as
+    parquet under the session's checkpoint folder, so the evidence is read
+    and shuffled once; both outputs then read the written table. Global columns
     come from the file table when given (left join), else null.
     """
-    from ..session import ensure_checkpoint_dir
+    from ..session import materialize
 
-    ensure_checkpoint_dir(file_rows.sparkSession)
-    base = (file_rows.filter(F.col("sha1").isNotNull())
-                     .groupBy("sha1", machine, "fileName")
-                     .agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_first"), F.max(ts).alias("_last"))
-                     .checkpoint(eager=True))
+    base = materialize(file_rows.filter(F.col("sha1").isNotNull())
+                                .groupBy("sha1", machine, "fileName")
+                                .agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_first"), F.max(ts).alias("_last")),
+                       "file-stats")
     per_machine = base.groupBy("sha1", machine).agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
     prev = per_machine.groupBy("sha1").agg(
         F.count(F.lit(1)).cast("int").alias("organizationPrevalence"),
@@ -104,12 +103,18 @@ def version_distribution(inventory: DataFrame) -> DataFrame:
 
 
 def software_rollup(inventory: DataFrame, vuln_inventory: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
-    """Per software: weaknesses, installed / exposed machines, distributions."""
-    sid = software_id(F.col("softwareVendor"), F.col("softwareName")).alias("id")
-    installed = inventory.groupBy(sid).agg(
-        F.first("softwareVendor").alias("vendor"), F.first("softwareName").alias("name"),
-        F.count_distinct("deviceId").alias("installedMachines"))
-    exposed = vuln_inventory.groupBy(sid).agg(
+    """Per software: weaknesses, installed / exposed machines, distributions.
+
+    Three hash aggregates joined on the software id: installed machines
+    (two-phase distinct count per vendor + name), exposure from the
+    vulnerability inventory, and the per-version distribution (G4). Strings
+    are grouping keys, never aggregation buffers.
+    """
+    installed = (inventory.groupBy(F.col("softwareVendor").alias("vendor"), F.col("softwareName").alias("name"))
+                          .agg(F.count_distinct("deviceId").alias("installedMachines"))
+                          .select(software_id(F.col("vendor"), F.col("name")).alias("id"), "vendor", "name",
+                                  "installedMachines"))
+    exposed = vuln_inventory.groupBy(software_id(F.col("softwareVendor"), F.col("softwareName")).alias("id")).agg(
         F.count_distinct("cveId").alias("weaknesses"), F.count_distinct("deviceId").alias("exposedMachines"))
     dist = (version_distribution(inventory)
             .groupBy(F.col("softwareId").alias("id"))

@@ -91,3 +91,15 @@ def ship_package(spark: SparkSession) -> None:
                                   root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
     sc.addPyFile(archive)
     _SHIPPED.add(key)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    read it back: the result is computed once, survives executor loss, and
+    cuts the lineage for every later branch that reads it."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"materialized/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
