@@ -41,12 +41,13 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
     return spark
 
 
+_LOCAL_CHECKPOINT_DIRS: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared lineage-cut folder the cluster names in ``spark.checkpoint.dir``."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return d or None
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return d or _LOCAL_CHECKPOINT_DIRS.get(id(spark.sparkContext._jsc))  # noqa: SLF001 - one entry per live context
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -54,12 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the deployment sets ``spark.checkpoint.dir`` to shared storage
     and it is used as-is. Only local runs and tests (where it is unset) get a
-    fresh folder under the system temp dir.
+    fresh folder under the system temp dir, registered for this context with
+    ``setCheckpointDir`` (the config itself cannot change at run time).
     """
     d = checkpoint_dir(spark)
     if d is None:
         d = tempfile.mkdtemp(prefix="fleetlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        _LOCAL_CHECKPOINT_DIRS[id(spark.sparkContext._jsc)] = d  # noqa: SLF001
     spark.sparkContext.setCheckpointDir(d)
     return d
 
