@@ -53,3 +53,17 @@ def test_window_counts(spark):
     _, delta = frames(spark)
     rows = {(r.windowStart.day, r.status): r.changes for r in CF.change_counts_batch(delta).collect()}
     assert rows[(2, "Updated")] == 3 and rows[(3, "Fixed")] == 1
+
+
+def test_streamed_window_counts_match_batch_for_closed_windows(spark, tmp):
+    _, delta = frames(spark)
+    delta.write.parquet(f"{tmp}/d")
+    stream = spark.readStream.schema(delta.schema).parquet(f"{tmp}/d")
+    q = (CF.change_counts(stream, window="1 day", delay="1 hour").writeStream.outputMode("append")
+         .format("memory").queryName("x4_counts").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {(r.windowStart, r.status): r.changes for r in spark.table("x4_counts").collect()}
+    batch = {(r.windowStart, r.status): r.changes for r in CF.change_counts_batch(delta, window="1 day").collect()}
+    closed_before = max(r.eventTimestamp for r in delta.collect()) - dt.timedelta(hours=1)
+    expected = {k: v for k, v in batch.items() if k[0] + dt.timedelta(days=1) <= closed_before}
+    assert got == expected and len(expected) > 0
