@@ -492,7 +492,8 @@ def hunting_query(spark: SparkSession, d: str) -> DataFrame:
 
 
 def av_health_flatten(spark: SparkSession, d: str) -> DataFrame:
-    """A1-A4: antivirus-health export lines flattened to the device_av_info contract."""
+    """A1 (with its export-name map, A4): antivirus-health export lines flattened to
+    the device_av_info contract."""
     from .operators.flatten import flatten_av_health
 
     out = flatten_av_health(star.av_export_lines(spark, d))
@@ -617,8 +618,8 @@ def _landing(spark: SparkSession, name: str) -> str:
 
 
 def export_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """S1-S3 + C1 + D1: machine records landed as gzip NDJSON blobs, scanned back
-    with the machines reader (text numbers / ISO times coerced, unknown field dropped)."""
+    """S1 + S2 + C1 + D1: machine records landed as many gzip NDJSON blobs, scanned
+    back with the machines reader (text numbers / ISO times coerced, unknown field dropped)."""
     from .sources.readers import read_export
 
     path = _landing(spark, "machines")
