@@ -71,13 +71,25 @@ def sql_type(dtype: DataType) -> str:
     return dtype.simpleString()
 
 
+def same_shape(a: DataType, b: DataType) -> bool:
+    """Equal types, ignoring nullability (no conversion needed between them)."""
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        return len(a.fields) == len(b.fields) and all(
+            x.name == y.name and same_shape(x.dataType, y.dataType) for x, y in zip(a.fields, b.fields))
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        return same_shape(a.elementType, b.elementType)
+    if isinstance(a, MapType) and isinstance(b, MapType):
+        return same_shape(a.keyType, b.keyType) and same_shape(a.valueType, b.valueType)
+    return a == b
+
+
 def coerce_sql(expr: str, src: DataType, dst: DataType, depth: int = 0) -> str:
     """SQL expression turning ``expr`` (of type ``src``) into type ``dst``.
 
     Emitted as text so a whole projection is one ``selectExpr`` call, parsed
     once by the JVM, instead of one round trip per expression node.
     """
-    if src == dst:
+    if same_shape(src, dst):
         return expr
     null = f"CAST(NULL AS {sql_type(dst)})"
     if isinstance(dst, StructType):
