@@ -203,10 +203,16 @@ def tag_machines(machines: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def set_machine_fields(machines: DataFrame, changes: DataFrame, fields: tuple[str, ...],
-                       domains: dict[str, str] | None = None) -> DataFrame:
-    """Set fields (e.g. deviceValue; isExcluded + exclusionReason) by machine id."""
+                       domains: dict[str, str] | None = None, *, seq: str | None = None) -> DataFrame:
+    """Set fields (e.g. deviceValue; isExcluded + exclusionReason) by machine id.
+
+    Several changes for one machine: the last by ``seq`` wins when given,
+    otherwise the non-null values are merged field-wise (deterministically).
+    Null fields in a change keep the machine's value.
+    """
     changes = _check_domains(changes, domains or {})
-    p = changes.select(F.col("id"), *[F.col(f).alias(f"_p_{f}") for f in fields]).dropDuplicates(["id"])
+    cols = ["id", *fields, *([seq] if seq else [])]
+    p = _last_patch(changes.select(*cols), "id", seq).select("id", *[F.col(f).alias(f"_p_{f}") for f in fields])
     j = machines.join(p, "id", "left")
     return j.select(*[F.coalesce(F.col(f"_p_{c}"), F.col(c)).alias(c) if c in fields else F.col(c)
                       for c in machines.columns])

@@ -57,6 +57,9 @@ def test_tags_and_fields(spark):
     ch2 = spark.createDataFrame([("m1", "High")], "id string, deviceValue string")
     out2 = {r.id: r.deviceValue for r in U.set_machine_fields(m, ch2, ("deviceValue",), {"deviceValue": "DEVICE_VALUE"}).collect()}
     assert out2["m1"] == "High" and out2["m2"] is None
+    ch3 = spark.createDataFrame([("m1", "Low", 2), ("m1", "High", 1)], "id string, deviceValue string, n int")
+    out3 = {r.id: r.deviceValue for r in U.set_machine_fields(m, ch3, ("deviceValue",), seq="n").collect()}
+    assert out3["m1"] == "Low"
 
 
 def test_device_groups(spark):
