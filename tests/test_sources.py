@@ -93,3 +93,14 @@ def test_readers(spark, tmp):
     av = _write(f"{tmp}/av.json", json.dumps({"DeviceId": "d1", "OsPlatform": "Linux"}) + "\n")
     out = read_export(spark, "av_health", [av]).collect()[0]
     assert out.machineId == "d1" and out.osKind == "linux" and out.quickScanResult == "-"
+
+
+def test_blank_only_blob_is_skipped_not_fatal(spark, tmp):
+    schema = StructType.fromDDL(SCHEMA)
+    a = _write(f"{tmp}/a.json", '{"id":"1"}\n')
+    blank = _write(f"{tmp}/blank.json", "\n  \n\n")
+    gz_blank = _write(f"{tmp}/blank2.json.gz", "\n\n", gz=True)
+    df = scan_export(spark, [a, blank, gz_blank], schema)
+    assert _ids(df) == ["1"]
+    skipped = sorted(r._source.rsplit("/", 1)[-1] for r in skipped_files(spark, [a, blank, gz_blank], df).collect())
+    assert skipped == ["blank.json", "blank2.json.gz"]
