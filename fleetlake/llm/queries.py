@@ -26,6 +26,14 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5 on ``documents``: what is removed, and the digest of the bytes that remain."""
+    from fleetlake.llm.suffixes import remove_repeats
+
+    out = remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 6 on ``documents``: bytes and tokens of every whole text."""
     from fleetlake.llm.tokens import count_tokens
@@ -33,5 +41,5 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_best_fit_packing, op6_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op4_best_fit_packing, op5_suffix_array, op6_token_counts)}
 SQL: dict[str, str] = {}
