@@ -41,5 +41,21 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_best_fit_packing, op5_suffix_array, op6_token_counts)}
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9 on ``documents``: base measures, repetition coverage and the verdict."""
+    from fleetlake.llm.repetition import quality_rules
+
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10: fitted on rated rows of ``labels``, applied to all ``documents``."""
+    from fleetlake.llm.ordinal import classify, grades_from_labels, train
+
+    docs = _table(spark, sf_dir, "documents")
+    return classify(docs, train(docs, grades_from_labels(_table(spark, sf_dir, "labels"))))
+
+
+QUERIES = {f.__name__: f for f in (op3_simhash, op4_best_fit_packing, op5_suffix_array, op6_token_counts, op9_quality_rules,
+                                   op10_quality_classifier)}
 SQL: dict[str, str] = {}
