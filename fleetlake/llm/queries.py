@@ -11,6 +11,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1 on ``embeddings``: links within a label, component and whether the row stays."""
+    from fleetlake.llm.lattice import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 3 on ``documents``: fingerprint, component and whether the row stays."""
     from fleetlake.llm.simhash import near_duplicates
@@ -41,6 +48,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7 on ``pages``: the main text of every page."""
+    from fleetlake.llm.html_text import extract_main_text
+
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9 on ``documents``: base measures, repetition coverage and the verdict."""
     from fleetlake.llm.repetition import quality_rules
@@ -56,6 +70,6 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, train(docs, grades_from_labels(_table(spark, sf_dir, "labels"))))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_best_fit_packing, op5_suffix_array, op6_token_counts, op9_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_lattice, op3_simhash, op4_best_fit_packing, op5_suffix_array, op6_token_counts, op7_html_main_text, op9_quality_rules,
                                    op10_quality_classifier)}
 SQL: dict[str, str] = {}
