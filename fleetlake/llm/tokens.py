@@ -34,9 +34,9 @@ VOCABULARY = "byte_bpe_50k.json"
 _MEET = re.compile(r"\s\s")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 #: Pieces in each of the two generations of a worker's memo.
-MEMO = 300_000
+MEMO = 500_000
 #: Pieces that are put together into one string for the library.
-TOGETHER = 512
+TOGETHER = 128
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -48,14 +48,15 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 class SegmentEncoder:
     """Encodes texts piece by piece. ``value`` turns the ids of a piece into what the memo
-    keeps, ``join`` puts the values of a text's pieces together.
+    keeps, ``values`` the ids of many pieces that end at given places; ``join`` puts the
+    values of a text's pieces together.
 
     A piece is kept under its text without the leading space; one that begins a line
     keeps its line feed; one that begins the text is encoded as if a line feed stood
     before it, and the line feed's token is taken away again (``unfeed``).
     """
 
-    def __init__(self, path: str, value: Callable, join: Callable, unfeed: Callable):
+    def __init__(self, path: str, value: Callable, values: Callable, join: Callable, unfeed: Callable):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.pieces, self.split = None, False
         if path.endswith(".model"):
@@ -69,7 +70,7 @@ class SegmentEncoder:
             self.tokenizer.no_truncation()
             self.tokenizer.no_padding()
             self.split = self._byte_level()
-        self.value, self.join, self.unfeed = value, join, unfeed
+        self.value, self.values, self.join, self.unfeed = value, values, join, unfeed
         self.memo: dict = {}
         self.old: dict = {}
 
@@ -108,9 +109,7 @@ class SegmentEncoder:
             ends, has = np.cumsum([len(whole[i].encode()) for i in group]), np.cumsum(self.bytes_of[ids])
             at = np.searchsorted(has, ends)
             if np.array_equal(has[np.minimum(at, len(has) - 1)], ends):
-                cuts = [0, *(at + 1).tolist()]
-                for i, a, b in zip(group, cuts, cuts[1:], strict=False):
-                    out[keys[i]] = self.value(ids[a:b])
+                out.update(zip((keys[i] for i in group), self.values(ids, at + 1), strict=True))
             else:  # a token across two pieces would end here; by the boundaries' rule there is none
                 out.update(zip((keys[i] for i in group), map(self.value, self._ids([whole[i] for i in group])), strict=True))
         return out
@@ -155,6 +154,15 @@ def ids_value(ids: list[int]) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
+def ids_values(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    raw, ends = ids.astype("<u4").tobytes(), (4 * ends).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def count_values(ids: np.ndarray, ends: np.ndarray) -> list[int]:
+    return np.diff(ends, prepend=0).tolist()
+
+
 _ENCODERS: dict[tuple, SegmentEncoder] = {}
 
 
@@ -163,8 +171,8 @@ def encoder(vocabulary: str, kind: str) -> SegmentEncoder:
     key = (vocabulary, kind)
     if key not in _ENCODERS:
         path = vocabulary if "/" in vocabulary else vocabulary_path(vocabulary)
-        _ENCODERS[key] = (SegmentEncoder(path, len, sum, lambda n: n - 1) if kind == "count"
-                           else SegmentEncoder(path, ids_value, b"".join, lambda ids: ids[4:]))
+        _ENCODERS[key] = (SegmentEncoder(path, len, count_values, sum, lambda n: n - 1) if kind == "count"
+                           else SegmentEncoder(path, ids_value, ids_values, b"".join, lambda ids: ids[4:]))
     return _ENCODERS[key]
 
 
