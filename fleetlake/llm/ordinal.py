@@ -196,18 +196,31 @@ def _score(batches: Iterator[pa.RecordBatch], model: OrdinalModel, text: str) ->
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])], schema=pa.schema([*batch.schema, *new]))
 
 
+def _scored(docs: DataFrame, model: OrdinalModel, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """Columns ``_k0, _k1, ...`` (those of ``keep``), ``expected_grade`` and ``p_top``."""
+    prepare(docs.sparkSession)
+    rows = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)],
+                       *([] if text_col in keep else [F.col(text_col).cast("string").alias("_text")]))
+    text = f"_k{keep.index(text_col)}" if text_col in keep else "_text"
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(partial(_score, model=model, text=text), f"{fields}, expected_grade double, p_top double")
+
+
 def classify(docs: DataFrame, model: OrdinalModel, *, least: float = 0.5, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns of ``docs`` named in ``keep``, with ``expected_grade``, ``p_top`` (probability of
     the top grade) and ``kept`` (``p_top >= least``) for every row. A null or empty text has
-    no features, so the thresholds alone decide. Columns are matched by position, so
+    no words, so little but the thresholds decides. Columns are matched by position, so
     names cannot clash; an empty table gives an empty table."""
-    prepare(docs.sparkSession)
-    rows = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text_col).cast("string").alias("_text"))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    out = rows.mapInArrow(partial(_score, model=model, text="_text"), f"{fields}, expected_grade double, p_top double")
+    out = _scored(docs, model, text_col, keep)
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "expected_grade", "p_top", (F.col("p_top") >= least).alias("kept"))
 
 
+def select_documents(docs: DataFrame, model: OrdinalModel, *, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns) that ``classify`` keeps."""
+    out = _scored(docs, model, text_col, tuple(docs.columns)).where(F.col("p_top") >= least)
+    return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def grades_from_labels(labels: DataFrame) -> DataFrame:
     """Grades of ``labels(doc_id, quality, toxic)``: 0 toxic, 1 low quality, 2 clean. Rows where
     either mark is null have no grade. (Toxic texts get the open end of the scale: their

@@ -18,6 +18,13 @@ def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2 on ``documents``: the licences that passages of each text match."""
+    from fleetlake.llm.licenses import scan_licenses
+
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 3 on ``documents``: fingerprint, component and whether the row stays."""
     from fleetlake.llm.simhash import near_duplicates
@@ -55,6 +62,15 @@ def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages"))
 
 
+def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8 on ``documents``: domains are the languages of the documents that ``labels`` covers;
+    a row for each distinct (id, text) with its posteriors and rate."""
+    from fleetlake.llm.mixing import labelled_domains, mix
+
+    docs = _table(spark, sf_dir, "documents")
+    return mix(docs, labelled_domains(docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9 on ``documents``: base measures, repetition coverage and the verdict."""
     from fleetlake.llm.repetition import quality_rules
@@ -70,6 +86,6 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, train(docs, grades_from_labels(_table(spark, sf_dir, "labels"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_lattice, op3_simhash, op4_best_fit_packing, op5_suffix_array, op6_token_counts, op7_html_main_text, op9_quality_rules,
-                                   op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_lattice, op2_license_scan, op3_simhash, op4_best_fit_packing, op5_suffix_array, op6_token_counts, op7_html_main_text, op8_soft_mixing,
+                                   op9_quality_rules, op10_quality_classifier)}
 SQL: dict[str, str] = {}

@@ -28,7 +28,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlake.llm.blocks import BLOCK, block_pairs, runs
@@ -65,10 +65,10 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[p
 
 
 def fingerprints(docs: DataFrame, *, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp long)`` for every row; a null text has no words."""
+    """``(id, fp)`` for every row; a null text has no words."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(partial(_fingerprints, shingle=shingle), f"id {docs.schema[id_col].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(partial(_fingerprints, shingle=shingle), f"id {docs.schema[id_col].dataType.simpleString()}, fp long").withColumnRenamed("id", id_col)
 
 
 def references(block_bits: int = BLOCK_BITS) -> np.ndarray:
@@ -183,9 +183,24 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, most_bits: int =
     its component's smallest id (null if there is none) and is kept, as nothing names it
     as a copy. Other columns are not read. An empty table gives an empty table.
     """
-    prints = written(fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col), "fingerprints")
+    prints = fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col).withColumnRenamed(id_col, "id")
+    prints = written(prints, "fingerprints")
     of = components(prints, most_bits=most_bits, block_bits=block_bits, groups=groups, block=block)
     out = prints.join(of.withColumnRenamed("fp", "fp_"), F.col("fp") == F.col("fp_"))
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       F.col("component").alias("component_id"),
                       F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` (all columns) without near-duplicates: of each group the document with
+    the smallest id stays (of several texts under that id one, of repeated rows one). Rows
+    with a null id all stay."""
+    h = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    named = docs.where(docs[id_col].isNotNull()).select(F.struct(docs[id_col].alias("i"), h.alias("h")).alias("key"), docs[text_col].alias("text"))
+    prints = written(fingerprints(named, id_col="key", text_col="text").select(F.col("key").alias("id"), "fp"), "fingerprints")
+    stay = components(prints, **options).select("component.i", "component.h").distinct()
+    stay = stay.select(F.col("i").alias("_i"), F.col("h").alias("_h"), F.lit(True).alias("_stays"))
+    joined = docs.join(stay, (docs[id_col] == F.col("_i")) & (h == F.col("_h")), "left").where(docs[id_col].isNull() | F.col("_stays"))
+    first = F.row_number().over(Window.partitionBy("_i", "_h").orderBy("_i"))
+    return joined.withColumn("_nth", F.when(F.col("_stays"), first).otherwise(1)).where("_nth = 1").select(*[docs[c] for c in docs.columns])

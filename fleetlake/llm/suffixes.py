@@ -316,10 +316,11 @@ def _counted_repeats(contexts: DataFrame, span: int) -> DataFrame:
     return both.groupBy("key", "context").agg(F.min("o").cast("int").alias("low"), F.max("o").cast("int").alias("high"))
 
 
-_KEPT = pa.schema([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
+_COUNTS = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())]
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], as_text: bool) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([*_COUNTS, ("text", pa.string()) if as_text else ("kept", pa.binary())])
     for batch in slices(batches, "_text"):
         n = batch.num_columns
         sizes, removed, count, kept = [], [], [], []
@@ -329,18 +330,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts.append(text[at : s["a"]])
                 at = s["b"]
             parts.append(text[at:])
-            kept.append(b"".join(parts))
+            rest = b"".join(parts)
+            kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
             sizes.append(len(text))
-            removed.append(len(text) - len(kept[-1]))
+            removed.append(len(text) - len(rest))
             count.append(len(spans or ()))
-        new = [pa.array(c, f.type) for c, f in zip((sizes, removed, count, kept), _KEPT, strict=True)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], *new], schema=pa.schema([*list(batch.schema)[: n - 2], *_KEPT]))
+        new = [pa.array(c, f.type) for c, f in zip((sizes, removed, count, kept), schema, strict=True)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], *new], schema=pa.schema([*list(batch.schema)[: n - 2], *schema]))
 
 
 def remove_repeats(docs: DataFrame, *, span: int = SPAN, most_sorted: int = MOST_SORTED, id_col: str = "doc_id",
-                   text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+                   text_col: str = "text", keep: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """For every row of ``docs``: the id, the columns named in ``keep``, ``n_bytes``, ``n_removed``,
-    ``n_spans`` (maximal removed runs) and ``kept`` (the remaining bytes, put together).
+    ``n_spans`` (maximal removed runs) and ``kept`` (the remaining bytes, put together), or with
+    ``as_text`` the column ``text`` (the same, without bytes of characters cut in two).
 
     Strings are judged on the input, so every copy of a passage goes. A null text is
     empty, and texts shorter than ``span`` bytes lose nothing. Rows that repeat an id are
@@ -356,6 +359,7 @@ def remove_repeats(docs: DataFrame, *, span: int = SPAN, most_sorted: int = MOST
                        F.col("id").eqNullSafe(F.col("id_")) & (F.col("h") == F.col("h_")), "left")
     first = joined.select("id", *[f"_k{i}" for i in range(len(keep))], F.col("text").alias("_text"), "spans")
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in first.schema[:-2])
-    out = first.mapInArrow(_cut, f"{fields}, n_bytes long, n_removed long, n_spans long, kept binary")
+    last = "text" if as_text else "kept"
+    out = first.mapInArrow(partial(_cut, as_text=as_text), f"{fields}, n_bytes long, n_removed long, n_spans long, {last} {'string' if as_text else 'binary'}")
     return out.select(F.col("id").alias(id_col), *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)],
-                      "n_bytes", "n_removed", "n_spans", "kept")
+                      "n_bytes", "n_removed", "n_spans", last)
