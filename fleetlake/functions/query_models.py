@@ -98,7 +98,7 @@ def _field_predicate(name: str, value, dtype) -> Column:
     bool_ok = isinstance(dtype, BooleanType)
     if isinstance(value, bool):
         if not bool_ok:
-            raise TypeError(f"Unsupported filter value type for field: {name}, value: {value}")
+            raise TypeError(f"{name} cannot be filtered by {value!r}")
         return P.eq(name, value)
     if isinstance(value, str) or (isinstance(value, int) and numeric_ok):
         return P.array_has(name, value) if is_array else P.eq(name, value)
@@ -107,7 +107,7 @@ def _field_predicate(name: str, value, dtype) -> Column:
     if isinstance(value, list):
         if all(isinstance(v, str) for v in value) or (numeric_ok and all(isinstance(v, int) and not isinstance(v, bool) for v in value)):
             return P.array_has_any(name, value) if is_array else P.is_in(name, value)
-    raise TypeError(f"Unsupported filter value type for field: {name}, value: {value}")
+    raise TypeError(f"{name} cannot be filtered by {value!r}")
 
 
 def _model(name: str, fields: dict[str, str | None], **attrs) -> type[EntityQuery]:

@@ -23,7 +23,7 @@ def redact_url(col: Column | str) -> Column:
     location is never shown by accident.
     """
     c = F.col(col) if isinstance(col, str) else col
-    stripped = F.regexp_replace(c, r"[?#].*$", "")
+    stripped = F.regexp_replace(c, r"(?s)[?#].*", "")
     authority = F.regexp_extract(c, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)
     unbalanced = authority.contains("[") != authority.contains("]")
     return F.when(c.isNull() | unbalanced, F.lit(REDACTED_URL)).otherwise(stripped)
@@ -64,7 +64,7 @@ def since_bound(value: datetime | int | str | None, *, now: datetime | None = No
     if value is None:
         return None
     if isinstance(value, bool):
-        raise TypeError(f"Unsupported type for 'sinceTime': {type(value)}")
+        raise TypeError(f"a time bound cannot be a {type(value).__name__}; give days back, a datetime or text")
     if isinstance(value, int):
         base = as_utc(now) if now is not None else datetime.now(tz=timezone.utc)
         return base - timedelta(days=value)
@@ -72,7 +72,7 @@ def since_bound(value: datetime | int | str | None, *, now: datetime | None = No
         return as_utc(value)
     if isinstance(value, str):
         return value
-    raise TypeError(f"Unsupported type for 'sinceTime': {type(value)}")
+    raise TypeError(f"a time bound cannot be a {type(value).__name__}; give days back, a datetime or text")
 
 
 def since_date(value: datetime | int | str | None, *, fmt: str = "%Y-%m-%d",
@@ -80,7 +80,7 @@ def since_date(value: datetime | int | str | None, *, fmt: str = "%Y-%m-%d",
     """F8: the bound as a date string; a string input must match ``regex`` if given."""
     if isinstance(value, str):
         if regex is not None and not re.match(regex, value):
-            raise ValueError(f"String value for 'sinceTime' must match regex: {regex}")
+            raise ValueError(f"time bound {value!r} is not of the form {regex}")
         return value
     b = since_bound(value, now=now)
     if b is None:

@@ -10,13 +10,14 @@ inferred by a Spark job over the files.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, AtomicType, DataType, StructField, StructType
 
-from ..plans.contracts import contract, required_columns
+from ..plans.contracts import contract, declared
 from ..plans.domains import DOMAINS
 
 
@@ -97,30 +98,48 @@ def coercion_loss_report(wire_df: DataFrame, schema: StructType) -> DataFrame:
 
 # ------------------------------------------------------------------ C4 ----
 
-def _field_is_null(field: str):
-    def test(x: Column) -> Column:
-        return x.getField(field).isNull()
-    return test
+def _in_any(test: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    def any_element(v: Column) -> Column:
+        return F.coalesce(F.exists(v, lambda x: test(x)), F.lit(False))
+    return any_element
 
 
-def nullability_report(df: DataFrame, contract_name: str) -> DataFrame:
-    """C4: per NOT NULL column (and NOT NULL field inside arrays / structs), rows violating it."""
-    from ..plans.contracts import required_nested
+def _at_field(name: str, test: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda v: test(v.getField(name))
+
+
+def _missing(name: str) -> Callable[[Column], Column]:
+    return lambda v: v.isNotNull() & v.getField(name).isNull()
 
+
+def _null_rules(dtype: DataType, have: DataType, path: str) -> list[tuple[str, Callable[[Column], Column]]]:
+    """(path, violated-when) for every NOT NULL field below a value of the declared type
+    ``dtype``, on all levels; fields that the data (``have``) lacks are left to the drift report."""
+    out: list[tuple[str, Callable[[Column], Column]]] = []
+    if isinstance(dtype, StructType) and isinstance(have, StructType):
+        for f in dtype.fields:
+            if f.name not in have.names:
+                continue
+            here = f"{path}.{f.name}"
+            if not f.nullable:
+                out.append((here, _missing(f.name)))
+            out += [(p, _at_field(f.name, test)) for p, test in _null_rules(f.dataType, have[f.name].dataType, here)]
+    elif isinstance(dtype, ArrayType) and isinstance(have, ArrayType):
+        out += [(p, _in_any(test)) for p, test in _null_rules(dtype.elementType, have.elementType, f"{path}[]")]
+    return out
+
+
+def nullability_report(df: DataFrame, contract_name: str) -> DataFrame:
+    """C4: per NOT NULL column (and NOT NULL field inside arrays / structs, on all levels), rows violating it."""
     rules: dict[str, Column] = {}
-    for c in required_columns(contract_name):
-        if c in df.columns:
-            rules[c] = F.col(f"`{c}`").isNull()
-    schema = contract(contract_name)
-    for col_name, fields in required_nested(contract_name).items():
-        if col_name not in df.columns:
+    for f in declared(contract_name).fields:
+        if f.name not in df.columns:
             continue
-        dtype = schema[col_name].dataType
-        for field in fields:
-            if isinstance(dtype, ArrayType):
-                rules[f"{col_name}[].{field}"] = F.coalesce(F.exists(F.col(col_name), _field_is_null(field)), F.lit(False))
-            else:
-                rules[f"{col_name}.{field}"] = F.col(col_name).isNotNull() & F.col(col_name).getField(field).isNull()
+        c = F.col(f"`{f.name}`")
+        if not f.nullable:
+            rules[f.name] = c.isNull()
+        for path, test in _null_rules(f.dataType, df.schema[f.name].dataType, f.name):
+            rules[path] = F.coalesce(test(c), F.lit(False))
     return _unpivot_counts(df, rules, "column")
 
 

@@ -34,6 +34,21 @@ def json_column(df: DataFrame, *, pretty: bool = False) -> Column:
     return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), opts)
 
 
+def to_json(df: DataFrame, limit: int, *, indent: int | None = None) -> str:
+    """K2: the whole (bounded) result as one JSON array, compact or indented; times as ISO text."""
+    import json
+
+    rows = [json.loads(r[0]) for r in df.limit(limit).select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})).toLocalIterator()]
+    return json.dumps(rows, indent=indent, ensure_ascii=False, separators=None if indent else (",", ":"))
+
+
+def to_polars(df: DataFrame, limit: int):
+    """K4: a Polars frame of the (bounded) result; needs the package ``polars``."""
+    import polars
+
+    return polars.from_arrow(to_arrow(df, limit))
+
+
 def write_json(df: DataFrame, path: str, *, mode: str = "overwrite", max_records_per_file: int | None = None) -> None:
     """K2 at scale: NDJSON files, optionally capped per file (L4)."""
     w = df.write.mode(mode)
@@ -42,9 +57,9 @@ def write_json(df: DataFrame, path: str, *, mode: str = "overwrite", max_records
     w.json(path)
 
 
-def to_arrow(df: DataFrame, limit: int | None = None):
-    """K3 / K4: a pyarrow Table (hand it to Polars with ``polars.from_arrow``)."""
-    return (df.limit(limit) if limit is not None else df).toArrow()
+def to_arrow(df: DataFrame, limit: int):
+    """K3: a pyarrow Table of at most ``limit`` rows (at scale, write files instead)."""
+    return df.limit(limit).toArrow()
 
 
 def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
@@ -82,8 +97,14 @@ class LazyResult:
     def to_dicts(self, limit: int) -> list[dict]:
         return to_dicts(self.frame(), limit)
 
-    def to_arrow(self, limit: int | None = None):
+    def to_json(self, limit: int, *, indent: int | None = None) -> str:
+        return to_json(self.frame(), limit, indent=indent)
+
+    def to_arrow(self, limit: int):
         return to_arrow(self.frame(), limit)
 
+    def to_polars(self, limit: int):
+        return to_polars(self.frame(), limit)
+
     def count(self) -> int:
         return self.frame().count()

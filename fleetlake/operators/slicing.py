@@ -8,7 +8,7 @@ partition) -- no full sort and no single-partition shuffle of the input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.query_models import TOP_MAX
@@ -41,6 +41,9 @@ def take_slice(df: DataFrame, order_by, *, top: int | None = None, skip: int | N
         raise ValueError(f"top={top} outside [1, {TOP_MAX}]")
     if skip is not None and skip < 0:
         raise ValueError(f"skip={skip} must be >= 0")
+    names = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
+    if skip and top is None and all(isinstance(k, str) for k in names):
+        return _after(df, names, skip)
     out = df.orderBy(*_keys(order_by))
     if top is not None and skip:
         # limit(skip+top) keeps the plan a bounded top-n before the offset.
@@ -52,6 +55,21 @@ def take_slice(df: DataFrame, order_by, *, top: int | None = None, skip: int | N
     return out
 
 
+def _after(df: DataFrame, names: list[str], n: int) -> DataFrame:
+    """Rows after the first ``n`` by ascending columns: the n-th row is found as a bounded top-n,
+    and the rest is a filter past it (a plain offset would send the whole sorted table
+    through one task). Rows that tie with it are numbered among themselves."""
+    key = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names)])
+    edge = df.select(key.alias("k")).orderBy("k").limit(n).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    edge = edge.agg(F.max(F.struct("k", "n")).alias("e")).select("e")
+    marked = df.withColumn("_k", key).withColumn("_e", edge.scalar())
+    past = marked.where(F.col("_k") > F.col("_e.k"))
+    ties = marked.where(F.col("_k") == F.col("_e.k"))
+    nth = F.row_number().over(Window.partitionBy("_k").orderBy("_k"))
+    ties = ties.withColumn("_nth", nth).where(F.col("_nth") > F.col("_e.n")).drop("_nth")
+    return past.unionByName(ties).orderBy(*_keys(names)).drop("_k", "_e")
+
+
 def assign_batches(df: DataFrame, size: int = BATCH_SIZE, *, column: str = "batchId") -> DataFrame:
     """Tag rows with a batch id; every batch holds at most ``size`` rows.
 

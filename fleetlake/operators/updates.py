@@ -14,22 +14,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.joins import rows_at_most
 from . import quality as Q
 from .changes import latest_per_key
 from .conform import conform
 
 ALERT_PATCH_FIELDS = ("status", "assignedTo", "classification", "determination")
-MAX_DEVICE_GROUPS = 10_000  # bound checked before device-group rules are compiled
 
 
-def _last_patch(changes: DataFrame, key: str, seq: str | None) -> DataFrame:
-    """One patch per key: the last by ``seq`` when given; several patches
-    without an order are merged field-wise (any non-null value)."""
-    if seq:
-        return latest_per_key(changes, key, [seq])
-    fields = [c for c in changes.columns if c != key]
-    return changes.groupBy(key).agg(*[F.max(c).alias(c) for c in fields])
+def _merged_patches(changes: DataFrame, key: str, fields: list[str], seq: str | None, comment: Column | None = None) -> DataFrame:
+    """One patch per key. A null field of a patch changes nothing, so each field takes its
+    latest non-null value by ``seq``; comments are all kept, in order. Several patches
+    for one key without ``seq`` have no defined result and fail the job."""
+    order = F.col(seq) if seq else F.lit(0)
+    # the value breaks ties of the order, so that the result is determined
+    latest = [F.max(F.when(F.col(c).isNotNull(), F.struct(order.alias("o"), F.col(c).alias("v")))).getField("v").alias(c) for c in fields]
+    said = [] if comment is None else [F.sort_array(F.collect_list(F.when(F.col("comment").isNotNull(), F.struct(order.alias("o"), comment.alias("c"))))).alias("_said")]
+    out = changes.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *latest, *said)
+    if not seq:
+        several = F.raise_error(F.concat(F.lit(f"several patches for one {key} need an order column: "), F.col(key).cast("string")))
+        out = out.withColumn(key, F.when(F.col("_n") > 1, several.cast(changes.schema[key].dataType)).otherwise(F.col(key)))
+    return out.drop("_n")
 
 
 def patch_alerts(alerts: DataFrame, changes: DataFrame, *, seq: str | None = None,
@@ -37,29 +41,33 @@ def patch_alerts(alerts: DataFrame, changes: DataFrame, *, seq: str | None = Non
     """Set the non-null fields of each patch on its alerts.
 
     ``changes`` rows carry ``alertIds`` (array) or ``alertId`` plus any of
-    status / assignedTo / classification / determination / comment. A
-    ``comment`` is appended to the alert's ``comments``. Domains are checked
-    inline (C6): a value outside its domain fails the job.
+    status / assignedTo / classification / determination / comment. Several
+    patches of one alert apply in the order of ``seq`` (required then): each field
+    ends with its last non-null value, and every ``comment`` is appended to the
+    alert's ``comments``. Domains are checked inline (C6): a value outside its
+    domain fails the job.
     """
     ids = F.explode("alertIds") if "alertIds" in changes.columns else F.col("alertId")
     cols = [c for c in (*ALERT_PATCH_FIELDS, "comment", comment_author, comment_time, seq) if c and c in changes.columns]
     flat = _check_domains(changes.select(ids.alias("id"), *cols),
                           {"status": "ALERT_STATUS", "classification": "ALERT_CLASSIFICATION",
                            "determination": "ALERT_DETERMINATION"})
-    p = _last_patch(flat, "id", seq).select("id", *[F.col(c).alias(f"_p_{c}") for c in cols])
-    j = alerts.join(p, "id", "left")
+    fields = [c for c in ALERT_PATCH_FIELDS if c in cols]
+    comment = None
+    if "comment" in cols:
+        comment = F.struct(F.col("comment").alias("comment"),
+                           (F.col(comment_author) if comment_author in cols else F.lit(None)).cast("string").alias("createdBy"),
+                           (F.col(comment_time).cast("timestamp") if comment_time in cols else F.current_timestamp()).alias("createdTime"))
+    p = _merged_patches(flat, "id", fields, seq, comment)
+    j = alerts.join(p.select(F.col("id"), *[F.col(c).alias(f"_p_{c}") for c in fields], *(["_said"] if comment is not None else [])), "id", "left")
     out = []
     for c in alerts.columns:
-        if c in ALERT_PATCH_FIELDS and c in cols:
+        if c in fields:
             out.append(F.coalesce(F.col(f"_p_{c}"), F.col(c)).alias(c))
-        elif c == "comments" and "comment" in cols:
-            new = F.struct(F.col("_p_comment").alias("comment"),
-                           (F.col(f"_p_{comment_author}") if comment_author in cols else F.lit(None).cast("string")).alias("createdBy"),
-                           (F.col(f"_p_{comment_time}").cast("timestamp") if comment_time in cols
-                            else F.current_timestamp()).alias("createdTime"))
-            appended = F.concat(F.coalesce(F.col("comments"), F.array().cast(alerts.schema["comments"].dataType)),
-                                F.array(new))
-            out.append(F.when(F.col("_p_comment").isNotNull(), appended).otherwise(F.col("comments")).alias(c))
+        elif c == "comments" and comment is not None:
+            kind = alerts.schema["comments"].dataType
+            appended = F.concat(F.coalesce(F.col("comments"), F.array().cast(kind)), F.transform("_said", lambda x: x.getField("c")).cast(kind))
+            out.append(F.when(F.size("_said") > 0, appended).otherwise(F.col("comments")).alias(c))
         else:
             out.append(F.col(c))
     return j.select(*out)
@@ -80,38 +88,56 @@ def _check_domains(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df
 
 
+def _required(df: DataFrame, column: str) -> tuple[str, Column]:
+    """The rule that ``column`` is given; a frame without it violates the rule in every row."""
+    return Q.required(column) if column in df.columns else (f"{column} is required", F.lit(True))
+
+
+ALERT_REQUIRED = ("machineId", "severity", "title", "description", "recommendedAction", "category", "eventTime", "reportId")
+
+
 def create_alerts(alerts: DataFrame, requests: DataFrame, machines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Create alerts from event references.
 
-    Rules (C9): machineId, severity, title, description, recommendedAction,
-    eventTime and reportId are required; severity must be an alert severity;
-    a category containing ``Unknown`` is rejected. Valid requests get the
+    Rules (C9): all fields are required (a column that is absent rejects every
+    row); severity must be an alert severity, category an alert category that
+    does not contain ``Unknown``; the machine must be known. Valid requests get the
     machine's name by join and are appended; returns (alerts, rejected).
     """
-    rules = [Q.required(c) for c in ("machineId", "severity", "title", "description", "recommendedAction",
-                                     "eventTime", "reportId") if c in requests.columns]
-    rules.append(Q.in_domain("severity", "ALERT_SEVERITY"))
+    m = machines.select(F.col("id").alias("_m"), "computerDnsName", "rbacGroupName")
+    asked = requests.drop("computerDnsName", "rbacGroupName")
+    if "machineId" in asked.columns:
+        asked = asked.join(m, F.col("machineId") == F.col("_m"), "left")
+    else:
+        asked = asked.withColumn("_m", F.lit(None).cast("string"))
+    rules = [_required(requests, c) for c in ALERT_REQUIRED]
+    if "severity" in requests.columns:
+        rules.append(Q.in_domain("severity", "ALERT_SEVERITY"))
     if "category" in requests.columns:
-        rules.append(("category cannot be Unknown", F.col("category").contains("Unknown")))
-    valid, rejected = Q.validate_rows(requests, rules)
-    m = machines.select(F.col("id").alias("machineId"), "computerDnsName", "rbacGroupName")
-    new = (valid.join(m, "machineId", "left")
-                .withColumn("id", F.concat_ws("_", F.lit("ref"), F.col("reportId"), F.col("machineId")))
+        rules += [Q.in_domain("category", "IOA_CATEGORY"), ("category cannot be Unknown", F.col("category").contains("Unknown"))]
+    if "machineId" in requests.columns:
+        rules.append(("machineId is not a known machine", F.col("machineId").isNotNull() & F.col("_m").isNull()))
+    valid, rejected = Q.validate_rows(asked, rules)
+    rejected = rejected.select(*requests.columns, "errors")
+    if not set(ALERT_REQUIRED) <= set(requests.columns):
+        return alerts, rejected
+    new = (valid.withColumn("id", F.concat_ws("_", F.lit("ref"), F.col("reportId"), F.col("machineId")))
                 .withColumn("status", F.lit("New"))
                 .withColumn("alertCreationTime", F.col("eventTime").cast("timestamp"))
                 .withColumn("lastEventTime", F.col("eventTime").cast("timestamp")))
-    return alerts.unionByName(conform(new, "alert")), rejected
+    return alerts.unionByName(conform(new.drop("_m"), "alert")), rejected
 
 
 def upsert(table: DataFrame, changes: DataFrame, key: str | list[str], *, order: list[str] | None = None) -> DataFrame:
-    """Insert or replace rows by ``key`` (latest change per key when ``order`` is given).
+    """Insert or replace rows by ``key`` (the latest change per key by ``order``; without
+    it, several changes for one key fail the job, as no winner is defined).
 
     ``table`` is keyed (one row per key). One pass over the change-set
     (latest per key as a partial aggregate) and one full outer join with the
     table on the key.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    ch = latest_per_key(changes, keys, order) if order else changes.dropDuplicates(keys)
+    ch = latest_per_key(changes, keys, order) if order else _only_one(changes, keys)
     values = [c for c in table.columns if c not in keys]
     new = ch.select(*keys, F.struct(*[F.col(f"`{c}`") if c in ch.columns else F.lit(None).cast(table.schema[c].dataType)
                                       for c in values]).alias("_new"))
@@ -122,14 +148,23 @@ def upsert(table: DataFrame, changes: DataFrame, key: str | list[str], *, order:
                              for c in values]).select(*table.columns)
 
 
+def _only_one(changes: DataFrame, keys: list[str]) -> DataFrame:
+    """``changes`` with one row per key; a key with several fails the job."""
+    rest = [c for c in changes.columns if c not in keys]
+    one = changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(1)).alias("_r"))
+    checked = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"several changes for one {', '.join(keys)} need an order"))).otherwise(F.lit(True))
+    return one.where(checked.cast("boolean")).select(*keys, *[F.col(f"_r.`{c}`").alias(c) for c in rest])
+
+
 INDICATOR_KEY = ("indicatorType", "indicatorValue")
 
 
 def indicator_rules(df: DataFrame) -> list[tuple[str, Column]]:
     """C9 rules for indicator submissions / imports."""
-    rules = [Q.required("indicatorValue"), Q.required("indicatorType"), Q.required("action"),
-             Q.min_length("indicatorValue"), Q.in_domain("indicatorType", "TI_INDICATOR_TYPE"),
-             Q.in_domain("action", "TI_INDICATOR_ACTION")]
+    rules = [_required(df, c) for c in ("indicatorValue", "indicatorType", "action")]
+    if "indicatorValue" in df.columns:
+        rules.append(Q.min_length("indicatorValue"))
+    rules += [Q.in_domain(c, d) for c, d in (("indicatorType", "TI_INDICATOR_TYPE"), ("action", "TI_INDICATOR_ACTION")) if c in df.columns]
     if "severity" in df.columns:
         rules.append(Q.in_domain("severity", "SEVERITY"))
     if "title" in df.columns:
@@ -137,9 +172,12 @@ def indicator_rules(df: DataFrame) -> list[tuple[str, Column]]:
     return rules
 
 
-def import_indicators(indicators: DataFrame, submissions: DataFrame, *, batch_size: int = 500) -> tuple[DataFrame, DataFrame]:
+def import_indicators(indicators: DataFrame, submissions: DataFrame, *, order: list[str] | None = None, batch_size: int = 500) -> tuple[DataFrame, DataFrame]:
     """Batch import with a per-row outcome.
 
+    Valid submissions of one indicator are imported in ``order``, so the last one
+    stays; several without ``order`` fail the job.
+
     Returns (new indicator table, results) where results has the inline
     import-result contract ``id, indicator, isFailed, failureReason`` plus the
     write batch each row went in (L5: at most ``batch_size`` rows per batch).
@@ -148,8 +186,14 @@ def import_indicators(indicators: DataFrame, submissions: DataFrame, *, batch_si
     from .slicing import assign_batches
 
     valid, rejected = Q.validate_rows(submissions, indicator_rules(submissions))
+    if not {*INDICATOR_KEY, "action"} <= set(submissions.columns):
+        value = F.col("indicatorValue") if "indicatorValue" in submissions.columns else F.lit(None)
+        return indicators, assign_batches(rejected.select(
+            F.lit(None).cast("string").alias("id"), value.cast("string").alias("indicator"), F.lit(True).alias("isFailed"),
+            F.array_join("errors", "; ").alias("failureReason")), batch_size)
     valid = valid.withColumn("id", F.sha2(F.concat_ws("|", *INDICATOR_KEY), 256))
-    table = upsert(indicators, conform(valid, "indicator"), list(INDICATOR_KEY))
+    last = latest_per_key(valid, list(INDICATOR_KEY), order) if order else _only_one(valid, list(INDICATOR_KEY))
+    table = upsert(indicators, conform(last, "indicator"), list(INDICATOR_KEY))
     ok = valid.select("id", F.col("indicatorValue").alias("indicator"), F.lit(False).alias("isFailed"),
                       F.lit(None).cast("string").alias("failureReason"))
     bad = rejected.select(F.lit(None).cast("string").alias("id"), F.col("indicatorValue").alias("indicator"),
@@ -206,13 +250,13 @@ def set_machine_fields(machines: DataFrame, changes: DataFrame, fields: tuple[st
                        domains: dict[str, str] | None = None, *, seq: str | None = None) -> DataFrame:
     """Set fields (e.g. deviceValue; isExcluded + exclusionReason) by machine id.
 
-    Several changes for one machine: the last by ``seq`` wins when given,
-    otherwise the non-null values are merged field-wise (deterministically).
-    Null fields in a change keep the machine's value.
+    Several changes for one machine apply in the order of ``seq`` (required
+    then): each field ends with its last non-null value. Null fields in a change
+    keep the machine's value.
     """
     changes = _check_domains(changes, domains or {})
     cols = ["id", *fields, *([seq] if seq else [])]
-    p = _last_patch(changes.select(*cols), "id", seq).select("id", *[F.col(f).alias(f"_p_{f}") for f in fields])
+    p = _merged_patches(changes.select(*cols), "id", list(fields), seq).select("id", *[F.col(f).alias(f"_p_{f}") for f in fields])
     j = machines.join(p, "id", "left")
     return j.select(*[F.coalesce(F.col(f"_p_{c}"), F.col(c)).alias(c) if c in fields else F.col(c)
                       for c in machines.columns])
@@ -233,27 +277,22 @@ def delete_device_groups(groups: DataFrame, ids: DataFrame) -> DataFrame:
     return groups.join(ids.select(F.col(ids.columns[0]).alias("id")), "id", "left_anti")
 
 
-def _condition(value_col: Column, cond: str | None, value) -> Column:
-    c = (cond or "").lower()
-    v = F.lit(value)
-    if c == "startswith":
-        return F.lower(value_col).startswith(str(value).lower())
-    if c == "endswith":
-        return F.lower(value_col).endswith(str(value).lower())
-    if c == "equals":
-        return F.lower(value_col) == F.lower(v)
-    if c == "contains":
-        return F.lower(value_col).contains(str(value).lower())
-    if c == "in":
-        vals = value if isinstance(value, (list, tuple)) else [value]
-        return F.lower(value_col).isin([str(x).lower() for x in vals])
-    return F.lit(False)
+#: Rule lists of a device group, and the machine value each is held against.
+_RULE_LISTS = {"name": "devicesNamesConditions", "domain": "devicesDomainsConditions", "tag": "devicesTagsConditions", "os": "devicesOsConditions"}
 
 
-def _tag_test(cond: str | None, value):
-    def test(t: Column) -> Column:
-        return _condition(t, cond, value)
-    return test
+def _group_rules(groups: DataFrame) -> DataFrame:
+    """(gid, kind, test, value): one row per rule value of every group, lower-cased."""
+    g = groups.where(~F.coalesce("isUnassignedDeviceGroup", F.lit(False)) & F.col("deviceGroupRules").isNotNull())
+    parts = []
+    for kind, column in _RULE_LISTS.items():
+        each = g.select(F.col("id").alias("gid"), F.explode(F.col(f"deviceGroupRules.{column}")).alias("r"))
+        test = F.lower(F.coalesce(F.col("r.condition"), F.lit("In" if kind == "os" else "")))
+        # a list of values is OR; a rule without values still counts as a rule, and matches nothing
+        values = F.explode_outer("r.valuesList") if kind == "os" else F.col("r.value")
+        each = each.select("gid", F.lit(kind).alias("kind"), F.when(test == "equals", F.lit("in")).otherwise(test).alias("test"), values.alias("value"))
+        parts.append(each.withColumn("value", F.lower("value")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def assign_device_groups(spark: SparkSession, machines: DataFrame, groups: DataFrame) -> DataFrame:
@@ -266,38 +305,30 @@ def assign_device_groups(spark: SparkSession, machines: DataFrame, groups: DataF
     lists all non-empty lists must match (AND) -- a stated choice. A group
     with no rules matches nothing.
 
-    Device groups are tenant configuration: their count is checked against
-    ``MAX_DEVICE_GROUPS`` and the rules are compiled into one CASE expression
-    evaluated per machine row -- no join, no shuffle of machines.
+    ``Equals`` and ``In`` are a hash join of the machines' values with the rules'.
+    ``StartsWith`` / ``EndsWith`` / ``Contains`` rules are one array (a scalar
+    subquery) that each machine filters. A group matches where all its lists do;
+    the best one is a ``min_by``. Nothing runs on the driver, and the number of
+    groups is not limited.
     """
-    if not rows_at_most(groups, MAX_DEVICE_GROUPS):
-        raise ValueError(f"more than {MAX_DEVICE_GROUPS} device groups")
-    rows = sorted(groups.select("id", "priority", "deviceGroupName", "isUnassignedDeviceGroup",
-                                "deviceGroupRules").collect(), key=lambda r: (r.priority, r.id))
-    name = F.col("computerDnsName")
-    domain = F.regexp_extract(name, r"^[^.]*\.(.*)$", 1)
-
-    def any_of(conds, col_fn):
-        return None if not conds else reduce(lambda a, b: a | b, [col_fn(c) for c in conds])
-
-    assigned = F.lit(None).cast("int")
-    unassigned = next((r.id for r in rows if r.isUnassignedDeviceGroup), None)
-    if unassigned is not None:
-        assigned = F.lit(unassigned)
-    for r in reversed(rows):
-        if r.isUnassignedDeviceGroup or r.deviceGroupRules is None:
-            continue
-        rules = r.deviceGroupRules
-        parts = [
-            any_of(rules.devicesNamesConditions or [], lambda c: _condition(name, c.condition, c.value)),
-            any_of(rules.devicesDomainsConditions or [], lambda c: _condition(domain, c.condition, c.value)),
-            any_of(rules.devicesTagsConditions or [], lambda c: F.exists(F.coalesce("machineTags", F.array().cast("array<string>")),
-                                                                          _tag_test(c.condition, c.value))),
-            any_of(rules.devicesOsConditions or [], lambda c: _condition(F.col("osPlatform"), c.condition or "In", list(c.valuesList or []))),
-        ]
-        parts = [p for p in parts if p is not None]
-        if not parts:
-            continue
-        match = reduce(lambda a, b: a & b, parts)
-        assigned = F.when(F.coalesce(match, F.lit(False)), F.lit(r.id)).otherwise(assigned)
-    return machines.withColumn("deviceGroupId", assigned)
+    rules = _group_rules(groups)
+    needed = rules.groupBy("gid").agg(F.count_distinct("kind").alias("_need"))
+    needed = needed.join(groups.select(F.col("id").alias("gid"), "priority"), "gid")
+    patterns = rules.where(F.col("test").isin("startswith", "endswith", "contains") & F.col("value").isNotNull())
+    array = patterns.agg(F.collect_list(F.struct("gid", "kind", "test", "value")).alias("a")).scalar()
+    name = F.lower("computerDnsName")
+    tags = F.coalesce("machineTags", F.array().cast("array<string>"))
+    m = machines.select(F.col("id").alias("_mid"), F.create_map(
+        F.lit("name"), F.array(name), F.lit("domain"), F.array(F.regexp_extract(name, r"^[^.]*\.(.*)$", 1)),
+        F.lit("tag"), F.transform(tags, F.lower), F.lit("os"), F.array(F.lower("osPlatform"))).alias("_v"))
+    hit = F.expr("""filter(_rules, r -> exists(_v[r.kind], v -> coalesce(
+        CASE r.test WHEN 'startswith' THEN startswith(v, r.value) WHEN 'endswith' THEN endswith(v, r.value) ELSE contains(v, r.value) END, false)))""")
+    by_pattern = m.withColumn("_rules", array).select("_mid", F.explode(hit).alias("r")).select("_mid", "r.gid", "r.kind")
+    values = m.select("_mid", F.explode("_v").alias("kind", "vs")).select("_mid", "kind", F.explode("vs").alias("value"))
+    by_value = values.join(rules.where("test = 'in'").select("gid", "kind", "value").distinct(), ["kind", "value"]).select("_mid", "gid", "kind")
+    matched = by_pattern.unionByName(by_value).distinct().groupBy("_mid", "gid").agg(F.count(F.lit(1)).alias("_have"))
+    best = (matched.join(needed, (matched["gid"] == needed["gid"]) & (F.col("_have") == F.col("_need")))
+            .groupBy("_mid").agg(F.min(F.struct("priority", matched["gid"].alias("gid"))).alias("_best")))
+    rest = groups.where(F.coalesce("isUnassignedDeviceGroup", F.lit(False))).agg(F.min(F.struct("priority", "id")).alias("u")).select("u.id").scalar()
+    return (machines.join(best, F.col("id") == F.col("_mid"), "left")
+            .withColumn("deviceGroupId", F.coalesce(F.col("_best.gid"), rest)).drop("_mid", "_best"))

@@ -770,7 +770,7 @@ CONTRACT_DDL: dict[str, str] = {
 import re
 from functools import lru_cache
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 _NOT_NULL = re.compile(r"`([^`]+)`\s*:?\s*[^,`]*?NOT NULL")
 
@@ -801,43 +801,24 @@ def contract(name: str) -> StructType:
     return StructType.fromDDL(" ".join(ddl.split()))
 
 
+@lru_cache(maxsize=None)
+def declared(name: str) -> StructType:
+    """Contract ``name`` with its declared nullability on every level."""
+    return StructType.fromDDL(" ".join(_ddl(name).split()))
+
+
 def required_columns(name: str) -> list[str]:
     """Top-level columns declared NOT NULL in the contract."""
-    out = []
-    for part in _split_top_level(_ddl(name)):
-        m = re.match(r"\s*`([^`]+)`\s+(.*)$", part, re.S)
-        if m and m.group(2).strip().endswith("NOT NULL"):
-            out.append(m.group(1))
-    return out
+    return [f.name for f in declared(name).fields if not f.nullable]
 
 
 def required_nested(name: str) -> dict[str, list[str]]:
-    """Per top-level array/struct column: the NOT NULL fields inside it."""
+    """Per top-level array/struct column: the NOT NULL fields directly inside it."""
     out: dict[str, list[str]] = {}
-    for part in _split_top_level(_ddl(name)):
-        m = re.match(r"\s*`([^`]+)`\s+(ARRAY<|STRUCT<)(.*)$", part, re.S)
-        if not m:
-            continue
-        inner = m.group(3)
-        fields = [f for f, _ in re.findall(r"`([^`]+)`:\s*([A-Z]+(?:<[^>]*>)?\s*NOT NULL)", inner)]
-        if fields:
-            out[m.group(1)] = fields
+    for f in declared(name).fields:
+        inner = f.dataType.elementType if isinstance(f.dataType, ArrayType) else f.dataType
+        if isinstance(inner, StructType) and (fields := [x.name for x in inner.fields if not x.nullable]):
+            out[f.name] = fields
     return out
 
 
-def _split_top_level(ddl: str) -> list[str]:
-    """Split a DDL column list on commas that are not nested in <...>."""
-    parts, depth, cur = [], 0, []
-    for ch in ddl:
-        if ch == "<":
-            depth += 1
-        elif ch == ">":
-            depth -= 1
-        if ch == "," and depth == 0:
-            parts.append("".join(cur))
-            cur = []
-        else:
-            cur.append(ch)
-    if "".join(cur).strip():
-        parts.append("".join(cur))
-    return parts

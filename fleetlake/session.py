@@ -37,7 +37,6 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
     spark = b.getOrCreate()
     for k, v in _REQUIRED.items():
         spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -56,10 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the deployment sets ``spark.checkpoint.dir`` to shared storage
     and it is used as-is. Only local runs and tests (where it is unset) get a
     fresh folder under the system temp dir, registered for this context with
-    ``setCheckpointDir`` (the config itself cannot change at run time).
+    ``setCheckpointDir`` (the config itself cannot change at run time). With any
+    other master an unset folder is an error: executors do not share local disks.
     """
     d = checkpoint_dir(spark)
     if d is None:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="fleetlake-ckpt-")
         _LOCAL_CHECKPOINT_DIRS[id(spark.sparkContext._jsc)] = d  # noqa: SLF001
     spark.sparkContext.setCheckpointDir(d)

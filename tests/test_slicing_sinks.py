@@ -23,7 +23,7 @@ def test_sinks_and_lazy(spark, tmp):
     df = spark.createDataFrame([("a", [1, 2])], "id string, xs array<int>")
     assert to_dicts(df, 10) == [{"id": "a", "xs": [1, 2]}]
     assert df.select(json_column(df).alias("j")).collect()[0].j == '{"id":"a","xs":[1,2]}'
-    assert to_arrow(df).num_rows == 1
+    assert to_arrow(df, 10).num_rows == 1
     calls = []
 
     def build():
