@@ -92,7 +92,7 @@ def _sql_truthy(v: str) -> str:
     return f"NOT coalesce({falsy}, false)"
 
 
-def flatten_av_health(raw: DataFrame, column: str = "value") -> DataFrame:
+def flatten_av_health(raw: DataFrame, column: str = "value", keep: list[str] | None = None) -> DataFrame:
     """A1: raw antivirus-health export lines (JSON text) -> device_av_info rows.
 
     Each JSON level (record, gathered-info blob, scan results, Quick / Full)
@@ -100,28 +100,30 @@ def flatten_av_health(raw: DataFrame, column: str = "value") -> DataFrame:
     In such a map an absent key reads as SQL NULL while a key holding JSON
     null reads as a variant null, so "first present key wins" is a plain
     ``coalesce`` over the candidate lookups. Every rule is SQL text; no
-    lambdas, no Python per row.
+    lambdas, no Python per row. The columns of ``raw`` named in ``keep`` go along.
     """
+    keep = list(keep or [])
+    along = [quote_ident(c) for c in keep]
     vmap = "map<string,variant>"
     empty = f"CAST(map() AS {vmap})"
     src = quote_ident(column)
     # Stage 1: the record (a line that is not a JSON object has no keys).
-    s1 = raw.selectExpr(f"coalesce(try_variant_get(try_parse_json({src}), '$', '{vmap}'), {empty}) AS _top")
+    s1 = raw.selectExpr(*along, f"coalesce(try_variant_get(try_parse_json({src}), '$', '{vmap}'), {empty}) AS _top")
     # Stage 2 (rules 1-2): the gathered-info blob -- a string is parsed, an object is
     # used (its JSON text parses to the same map); the platform from the top level.
     dgi = "_top['DeviceGatheredInfo']"
     dk = f"schema_of_variant({dgi})"
     os_platform = "_top['OsPlatform']"
     os_top = f"lower(coalesce({_sql_text(os_platform)}, ''))"
-    s2 = s1.selectExpr("_top",
+    s2 = s1.selectExpr(*along, "_top",
                        f"CASE WHEN {dk} = 'STRING' OR {dk} LIKE 'OBJECT%' THEN {_sql_text(dgi)} END AS _dgi",
                        " OR ".join(f"startswith({os_top}, '{p}')" for p in NON_WINDOWS_PREFIXES) + " AS _nonwin")
-    s3 = s2.selectExpr("_top", "_nonwin", f"coalesce(try_variant_get(try_parse_json(_dgi), '$', '{vmap}'), {empty}) AS _nested")
+    s3 = s2.selectExpr(*along, "_top", "_nonwin", f"coalesce(try_variant_get(try_parse_json(_dgi), '$', '{vmap}'), {empty}) AS _nested")
     # Stage 3 (rule 3): AvScanResults -- a JSON string inside the nested record.
     av = "_nested['AvScanResults']"
-    s4 = s3.selectExpr("_top", "_nested", "_nonwin", f"coalesce(schema_of_variant({av}) = 'STRING', false) AS _avstr")
+    s4 = s3.selectExpr(*along, "_top", "_nested", "_nonwin", f"coalesce(schema_of_variant({av}) = 'STRING', false) AS _avstr")
     s5 = s4.selectExpr("*", f"try_variant_get(try_parse_json(CASE WHEN _avstr THEN {_sql_text(av)} END), '$', '{vmap}') AS _scans")
-    s6 = s5.selectExpr("_top", "_nested", "_nonwin", "_avstr",
+    s6 = s5.selectExpr(*along, "_top", "_nested", "_nonwin", "_avstr",
                        "_scans IS NOT NULL AS _scans_ok", "_scans['Quick'] AS _qv", "_scans['Full'] AS _fv",
                        f"try_variant_get(_scans['Quick'], '$', '{vmap}') AS _quick",
                        f"try_variant_get(_scans['Full'], '$', '{vmap}') AS _full")
@@ -155,8 +157,8 @@ def flatten_av_health(raw: DataFrame, column: str = "value") -> DataFrame:
         "id": f"coalesce(nullif({level('machineId')}, ''), nullif({level('DeviceId')}, ''))",
     }
     plat = f"lower(coalesce(nullif({level('OsPlatform')}, ''), nullif({level('osPlatform')}, ''), ''))"
-    s8 = s7.selectExpr("_top", "_nested", "_quick", "_full", "_quick_ok", "_full_ok", "_avstr", "_nonwin", f"{plat} AS _plat")
-    s9 = s8.selectExpr("_top", "_nested", *[f"{e} AS _d_{n}" for n, e in derived.items()])
+    s8 = s7.selectExpr(*along, "_top", "_nested", "_quick", "_full", "_quick_ok", "_full_ok", "_avstr", "_nonwin", f"{plat} AS _plat")
+    s9 = s8.selectExpr(*along, "_top", "_nested", *[f"{e} AS _d_{n}" for n, e in derived.items()])
 
     aliases: dict[str, list[str]] = {}
     for src_name, dst in AV_FIELD_MAP.items():
@@ -173,7 +175,7 @@ def flatten_av_health(raw: DataFrame, column: str = "value") -> DataFrame:
         if f.name in derived:  # set-if-absent defaults (rules 3, 4, 6, 7)
             txt = f"CASE WHEN {v} IS NULL THEN _d_{f.name} ELSE {txt} END"
         exprs.append(f"{txt} AS {quote_ident(f.name)}")
-    return conform(s9.selectExpr(*exprs), "device_av_info")
+    return conform(s9.selectExpr(*exprs, *along), "device_av_info", keep=keep or None)
 
 
 def apply_record_transform(df: DataFrame, transform: Callable | None, *, column: str = "value") -> DataFrame:

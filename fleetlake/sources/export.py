@@ -3,23 +3,26 @@
 * S1 one table from many blobs: Spark's JSON line reader, one task per gzip
   file (gzip is not splittable) and split plain files; blank lines are
   skipped, a UTF-8 BOM is tolerated (S3).
-* S2 gzip by magic bytes: names ending in a known suffix use the built-in
-  codecs; any other name goes through a sniffing reader that checks the first
-  two bytes (``1f 8b``) per file on the executors and decompresses there
-  (whole file in task memory -- land blobs with a ``.gz`` suffix to avoid it).
+* S2 gzip by magic bytes: each blob's first two bytes (``1f 8b``) decide, whatever
+  its name. Where the name says the same, Spark's reader takes the blob; others are
+  decoded on an executor piece by piece (their bytes, at most 2 GB, are one row:
+  land large blobs under a name that fits).
 * S9 empty blobs are not errors: :func:`skipped_files` lists them.
 * S10 a malformed line fails the load (``FAILFAST``, the default); opt in to
   ``quarantine`` to get the bad lines back as a second table instead.
 * S11 every row carries ``_source``, its blob location with any query string
   or fragment removed.
 
-A path ending in ``/`` is a folder of blobs (e.g. one export's landing
-folder); Spark lists it and picks the codec per file name.
+A path may be a folder of blobs (e.g. one export's landing folder) or a pattern.
 """
 
 from __future__ import annotations
 
+import codecs
 import gzip
+import zlib
+from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +32,7 @@ from ..functions.scalars import redact_url
 from ..operators.conform import conform_to, wire_schema
 from ..session import ship_package
 
-NATIVE_SUFFIXES = (".gz", ".json", ".ndjson", ".jsonl", ".txt", "/")  # "/" = a folder of such files
+OTHER_CODECS = (".bz2", ".deflate", ".lz4", ".snappy", ".zst")  # names by which Spark's reader would decompress
 GZIP_MAGIC = b"\x1f\x8b"
 SOURCE = "_source"
 CORRUPT = "_corrupt_record"
@@ -39,36 +42,116 @@ def _lines_schema() -> StructType:
     return StructType([StructField("path", StringType()), StructField("value", StringType())])
 
 
+LINES_PER_BATCH = 10_000
+
+
+def _lines_of(content: bytes) -> Iterator[str]:
+    """Non-blank lines of a blob, decompressed (all gzip members) and decoded piece by piece."""
+    view, packed = memoryview(content), bytes(content[:2]) == GZIP_MAGIC
+    decoder, unzip, rest = codecs.getincrementaldecoder("utf-8-sig")(), zlib.decompressobj(31), ""
+    at, step = 0, 1 << 20
+    while at < len(view):
+        piece = bytes(view[at : at + step])
+        at += step
+        if packed:
+            out = b""
+            while piece:
+                out += unzip.decompress(piece)
+                piece = unzip.unused_data
+                if unzip.eof:
+                    unzip = zlib.decompressobj(31)
+                    piece = piece.lstrip(b"\0")  # padding between members
+            piece = out
+        *lines, rest = (rest + decoder.decode(piece)).split("\n")
+        yield from (x for line in lines if (x := line.strip()))
+    if packed and len(view) and not _ended(unzip):
+        raise EOFError("a gzip blob is cut off")
+    if x := (rest + decoder.decode(b"", True)).strip():
+        yield x
+
+
+def _ended(unzip) -> bool:
+    """Whether nothing of a further gzip member has been read."""
+    return not unzip.unconsumed_tail and unzip.copy().flush() == b"" and not unzip.eof and _fresh(unzip)
+
+
+def _fresh(unzip) -> bool:
+    try:
+        probe = unzip.copy()
+        probe.decompress(gzip.compress(b""))
+        return probe.eof
+    except zlib.error:
+        return False
+
+
 def _sniff_lines(batches):
-    """Executor side of S2: decode each file's bytes (gzip or plain) into lines."""
+    """Executor side of S2: each file's bytes (gzip or plain, told by content) as lines, a bounded
+    number of them at a time."""
     import pandas as pd
 
     for pdf in batches:
-        paths, lines = [], []
         for path, content in zip(pdf["path"], pdf["content"]):
-            data = bytes(content) if content is not None else b""
-            if data[:2] == GZIP_MAGIC:
-                data = gzip.decompress(data)
-            text = data.decode("utf-8-sig")
-            for line in text.splitlines():
-                s = line.strip()
-                if s:
-                    paths.append(path)
-                    lines.append(s)
-        yield pd.DataFrame({"path": paths, "value": lines})
-
-
-def raw_lines(spark: SparkSession, paths: list[str], *, detect: str = "suffix") -> DataFrame:
+            lines: list[str] = []
+            for line in _lines_of(content if content is not None else b""):
+                lines.append(line)
+                if len(lines) == LINES_PER_BATCH:
+                    yield pd.DataFrame({"path": path, "value": lines})
+                    lines = []
+            if lines:
+                yield pd.DataFrame({"path": path, "value": lines})
+
+
+def _by_content(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
+    """Blobs whose name agrees with their content (Spark's reader picks the codec by name), and
+    the others. Opens each blob once for its first two bytes, several at a time; folders
+    are listed. Only names reach the driver."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()  # noqa: SLF001 - the file system that Spark itself uses
+
+    def files(path: str) -> list[str]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        found = fs.globStatus(p) or []
+        out = []
+        for st in found:
+            if st.isDirectory():
+                out += [x for c in fs.listStatus(st.getPath()) if not c.getPath().getName().startswith(("_", "."))
+                        for x in ([c.getPath().toString()] if c.isFile() else files(c.getPath().toString()))]
+            else:
+                out.append(st.getPath().toString())
+        if not found:
+            raise FileNotFoundError(path)
+        return out
+
+    def packed(path: str) -> bool:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        stream = p.getFileSystem(conf).open(p)
+        try:
+            return stream.read() == GZIP_MAGIC[0] and stream.read() == GZIP_MAGIC[1]
+        finally:
+            stream.close()
+
+    named = [f for p in paths for f in files(p)]
+    with ThreadPoolExecutor(16) as pool:
+        agree = [(f, is_packed == f.lower().endswith(".gz") and not f.lower().endswith(OTHER_CODECS))
+                 for f, is_packed in zip(named, pool.map(packed, named))]
+    return [f for f, ok in agree if ok], [f for f, ok in agree if not ok]
+
+
+def raw_lines(spark: SparkSession, paths: list[str], *, detect: str = "content") -> DataFrame:
     """(path, value) rows: the non-blank lines of the blobs, as text.
 
-    ``detect="suffix"`` reads files with a known suffix natively and sniffs
-    the rest; ``detect="magic"`` sniffs every file (name ignored).
+    ``detect="content"`` looks at every blob's first bytes: where the name agrees,
+    Spark reads it (in splits, if it is plain); a gzip blob under another name, or a
+    plain one named ``.gz``, is decoded on an executor piece by piece. ``"suffix"``
+    trusts all names, ``"magic"`` decodes every blob that way.
     """
-    native = [p for p in paths if detect == "suffix" and p.lower().endswith(NATIVE_SUFFIXES)]
-    other = [p for p in paths if p not in set(native)]
+    native, other = _route(spark, paths, detect)
     parts = []
     if native:
-        t = spark.read.text(native).select(F.col("_metadata.file_path").alias("path"), F.trim("value").alias("value"))
+        t = spark.read.text(native).select(F.col("_metadata.file_path").alias("path"),
+                                           F.regexp_replace("value", "^[\\s\ufeff]+|\\s+$", "").alias("value"))
         parts.append(t.filter(F.length("value") > 0))
     if other:
         ship_package(spark)
@@ -76,10 +159,13 @@ def raw_lines(spark: SparkSession, paths: list[str], *, detect: str = "suffix")
         parts.append(b.mapInPandas(_sniff_lines, _lines_schema()))
     if not parts:
         return spark.createDataFrame([], _lines_schema())
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _route(spark: SparkSession, paths: list[str], detect: str) -> tuple[list[str], list[str]]:
+    if detect == "suffix":
+        return list(paths), []
+    return _by_content(spark, paths) if detect == "content" else ([], list(paths))
 
 
 def parse_records(lines: DataFrame, schema: StructType, *, mode: str = "FAILFAST") -> DataFrame:
@@ -91,7 +177,7 @@ def parse_records(lines: DataFrame, schema: StructType, *, mode: str = "FAILFAST
 
 
 def scan_export(spark: SparkSession, paths: list[str], schema: StructType, *, mode: str = "FAILFAST",
-                detect: str = "suffix") -> DataFrame:
+                detect: str = "content") -> DataFrame:
     """Many NDJSON blobs -> one table conformed to ``schema`` plus ``_source``.
 
     An empty path list gives an empty typed table. Malformed lines fail the
@@ -99,8 +185,7 @@ def scan_export(spark: SparkSession, paths: list[str], schema: StructType, *, mo
     """
     if not paths:
         return spark.createDataFrame([], StructType(schema.fields + [StructField(SOURCE, StringType())]))
-    native = [p for p in paths if detect == "suffix" and p.lower().endswith(NATIVE_SUFFIXES)]
-    other = [p for p in paths if p not in set(native)]
+    native, other = _route(spark, paths, detect)
     parts = []
     if native:
         df = (spark.read.schema(wire_schema(schema)).option("mode", mode).json(native)
@@ -116,7 +201,7 @@ def scan_export(spark: SparkSession, paths: list[str], schema: StructType, *, mo
 
 
 def scan_export_quarantine(spark: SparkSession, paths: list[str], schema: StructType, *,
-                           detect: str = "suffix") -> tuple[DataFrame, DataFrame]:
+                           detect: str = "content") -> tuple[DataFrame, DataFrame]:
     """S10 opt-in: (good rows, bad lines) instead of failing on a malformed line."""
     lines = raw_lines(spark, paths, detect=detect)
     wire = wire_schema(schema)

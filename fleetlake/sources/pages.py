@@ -1,7 +1,7 @@
 """Landed API responses (S4-S8): page envelopes, single objects, manifests.
 
 A landed response is one JSON document per file. Its records are found with
-the envelope rule (S5), evaluated on a VARIANT so no Python runs per row:
+the envelope rule (S5) by Spark's JSON parser, no Python per row:
 
 * a JSON array -> one record per element;
 * an object with ``value``: an array -> its elements; an object -> one record;
@@ -23,24 +23,30 @@ from ..operators.conform import conform_to
 from .export import SOURCE, parse_records
 
 
-def _kind(v):
-    return F.call_function("schema_of_variant", v)
-
-
 def envelope_records(docs: DataFrame, column: str = "value", path: str = "path") -> DataFrame:
-    """(path, value) documents -> (path, value) rows, one per record (JSON text)."""
-    body = F.call_function("try_parse_json", F.col(column))
-    s1 = docs.select(F.col(path).alias("path"), body.alias("_b"))
-    b = F.col("_b")
-    val = F.call_function("variant_get", b, F.lit("$['value']"))
-    as_list = lambda v: F.call_function("variant_get", v, F.lit("$"), F.lit("array<variant>"))
-    kind_b, kind_v = _kind(b), _kind(val)
-    records = (F.when(kind_b.startswith("ARRAY"), as_list(b))
-                .when(kind_b.startswith("OBJECT") & val.isNull(), F.array(b))
-                .when(kind_b.startswith("OBJECT") & kind_v.startswith("ARRAY"), as_list(val))
-                .when(kind_b.startswith("OBJECT") & kind_v.startswith("OBJECT"), F.array(val)))
-    return s1.select("path", F.explode(records).alias("_r")).select(
-        "path", F.call_function("to_json", F.col("_r")).alias("value"))
+    """(path, value) documents -> (path, value) rows, one per record (JSON text).
+
+    The text is read by Spark's JSON parser with records kept as raw text, so a
+    response has no size limit below that of a row, and FAILFAST aborts the load on
+    a response that is cut off or not JSON at all (S10). Blank responses hold nothing.
+    """
+    text = F.regexp_replace(F.col(column), "^[\\s\ufeff]+", "")
+    d = docs.select(F.col(path).alias("path"), text.alias("_t")).where("_t <> ''")
+    strict, loose = {"mode": "FAILFAST"}, {"mode": "PERMISSIVE"}
+    head = F.substring("_t", 1, 1)
+    none = F.array().cast("array<string>")
+    t = F.col("_t")
+    # an object: its validity and the raw text of `value`; then what kind of value it is
+    raw = F.from_json(t, "value string", strict).getField("value")
+    as_list = F.from_json(t, "value array<string>", loose).getField("value")
+    as_object = F.from_json(t, "value map<string,string>", loose).getField("value")
+    no_value = ~F.coalesce(F.array_contains(F.call_function("json_object_keys", t), F.lit("value")), F.lit(False))
+    in_object = (F.when(raw.isNull(), F.when(no_value, F.array(t)).otherwise(none))
+                  .when(as_list.isNotNull(), as_list).when(as_object.isNotNull(), F.array(raw)).otherwise(none))
+    # any other JSON value holds no records, but must be valid
+    other = F.slice(F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>", strict), 1, 0)
+    records = F.when(head == "[", F.from_json(t, "array<string>", strict)).when(head == "{", in_object).otherwise(other)
+    return d.select("path", F.explode(records).alias("value"))
 
 
 def read_documents(spark: SparkSession, paths: str | list[str], *, layout: str = "file") -> DataFrame:
@@ -52,7 +58,7 @@ def read_documents(spark: SparkSession, paths: str | list[str], *, layout: str =
     size, so whole-text rows stay small.
     """
     t = spark.read.text(paths, wholetext=(layout == "file"))
-    return t.select(F.col("_metadata.file_path").alias("path"), "value").filter(F.length(F.trim("value")) > 0)
+    return t.select(F.col("_metadata.file_path").alias("path"), "value").filter(F.col("value").rlike("\\S"))
 
 
 def scan_pages(spark: SparkSession, paths: str | list[str], schema: StructType, *, layout: str = "file") -> DataFrame:

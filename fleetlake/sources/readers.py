@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..operators.conform import conform
 from ..operators.flatten import flatten_av_health
 from ..plans.contracts import contract
-from .export import SOURCE, raw_lines, scan_export
+from ..functions.scalars import redact_url
+from .export import CORRUPT, SOURCE, raw_lines, scan_export, scan_export_quarantine
 from .pages import scan_pages
 
 
@@ -64,24 +65,39 @@ SCAN_SECRET_FIELDS = ("password", "privateKey", "authPassword", "privPassword",
 
 
 def read_export(spark: SparkSession, dataset: str, paths: list[str], *, mode: str = "FAILFAST",
-                detect: str = "suffix") -> DataFrame:
-    """Files variant: export blobs -> conformed dataset rows (+ ``_source``)."""
+                detect: str = "content", keep_secrets: bool = False) -> DataFrame:
+    """Files variant: export blobs -> conformed dataset rows (+ ``_source``). A malformed line
+    fails the load; with another ``mode`` use :func:`read_export_quarantine` to get such
+    lines. ``keep_secrets`` leaves the credentials of scan definitions in."""
     ds = DATASETS[dataset]
     if ds.flatten == "av":
         lines = raw_lines(spark, paths, detect=detect)
+        bad = F.call_function("try_parse_json", F.col("value")).isNull()
         if mode.upper() == "FAILFAST":
-            bad = F.call_function("try_parse_json", F.col("value")).isNull()
             lines = lines.withColumn("value", F.when(bad, F.raise_error(F.concat(
-                F.lit("malformed JSON line in "), F.col("path")))).otherwise(F.col("value")))
-        flat = flatten_av_health(lines.select("value", "path").withColumnRenamed("path", "_path"))
-        return flat
-    return _post(dataset, scan_export(spark, paths, contract(ds.contract), mode=mode, detect=detect))
+                F.lit("malformed JSON line in "), redact_url("path")))).otherwise(F.col("value")))
+        else:
+            lines = lines.where(~bad)
+        return flatten_av_health(lines.select("value", redact_url("path").alias(SOURCE)), keep=[SOURCE])
+    return _post(dataset, scan_export(spark, paths, contract(ds.contract), mode=mode, detect=detect), keep_secrets=keep_secrets)
 
 
-def read_pages(spark: SparkSession, dataset: str, paths: str | list[str], *, layout: str = "file") -> DataFrame:
-    """Pages variant: landed page / single-object responses -> conformed rows."""
+def read_export_quarantine(spark: SparkSession, dataset: str, paths: list[str], *, detect: str = "content",
+                           keep_secrets: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Files variant that keeps going: (conformed rows, malformed lines with their ``_source``)."""
     ds = DATASETS[dataset]
-    return _post(dataset, scan_pages(spark, paths, contract(ds.contract), layout=layout))
+    if ds.flatten != "av":
+        good, bad = scan_export_quarantine(spark, paths, contract(ds.contract), detect=detect)
+        return _post(dataset, good, keep_secrets=keep_secrets), bad
+    lines = raw_lines(spark, paths, detect=detect)
+    bad = lines.where(F.call_function("try_parse_json", F.col("value")).isNull())
+    return read_export(spark, dataset, paths, mode="PERMISSIVE", detect=detect), bad.select(redact_url("path").alias(SOURCE), F.col("value").alias(CORRUPT))
+
+
+def read_pages(spark: SparkSession, dataset: str, paths: str | list[str], *, layout: str = "file", keep_secrets: bool = False) -> DataFrame:
+    """Pages variant: landed page / single-object responses -> conformed rows (+ ``_source``)."""
+    ds = DATASETS[dataset]
+    return _post(dataset, scan_pages(spark, paths, contract(ds.contract), layout=layout), keep_secrets=keep_secrets)
 
 
 def _post(dataset: str, df: DataFrame, *, keep_secrets: bool = False) -> DataFrame:
