@@ -22,6 +22,8 @@ from pyspark.sql.types import StructType
 from ..operators.conform import conform_to
 from .export import SOURCE, parse_records
 
+BLANK = " \t\n\r\f\x0b\ufeff"
+
 
 def envelope_records(docs: DataFrame, column: str = "value", path: str = "path") -> DataFrame:
     """(path, value) documents -> (path, value) rows, one per record (JSON text).
@@ -30,19 +32,20 @@ def envelope_records(docs: DataFrame, column: str = "value", path: str = "path")
     response has no size limit below that of a row, and FAILFAST aborts the load on
     a response that is cut off or not JSON at all (S10). Blank responses hold nothing.
     """
-    text = F.regexp_replace(F.col(column), "^[\\s\ufeff]+", "")
+    text = F.ltrim(F.col(column), F.lit(BLANK))  # bytes only: a pattern would make a second, wider copy of the page
     d = docs.select(F.col(path).alias("path"), text.alias("_t")).where("_t <> ''")
     strict, loose = {"mode": "FAILFAST"}, {"mode": "PERMISSIVE"}
     head = F.substring("_t", 1, 1)
     none = F.array().cast("array<string>")
     t = F.col("_t")
-    # an object: its validity and the raw text of `value`; then what kind of value it is
-    raw = F.from_json(t, "value string", strict).getField("value")
+    # an object: the elements of `value` if that is a list (then the whole text is valid JSON);
+    # else its validity and the raw text of `value`, and what kind of value that is
     as_list = F.from_json(t, "value array<string>", loose).getField("value")
+    raw = F.from_json(t, "value string", strict).getField("value")
     as_object = F.from_json(t, "value map<string,string>", loose).getField("value")
     no_value = ~F.coalesce(F.array_contains(F.call_function("json_object_keys", t), F.lit("value")), F.lit(False))
-    in_object = (F.when(raw.isNull(), F.when(no_value, F.array(t)).otherwise(none))
-                  .when(as_list.isNotNull(), as_list).when(as_object.isNotNull(), F.array(raw)).otherwise(none))
+    in_object = F.coalesce(as_list, F.when(raw.isNull(), F.when(no_value, F.array(t)).otherwise(none))
+                           .when(as_object.isNotNull(), F.array(raw)).otherwise(none))
     # any other JSON value holds no records, but must be valid
     other = F.slice(F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>", strict), 1, 0)
     records = F.when(head == "[", F.from_json(t, "array<string>", strict)).when(head == "{", in_object).otherwise(other)
@@ -58,7 +61,7 @@ def read_documents(spark: SparkSession, paths: str | list[str], *, layout: str =
     size, so whole-text rows stay small.
     """
     t = spark.read.text(paths, wholetext=(layout == "file"))
-    return t.select(F.col("_metadata.file_path").alias("path"), "value").filter(F.col("value").rlike("\\S"))
+    return t.select(F.col("_metadata.file_path").alias("path"), "value").filter(F.ltrim("value", F.lit(BLANK)) != "")
 
 
 def scan_pages(spark: SparkSession, paths: str | list[str], schema: StructType, *, layout: str = "file") -> DataFrame:

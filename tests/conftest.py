@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from fleetlake.session import build_session
 
-    s = build_session("local[*]", shuffle_partitions=8)
+    s = build_session("local[*]", shuffle_partitions=8, extra={"spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
