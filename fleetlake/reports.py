@@ -358,12 +358,9 @@ def vulnerability_snapshot_apply(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vulnerability_changes_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The delta landed as files, streamed (availableNow) with watermark
-    de-duplication and applied per micro-batch to a snapshot table kept under
-    the session's checkpoint folder; returns the final snapshot.
-
-    The watermark delay (30 days) covers the feed's whole event-time range, so
-    no event counts as late and the result equals the batch X2.
+    """The delta landed as files, streamed (availableNow) and applied per
+    micro-batch to the touched parts of a snapshot table kept under the session's
+    checkpoint folder; returns the final snapshot, which equals the batch X2.
     """
     import uuid
 
@@ -375,8 +372,7 @@ def vulnerability_changes_stream(spark: SparkSession, d: str) -> DataFrame:
     delta.write.parquet(f"{run}/delta")
     CF.write_initial_snapshot(star.vulnerability_snapshot(spark, d), f"{run}/snapshot")
     stream = spark.readStream.schema(delta.schema).parquet(f"{run}/delta")
-    q = CF.apply_changes_stream(CF.dedup_changes(stream, key=["id", "eventTimestamp", "eventId"], delay="30 days"),
-                                f"{run}/snapshot", order=["eventTimestamp", "eventId"],
+    q = CF.apply_changes_stream(stream, f"{run}/snapshot", order=["eventTimestamp", "eventId"],
                                 checkpoint=f"{run}/checkpoint")
     q.awaitTermination()
     return _apply_output(CF.latest_snapshot(spark, f"{run}/snapshot", terminal=("Fixed",)))
@@ -390,6 +386,25 @@ def change_counts_daily(spark: SparkSession, d: str) -> DataFrame:
     return out.select(_ts("windowStart").alias("windowStart"), _ts("windowEnd").alias("windowEnd"), "status", "changes")
 
 
+def change_counts_stream(spark: SparkSession, d: str) -> DataFrame:
+    """X4 as a stream: the delta landed as files, counted per day and status in append mode,
+    so with the days that the watermark (one hour behind the latest event) has closed."""
+    import uuid
+
+    from .session import scratch_path
+    from .streaming.changefeed import change_counts
+
+    run = scratch_path(spark, f"x4-{uuid.uuid4().hex}")
+    delta = star.vulnerability_changes(spark, d)
+    delta.write.parquet(f"{run}/delta")
+    counts = change_counts(spark.readStream.schema(delta.schema).parquet(f"{run}/delta"), window="1 day", delay="1 hour")
+    q = (counts.writeStream.outputMode("append").format("parquet").option("path", f"{run}/counts")
+         .option("checkpointLocation", f"{run}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.schema(counts.schema).parquet(f"{run}/counts")
+    return out.select(_ts("windowStart").alias("windowStart"), _ts("windowEnd").alias("windowEnd"), "status", "changes")
+
+
 # ------------------------------------------------- quality (C4, C6, C10) ----
 
 def machine_contract_nulls(spark: SparkSession, d: str) -> DataFrame:
@@ -527,6 +542,7 @@ REPORTS.update({
     "vulnerability_snapshot_apply": vulnerability_snapshot_apply,
     "vulnerability_changes_stream": vulnerability_changes_stream,
     "change_counts_daily": change_counts_daily,
+    "change_counts_stream": change_counts_stream,
     "machine_contract_nulls": machine_contract_nulls,
     "document_domain_check": document_domain_check,
     "label_reconcile": label_reconcile,
@@ -574,7 +590,7 @@ def remediation_progress(spark: SparkSession, d: str) -> DataFrame:
 
 
 def alert_create(spark: SparkSession, d: str) -> DataFrame:
-    """W3 + C9: alerts created from event references (invalid requests rejected)."""
+    """W3 + C9: alerts created from event references: the alerts that are new in the table."""
     from .operators.updates import create_alerts
 
     out, _ = create_alerts(star.alerts(spark, d, with_evidence=False), star.alert_requests(spark, d),
@@ -583,6 +599,31 @@ def alert_create(spark: SparkSession, d: str) -> DataFrame:
         "id", "machineId", "computerDnsName", "severity", "status", _ts("alertCreationTime").alias("created"))
 
 
+def alert_create_table(spark: SparkSession, d: str) -> DataFrame:
+    """The whole alert table after the creation."""
+    from .operators.updates import create_alerts
+
+    out, _ = create_alerts(star.alerts(spark, d, with_evidence=False), star.alert_requests(spark, d), star.machines(spark, d))
+    return out.select("id", "machineId", "severity", "status")
+
+
+def alert_create_rejected(spark: SparkSession, d: str) -> DataFrame:
+    """W3 + C9: the rejected requests with their reasons."""
+    from .operators.updates import create_alerts
+
+    _, rejected = create_alerts(star.alerts(spark, d, with_evidence=False), star.alert_requests(spark, d), star.machines(spark, d))
+    return rejected.select("reportId", "machineId", F.array_join("errors", "; ").alias("errors"))
+
+
+def alert_delete_remaining(spark: SparkSession, d: str) -> DataFrame:
+    """The alerts that remain after the deletion of ids from events."""
+    from .operators.updates import delete_by_ids
+
+    ids = star.table(spark, d, "events").select((F.col("event_id") * 2).cast("string").alias("id"))
+    remaining, _ = delete_by_ids(star.alerts(spark, d, with_evidence=False), ids)
+    return remaining.select("id", "machineId", "status")
+
+
 def indicator_upsert(spark: SparkSession, d: str) -> DataFrame:
     """URL indicators (Audit) upserted with Block for URLs carrying a query string."""
     from .operators.updates import upsert
@@ -666,6 +707,9 @@ REPORTS.update({
     "remediation_machines": remediation_machines,
     "remediation_progress": remediation_progress,
     "alert_create": alert_create,
+    "alert_create_table": alert_create_table,
+    "alert_create_rejected": alert_create_rejected,
+    "alert_delete_remaining": alert_delete_remaining,
     "indicator_upsert": indicator_upsert,
     "machine_value_update": machine_value_update,
     "export_roundtrip": export_roundtrip,

@@ -201,6 +201,11 @@ KB = """kb AS (
   SELECT recommendedSecurityUpdateId AS id, count(DISTINCT deviceId) AS machineMissedOn, count(DISTINCT cveId) AS cveAddressed
   FROM av WHERE recommendedSecurityUpdateId IS NOT NULL GROUP BY 1)"""
 
+REQUESTS = """SELECT CAST(user_id AS VARCHAR) AS machineId,
+    CASE event_type WHEN 'purchase' THEN 'High' WHEN 'view' THEN 'Low' WHEN 'click' THEN 'Medium'
+      WHEN 'error' THEN 'Severe' ELSE 'Informational' END AS severity,
+    CAST(event_id AS VARCHAR) AS reportId, ts, event_type FROM events"""
+
 DELTA = """d AS (
   SELECT CAST(user_id AS VARCHAR) AS id, 'CVE-' || CAST(user_id % 100 AS VARCHAR) AS cveId,
     CASE event_type WHEN 'signup' THEN 'New' WHEN 'purchase' THEN 'Fixed' WHEN 'error' THEN 'Fixed' ELSE 'Updated' END AS status,
@@ -333,6 +338,11 @@ FROM d WHERE eventTimestamp >= TIMESTAMP '2024-01-20 00:00:00' AND status IN ('N
   strftime(date_trunc('day', eventTimestamp) + INTERVAL 1 DAY, {TS}) AS windowEnd, status, count(*) AS changes
 FROM d GROUP BY 1, 2, 3""",
 
+    "change_counts_stream": w(DELTA) + f"""SELECT strftime(date_trunc('day', eventTimestamp), {TS}) AS windowStart,
+  strftime(date_trunc('day', eventTimestamp) + INTERVAL 1 DAY, {TS}) AS windowEnd, status, count(*) AS changes
+FROM d WHERE date_trunc('day', eventTimestamp) + INTERVAL 1 DAY <= (SELECT max(eventTimestamp) - INTERVAL 1 HOUR FROM d)
+GROUP BY 1, 2, 3""",
+
     "machine_contract_nulls": """SELECT * FROM (VALUES ('id'), ('isPotentialDuplication'), ('isExcluded'), ('healthStatus'),
   ('deviceValue'), ('rbacGroupId'), ('exposureLevel'), ('onboardingStatus')) AS t("column")
   CROSS JOIN (SELECT CAST(0 AS BIGINT) AS violations)
@@ -441,9 +451,25 @@ FROM t LEFT JOIN still ON t.rec = still.rec AND t.machineId = still.machineId GR
   FROM events)
 SELECT 'ref_' || reportId || '_' || r.machineId AS id, r.machineId, c.c_name AS computerDnsName, severity, 'New' AS status,
   strftime(ts, {TS}) AS created
-FROM r LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = r.machineId
+FROM r JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = r.machineId
 WHERE severity IN {_in_list('ALERT_SEVERITY')} AND event_type <> 'signup'""",
 
+    "alert_create_table": w(A) + f""", r AS ({REQUESTS})
+SELECT id, machineId, severity, status FROM a
+UNION ALL SELECT 'ref_' || reportId || '_' || machineId, machineId, severity, 'New' FROM r
+JOIN customer ON CAST(c_custkey AS VARCHAR) = machineId WHERE severity IN {_in_list('ALERT_SEVERITY')} AND event_type <> 'signup'""",
+
+    "alert_create_rejected": f"""WITH r AS ({REQUESTS})
+SELECT reportId, machineId, concat_ws('; ',
+  CASE WHEN severity NOT IN {_in_list('ALERT_SEVERITY')} THEN 'severity must be one of ALERT_SEVERITY' END,
+  CASE WHEN event_type = 'signup' THEN 'category must be one of IOA_CATEGORY; category cannot be Unknown' END,
+  CASE WHEN c_custkey IS NULL THEN 'machineId is not a known machine' END) AS errors
+FROM r LEFT JOIN customer ON CAST(c_custkey AS VARCHAR) = machineId
+WHERE severity NOT IN {_in_list('ALERT_SEVERITY')} OR event_type = 'signup' OR c_custkey IS NULL""",
+
+    "alert_delete_remaining": w(A) + """SELECT id, machineId, status FROM a
+WHERE id NOT IN (SELECT CAST(event_id * 2 AS VARCHAR) FROM events)""",
+
     "indicator_upsert": """WITH ex AS (SELECT url AS indicatorValue, 'Url' AS indicatorType, 'Audit' AS action FROM pages),
 ch AS (SELECT url AS indicatorValue, 'Url' AS indicatorType, 'Block' AS action, page_id FROM pages WHERE contains(url, '?')),
 chl AS (SELECT indicatorValue, indicatorType, action FROM (

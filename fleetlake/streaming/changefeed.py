@@ -3,13 +3,11 @@
 * S12: landed export blobs are read incrementally (``maxFilesPerTrigger``
   bounds the work per micro-batch) and conformed; the checkpoint gives
   exactly-once file processing across restarts and executor loss.
-* X3: vulnerability changes are de-duplicated within a watermark on the
-  event time, and each micro-batch is applied to the snapshot table with
-  the batch operator (X2). The snapshot lives as a table under the shared
-  checkpoint folder; each batch writes a new version and the next batch
-  reads it back, so lineage never grows across batches. Events older than
-  the watermark are dropped by the stream -- the batch X2 over the full
-  delta export is the reconciler.
+* X3: each micro-batch of vulnerability changes is applied to the snapshot
+  table with the batch operator (X2), which takes repeats and late events in
+  any order; no watermark stands before it. The snapshot lives in parts under a
+  shared folder; a batch writes new versions of the parts it touches and the
+  next batch reads them back, so lineage never grows across batches.
 * X4: change counts per event-time window and status, append mode: a
   window is emitted once the watermark passes its end.
 
@@ -66,26 +64,78 @@ def change_counts_batch(changes: DataFrame, *, window: str = "1 day", event_time
                            status, "changes"))
 
 
+#: Parts of a stored snapshot; a batch rewrites only the parts that its keys fall into.
+PARTS = 32
+
+
+def _part(key: str, parts: int):
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(parts)).cast("int")
+
+
+def _listing(spark: SparkSession, snapshot_path: str, before: int | None = None) -> dict[int, tuple[int, str]]:
+    """part -> (version, folder) of the newest complete version of each part, from the folder
+    listing (at most versions x parts names; :func:`drop_old_versions` keeps them few)."""
+    jvm = spark._jvm  # noqa: SLF001 - the file system that Spark itself uses
+    root = jvm.org.apache.hadoop.fs.Path(snapshot_path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    newest: dict[int, tuple[int, str]] = {}
+    for v in fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "v=*")) or []:
+        version = int(v.getPath().getName()[2:])
+        if (before is not None and version >= before) or not fs.exists(jvm.org.apache.hadoop.fs.Path(v.getPath(), "_SUCCESS")):
+            continue
+        for part in fs.listStatus(v.getPath()):
+            name = part.getPath().getName()
+            if name.startswith("part_no="):
+                k = int(name[8:])
+                if k not in newest or newest[k][0] < version:
+                    newest[k] = (version, part.getPath().toString())
+    return newest
+
+
+def _read_parts(spark: SparkSession, snapshot_path: str, folders: list[tuple[int, str]]) -> DataFrame:
+    """The rows of some parts; versions may differ in columns (order columns come with the first change)."""
+    out = spark.read.parquet(os.path.join(snapshot_path, "schema"))
+    by_version: dict[int, list[str]] = {}
+    for version, folder in folders:
+        by_version.setdefault(version, []).append(folder)
+    for _, paths in sorted(by_version.items()):
+        out = out.unionByName(spark.read.parquet(*paths), allowMissingColumns=True)
+    return out
+
+
+def _write_parts(df: DataFrame, snapshot_path: str, version: int, key: str, parts: int) -> None:
+    (df.withColumn("part_no", _part(key, parts)).repartition("part_no").write.mode("overwrite")
+       .partitionBy("part_no").parquet(os.path.join(snapshot_path, f"v={version:012d}")))
+
+
 def apply_changes_stream(changes: DataFrame, snapshot_path: str, *, key: str = "id",
                          order: list[str] | None = None, terminal: tuple[str, ...] = DEFAULT_TERMINAL,
-                         checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+                         checkpoint: str | None = None, trigger: dict | None = None, parts: int = PARTS) -> StreamingQuery:
     """Apply each micro-batch of changes to the parquet snapshot at ``snapshot_path``.
 
-    Versions are written to ``snapshot_path/v=<batch>``; ``latest_snapshot``
-    reads the newest complete one. Keys removed by a terminal event stay in
-    the stored table as tombstones (so an older event arriving in a later
-    batch cannot bring them back) and are filtered out on read. A replayed
-    batch id rewrites the same version, so a retried batch is idempotent.
+    No event is late: applying changes is idempotent and takes only what is newer
+    than the stored row, so repeated and older events, in any batch, leave the state
+    that the batch operator (X2) gives over all of them. Keys removed by a terminal
+    event stay as tombstones (an older event cannot bring them back) and are filtered
+    out on read. The snapshot is kept in ``parts`` by a hash of the key; a batch reads
+    and rewrites only the parts that it touches, as version ``batch + 1``. A replayed
+    batch reads the versions before its own and rewrites the same one.
     """
     spark = changes.sparkSession
     ckpt = checkpoint or scratch_path(spark, "changefeed-checkpoint")
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        current = latest_snapshot(spark, snapshot_path, live_only=False)
-        new = apply_changes(current, batch, key=key, order=order, terminal=terminal, keep_terminal=True)
-        new.write.mode("overwrite").parquet(os.path.join(snapshot_path, f"v={batch_id + 1:012d}"))
+        batch = batch.persist()
+        try:
+            touched = sorted(r[0] for r in batch.select(_part(key, parts)).distinct().collect())  # at most `parts` numbers
+            if not touched:
+                return
+            stored = _listing(spark, snapshot_path, before=batch_id + 1)
+            current = _read_parts(spark, snapshot_path, [stored[k] for k in touched if k in stored])
+            new = apply_changes(current, batch, key=key, order=order, terminal=terminal, keep_terminal=True)
+            _write_parts(new, snapshot_path, batch_id + 1, key, parts)
+        finally:
+            batch.unpersist()
 
     w = changes.writeStream.foreachBatch(apply_batch).option("checkpointLocation", ckpt)
     w = w.trigger(**(trigger or {"availableNow": True}))
@@ -94,20 +144,32 @@ def apply_changes_stream(changes: DataFrame, snapshot_path: str, *, key: str = "
 
 def latest_snapshot(spark: SparkSession, snapshot_path: str, *, live_only: bool = True, status: str = "status",
                     terminal: tuple[str, ...] = DEFAULT_TERMINAL) -> DataFrame:
-    """The newest snapshot version.
-
-    Versions are ``v=`` folders under one path; the max version is answered
-    from the partition listing, then only that folder is read. Spark's commit
-    protocol only publishes complete versions.
-    """
-    newest = spark.read.parquet(snapshot_path).agg(F.max("v")).first()[0]
-    # Read the newest version's own folder: versions may differ in columns.
-    snap = spark.read.parquet(os.path.join(snapshot_path, f"v={int(newest):012d}"))
+    """The newest version of every part, found in the folder listing. Only versions that Spark's
+    commit protocol has completed count."""
+    snap = _read_parts(spark, snapshot_path, list(_listing(spark, snapshot_path).values()))
     if live_only:
         snap = snap.filter(~F.coalesce(F.col(status).isin(list(terminal)), F.lit(False)))
     return snap
 
 
-def write_initial_snapshot(snapshot: DataFrame, snapshot_path: str) -> None:
-    """Version 0 of the snapshot table."""
-    snapshot.write.mode("overwrite").parquet(os.path.join(snapshot_path, "v=000000000000"))
+def write_initial_snapshot(snapshot: DataFrame, snapshot_path: str, *, key: str = "id", parts: int = PARTS) -> None:
+    """Version 0 of the snapshot table; it may be empty."""
+    snapshot.limit(0).coalesce(1).write.mode("overwrite").parquet(os.path.join(snapshot_path, "schema"))
+    _write_parts(snapshot, snapshot_path, 0, key, parts)
+
+
+def drop_old_versions(spark: SparkSession, snapshot_path: str, *, keep: int = 2) -> int:
+    """Remove parts that ``keep`` newer versions of the same part have replaced; the number of
+    folders removed. To be called when no reader or batch is at work on those."""
+    jvm = spark._jvm  # noqa: SLF001
+    root = jvm.org.apache.hadoop.fs.Path(snapshot_path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    newest, dropped = _listing(spark, snapshot_path), 0
+    versions: dict[int, list] = {}
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "v=*/part_no=*")) or []:
+        versions.setdefault(int(st.getPath().getName()[8:]), []).append(st.getPath())
+    for k, found in versions.items():
+        complete = [p for p in found if k in newest and int(p.getParent().getName()[2:]) <= newest[k][0]]
+        for p in sorted(complete, key=lambda p: int(p.getParent().getName()[2:]))[:-keep]:
+            dropped += bool(fs.delete(p, True))
+    return dropped

@@ -41,14 +41,38 @@ def test_stream_equals_batch(spark, tmp):
     delta.repartition(3).write.parquet(f"{tmp}/delta")
     CF.write_initial_snapshot(snap, f"{tmp}/snap")
     stream = spark.readStream.schema(delta.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/delta")
-    q = CF.apply_changes_stream(CF.dedup_changes(stream, key=["id", "eventTimestamp", "eventId"], delay="30 days"),
-                                f"{tmp}/snap", order=["eventTimestamp", "eventId"], checkpoint=f"{tmp}/ckpt")
+    q = CF.apply_changes_stream(stream, f"{tmp}/snap", order=["eventTimestamp", "eventId"], checkpoint=f"{tmp}/ckpt")
     q.awaitTermination()
     got = CF.latest_snapshot(spark, f"{tmp}/snap").select(*snap.columns)
     exp = apply_changes(snap, delta, order=["eventTimestamp", "eventId"])
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
 
 
+def test_late_events_in_later_triggers_empty_start_and_touched_parts(spark, tmp):
+    """Three triggers, each older than the one before, onto an empty table: as X2 over all events."""
+    snap, _ = frames(spark)
+    kind = "id string, cveId string, status string, eventTimestamp timestamp, cvssScore double, eventId bigint"
+    days = [[("k1", "c", "New", T(2024, 3, 9), 1.0, 9), ("k2", "c", "Fixed", T(2024, 3, 9), 1.0, 10)],
+            [("k3", "c", "New", T(2024, 3, 2), 2.0, 3), ("k1", "c", "Fixed", T(2024, 3, 1), 1.0, 2)],
+            [("k2", "c", "New", T(2024, 3, 1), 3.0, 1), ("k4", "c", "New", T(2023, 1, 1), 4.0, 0)]]
+    CF.write_initial_snapshot(snap.limit(0), f"{tmp}/snap")
+    assert CF.latest_snapshot(spark, f"{tmp}/snap").count() == 0
+    for i, rows in enumerate(days):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(f"{tmp}/delta")
+        stream = spark.readStream.schema(spark.read.parquet(f"{tmp}/delta").schema).parquet(f"{tmp}/delta")
+        CF.apply_changes_stream(stream, f"{tmp}/snap", order=["eventTimestamp", "eventId"], checkpoint=f"{tmp}/ckpt").awaitTermination()
+    everything = spark.createDataFrame([r for d in days for r in d], kind)
+    exp = apply_changes(snap.limit(0), everything, order=["eventTimestamp", "eventId"])
+    got = CF.latest_snapshot(spark, f"{tmp}/snap").select(*snap.columns)
+    assert {r.id for r in got.collect()} == {"k1", "k3", "k4"}
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    parts = CF._listing(spark, f"{tmp}/snap")
+    written = [f for v in sorted(__import__("os").listdir(f"{tmp}/snap")) if v > "v=000000000000" and v.startswith("v=") for f in __import__("os").listdir(f"{tmp}/snap/{v}") if "=" in f]
+    assert len(parts) <= 4 and len(written) <= 6  # only what a batch touches is rewritten
+    assert CF.drop_old_versions(spark, f"{tmp}/snap", keep=1) == len(written) - len(parts)
+    assert CF.latest_snapshot(spark, f"{tmp}/snap").count() == 3
+
+
 def test_window_counts(spark):
     _, delta = frames(spark)
     rows = {(r.windowStart.day, r.status): r.changes for r in CF.change_counts_batch(delta).collect()}
