@@ -88,4 +88,53 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_lattice, op2_license_scan, op3_simhash, op4_best_fit_packing, op5_suffix_array, op6_token_counts, op7_html_main_text, op8_soft_mixing,
                                    op9_quality_rules, op10_quality_classifier)}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_lattice": """WITH RECURSIVE g AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+n AS (SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM g WHERE list_dot_product(e, e) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach(id, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT links.a, reach.other FROM links JOIN reach ON links.b = reach.id),
+least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+many AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON vec_id = id LEFT JOIN many ON vec_id = a""",
+    "op9_quality_rules": """WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+ls AS (
+  SELECT doc_id, line, i, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS again,
+    list_sum(list_transform(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+'), lambda y: length(y))) AS chars
+  FROM (SELECT doc_id, unnest(string_split(x, chr(10))) AS line, generate_subscripts(string_split(x, chr(10)), 1) AS i FROM t)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (again) AS n_dup_lines, coalesce(sum(chars) FILTER (again), 0) AS dup_line_chars
+  FROM ls GROUP BY doc_id),
+windows AS (
+  SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM t CROSS JOIN (SELECT unnest([3, 5, 6, 7, 8, 9, 10]) AS k) WHERE len(w) >= k),
+grams AS (
+  SELECT doc_id, k, i, count(*) OVER same AS many, row_number() OVER (PARTITION BY doc_id, k, gram ORDER BY i) AS nth
+  FROM (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS gram FROM windows) WINDOW same AS (PARTITION BY doc_id, k, gram)),
+cover AS (
+  SELECT DISTINCT doc_id, k, i + j AS p FROM grams CROSS JOIN (SELECT unnest(range(0, 10)) AS j)
+  WHERE j < k AND CASE WHEN k = 3 THEN many > 1 ELSE nth > 1 END),
+inside AS (
+  SELECT doc_id, k, count(*) AS words, sum(length(w[p])) AS chars FROM cover JOIN t USING (doc_id) GROUP BY doc_id, k),
+c AS (
+  SELECT doc_id, coalesce(max(words) FILTER (k = 3), 0) AS n_repeat_words, coalesce(max(chars) FILTER (k = 5), 0) AS c5,
+    coalesce(max(chars) FILTER (k = 6), 0) AS c6, coalesce(max(chars) FILTER (k = 7), 0) AS c7, coalesce(max(chars) FILTER (k = 8), 0) AS c8,
+    coalesce(max(chars) FILTER (k = 9), 0) AS c9, coalesce(max(chars) FILTER (k = 10), 0) AS c10
+  FROM inside GROUP BY doc_id),
+m AS (
+  SELECT t.doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda y: length(y))), 0) AS BIGINT) AS word_chars,
+    length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, CAST(coalesce(dup_line_chars, 0) AS BIGINT) AS dup_line_chars,
+    CAST(coalesce(c5, 0) AS BIGINT) AS dup_chars_5, CAST(coalesce(c6, 0) AS BIGINT) AS dup_chars_6, CAST(coalesce(c7, 0) AS BIGINT) AS dup_chars_7,
+    CAST(coalesce(c8, 0) AS BIGINT) AS dup_chars_8, CAST(coalesce(c9, 0) AS BIGINT) AS dup_chars_9, CAST(coalesce(c10, 0) AS BIGINT) AS dup_chars_10
+  FROM t LEFT JOIN lines USING (doc_id) LEFT JOIN c USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT *, NOT (base_failed OR n_dup_lines > CAST(0.3 AS DOUBLE) * n_lines OR dup_line_chars > CAST(0.2 AS DOUBLE) * word_chars
+  OR dup_chars_5 > CAST(0.15 AS DOUBLE) * word_chars OR dup_chars_6 > CAST(0.14 AS DOUBLE) * word_chars OR dup_chars_7 > CAST(0.13 AS DOUBLE) * word_chars
+  OR dup_chars_8 > CAST(0.12 AS DOUBLE) * word_chars OR dup_chars_9 > CAST(0.11 AS DOUBLE) * word_chars
+  OR dup_chars_10 > CAST(0.1 AS DOUBLE) * word_chars) AS kept FROM f""",
+}

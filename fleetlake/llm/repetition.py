@@ -105,8 +105,8 @@ def quality_rules(docs: DataFrame, *, gram_limits: dict[int, float] | None = Non
                   line_chars_limit: float = LINE_CHARS_LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: the base measures (``n_words``, ``word_chars``, ``n_symbols``,
     ``n_dup_lines``, ``n_repeat_words``), ``base_failed``, ``kept``, and what ``kept`` rests on:
-    ``n_lines``, ``dup_line_chars`` and ``dup_gram_chars`` (characters inside later occurrences of
-    n-grams, in order of their lengths).
+    ``n_lines``, ``dup_line_chars`` and, for each n-gram length n, ``dup_chars_n`` (characters inside
+    later occurrences of n-grams).
 
     ``base_failed``: fewer than 50 words, or over half the words in repeated 3-word windows.
     ``kept``: not that, and no share above its limit. A null or empty text has no words and
@@ -123,4 +123,5 @@ def quality_rules(docs: DataFrame, *, gram_limits: dict[int, float] | None = Non
     for k, limit in enumerate(limits.values()):
         over = over | (F.col("dup_gram_chars")[k] > limit * F.col("word_chars"))
     return out.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                      failed.alias("base_failed"), (~failed & ~over).alias("kept"), "n_lines", "dup_line_chars", "dup_gram_chars")
+                      failed.alias("base_failed"), (~failed & ~over).alias("kept"), "n_lines", "dup_line_chars",
+                      *[F.col("dup_gram_chars")[k].alias(f"dup_chars_{length}") for k, length in enumerate(limits)])

@@ -247,7 +247,7 @@ def test_repetition_query(spark, odd_docs):
         for r in got:
             assert r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"])
             over = r["n_dup_lines"] > 0.3 * r["n_lines"] or r["dup_line_chars"] > 0.2 * r["word_chars"] or any(
-                c > limit * r["word_chars"] for c, limit in zip(r["dup_gram_chars"], repetition.GRAM_LIMITS.values()))
+                r[f"dup_chars_{n}"] > limit * r["word_chars"] for n, limit in repetition.GRAM_LIMITS.items())
             assert r["kept"] == (not r["base_failed"] and not over)
     assert repetition.quality_rules(odd_docs.limit(0)).count() == 0
 
