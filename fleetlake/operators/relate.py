@@ -142,10 +142,18 @@ def conform_cols(name: str) -> list[str]:
 
 def alert_domains(alerts: DataFrame, alert_ids=None) -> DataFrame:
     """Hosts per alert: the nested ``domains`` plus hosts of evidence URLs."""
-    a = _restrict(alerts, "id", alert_ids)
-    nested = a.select(F.col("id").alias("alertId"), F.explode("domains.host").alias("host"))
-    ev = evidence_bridge(a).select("alertId", url_host("url").alias("host"))
-    return nested.unionByName(ev).dropna().distinct()
+    return _host_pairs(_restrict(alerts, "id", alert_ids)).select("alertId", "host").distinct()
+
+
+def _values_of(alerts: DataFrame, name: str, *lists) -> DataFrame:
+    """(alertId, machineId, name): each distinct non-null value of the alerts' lists, in one pass."""
+    none = F.array().cast("array<string>")
+    every = F.array_distinct(F.concat(*[F.coalesce(x, none) for x in lists]))
+    return alerts.select(F.col("id").alias("alertId"), "machineId", F.explode(every).alias(name)).where(F.col(name).isNotNull())
+
+
+def _host_pairs(alerts: DataFrame) -> DataFrame:
+    return _values_of(alerts, "host", F.col("domains.host"), F.transform("evidence", lambda e: url_host(e.getField("url"))))
 
 
 def alert_files(alerts: DataFrame, files: DataFrame, alert_ids=None) -> DataFrame:
@@ -195,21 +203,21 @@ def _machines_of(pairs: DataFrame, key: str, machines: DataFrame) -> DataFrame:
 
 def domain_machines(alerts: DataFrame, machines: DataFrame, hosts=None) -> DataFrame:
     """Machines with alerts touching the hosts (J12 then J10), distinct."""
-    return _machines_of(domain_alerts(alerts, hosts), "host", machines)
+    return _machines_of(_restrict(_host_pairs(alerts), "host", hosts), "host", machines)
 
 
 def file_alerts(alerts: DataFrame, hashes=None) -> DataFrame:
     """Alerts with file evidence matching the hashes (SHA-1 or SHA-256)."""
-    ev = evidence_bridge(alerts)
-    by1 = ev.select(F.col("sha1").alias("hash"), "alertId")
-    by256 = ev.select(F.col("sha256").alias("hash"), "alertId")
-    pairs = _restrict(by1.unionByName(by256).dropna(), "hash", hashes)
-    return _alerts_by_id(alerts, pairs, "hash")
+    return _alerts_by_id(alerts, _restrict(_hash_pairs(alerts), "hash", hashes), "hash")
+
+
+def _hash_pairs(alerts: DataFrame) -> DataFrame:
+    return _values_of(alerts, "hash", F.col("evidence.sha1"), F.col("evidence.sha256"))
 
 
 def file_machines(alerts: DataFrame, machines: DataFrame, hashes=None) -> DataFrame:
     """Machines with alerts on the files (J14 then J10), distinct."""
-    return _machines_of(file_alerts(alerts, hashes), "hash", machines)
+    return _machines_of(_restrict(_hash_pairs(alerts), "hash", hashes), "hash", machines)
 
 
 def ip_alerts(alerts: DataFrame, ips=None) -> DataFrame:
@@ -220,10 +228,8 @@ def ip_alerts(alerts: DataFrame, ips=None) -> DataFrame:
 
 def user_alerts(alerts: DataFrame, accounts=None) -> DataFrame:
     """Alerts whose related user or any evidence account is the account."""
-    rel = alerts.select(F.col("relatedUser.userName").alias("accountName"), F.col("id").alias("alertId"))
-    ev = evidence_bridge(alerts).select("accountName", "alertId")
-    pairs = _restrict(rel.unionByName(ev).dropna(), "accountName", accounts)
-    return _alerts_by_id(alerts, pairs, "accountName")
+    named = _values_of(alerts, "accountName", F.array("relatedUser.userName"), F.col("evidence.accountName"))
+    return _alerts_by_id(alerts, _restrict(named, "accountName", accounts), "accountName")
 
 
 def user_machines(logons: DataFrame, machines: DataFrame, accounts=None) -> DataFrame:
@@ -297,5 +303,6 @@ def remediation_machines(tasks: DataFrame, vuln_inventory: DataFrame, machines:
     """Machines targeted by remediation tasks (task -> recommendation -> J24)."""
     t = _restrict(tasks, "id", task_ids).select(F.col("id").alias("taskId"),
                                                 F.col("recommendationReference").alias("recommendationId"))
-    assets = recommendation_machines(vuln_inventory, machines)
+    wanted = None if task_ids is None else t.select("recommendationId").dropna().distinct()
+    assets = recommendation_machines(vuln_inventory, machines, wanted)
     return t.join(assets, "recommendationId", "inner")
