@@ -3,13 +3,14 @@ import pytest
 
 import __spark_entry__ as E
 from fleetlake.functions.query_models import MachinesQuery
+from fleetlake.reports import REPORTS
 from fleetlake.sources import star
 
 SF = "/root/testdata/sf0.001"
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas", "PythonUDF")
 CROSS_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
 # Registered queries that land files or run a stream while being built are checked by the oracle tests instead.
-SIDE_EFFECT = {"vulnerability_changes_stream", "export_roundtrip", "page_roundtrip", "av_export_files"}
+SIDE_EFFECT = {"vulnerability_changes_stream", "change_counts_stream", "export_roundtrip", "page_roundtrip", "av_export_files"}
 
 
 def plan(df) -> str:
@@ -47,7 +48,13 @@ def test_top_k_names_use_group_limit_before_shuffle(spark):
     assert "WindowGroupLimit" in p
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECT))
+@pytest.mark.parametrize("name, scans", [("domain_machines", 1), ("file_machines", 1), ("alert_domains", 1)])
+def test_evidence_is_built_once(spark, name, scans):
+    p = plan(E.queries()[name](spark, SF))
+    assert p.count("lineitem.parquet") == scans, p.count("lineitem.parquet")
+
+
+@pytest.mark.parametrize("name", sorted(set(REPORTS) - SIDE_EFFECT))
 def test_no_python_and_no_cross_joins(spark, name):
     p = plan(E.queries()[name](spark, SF))
     assert not any(n in p for n in PYTHON_NODES), name
