@@ -40,13 +40,66 @@ def machines_filtered_top(spark: SparkSession, d: str) -> DataFrame:
 
 
 def alerts_since_page(spark: SparkSession, d: str) -> DataFrame:
-    """Q3 + F2/F3/F7 + L2/L3: open high alerts since 1998-01-01 (naive = UTC), skip 20, take 50."""
+    """Q3 + F2/F7 + L2/L3: open high alerts since 1998-01-01 (naive = UTC), skip 20, take 50."""
     q = AlertsQuery(status=["New", "InProgress"], severity="High", sinceTime=datetime(1998, 1, 1), top=50, skip=20)
     a = star.alerts(spark, d, with_evidence=False)
     out = q.apply(a, order_by=[F.col("alertCreationTime").desc(), F.col("id")])
     return out.select("id", "machineId", "status", "severity", _ts("alertCreationTime").alias("created"))
 
 
+def alerts_created_at(spark: SparkSession, d: str) -> DataFrame:
+    """Q3 + F3: alerts created exactly at one time (a naive datetime is UTC)."""
+    q = AlertsQuery(alertCreationTime=datetime(1998, 1, 1))
+    return q.apply(star.alerts(spark, d, with_evidence=False)).select("id", "machineId", "severity")
+
+
+def machine_by_id(spark: SparkSession, d: str) -> DataFrame:
+    """one machine by id."""
+    return P.by_id(star.machines(spark, d), "42").select("id", "computerDnsName", "riskScore")
+
+
+def machines_by_event_ids(spark: SparkSession, d: str) -> DataFrame:
+    """machines whose id is among the users of the events (a key frame, not a literal list)."""
+    ids = star.table(spark, d, "events").select(F.col("user_id").cast("string").alias("id"))
+    return P.lookup_ids(star.machines(spark, d), ids).select("id", "riskScore")
+
+
+def changes_since_day(spark: SparkSession, d: str) -> DataFrame:
+    """F8: vulnerability changes since a day given as text."""
+    out = star.vulnerability_changes(spark, d).filter(P.since_day("eventTimestamp", "2024-01-15"))
+    return out.select("id", "status", "eventId")
+
+
+def vulnerabilities_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """Q8 + F4: catalog vulnerabilities by severity; a filter that is None is left out."""
+    from .functions.query_models import VulnerabilitiesQuery
+
+    return VulnerabilitiesQuery(severity=["High", "Medium"], name=None).apply(star.vulnerability_catalog(spark, d)).select("id", "name", "severity")
+
+
+def software_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """Q7: catalog software of one vendor."""
+    from .functions.query_models import SoftwareQuery
+
+    return SoftwareQuery(vendor="vendor3").apply(star.software_catalog(spark, d)).select("id", "name", "vendor")
+
+
+def recommendations_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """Q10: recommendations about the products of one vendor."""
+    from .functions.query_models import RecommendationQuery
+
+    return RecommendationQuery(vendor=["vendor1", "vendor2"]).apply(star.recommendations(spark, d)).select("id", "vendor", "productName")
+
+
+def indicators_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """Q6: submitted URL indicators that block or warn."""
+    from .functions.query_models import IndicatorsQuery
+    from .operators.conform import conform
+
+    subs = conform(star.indicator_submissions(spark, d), "indicator")
+    return IndicatorsQuery(indicatorType="Url", action=["Block", "Warn"]).apply(subs, order_by="indicatorValue").select("indicatorValue", "action", "title")
+
+
 def machines_tag_prefix(spark: SparkSession, d: str) -> DataFrame:
     """machines with a tag starting with 'nation-1', plus an exact-tag flag."""
     m = star.machines(spark, d)
@@ -173,6 +226,14 @@ REPORTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "machines_filtered_top": machines_filtered_top,
     "alerts_since_page": alerts_since_page,
     "machines_tag_prefix": machines_tag_prefix,
+    "alerts_created_at": alerts_created_at,
+    "machine_by_id": machine_by_id,
+    "machines_by_event_ids": machines_by_event_ids,
+    "changes_since_day": changes_since_day,
+    "vulnerabilities_filtered": vulnerabilities_filtered,
+    "software_filtered": software_filtered,
+    "recommendations_filtered": recommendations_filtered,
+    "indicators_filtered": indicators_filtered,
     "machines_distinct_ipv4": machines_distinct_ipv4,
     "machines_find_by_ip": machines_find_by_ip,
     "page_url_redaction": page_url_redaction,

@@ -495,3 +495,22 @@ UNION ALL SELECT 'rbacGroupId', count(*) FILTER (WHERE c_acctbal < 0) FROM custo
 
     "event_write_batches": """SELECT count(*) AS rows, true AS withinLimit, true AS enoughBatches FROM events""",
 })
+
+SQL.update({
+    "alerts_created_at": w(A) + "SELECT id, machineId, severity FROM a WHERE alertCreationTime = TIMESTAMP '1998-01-01 00:00:00'",
+
+    "machine_by_id": w(M) + "SELECT id, computerDnsName, riskScore FROM m WHERE id = '42'",
+
+    "machines_by_event_ids": w(M) + "SELECT id, riskScore FROM m WHERE id IN (SELECT CAST(user_id AS VARCHAR) FROM events)",
+
+    "changes_since_day": w(DELTA) + "SELECT id, status, eventId FROM d WHERE eventTimestamp >= TIMESTAMP '2024-01-15 00:00:00'",
+
+    "vulnerabilities_filtered": w(VC) + "SELECT id, name, severity FROM vc WHERE severity IN ('High', 'Medium')",
+
+    "software_filtered": w(SC) + "SELECT id, name, vendor FROM sc WHERE vendor = 'vendor3'",
+
+    "recommendations_filtered": w(RC) + "SELECT id, vendor, productName FROM rc WHERE vendor IN ('vendor1', 'vendor2')",
+
+    "indicators_filtered": w(SUBMISSIONS) + """SELECT indicatorValue, action, title FROM s
+WHERE indicatorType = 'Url' AND action IN ('Block', 'Warn')""",
+})
