@@ -18,9 +18,18 @@ from pyspark.sql import functions as F
 from fleetlake.session import ensure_checkpoint_dir, ship_package
 
 
+#: Rows and bytes of a batch that goes to an Arrow function: whole texts are large rows.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
 def prepare(spark: SparkSession) -> None:
-    """Make the package importable in the executors' Python workers."""
+    """Make the package importable in the executors' Python workers, and keep the batches that
+    go there small (a smaller setting of the session stays)."""
     ship_package(spark)
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
