@@ -34,6 +34,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -227,14 +228,29 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.Re
                 names=["id", "h", "key", "context", "pos"])
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column, a text, as compressed bytes in ``packed``: texts are shuffled twice."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        n = batch.num_columns - 1
+        yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array([pack(t) for t in utf8(batch.column(n))], pa.binary())],
+                                         names=[*batch.schema.names[:n], "packed"])
+
+
+def _pack(df: DataFrame) -> DataFrame:
+    """``df`` whose last column is ``text``, with ``packed`` in its place."""
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema[:-1])
+    return df.mapInArrow(_packed, f"{fields}, packed binary")
+
+
 _CONTEXT = pa.schema([("key", pa.int64()), ("context", pa.int64()), ("n", pa.int64()), ("big", pa.bool_()), ("lhs", pa.binary()), ("rhs", pa.binary())])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
-    width = span // 2
-    for batch in slices(batches, "text", 2 << 20):
+    width, unpack = span // 2, zstandard.ZstdDecompressor().decompress
+    for batch in slices(batches, "packed", 1 << 20):
         out: list[list] = [[] for _ in _CONTEXT]
-        for text, wanted in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+        for text, wanted in zip(map(unpack, utf8(batch.column(0))), batch.column(1).to_pylist(), strict=True):
             for w in wanted:
                 a = w["pos"]
                 for column, v in zip(out, (w["key"], w["context"], w["n"], w["big"], text[max(0, a - width + 1) : a][::-1], text[a : a + span]), strict=True):
@@ -273,6 +289,7 @@ def repeated_spans(docs: DataFrame, *, span: int = SPAN, most_sorted: int = MOST
     found = written(docs.select("id", "h", "text").mapInArrow(
         partial(_anchor_rows, span=span), f"id {kind}, h long, key long, context long, pos long"), "anchors")
     often = found.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("key").alias("key_"))
+    often = written(often, "often")  # a plain side, so that a hot key's rows can be split in the join
     found = written(found.join(often, F.col("key") == F.col("key_")).drop("key_"), "anchors")
     # one place of every context, and how often it occurs; groups too large for one sort are marked
     places = found.groupBy("key", "context").agg(F.count("*").alias("n"), F.min(F.struct("id", "h", "pos")).alias("at"))
@@ -282,9 +299,9 @@ def repeated_spans(docs: DataFrame, *, span: int = SPAN, most_sorted: int = MOST
     wanted = places.groupBy("at.id", "at.h").agg(F.collect_list(F.struct(
         "at.pos", "key", "context", "n", F.coalesce("_big", F.lit(False)).alias("big"))).alias("wanted"))
     # Rows that repeat id and text are one text to look in.
-    texts = docs.join(wanted.select(F.col("id").alias("id_"), F.col("h").alias("h_"), "wanted"),
+    texts = _pack(docs.select("id", "h", "text")).join(wanted.select(F.col("id").alias("id_"), F.col("h").alias("h_"), "wanted"),
                       F.col("id").eqNullSafe(F.col("id_")) & (F.col("h") == F.col("h_")))
-    contexts = texts.select("text", "wanted").mapInArrow(
+    contexts = texts.select("packed", "wanted").mapInArrow(
         partial(_contexts, span=span), "key long, context long, n long, big boolean, lhs binary, rhs binary")
     contexts = written(contexts, "contexts")
     small = contexts.where("not big").repartition("key").sortWithinPartitions("key", "context").mapInArrow(
@@ -321,10 +338,11 @@ _COUNTS = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.in
 
 def _cut(batches: Iterator[pa.RecordBatch], as_text: bool) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([*_COUNTS, ("text", pa.string()) if as_text else ("kept", pa.binary())])
-    for batch in slices(batches, "_text"):
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in slices(batches, "packed", 2 << 20):
         n = batch.num_columns
         sizes, removed, count, kept = [], [], [], []
-        for text, spans in zip(utf8(batch.column(n - 2)), batch.column(n - 1).to_pylist(), strict=True):
+        for text, spans in zip(map(unpack, utf8(batch.column(n - 2))), batch.column(n - 1).to_pylist(), strict=True):
             at, parts = 0, []
             for s in spans or ():
                 parts.append(text[at : s["a"]])
@@ -355,9 +373,9 @@ def remove_repeats(docs: DataFrame, *, span: int = SPAN, most_sorted: int = MOST
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     base = base.withColumn("h", F.xxhash64("text"))
     spans = repeated_spans(base.select("id", "h", "text").where(F.octet_length("text") >= span), span=span, most_sorted=most_sorted)
-    joined = base.join(spans.select(F.col("id").alias("id_"), F.col("h").alias("h_"), "spans"),
+    joined = _pack(base.select("id", *[f"_k{i}" for i in range(len(keep))], "h", "text")).join(spans.select(F.col("id").alias("id_"), F.col("h").alias("h_"), "spans"),
                        F.col("id").eqNullSafe(F.col("id_")) & (F.col("h") == F.col("h_")), "left")
-    first = joined.select("id", *[f"_k{i}" for i in range(len(keep))], F.col("text").alias("_text"), "spans")
+    first = joined.select("id", *[f"_k{i}" for i in range(len(keep))], "packed", "spans")
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in first.schema[:-2])
     last = "text" if as_text else "kept"
     out = first.mapInArrow(partial(_cut, as_text=as_text), f"{fields}, n_bytes long, n_removed long, n_spans long, {last} {'string' if as_text else 'binary'}")
