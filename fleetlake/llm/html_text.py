@@ -30,7 +30,8 @@ WINDOW = 3
 THICK = 80
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>|<(/?)([a-zA-Z][^\s/>"']*)([^>]*)>""", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+#: One whole ``name``, ``name=value``, ``name="value"`` or ``name='value'``.
+_ATTRIBUTE = re.compile(r"""([^\s/>="']+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>"'][^\s>]*)))?""")
 _WORD = re.compile(r"[a-z]+")
 #: Elements whose content is never page text; their content is skipped as it stands.
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "canvas")
@@ -50,7 +51,7 @@ MARKS = set("nav navbar navigation menu menubar sidebar ad ads adv advert advert
 
 def _not_article(attributes: str) -> bool:
     for m in _ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").strip().lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name in ("class", "id", "role") and MARKS.intersection(_WORD.findall(value)):

@@ -320,6 +320,19 @@ def test_page_without_a_marked_article():
     assert html_text.main_blocks(page) == ["Head", long, "Short.", long]
 
 
+@pytest.mark.parametrize("attributes", ['style="overflow:hidden"', "style='overflow: hidden'", "style=overflow:hidden", 'data-hidden="false"', 'data-class="nav"', 'data-id=menu',
+                                        'title="class=menu"', 'aria-hidden="false"', 'href="/x?id=search"', 'href=/hidden-gems', 'onclick="a(\'id=nav\')"', 'data-x="hidden'])
+def test_attributes_are_whole_names(attributes):
+    for name in ("div", "a"):
+        assert html_text.main_blocks(f"<p>Before</p><p><b>Some</b> <{name} {attributes}>kept words</{name}> and more</p>") != ["Before", "Some and more"]
+        assert "kept words" in " ".join(html_text.main_blocks(f"<article><p>Some</p><{name} {attributes}>kept words</{name}></article>"))
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'HIDDEN=""', "hidden=hidden", 'aria-hidden = "true"', 'data-x="1"class="nav"', "id='menu'", "role=search", 'title="a>b" hidden'])
+def test_attributes_that_leave_out(attributes):
+    assert html_text.main_blocks(f"<article><p>Some words of an article</p><div {attributes}>gone</div></article>") == ["Some words of an article"]
+
+
 @pytest.mark.parametrize("page", ["<", "<p", "<p class='", "</", "<!--", "<!-- x", "<script>x", "<a href=\"x>y</a>", "&#xD800; &bogus; &amp", "<nav>x", "<div hidden>a</div>b", "<p/><br/>" * 50])
 def test_broken_pages(page):
     assert isinstance(html_text.main_blocks(page), list)
