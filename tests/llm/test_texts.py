@@ -333,6 +333,40 @@ def test_attributes_that_leave_out(attributes):
     assert html_text.main_blocks(f"<article><p>Some words of an article</p><div {attributes}>gone</div></article>") == ["Some words of an article"]
 
 
+TEXT = "Words that make up a paragraph of the article, enough of them to make the distribution surge here."
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="row has-sidebar"><div>{}</div></div>', '<div class="post no-comments">{}</div>', '<article class="post tag-social">{}</article>',
+    "<form><div class=x>{}</div><input></form>", "<form><nav><a href=1>Menu</a></nav><article>{}</article></form>", '<div class="widget"><main>{}</main></div>',
+    '<div class="sidebar"><article>{}</article></div>', '<div class="banner">{}</div><p>Hi</p>', '<div id="comments">{}</div>', "<header><div>{}</div></header>",
+    '<form><article class="social">{}</article></form><div class="menu">Home</div>', '<div class="widget"><div role="main">{}</div></div>',
+    '<div class=share>Share<p>{}</div>', '<ul><li class="share">Share<li>{}</ul>'])
+def test_what_holds_the_article_stays(page):
+    assert TEXT in html_text.main_blocks(page.format(f"<p>{TEXT}</p>"))
+
+
+def test_a_teaser_is_not_the_page():
+    page = f"<article><p>A teaser.</p></article><div><p>{TEXT}</p><p>{TEXT} More.</p></div><div class='site-footer'><p>{TEXT} Footer.</p></div>"
+    assert html_text.main_blocks(page) == ["A teaser.", TEXT, f"{TEXT} More."]
+    beside = f"<div class='sidebar'><article>A teaser.</article></div><div><p>{TEXT}</p></div>"
+    assert html_text.main_blocks(beside) == [TEXT]
+    advert = f"<div class='ad'><p>{TEXT}</p></div><article><p>Short.</p></article>"
+    assert html_text.main_blocks(advert) == ["Short."]
+    thick = f"<article><p>{TEXT}</p><p>{TEXT}</p></article><hr><hr><div><p>{TEXT} Not the article.</p></div>"
+    assert html_text.main_blocks(thick) == [TEXT, TEXT]
+
+
+@pytest.mark.parametrize("value", ["main-nav", "site-footer", "comment-list", "ad-300x250", "sidebar1", "x menu"])
+def test_marked_tokens(value):
+    assert html_text.main_blocks(f"<article><p>{TEXT}</p><p>Short.</p><div class='{value}'>gone</div></article>") == [TEXT, "Short."]
+
+
+def test_formulas_stay():
+    page = "<article><p>Let <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2</annotation></semantics></math> be.</p></article>"
+    assert html_text.main_blocks(page) == ["Let x=2 be."]
+
+
 @pytest.mark.parametrize("page", ["<", "<p", "<p class='", "</", "<!--", "<!-- x", "<script>x", "<a href=\"x>y</a>", "&#xD800; &bogus; &amp", "<nav>x", "<div hidden>a</div>b", "<p/><br/>" * 50])
 def test_broken_pages(page):
     assert isinstance(html_text.main_blocks(page), list)
