@@ -1,11 +1,13 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates (operator 2).
 
 Texts and templates are normalised alike: A-Z lower-cased, everything but letters and
-digits a separator. A *passage* of a document is any run of whole lines. The Dice
+digits a separator. A *passage* of a document is any run of words, wherever its lines
+end; lines only tell where it is. The Dice
 coefficient of two multisets of bigrams of sizes a and b is 2 |common| / (a + b); for it to
 reach t, the smaller must be at least t / (2 - t) of the larger, so a template is
 compared only with passages inside these size bounds, and only where the document has
-enough of the template's bigrams at all.
+enough of the template's bigrams at all. A best passage begins and ends with a bigram of
+the template (one word less would be better otherwise). ``Scanner.scan`` compares whole lines only.
 
 Templates are a small parameter (their size does not depend on the corpus) that goes to
 the Arrow function; each document is scanned by itself, whole.
@@ -14,10 +16,12 @@ the Arrow function; each document is scanned by itself, whole.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,21 +68,65 @@ class Scanner:
                 self.by_gram.setdefault(g, []).append(k)
         self.firsts = {g[0] for g in self.by_gram}
 
-    def scan(self, text: bytes) -> list[tuple[str, float, int, int]]:
-        """``(licence, Dice, first line, last line)`` of the best passage for each licence that reaches
-        the least Dice (the earliest, then the shortest of equals), in order of names."""
-        lines = text.translate(_NORMAL_LINES).split(b"\n")
+    def _hits(self, text: bytes) -> tuple[list[bytes], list[int], dict[int, list[int]]]:
+        """Words of a text, words up to and with each line, and for templates the word places of their bigrams."""
         words: list[bytes] = []
-        ends: list[int] = []  # words up to and with each line
-        for line in lines:
+        ends: list[int] = []
+        for line in text.translate(_NORMAL_LINES).split(b"\n"):
             words += line.split()
             ends.append(len(words))
         firsts, by_gram = self.firsts, self.by_gram
-        hits: dict[int, list[int]] = {}  # template -> word places of its bigrams
+        hits: dict[int, list[int]] = {}
         for i, w in enumerate(words[:-1]):
             if w in firsts:
                 for k in by_gram.get((w, words[i + 1]), ()):
                     hits.setdefault(k, []).append(i)
+        return words, ends, hits
+
+    def passages(self, text: bytes) -> list[tuple[str, float, int, int]]:
+        """``(licence, Dice, first line, last line)`` of the best run of words for each licence that reaches
+        the least Dice (the earliest, then the shortest of equals), in order of names."""
+        words, ends, hits = self._hits(text)
+        best: dict[str, tuple[float, int, int]] = {}  # Dice, first word, last word
+        for k, at in sorted(hits.items()):
+            name, grams, size, _, high, need = self.templates[k]
+            if len(at) < need:
+                continue
+            places: dict[tuple, list[int]] = {}
+            back = []  # a hit counts in a passage that begins after its n-th last equal, if the template has n
+            for j, i in enumerate(at):
+                g = (words[i], words[i + 1])
+                same = places.setdefault(g, [])
+                back.append(same[-grams[g]] if len(same) >= grams[g] else -1)
+                same.append(j)
+            if sum(min(len(same), grams[g]) for g, same in places.items()) < need:
+                continue
+            after = {b: j for j, b in enumerate(back) if b >= 0}
+            starts, common, stop = [], 0, 0
+            for x, i in enumerate(at):  # what the longest passage from here has in common bounds all of them
+                while stop < len(at) and at[stop] < i + high:
+                    common += back[stop] < x
+                    stop += 1
+                if common >= need:
+                    starts.append((-common, x, stop))
+                common += (x in after and after[x] < stop) - 1
+            if not starts:
+                continue
+            at_, back_ = np.array(at), np.array(back)
+            for less, x, stop in sorted(starts):
+                bound = 2 * -less / (size - less)
+                if bound < self.least or (name in best and (-bound, at[x]) > (-best[name][0], best[name][1])):
+                    continue
+                scores = 2 * np.cumsum(back_[x:stop] < x) / (at_[x:stop] - (at[x] - 1 - size))
+                y = int(scores.argmax())
+                found = (float(scores[y]), at[x], at[x + y] + 1)
+                if found[0] >= self.least and (name not in best or (-found[0], *found[1:]) < (-best[name][0], *best[name][1:])):
+                    best[name] = found
+        return [(name, score, bisect_right(ends, a), bisect_right(ends, b)) for name, (score, a, b) in sorted(best.items())]
+
+    def scan(self, text: bytes) -> list[tuple[str, float, int, int]]:
+        """``passages`` of whole lines only."""
+        words, ends, hits = self._hits(text)
         best: dict[str, tuple[float, int, int]] = {}
         line_of: list[int] = []
         for k, at in sorted(hits.items()):
@@ -121,7 +169,7 @@ def _scan(batches: Iterator[pa.RecordBatch], templates: dict, least: float) -> I
     key = (least, tuple(sorted(templates.items())))
     if key not in _SCANNERS:
         _SCANNERS[key] = Scanner(templates, least)
-    scan = _SCANNERS[key].scan
+    scan = _SCANNERS[key].passages
     for batch in slices(batches, "text"):
         found = [[dict(zip(("license", "dice", "first_line", "last_line"), m, strict=True)) for m in scan(t)] for t in utf8(batch.column(1))]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _MATCHES)], names=["id", "matches"])

@@ -289,6 +289,40 @@ def test_licence_scan_against_all_passages():
             assert max(licenses.dice(passage, licenses.bigrams(licenses.words_of(t.encode()))) for t in TEMPLATES[name]) == pytest.approx(score)
 
 
+def test_licence_scan_against_all_word_windows():
+    rng = random.Random(3)
+    templates = {"A": ("a b c a b d a b",), "B": ("c d e", "a a b a a"), "C": ("b c d e a b c d e a c",)}
+    scanner = licenses.Scanner(templates, 0.8)
+    seen = 0
+    for _ in range(600):
+        words = []
+        while len(words) < 24 and rng.random() < 0.9:
+            words += [w for w in rng.choice(rng.choice(list(templates.values()))).split() if rng.random() < 0.9] if rng.random() < 0.5 else [rng.choice("abcdexy")]
+        text = "".join(w + rng.choice([" ", " ", ". ", "\n", "\r", "\n\n"]) for w in words).encode()
+        ends, want = [len(licenses.words_of(x)) for x in text.split(b"\n")], {}
+        line = [n for n, many in enumerate(ends) for _ in range(many)]
+        words = licenses.words_of(text)
+        for name, texts in templates.items():
+            all_of = [(-licenses.dice(licenses.bigrams(words[i:j]), licenses.bigrams(licenses.words_of(t.encode()))), i, j) for t in texts
+                      for i in range(len(words)) for j in range(i + 2, len(words) + 1)]
+            if all_of and min(all_of)[0] <= -0.8:
+                score, i, j = min(all_of)
+                want[name] = (-score, line[i], line[j - 1])
+        assert {m[0]: m[1:] for m in scanner.passages(text)} == want
+        seen += len(want)
+    assert seen > 300
+
+
+def test_notices_that_share_a_line(spark):
+    mit = " ".join(TEMPLATES["MIT"][0].split())
+    prose = "some words of another kind that go on and on " * 60
+    texts = ["Copyright 2020 Jane Doe. Released under the MIT License. All rights reserved.", f"{prose}{mit} {prose}", f"{prose}\r{mit}\r{prose}",
+             f"{prose}\nx {mit[:300]}\n{mit[300:]} y\n{prose}"]
+    out = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [(out[i]["license"], out[i]["dice"] > 0.98) for i in range(4)] == [("MIT", True)] * 4
+    assert [(m["first_line"], m["last_line"]) for m in out[3]["matches"]] == [(1, 2)]
+
+
 def test_licence_query(spark, odd_docs):
     extra = spark.createDataFrame([(50, "Some prose.\nReleased under the MIT license\nmore"), (51, TEMPLATES["ISC"][0].replace(" ", "\n", 20)), (52, "MIT License")],
                                   "doc_id long, text string")
