@@ -8,10 +8,11 @@ neighbouring cells nearest to it (of the 240 lattice points around). Vectors tha
 are verified by cosine in double precision.
 
 Equal vectors are one class, compared once. Only members of cells in which an entry
-and a probe meet are looked at further: they are dealt to blocks of bounded size by a
-hash, a task holds one block of entries and streams the probes, and gives out verified
-links only. So no cell, however full, is one task's work, and no pair that is not a
-link leaves a task.
+and a probe meet are looked at further: entries and probes are dealt to blocks of
+bounded size by a hash, and a task holds one pair of blocks at a time. A link is counted only
+in the first table and cell in which its two vectors meet, so a task gives out how many
+links each vector has in it and the links that span them. So no cell, however
+full, is one task's work, and neither pairs nor all links leave a task.
 """
 
 from __future__ import annotations
@@ -102,69 +103,148 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-_ENTRY = pa.schema([("table", pa.int32()), ("cell", pa.int64()), ("node", pa.int64()), ("probe", pa.bool_())])
-
-
-def _entries(batches: Iterator[pa.RecordBatch], tables: int, probes: int, scale: float, seed: int) -> Iterator[pa.RecordBatch]:
-    """Entries and probes of classes; a cell's hash takes in the label and the dimension."""
+def _signed(batches: Iterator[pa.RecordBatch], tables: int, probes: int, scale: float, seed: int) -> Iterator[pa.RecordBatch]:
+    """Classes with their own and probed cells; a cell's hash takes in the label and the dimension."""
     for batch in batches:
         label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
         dims = np.array([len(x) for x in batch.column(2)])
-        node = batch.column(0).to_numpy()
+        own, near = np.empty((batch.num_rows, tables), np.int64), np.empty((batch.num_rows, tables, probes), np.int64)
         for dim in np.unique(dims):
             rows = np.flatnonzero(dims == dim)
             v = _matrix(batch.column(2).take(pa.array(rows)), dim)
-            own, near = cells(v / np.linalg.norm(v, axis=1, keepdims=True), tables, probes, scale, seed)
+            mine, probed = cells(v / np.linalg.norm(v, axis=1, keepdims=True), tables, probes, scale, seed)
             mix = ((label[rows] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93) ^ np.uint64(int(dim) * 0xA0761D6478BD642F % (1 << 64))).view(np.int64)
-            for t in range(tables):
-                key = np.concatenate([own[:, t], near[:, t].ravel()]) ^ np.concatenate([mix, np.repeat(mix, probes)])
-                many = len(rows) * (probes + 1)
-                yield record(_ENTRY, np.full(many, t, np.int32), key, np.concatenate([node[rows], np.repeat(node[rows], probes)]),
-                             np.arange(many) >= len(rows))
-
-
-def _verify(batches: Iterator[pa.RecordBatch], least: float, group: list[str]) -> Iterator[pa.RecordBatch]:
-    """Links between entries and probes of each group (table, cell, block), entries first."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    held_key, held_nodes, held_label, held = None, [], [], []
-    for batch in runs(batches, [*group, "probe"]):
-        cols = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in (*group, "probe", "node", "label")]
-        vectors = batch.column(batch.schema.get_field_index("embedding"))
-        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols[: len(group) + 1]], axis=0)) + 1
-        a_out, b_out = [], []
-        cuts = [0, *change.tolist(), batch.num_rows]
+            own[rows], near[rows] = mine ^ mix[:, None], probed ^ mix[:, None, None]
+        lists = [pa.array(list(x.reshape(batch.num_rows, -1)), pa.list_(pa.int64())) for x in (own, near)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *lists], names=[*batch.schema.names, "own", "near"])
+
+
+_ENTRY = pa.schema([("table", pa.int32()), ("cell", pa.int64()), ("node", pa.int64()), ("probe", pa.bool_())])
+
+
+def _cells_of(column: pa.Array, rows: int, *shape: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, *shape)
+
+
+def _entries(batches: Iterator[pa.RecordBatch], tables: int, probes: int) -> Iterator[pa.RecordBatch]:
+    """Entries and probes of classes, each cell of a table once for a class."""
+    for batch in batches:
+        node, n = batch.column(0).to_numpy(), batch.num_rows
+        own, near = _cells_of(batch.column(1), n, tables), np.sort(_cells_of(batch.column(2), n, tables, probes), axis=2)
+        for t in range(tables):
+            new = near[:, t] != own[:, t, None]
+            new[:, 1:] &= near[:, t, 1:] != near[:, t, :-1]
+            row, _ = np.nonzero(new)
+            yield record(_ENTRY, np.full(n + len(row), t, np.int32), np.concatenate([own[:, t], near[:, t][new]]), np.concatenate([node, node[row]]),
+                         np.arange(n + len(row)) >= n)
+
+
+def _first_meeting(own1: np.ndarray, near1: np.ndarray, own2: np.ndarray, near2: np.ndarray, table: int, cell: int) -> np.ndarray:
+    """Whether each pair of vectors meets in no earlier table, and in this table in no smaller cell."""
+    out = np.flatnonzero(~(own1[:, :table] == own2[:, :table]).any(axis=1))
+    for t in range(table, -1, -1):
+        a, b = own1[out, t], own2[out, t]
+        at_a = (a == b) | (near2[out, t] == a[:, None]).any(axis=1)
+        at_b = (a == b) | (near1[out, t] == b[:, None]).any(axis=1)
+        if t < table:
+            out = out[~(at_a | at_b)]
+        else:
+            last = np.iinfo(np.int64).max
+            out = out[np.minimum(np.where(at_a, a, last), np.where(at_b, b, last)) == cell]
+    return out
+
+
+def _spanning(a: np.ndarray, b: np.ndarray, many: int) -> np.ndarray:
+    """Places of links that join what all links between ``many`` places join."""
+    root, out, at = np.arange(many), [], np.arange(len(a))
+    while True:
+        r, s = root[a[at]], root[b[at]]
+        at, high, low = at[r != s], np.maximum(r, s)[r != s], np.minimum(r, s)[r != s]
+        if not len(at):
+            return np.concatenate(out) if out else at
+        high, first = np.unique(high, return_index=True)
+        root[high] = low[first]  # each root under a smaller one
+        out.append(at[first])
+        while not np.array_equal(root[root], root):
+            root = root[root]
+
+
+PART, PAIRS = 256, 1 << 14
+
+
+class _Block:
+    """One block of a cell: the rows of one side of a group."""
+
+    def __init__(self, batch: pa.RecordBatch, tables: int, probes: int):
+        def column(c: str) -> pa.Array:
+            return batch.column(batch.schema.get_field_index(c))
+
+        self.node, self.label, self.size = [column(c).to_numpy(zero_copy_only=False) for c in ("node", "label", "size")]
+        self.own, self.near = _cells_of(column("own"), batch.num_rows, tables), _cells_of(column("near"), batch.num_rows, tables, probes)
+        self.vectors = column("embedding")
+        self.dims = np.array([len(x) for x in self.vectors])
+
+
+def _links(x: _Block, y: _Block, table: int, cell: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places in two blocks (or in one, each pair once) of links that are first met in this cell."""
+    found = []
+    for dim in np.intersect1d(x.dims, y.dims):  # one, unless two cells' hashes collide
+        mine, theirs = np.flatnonzero(x.dims == dim), np.flatnonzero(y.dims == dim)
+        v = _matrix(x.vectors.take(pa.array(mine)), dim)
+        vn = np.sqrt((v * v).sum(axis=1))
+        for k in range(0, len(theirs), PART):
+            part = theirs[k : k + PART]
+            w = _matrix(y.vectors.take(pa.array(part)), dim)
+            wn = np.sqrt((w * w).sum(axis=1))
+            # norms are divided one by one, so that neither product over- nor underflows
+            cosine = (v / vn[:, None]) @ (w / wn[:, None]).T
+            all_i, all_j = np.nonzero(cosine >= least - 1e-9)
+            for c in range(0, len(all_i), PAIRS):
+                i, j = all_i[c : c + PAIRS], all_j[c : c + PAIRS]
+                m, n = mine[i], part[j]
+                ok = (x.label[m] == y.label[n]) & ((m < n) if x is y else (x.node[m] != y.node[n]))
+                i, j, m, n = i[ok], j[ok], m[ok], n[ok]
+                ok = cosine[i, j] >= least + 1e-9
+                unsure = np.flatnonzero(~ok)
+                p, q = v[i[unsure]], w[j[unsure]]
+                ok[unsure] = (p * q).sum(axis=1) / (np.sqrt((p * p).sum(axis=1)) * np.sqrt((q * q).sum(axis=1))) >= least
+                m, n = m[ok], n[ok]
+                first = _first_meeting(x.own[m], x.near[m], y.own[n], y.near[n], table, cell)
+                found.append(np.stack([m[first], n[first]]))
+    both = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+    return both[0], both[1]
+
+
+def _verify(batches: Iterator[pa.RecordBatch], least: float, group: list[str], tables: int, probes: int) -> Iterator[pa.RecordBatch]:
+    """For each group (table, cell, pair of blocks) the links that span its verified links ``(a, b, null)``
+    and ``(a, null, rows that a links to there)``."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("many", pa.int64())])
+    held_key, held = None, None
+    for batch in runs(batches, [*group, "side"]):
+        cols = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in (*group, "side")]
+        cuts = [0, *(np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1).tolist(), batch.num_rows]
         for s, e in zip(cuts, cuts[1:], strict=False):
-            key = tuple(c[s] for c in cols[: len(group)])
-            nodes, labels = cols[-2][s:e], cols[-1][s:e]
-            if not cols[len(group)][s]:
-                held_key, held_nodes, held_label, held = key, nodes, labels, vectors.slice(s, e - s)
+            key, block = tuple(c[s] for c in cols[:-1]), _Block(batch.slice(s, e - s), tables, probes)
+            if not cols[-1][s]:
+                held_key, held = key, block
+                if key[2] != key[3]:
+                    continue
+            elif key != held_key:
                 continue
-            if key != held_key:
+            m, n = _links(held, block, int(key[0]), int(key[1]), least)
+            if not len(m):
                 continue
-            dims, own_dims = np.array([len(x) for x in vectors.slice(s, e - s)]), np.array([len(x) for x in held])
-            for dim in np.unique(own_dims):  # one, unless two cells' hashes collide
-                mine, theirs = np.flatnonzero(own_dims == dim), np.flatnonzero(dims == dim)
-                if not len(theirs):
-                    continue
-                x = _matrix(held.take(pa.array(mine)), dim)
-                xn = np.sqrt((x * x).sum(axis=1))
-                for k in range(0, len(theirs), BLOCK):
-                    part = theirs[k : k + BLOCK]
-                    y = _matrix(vectors.slice(s, e - s).take(pa.array(part)), dim)
-                    # norms are divided one by one, so that neither product over- nor underflows
-                    cosine = (x / xn[:, None]) @ (y / np.sqrt((y * y).sum(axis=1))[:, None]).T
-                    i, j = np.nonzero(cosine >= least - 1e-9)
-                    if not len(i):
-                        continue
-                    p, q = x[i], y[j]
-                    exact = (p * q).sum(axis=1) / (np.sqrt((p * p).sum(axis=1)) * np.sqrt((q * q).sum(axis=1)))
-                    n1, n2 = held_nodes[mine[i]], nodes[part[j]]
-                    ok = (exact >= least) & (n1 != n2) & (held_label[mine[i]] == labels[part[j]])
-                    a_out.append(np.minimum(n1, n2)[ok])
-                    b_out.append(np.maximum(n1, n2)[ok])
-        if a_out:
-            both = np.unique(np.stack([np.concatenate(a_out), np.concatenate(b_out)]), axis=1)
-            yield record(schema, both[0], both[1])
+            more = 0 if block is held else len(held.node)
+            node = held.node if block is held else np.concatenate([held.node, block.node])
+            size = held.size if block is held else np.concatenate([held.size, block.size])
+            n = n + more
+            many = np.zeros(len(node), np.int64)
+            np.add.at(many, m, size[n])
+            np.add.at(many, n, size[m])
+            span, some = _spanning(m, n, len(node)), np.flatnonzero(many)
+            none = [pa.nulls(len(x), pa.int64()) for x in (span, some)]
+            yield record(schema, node[m[span]], node[n[span]], none[0])
+            yield record(schema, node[some], none[1], many[some])
 
 
 def near_duplicates(vectors: DataFrame, *, least: float = LEAST_COSINE, tables: int = TABLES, probes: int = PROBES, scale: float = SCALE,
@@ -188,27 +268,34 @@ def near_duplicates(vectors: DataFrame, *, least: float = LEAST_COSINE, tables:
     rows = rows.withColumn("good", good)
     classes = rows.where("good").groupBy("label", "embedding").agg(F.min("id").alias("node"), F.count("*").alias("size"))
     # ids may repeat, so a class is named by a hash of its label and vector
-    classes = written(classes.withColumn("class", F.xxhash64("label", "embedding")), "classes")
-    keyed = classes.select(F.col("class").alias("node"), "label", "embedding")
-    entries = keyed.mapInArrow(partial(_entries, tables=tables, probes=probes, scale=scale, seed=seed), "table int, cell long, node long, probe boolean")
+    classes = classes.select(F.xxhash64("label", "embedding").alias("class"), "label", "embedding", "node", "size")
+    classes = written(classes.mapInArrow(partial(_signed, tables=tables, probes=probes, scale=scale, seed=seed),
+                                         "class long, label long, embedding array<double>, node long, size long, own array<long>, near array<long>"), "classes")
+    entries = classes.select("class", "own", "near").mapInArrow(partial(_entries, tables=tables, probes=probes), "table int, cell long, node long, probe boolean")
     entries = written(entries, "entries")
-    # cells where an entry and a probe of different classes meet
+    # cells where an entry meets another member, and the blocks of their entries and probes
     own = F.count(F.when(~F.col("probe"), 1))
-    met = entries.groupBy("table", "cell").agg(own.alias("own"), F.min("node").alias("lo"), F.max("node").alias("hi"))
-    met = met.where("own > 0 and lo <> hi").select(F.col("table").alias("t_"), F.col("cell").alias("c_"), F.ceil(F.col("own") / block).cast("int").alias("blocks"))
+    met = entries.groupBy("table", "cell").agg(own.alias("own"), F.count("*").alias("all")).where("own > 0 and all > 1")
+    met = met.select(F.col("table").alias("t_"), F.col("cell").alias("c_"), F.ceil(F.col("own") / block).cast("int").alias("e_"),
+                     F.ceil((F.col("all") - F.col("own")) / block).cast("int").alias("p_"))
     live = entries.join(met, (F.col("table") == F.col("t_")) & (F.col("cell") == F.col("c_"))).drop("t_", "c_")
-    # an entry belongs to one block of its cell, a probe visits each; entries also probe their own cell
-    entry = live.where("not probe").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    probe = live.select("table", "cell", "node", F.lit(True).alias("probe"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    both = entry.select("table", "cell", "node", "probe", "block").unionByName(probe.select("table", "cell", "node", "probe", "block").distinct())
-    group = ["table", "cell", "block"]
-    looked = both.join(keyed.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_")).drop("n_")
-    links = (looked.repartition(*group).sortWithinPartitions(*group, "probe")
-             .mapInArrow(partial(_verify, least=least, group=group), "a long, b long"))
-    links = written(links.distinct(), "links")
-    two_way = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    sizes = classes.select(F.col("class").alias("c_"), F.col("size").alias("s_"))
-    linked = two_way.join(sizes, F.col("b") == F.col("c_")).groupBy("a").agg(F.sum("s_").alias("others"))
+    # a group (i, k) compares the entries of block i with those of block k >= i, or with probes: the first
+    # block of probes joins the group (i, i), block j > 0 is k = e_ + j
+    dealt = live.withColumn("mine", F.pmod(F.xxhash64("node"), F.when(F.col("probe"), F.col("p_")).otherwise(F.col("e_"))).cast("int"))
+    entry = dealt.where("not probe").withColumn("other", F.explode(F.expr(
+        "concat(sequence(0, e_ - 1), if(p_ > 1, sequence(e_ + 1, e_ + p_ - 1), cast(array() as array<int>)))")))
+    entry = entry.select("table", "cell", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("k"),
+                         F.expr("cast(mine > other as int)").alias("side"), F.col("node").alias("n_"))
+    probe = dealt.where("probe").withColumn("i", F.explode(F.expr("sequence(0, e_ - 1)")))
+    probe = probe.select("table", "cell", "i", F.expr("if(mine = 0, i, e_ + mine)").alias("k"), F.lit(1).alias("side"), F.col("node").alias("n_"))
+    group = ["table", "cell", "i", "k"]
+    keyed = classes.select(F.col("class").alias("node"), "label", "embedding", "size", "own", "near")
+    looked = entry.unionByName(probe).join(keyed, F.col("n_") == F.col("node")).drop("n_")
+    found = (looked.repartition(*group).sortWithinPartitions(*group, "side")
+             .mapInArrow(partial(_verify, least=least, group=group, tables=tables, probes=probes), "a long, b long, many long"))
+    found = written(found, "links")
+    links = found.where("b is not null").select("a", "b")
+    linked = found.where("b is null").groupBy("a").agg(F.sum("many").alias("others"))
     parts = connected_components(links).withColumnRenamed("node", "node_")
     known = classes.join(linked, F.col("class") == F.col("a"), "left").join(parts, F.col("class") == F.col("node_"), "left")
     known = known.select("label", "embedding", "node", (F.coalesce("others", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "class").alias("root"))

@@ -154,6 +154,53 @@ def test_lattice_odd_rows(spark, block):
     assert lattice.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_lattice_dense_label(spark, monkeypatch):
+    """Near copies and vectors around them: counts are right, no block is larger than it may be, and
+    not every link leaves a task."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=16)
+    rows = [(k, (base + rng.normal(size=16) * (0.02 if k % 3 else 0.12)).tolist(), 0) for k in range(240)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    kept = {}
+
+    def written(frame, name):
+        kept[name] = frame.localCheckpoint()
+        return kept[name]
+
+    monkeypatch.setattr(lattice, "written", written)
+    got = lattice.near_duplicates(df, block=16).collect()
+    want = brute_vectors(rows)
+    assert sorted((str(r["vec_id"]), r["n_links"], r["component_id"]) for r in got) == want
+    links = sum(r[1] for r in want) // 2
+    assert links > 10_000 and kept["links"].where("b is not null").count() < links / 4
+
+    def sizes(batches, least, group, **_):
+        import pyarrow as pa
+
+        for batch in lattice.runs(batches, [*group, "side"]):
+            many = pa.Table.from_batches([batch]).group_by([*group, "side"]).aggregate([([], "count_all")])["count_all"].combine_chunks()
+            yield pa.RecordBatch.from_arrays([many, pa.nulls(len(many), pa.int64()), many], names=["a", "b", "many"])
+
+    monkeypatch.setattr(lattice, "_verify", sizes)
+    lattice.near_duplicates(df, block=16)
+    assert 8 < kept["links"].agg(F.max("a")).head()[0] <= 48
+
+
+def test_spanning_links():
+    rng = np.random.default_rng(9)
+    for n in (2, 10, 60):
+        a, b = rng.integers(0, n, (2, n * 3))
+        a, b = a[a != b], b[a != b]
+        some = lattice._spanning(a, b, n)
+        near, few = [[] for _ in range(n)], [[] for _ in range(n)]
+        for x, y, to in [(a, b, near), (a[some], b[some], few)]:
+            for i, j in zip(x.tolist(), y.tolist(), strict=True):
+                to[i].append(j)
+                to[j].append(i)
+        whole = reach(range(n), near)
+        assert reach(range(n), few) == whole and len(some) == n - len(set(whole))
+
+
 def test_lattice_query_against_brute_force(spark):
     df = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label")
     rows = [tuple(r) for r in df.collect()]
