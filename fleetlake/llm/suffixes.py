@@ -46,6 +46,8 @@ SHALLOW = 32
 CHARACTER = 8
 MOST_SORTED = 20_000
 _CHUNK = 1 << 20
+#: Cells of a class matrix (an int64 each, eight at once), and bytes of unpacked rows that leave a task together.
+_CELLS, _OUT_BYTES = 500_000, 4 << 20
 
 
 def lcp(a: bytes, b: bytes, start: int = 0) -> int:
@@ -154,7 +156,7 @@ def repeats(lefts: list[bytes], rights: list[bytes], counts: list[int], span: in
     first, last = max(0, span - int(right_common.max())), int(left_common.max())
     if first > last:
         return lowest, highest
-    step = max(1, 4_000_000 // n)
+    step = max(1, _CELLS // n)
     for a in range(first, last + 1, step):
         offsets = np.arange(a, min(a + step, last + 1))[:, None]
         right_class, left_class = (np.empty((len(offsets), n), np.int64) for _ in "rl")
@@ -250,11 +252,16 @@ def _contexts(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.Recor
     width, unpack = span // 2, zstandard.ZstdDecompressor().decompress
     for batch in slices(batches, "packed", 1 << 20):
         out: list[list] = [[] for _ in _CONTEXT]
+        size = 0  # of unpacked contexts: a text that repeats itself is far longer than its packed form
         for text, wanted in zip(map(unpack, utf8(batch.column(0))), batch.column(1).to_pylist(), strict=True):
             for w in wanted:
                 a = w["pos"]
                 for column, v in zip(out, (w["key"], w["context"], w["n"], w["big"], text[max(0, a - width + 1) : a][::-1], text[a : a + span]), strict=True):
                     column.append(v)
+                size += width + span
+                if size > _OUT_BYTES:
+                    yield record(_CONTEXT, *out)
+                    out, size = [[] for _ in _CONTEXT], 0
         if out[0]:
             yield record(_CONTEXT, *out)
 
@@ -295,6 +302,7 @@ def repeated_spans(docs: DataFrame, *, span: int = SPAN, most_sorted: int = MOST
     places = found.groupBy("key", "context").agg(F.count("*").alias("n"), F.min(F.struct("id", "h", "pos")).alias("at"))
     places = written(places, "contexts")
     large = places.groupBy("key").agg(F.count("*").alias("_n")).where(F.col("_n") > most_sorted).select(F.col("key").alias("key_"), F.lit(True).alias("_big"))
+    large = written(large, "large")
     places = places.join(large, F.col("key") == F.col("key_"), "left")
     wanted = places.groupBy("at.id", "at.h").agg(F.collect_list(F.struct(
         "at.pos", "key", "context", "n", F.coalesce("_big", F.lit(False)).alias("big"))).alias("wanted"))
@@ -308,9 +316,9 @@ def repeated_spans(docs: DataFrame, *, span: int = SPAN, most_sorted: int = MOST
         partial(_sorted_repeats, span=span), "key long, context long, low int, high int")
     marks = small.unionByName(_counted_repeats(contexts.where("big").dropDuplicates(["key", "context"]), span))
     marks = marks.groupBy("key", "context").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    marks = marks.select(F.col("key").alias("key_"), F.col("context").alias("context_"), "low", "high")
+    marks = written(marks.select(F.col("key").alias("key_"), F.col("context").alias("context_"), "low", "high"), "marks")  # a plain side, as above
     covered = found.join(marks, (F.col("key") == F.col("key_")) & (F.col("context") == F.col("context_"))).select(
-        "id", "h", (F.col("pos") - F.col("high")).alias("a"), (F.col("pos") - F.col("low") + span).alias("b"))
+        "id", "h", (F.col("pos") - F.col("high")).alias("a"), (F.col("pos") - F.col("low") + span).alias("b")).distinct()  # rows that repeat id and text: once
     w = Window.partitionBy("id", "h").orderBy("a", "b")
     reach = F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1))
     runs_ = covered.withColumn("_new", F.coalesce((F.col("a") > reach).cast("int"), F.lit(1)))
@@ -336,32 +344,38 @@ def _counted_repeats(contexts: DataFrame, span: int) -> DataFrame:
 _COUNTS = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())]
 
 
-def _cut(batches: Iterator[pa.RecordBatch], as_text: bool) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], as_text: bool, least_words: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([*_COUNTS, ("text", pa.string()) if as_text else ("kept", pa.binary())])
     unpack = zstandard.ZstdDecompressor().decompress
     for batch in slices(batches, "packed", 2 << 20):
         n = batch.num_columns
-        sizes, removed, count, kept = [], [], [], []
-        for text, spans in zip(map(unpack, utf8(batch.column(n - 2))), batch.column(n - 1).to_pylist(), strict=True):
+        names = pa.schema([*list(batch.schema)[: n - 2], *schema])
+        out: list[list] = [[] for _ in schema]
+        first = size = 0
+        for row, (packed, spans) in enumerate(zip(utf8(batch.column(n - 2)), batch.column(n - 1).to_pylist(), strict=True)):
+            text = unpack(packed)
+            spans = [(s["a"], s["b"]) for s in spans or () if not least_words or len(text[s["a"] : s["b"]].split()) >= least_words]
             at, parts = 0, []
-            for s in spans or ():
-                parts.append(text[at : s["a"]])
-                at = s["b"]
+            for a, b in spans:
+                parts.append(text[at:a])
+                at = b
             parts.append(text[at:])
             rest = b"".join(parts)
-            kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
-            sizes.append(len(text))
-            removed.append(len(text) - len(rest))
-            count.append(len(spans or ()))
-        new = [pa.array(c, f.type) for c, f in zip((sizes, removed, count, kept), schema, strict=True)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], *new], schema=pa.schema([*list(batch.schema)[: n - 2], *schema]))
+            for column, v in zip(out, (len(text), len(text) - len(rest), len(spans), rest.decode("utf-8", "ignore") if as_text else rest), strict=True):
+                column.append(v)
+            size += len(rest)
+            if size > _OUT_BYTES or row == batch.num_rows - 1:  # a text that repeats itself is far longer than its packed form
+                part = batch.slice(first, row + 1 - first)
+                yield pa.RecordBatch.from_arrays([*part.columns[: n - 2], *[pa.array(c, f.type) for c, f in zip(out, schema, strict=True)]], schema=names)
+                out, first, size = [[] for _ in schema], row + 1, 0
 
 
-def remove_repeats(docs: DataFrame, *, span: int = SPAN, most_sorted: int = MOST_SORTED, id_col: str = "doc_id",
+def remove_repeats(docs: DataFrame, *, span: int = SPAN, least_words: int = 0, most_sorted: int = MOST_SORTED, id_col: str = "doc_id",
                    text_col: str = "text", keep: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """For every row of ``docs``: the id, the columns named in ``keep``, ``n_bytes``, ``n_removed``,
     ``n_spans`` (maximal removed runs) and ``kept`` (the remaining bytes, put together), or with
-    ``as_text`` the column ``text`` (the same, without bytes of characters cut in two).
+    ``as_text`` the column ``text`` (the same, without bytes of characters cut in two). With ``least_words``
+    a run of fewer words (between white space, those cut at its ends included) stays.
 
     Strings are judged on the input, so every copy of a passage goes. A null text is
     empty, and texts shorter than ``span`` bytes lose nothing. Rows that repeat an id are
@@ -378,6 +392,6 @@ def remove_repeats(docs: DataFrame, *, span: int = SPAN, most_sorted: int = MOST
     first = joined.select("id", *[f"_k{i}" for i in range(len(keep))], "packed", "spans")
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in first.schema[:-2])
     last = "text" if as_text else "kept"
-    out = first.mapInArrow(partial(_cut, as_text=as_text), f"{fields}, n_bytes long, n_removed long, n_spans long, {last} {'string' if as_text else 'binary'}")
+    out = first.mapInArrow(partial(_cut, as_text=as_text, least_words=least_words), f"{fields}, n_bytes long, n_removed long, n_spans long, {last} {'string' if as_text else 'binary'}")
     return out.select(F.col("id").alias(id_col), *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)],
                       "n_bytes", "n_removed", "n_spans", last)

@@ -5,7 +5,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from fleetlake.llm import html_text, licenses, packing, repetition, suffixes, tokens
@@ -100,6 +102,29 @@ def test_repeats_on_documents_and_odd_rows(spark, odd_docs):
     assert suffixes.remove_repeats(odd_docs.limit(0)).count() == 0
 
 
+def test_runs_of_few_words_stay(spark):
+    words = [f"w{i}" for i in range(400)]
+    short, long = " ".join(words[:20]), " ".join(words[100:151])
+    texts = [f"one {short} two {long} three", f"{long} four {short}", "five"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: (r["n_spans"], r["text"]) for r in suffixes.remove_repeats(df, span=60, least_words=51, as_text=True).collect()}
+    assert {i: " ".join(t.split()) for i, (_, t) in out.items()} == {0: f"one {short} two three", 1: f"four {short}", 2: "five"}
+    assert [out[i][0] for i in range(3)] == [1, 1, 0]
+
+
+def test_long_text_that_repeats_itself(spark, monkeypatch):
+    rng = random.Random(11)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(997))
+    rows = [(0, line * 4000), (1, line * 2 + "end"), (2, "".join(rng.choice("abcdefgh ") for _ in range(3000)))]  # 4 MB in one text
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: tuple(r)[1:4] for r in suffixes.remove_repeats(df).drop("kept").collect()}
+    assert out == {0: (997 * 4000, 997 * 4000, 1), 1: (1997, 1994, 1), 2: (3000, 0, 0)}
+    packed = zstandard.ZstdCompressor(level=1).compress(rows[0][1].encode())
+    batch = pa.RecordBatch.from_arrays([pa.array([packed] * 50, pa.binary()), pa.array([[{"a": 0, "b": 5}]] * 50)], names=["packed", "spans"])
+    parts = list(suffixes._cut(iter([batch]), False, 0))
+    assert sum(p.num_rows for p in parts) == 50 and max(p.nbytes for p in parts) < 4 * suffixes._OUT_BYTES
+
+
 # -- operators 6 and 4 --
 
 def test_encoder_equals_library():
