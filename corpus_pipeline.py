@@ -37,9 +37,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of 400 bytes or more that occur elsewhere; ``n_chars`` is that
-    of the text that is left. A null text becomes empty."""
-    out = remove_repeats(docs, keep=tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars")), as_text=True)
+    """Documents without the passages of over 50 words that occur elsewhere: runs of bytes covered by
+    strings of 150 bytes that start twice or more (51 words of prose are longer), of 51 words or more.
+    ``n_chars`` is that of the text that is left. A null text becomes empty."""
+    out = remove_repeats(docs, span=150, least_words=51, keep=tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars")), as_text=True)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
