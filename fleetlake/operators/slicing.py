@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.query_models import TOP_MAX
+from ..session import materialize
 
 BATCH_SIZE = 500  # fixed value: upstream write-call batch size
 
@@ -70,15 +71,32 @@ def _after(df: DataFrame, names: list[str], n: int) -> DataFrame:
     return past.unionByName(ties).orderBy(*_keys(names)).drop("_k", "_e")
 
 
-def assign_batches(df: DataFrame, size: int = BATCH_SIZE, *, column: str = "batchId") -> DataFrame:
-    """Tag rows with a batch id; every batch holds at most ``size`` rows.
+def number_rows(df: DataFrame, *, order_by=None, column: str = "rowNumber") -> DataFrame:
+    """``df`` with a dense row number from 0 (long), in ``order_by`` order if given, else in any order.
 
-    Numbering is per input partition (partition id, position // size), so no
-    global ``row_number()`` window funnels the table through one task.
+    Each task numbers its own rows; the counts per task are summed up to offsets, which are a few numbers
+    per task, and joined back. So no window holds the table in one task and, without an order, no row is
+    shuffled. The tasks' rows must be the same in both steps, so the frame is written to the
+    shared folder first. An empty frame stays empty.
     """
-    pid = F.spark_partition_id()
-    pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    return df.withColumn(column, F.concat_ws("-", pid.cast("string"), F.floor(pos / F.lit(size)).cast("string")))
+    rows = df if order_by is None else df.orderBy(*_keys(order_by))
+    task = F.spark_partition_id()
+    place = F.monotonically_increasing_id() - F.shiftleft(task.cast("long"), 33)
+    rows = materialize(rows.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), task.alias("_task"), place.alias("_place")), "numbered")
+    counts = rows.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))  # one row per task of the writing job
+    offsets = counts.select(F.col("_task").alias("_of"), F.coalesce(before, F.lit(0)).alias("_before"))
+    numbered = rows.join(F.broadcast(offsets), F.col("_task") == F.col("_of"))
+    return numbered.select("_row.*", (F.col("_before") + F.col("_place")).alias(column))
+
+
+def assign_batches(df: DataFrame, size: int = BATCH_SIZE, *, column: str = "batchId", order_by=None) -> DataFrame:
+    """Tag rows with a batch number from 0; every batch but the last holds exactly ``size`` rows,
+    taken in ``order_by`` order if given (:func:`number_rows`)."""
+    if size < 1:
+        raise ValueError(f"size={size} must be at least 1")
+    numbered = number_rows(df, order_by=order_by, column="_number")
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], F.expr(f"_number div {int(size)}").alias(column))
 
 
 def page_files(df: DataFrame, path: str, page_size: int, *, fmt: str = "json", mode: str = "overwrite") -> None:

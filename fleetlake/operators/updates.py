@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from . import quality as Q
 from .changes import latest_per_key
@@ -103,6 +104,10 @@ def create_alerts(alerts: DataFrame, requests: DataFrame, machines: DataFrame) -
     row); severity must be an alert severity, category an alert category that
     does not contain ``Unknown``; the machine must be known. Valid requests get the
     machine's name by join and are appended; returns (alerts, rejected).
+
+    The alert's id follows from the report and the machine, so the operation is idempotent: a
+    request whose alert the table already has changes nothing, and of several for one
+    alert the one with the latest ``eventTime`` counts (then the greatest of the other fields).
     """
     m = machines.select(F.col("id").alias("_m"), "computerDnsName", "rbacGroupName")
     asked = requests.drop("computerDnsName", "rbacGroupName")
@@ -124,8 +129,11 @@ def create_alerts(alerts: DataFrame, requests: DataFrame, machines: DataFrame) -
     new = (valid.withColumn("id", F.concat_ws("_", F.lit("ref"), F.col("reportId"), F.col("machineId")))
                 .withColumn("status", F.lit("New"))
                 .withColumn("alertCreationTime", F.col("eventTime").cast("timestamp"))
-                .withColumn("lastEventTime", F.col("eventTime").cast("timestamp")))
-    return alerts.unionByName(conform(new.drop("_m"), "alert")), rejected
+                .withColumn("lastEventTime", F.col("eventTime").cast("timestamp")).drop("_m"))
+    rest = [c for c in new.columns if c not in ("id", "alertCreationTime", "lastEventTime")]
+    last = F.max(F.struct("alertCreationTime", "lastEventTime", *rest)).alias("_r")
+    new = new.groupBy("id").agg(last).select("id", "_r.*").join(alerts.select("id"), "id", "left_anti")
+    return alerts.unionByName(conform(new, "alert")), rejected
 
 
 def upsert(table: DataFrame, changes: DataFrame, key: str | list[str], *, order: list[str] | None = None) -> DataFrame:
@@ -210,20 +218,103 @@ def delete_by_ids(table: DataFrame, ids: DataFrame, key: str = "id") -> tuple[Da
     return remaining, found
 
 
-def update_scan_definitions(defs: DataFrame, changes: DataFrame, *, key: str = "id") -> tuple[DataFrame, DataFrame]:
-    """W7 add / update: C8-check the auth struct, then coalesce-patch or insert.
+def _leaves(kind: StructType, path: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
+    """Paths of the fields of a struct type that are no structs themselves."""
+    out: list[tuple[str, ...]] = []
+    for f in kind.fields:
+        out += _leaves(f.dataType, (*path, f.name)) if isinstance(f.dataType, StructType) else [(*path, f.name)]
+    return out
+
+
+def _at(column: Column, path: tuple[str, ...]) -> Column:
+    return reduce(lambda c, name: c.getField(name), path, column)
+
+
+def _same_group(tags: dict[str, str], new: Column, old: Column) -> Column:
+    """Whether two tags belong to one variant (null where either is null or unknown)."""
+    group = F.create_map(*[F.lit(x) for kv in tags.items() for x in kv])
+    return F.element_at(group, new) == F.element_at(group, old)
+
 
-    Returns (definitions, rejected). Fields null in a change keep their value.
+def deep_patch(table: DataFrame, changes: DataFrame, *, key: str = "id", seq: str | None = None, tags: dict[str, tuple[str, dict[str, str]]] | None = None) -> DataFrame:
+    """``table`` with ``changes`` merged in by ``key``, keys that it lacks inserted.
+
+    Structs are merged field by field, at any depth: every leaf takes its last non-null value in the order
+    of ``seq`` (required where a key has several changes), else the table's; arrays and maps are leaves. ``tags``
+    names the struct columns that are tagged unions: the field that holds the tag, and the variant of each tag value.
+    What was set while the tag stood at another variant does not outlive the change of variant.
+
+    One partial aggregate over the changes keeps one value per leaf, so a key with any number of
+    changes is never gathered, and one full outer join meets the table. Columns of ``changes`` that ``table``
+    lacks are dropped; null keys match nothing and their changes are dropped.
+    """
+    tags = tags or {}
+    order = F.col(seq) if seq else F.lit(0)
+    columns = [c for c in table.columns if c != key and c in changes.columns]
+    paths = {c: _leaves(table.schema[c].dataType) if isinstance(table.schema[c].dataType, StructType) else [()] for c in columns}
+    given = changes.where(F.col(key).isNotNull()).select(F.col(key), *([] if not seq else [F.col(seq)]), *[F.col(c).cast(table.schema[c].dataType) for c in columns])
+    last = []
+    for c in columns:
+        for k, path in enumerate(paths[c]):
+            value = _at(F.col(c), path)
+            tag = _at(F.col(c), (tags[c][0],)) if c in tags else F.lit(None).cast("string")
+            last.append(F.max(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v"), tag.alias("t")))).alias(f"_{c}_{k}"))
+    new = given.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *last)
+    if not seq:
+        several = F.raise_error(F.concat(F.lit(f"several changes for one {key} need an order column: "), F.col(key).cast("string")))
+        new = new.withColumn(key, F.when(F.col("_n") > 1, several.cast(table.schema[key].dataType)).otherwise(F.col(key)))
+    joined = table.withColumn("_stored", F.lit(True)).join(new.withColumn("_changed", F.lit(True)), key, "full_outer")
+    out = []
+    for c in table.columns:
+        if c not in columns:
+            out.append(F.col(c))
+            continue
+        values = {}
+        field, groups = tags.get(c, (None, {}))
+        place = {path: k for k, path in enumerate(paths[c])}
+        final = F.coalesce(F.col(f"_{c}_{place[(field,)]}.v"), _at(F.col(c), (field,))) if field else None
+        for path, k in place.items():
+            change, old = F.col(f"_{c}_{k}"), _at(F.col(c), path)
+            fresh = change.getField("v")
+            if field and path != (field,):
+                fresh = F.when(change.getField("t").isNull() | F.coalesce(_same_group(groups, change.getField("t"), final), F.lit(False)), fresh)
+                old = F.when(F.coalesce(_same_group(groups, _at(F.col(c), (field,)), final), final.isNull()), old)
+            values[path] = F.coalesce(fresh, old)
+        merged = _rebuilt(table.schema[c].dataType, values)
+        if paths[c] != [()]:  # no empty structs where neither side has one
+            merged = F.when(F.col(c).isNotNull() | reduce(lambda a, b: a | b, [F.col(f"_{c}_{k}").isNotNull() for k in place.values()]), merged)
+        out.append(merged.alias(c))
+    return joined.select(*out)
+
+
+def _rebuilt(kind, values: dict[tuple[str, ...], Column], path: tuple[str, ...] = ()) -> Column:
+    if not isinstance(kind, StructType):
+        return values[path]
+    fields = [_rebuilt(f.dataType, values, (*path, f.name)).alias(f.name) for f in kind.fields]
+    inner = F.struct(*fields)
+    if path:  # a nested struct without any value stays null
+        under = [v for p, v in values.items() if p[: len(path)] == path]
+        inner = F.when(reduce(lambda a, b: a | b, [v.isNotNull() for v in under]), inner)
+    return inner
+
+
+def update_scan_definitions(defs: DataFrame, changes: DataFrame, *, key: str = "id", seq: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """W7 add / update: C8-check the auth struct, then patch or insert (:func:`deep_patch`).
+
+    Returns (definitions, rejected): rejected changes carry ``authErrors``; one without a key is
+    rejected too. Fields null in a change keep their value, also inside structs; several changes of
+    one definition apply in the order of ``seq`` (required then). When the authentication changes to a
+    type of another kind, the settings of the old kind go.
     """
     checked = Q.auth_variant_violations(changes) if "scanAuthenticationParams" in changes.columns \
         else changes.withColumn("authErrors", F.array().cast("array<string>"))
+    no_key = F.when(F.col(key).isNull(), F.array(F.lit(f"{key} is required"))).otherwise(F.array().cast("array<string>"))
+    checked = checked.withColumn("authErrors", F.concat("authErrors", no_key))
     rejected = checked.filter(F.size("authErrors") > 0)
     ok = checked.filter(F.size("authErrors") == 0).drop("authErrors")
-    p = ok.select(key, *[F.col(c).alias(f"_p_{c}") for c in ok.columns if c != key], F.lit(True).alias("_hit"))
-    j = defs.join(p, key, "full_outer")
-    cols = [F.coalesce(F.col(f"_p_{c}"), F.col(c)).alias(c) if c in ok.columns and c != key else F.col(c)
-            for c in defs.columns]
-    return j.select(*cols), rejected
+    kinds = {t: kind for kind, (types, _) in Q.AUTH_VARIANTS.items() for t in types}
+    tags = {"scanAuthenticationParams": ("type", kinds)} if "scanAuthenticationParams" in ok.columns else {}
+    return deep_patch(defs, ok, key=key, seq=seq, tags=tags), rejected
 
 
 def tag_machines(machines: DataFrame, changes: DataFrame) -> DataFrame:
@@ -263,13 +354,33 @@ def set_machine_fields(machines: DataFrame, changes: DataFrame, fields: tuple[st
 
 
 def parse_serialized(changes: DataFrame, column: str, schema) -> DataFrame:
-    """Rows of serialized JSON text -> typed change-set rows."""
-    return changes.select(F.from_json(column, schema).alias("_r")).select("_r.*")
-
-
-def add_device_groups(groups: DataFrame, new: DataFrame) -> DataFrame:
-    """W12 add: append groups whose id is not taken yet."""
-    return groups.unionByName(new.join(groups.select("id"), "id", "left_anti").select(*groups.columns))
+    """Rows of serialized JSON text -> typed change-set rows. A text that is null or no JSON object of
+    the schema fails the job; :func:`split_serialized` returns such rows instead."""
+    good, bad = split_serialized(changes, column, schema)
+    failed = bad.select(F.raise_error(F.concat(F.lit("serialized row: "), F.col("reason"))).cast("string").alias("_e"))
+    checked = failed.where(F.col("_e").isNotNull()).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in good.schema])
+    return good.unionByName(checked)
+
+
+def split_serialized(changes: DataFrame, column: str, schema) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, rejected rows): rejected rows keep all their columns and get ``reason``: the text is
+    null, is no JSON object, or a value does not fit its field's type."""
+    kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    probe = StructType([*kind.fields, StructField("_bad", StringType())])
+    read = changes.withColumn("_r", F.from_json(F.col(column), probe, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    shape = F.expr(f"schema_of_variant(try_parse_json(`{column}`))")
+    reason = (F.when(F.col(column).isNull(), F.lit("no text")).when(shape.isNull(), F.lit("not JSON"))
+              .when(~shape.startswith("OBJECT"), F.lit("not a JSON object")).when(F.col("_r._bad").isNotNull(), F.lit("a value does not fit its type")))
+    read = read.withColumn("_reason", reason)
+    good = read.where("_reason is null").select(*[F.col(f"_r.`{f.name}`") for f in kind.fields])
+    return good, read.where("_reason is not null").select(*[F.col(f"`{c}`") for c in changes.columns], F.col("_reason").alias("reason"))
+
+
+def add_device_groups(groups: DataFrame, new: DataFrame, *, order: list[str] | None = None) -> DataFrame:
+    """W12 add: append groups whose id is not taken yet. Several new groups of one id: the last by
+    ``order`` counts; without it they fail the job."""
+    one = latest_per_key(new, ["id"], order) if order else _only_one(new, ["id"])
+    return groups.unionByName(one.join(groups.select("id"), "id", "left_anti").select(*groups.columns))
 
 
 def delete_device_groups(groups: DataFrame, ids: DataFrame) -> DataFrame:
@@ -295,6 +406,27 @@ def _group_rules(groups: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Characters of a prefix or suffix pattern that are looked up, and of the piece of a Contains pattern.
+EDGE, PIECE = 32, 3
+_TESTS = ("startswith", "endswith", "contains")
+
+
+def _index_of(rules: DataFrame) -> DataFrame:
+    """Pattern rules with the key they are found by: the first or last ``EDGE`` characters, or the piece of ``PIECE``
+    characters (the whole of a shorter pattern) that the fewest Contains rules share."""
+    edge = F.least(F.length("value"), F.lit(EDGE))
+    edges = rules.where(F.col("test").isin("startswith", "endswith")).withColumn("size", edge).withColumn(
+        "at", F.expr("if(test = 'startswith', left(value, size), right(value, size))"))
+    inner = rules.where("test = 'contains'").withColumn("size", F.least(F.length("value"), F.lit(PIECE)))
+    pieces = inner.withColumn("at", F.explode(F.expr(_PIECES)))
+    shared = pieces.groupBy("kind", "at").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = pieces.join(shared, ["kind", "at"]).groupBy("gid", "kind", "test", "value", "size").agg(F.min(F.struct("_n", "at")).getField("at").alias("at"))
+    return edges.unionByName(rarest)
+
+
+_PIECES = "if(size = 0, array(''), array_distinct(transform(sequence(1, length(value) - size + 1), i -> substring(value, i, size))))"
+
+
 def assign_device_groups(spark: SparkSession, machines: DataFrame, groups: DataFrame) -> DataFrame:
     """Evaluate device-group rules; each machine gets the matching group
     with the lowest ``priority`` (ties: lowest id), else the unassigned group.
@@ -305,26 +437,30 @@ def assign_device_groups(spark: SparkSession, machines: DataFrame, groups: DataF
     lists all non-empty lists must match (AND) -- a stated choice. A group
     with no rules matches nothing.
 
-    ``Equals`` and ``In`` are a hash join of the machines' values with the rules'.
-    ``StartsWith`` / ``EndsWith`` / ``Contains`` rules are one array (a scalar
-    subquery) that each machine filters. A group matches where all its lists do;
-    the best one is a ``min_by``. Nothing runs on the driver, and the number of
-    groups is not limited.
+    All conditions are looked up by equi-join: ``Equals`` and ``In`` by the value, ``StartsWith`` and
+    ``EndsWith`` by the first or last characters of the lengths that occur in rules (at most
+    ``EDGE`` + 1 lengths a kind), ``Contains`` by one piece of the pattern among the pieces of the value;
+    what a key finds is then held against the whole pattern. So a machine meets the rules that share a
+    key with it, not all rules; nothing is gathered, nothing runs on the driver. A group matches
+    where all its lists do; the best one is a ``min_by``.
     """
     rules = _group_rules(groups)
     needed = rules.groupBy("gid").agg(F.count_distinct("kind").alias("_need"))
     needed = needed.join(groups.select(F.col("id").alias("gid"), "priority"), "gid")
-    patterns = rules.where(F.col("test").isin("startswith", "endswith", "contains") & F.col("value").isNotNull())
-    array = patterns.agg(F.collect_list(F.struct("gid", "kind", "test", "value")).alias("a")).scalar()
+    index = _index_of(rules.where(F.col("test").isin(*_TESTS) & F.col("value").isNotNull()))
+    # 4 kinds x (2 x 33 edges + 4 pieces) rows at most
+    sizes = F.broadcast(index.select("kind", "test", "size").distinct())
     name = F.lower("computerDnsName")
     tags = F.coalesce("machineTags", F.array().cast("array<string>"))
     m = machines.select(F.col("id").alias("_mid"), F.create_map(
         F.lit("name"), F.array(name), F.lit("domain"), F.array(F.regexp_extract(name, r"^[^.]*\.(.*)$", 1)),
         F.lit("tag"), F.transform(tags, F.lower), F.lit("os"), F.array(F.lower("osPlatform"))).alias("_v"))
-    hit = F.expr("""filter(_rules, r -> exists(_v[r.kind], v -> coalesce(
-        CASE r.test WHEN 'startswith' THEN startswith(v, r.value) WHEN 'endswith' THEN endswith(v, r.value) ELSE contains(v, r.value) END, false)))""")
-    by_pattern = m.withColumn("_rules", array).select("_mid", F.explode(hit).alias("r")).select("_mid", "r.gid", "r.kind")
-    values = m.select("_mid", F.explode("_v").alias("kind", "vs")).select("_mid", "kind", F.explode("vs").alias("value"))
+    values = m.select("_mid", F.explode("_v").alias("kind", "vs")).select("_mid", "kind", F.explode("vs").alias("value")).where("value is not null")
+    keys = values.join(sizes, "kind").where("size <= length(value)")
+    keys = keys.select("_mid", "kind", "test", F.col("value").alias("_value"), F.explode(F.expr(
+        f"CASE test WHEN 'startswith' THEN array(left(value, size)) WHEN 'endswith' THEN array(right(value, size)) ELSE {_PIECES} END")).alias("at"), "size")
+    whole = F.expr("CASE test WHEN 'startswith' THEN startswith(_value, value) WHEN 'endswith' THEN endswith(_value, value) ELSE contains(_value, value) END")
+    by_pattern = keys.join(index, ["kind", "test", "size", "at"]).where(whole).select("_mid", "gid", "kind")
     by_value = values.join(rules.where("test = 'in'").select("gid", "kind", "value").distinct(), ["kind", "value"]).select("_mid", "gid", "kind")
     matched = by_pattern.unionByName(by_value).distinct().groupBy("_mid", "gid").agg(F.count(F.lit(1)).alias("_have"))
     best = (matched.join(needed, (matched["gid"] == needed["gid"]) & (F.col("_have") == F.col("_need")))

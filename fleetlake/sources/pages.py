@@ -15,6 +15,8 @@ order carries no meaning, so the set of files is the table (S6).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -87,10 +89,40 @@ def manifest_generated_time(spark: SparkSession, paths: str | list[str]) -> Data
     return scan_pages(spark, paths, contract("export_files_response"))
 
 
+#: Types that hunting responses declare in ``Schema`` (fixed values of the service), as SQL types; others are text.
+HUNTING_TYPES = {"boolean": "boolean", "sbyte": "int", "byte": "int", "int16": "int", "int32": "int", "int": "int", "int64": "bigint", "long": "bigint",
+                 "single": "double", "double": "double", "real": "double", "datetime": "timestamp"}
+
+
 def scan_inferred(spark: SparkSession, paths: str | list[str], *, results_key: str = "Results") -> DataFrame:
-    """Hunting-style responses ``{"Schema": ..., "Results": [...]}`` -> rows,
-    with the schema inferred from the data (it is only known after the run)."""
-    env = spark.read.option("multiLine", True).json(paths)
-    if results_key not in env.columns:
-        return env.limit(0)
-    return env.select(F.explode(results_key).alias("_r")).select("_r.*")
+    """Hunting-style responses ``{"Schema": [...], "Results": [...]}`` -> rows, the schema taken from
+    the data (it is only known after the run).
+
+    Rows are read as variants and their types merged by a partial aggregate; only the merged
+    type reaches the driver. A field that is an integer in one row and text or a fraction in
+    another, whatever its depth, is text (its JSON), as is one that is always null; an absent
+    field is null. Where no response has a row, the columns are those that ``Schema`` declares
+    (``Name``, ``Type``), and without any the frame has no column and no row. Results that are
+    no array, or rows that are no object, are an error.
+    """
+    env = spark.read.option("singleVariantColumn", "v").option("multiLine", True).json(paths)
+    rows = env.select(F.explode(F.expr(f"variant_get(v, '$[\"{results_key}\"]', 'array<variant>')")).alias("r"))
+    rows = rows.where(F.expr("schema_of_variant(r) <> 'VOID'"))  # a null in place of a row
+    merged = rows.agg(F.schema_of_variant_agg("r").alias("s")).head().s
+    if merged == "VOID":
+        declared = env.select(F.explode(F.expr("variant_get(v, '$.Schema', 'array<struct<Name: string, Type: string>>')")).alias("c")).select("c.*")
+        columns = {r["Name"]: HUNTING_TYPES.get((r["Type"] or "").lower(), "string") for r in declared.where("Name is not null").distinct().collect()}
+        return spark.createDataFrame([], ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in sorted(columns.items())) or StructType([]))
+    if not merged.startswith("OBJECT<"):
+        raise ValueError(f"{results_key} does not hold objects: {merged}")
+    return rows.select(F.col("r").cast(_struct_of(merged)).alias("r")).select("r.*")
+
+
+def _struct_of(merged: str) -> str:
+    """The SQL type of a merged variant type; names in back quotes are left alone."""
+    parts = re.split("(`(?:[^`]|``)*`)", merged)
+    names = {"OBJECT<": "STRUCT<", "VARIANT": "STRING", "VOID": "STRING"}
+    plain = [re.sub(r"(?<![\w`])(OBJECT<|VARIANT\b|VOID\b)(?!\s*:)", lambda m: names[m[1]], x) if i % 2 == 0 else x for i, x in enumerate(parts)]
+    return "".join(plain)
+
+
