@@ -230,10 +230,9 @@ def _at(column: Column, path: tuple[str, ...]) -> Column:
     return reduce(lambda c, name: c.getField(name), path, column)
 
 
-def _same_group(tags: dict[str, str], new: Column, old: Column) -> Column:
-    """Whether two tags belong to one variant (null where either is null or unknown)."""
-    group = F.create_map(*[F.lit(x) for kv in tags.items() for x in kv])
-    return F.element_at(group, new) == F.element_at(group, old)
+def _group(tags: dict[str, str], tag: Column) -> Column:
+    """The variant that a tag belongs to (null for none)."""
+    return F.element_at(F.create_map(*[F.lit(x) for kv in tags.items() for x in kv]), tag)
 
 
 def deep_patch(table: DataFrame, changes: DataFrame, *, key: str = "id", seq: str | None = None, tags: dict[str, tuple[str, dict[str, str]]] | None = None) -> DataFrame:
@@ -242,44 +241,46 @@ def deep_patch(table: DataFrame, changes: DataFrame, *, key: str = "id", seq: st
     Structs are merged field by field, at any depth: every leaf takes its last non-null value in the order
     of ``seq`` (required where a key has several changes), else the table's; arrays and maps are leaves. ``tags``
     names the struct columns that are tagged unions: the field that holds the tag, and the variant of each tag value.
-    What was set while the tag stood at another variant does not outlive the change of variant.
+    As if the changes were made one by one, a change of variant clears what was set before it.
 
-    One partial aggregate over the changes keeps one value per leaf, so a key with any number of
-    changes is never gathered, and one full outer join meets the table. Columns of ``changes`` that ``table``
+    Partial aggregates over the changes keep one value per leaf (and when each variant was named), so a key
+    with any number of changes is never gathered, and one full outer join meets the table. Columns of ``changes`` that ``table``
     lacks are dropped; null keys match nothing and their changes are dropped.
     """
-    tags = tags or {}
+    tags = {c: t for c, t in (tags or {}).items() if c in table.columns and c in changes.columns}
     order = F.col(seq) if seq else F.lit(0)
     columns = [c for c in table.columns if c != key and c in changes.columns]
     paths = {c: _leaves(table.schema[c].dataType) if isinstance(table.schema[c].dataType, StructType) else [()] for c in columns}
     given = changes.where(F.col(key).isNotNull()).select(F.col(key), *([] if not seq else [F.col(seq)]), *[F.col(c).cast(table.schema[c].dataType) for c in columns])
-    last = []
-    for c in columns:
-        for k, path in enumerate(paths[c]):
-            value = _at(F.col(c), path)
-            tag = _at(F.col(c), (tags[c][0],)) if c in tags else F.lit(None).cast("string")
-            last.append(F.max(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v"), tag.alias("t")))).alias(f"_{c}_{k}"))
+    last = [F.max(F.when(_at(F.col(c), p).isNotNull(), F.struct(order.alias("o"), _at(F.col(c), p).alias("v")))).alias(f"_{c}_{k}")
+            for c in columns for k, p in enumerate(paths[c])]
     new = given.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *last)
     if not seq:
         several = F.raise_error(F.concat(F.lit(f"several changes for one {key} need an order column: "), F.col(key).cast("string")))
         new = new.withColumn(key, F.when(F.col("_n") > 1, several.cast(table.schema[key].dataType)).otherwise(F.col(key)))
-    joined = table.withColumn("_stored", F.lit(True)).join(new.withColumn("_changed", F.lit(True)), key, "full_outer")
+    for c, (field, groups) in tags.items():
+        named = given.select(F.col(key).alias("_key"), order.alias("_o"), _group(groups, F.col(c).getField(field)).alias("_g")).where("_g is not null")
+        new = new.join(_last_variant(named, sorted(set(groups.values())), c), F.col(key) == F.col(f"_{c}_key"), "left")
+    joined = table.join(new, key, "full_outer")
     out = []
     for c in table.columns:
         if c not in columns:
             out.append(F.col(c))
             continue
         values = {}
-        field, groups = tags.get(c, (None, {}))
         place = {path: k for k, path in enumerate(paths[c])}
-        final = F.coalesce(F.col(f"_{c}_{place[(field,)]}.v"), _at(F.col(c), (field,))) if field else None
+        fresh_counts = old_counts = F.lit(True)
+        if c in tags:
+            field, groups = tags[c]
+            old_group = _group(groups, _at(F.col(c), (field,)))
+            changed = F.col(f"_{c}_other") | F.coalesce(old_group != F.col(f"_{c}_group"), F.lit(False))
+            cleared = F.when(changed, F.col(f"_{c}_since"))  # null where the variant stays
+            old_counts = cleared.isNull()
         for path, k in place.items():
-            change, old = F.col(f"_{c}_{k}"), _at(F.col(c), path)
-            fresh = change.getField("v")
-            if field and path != (field,):
-                fresh = F.when(change.getField("t").isNull() | F.coalesce(_same_group(groups, change.getField("t"), final), F.lit(False)), fresh)
-                old = F.when(F.coalesce(_same_group(groups, _at(F.col(c), (field,)), final), final.isNull()), old)
-            values[path] = F.coalesce(fresh, old)
+            change = F.col(f"_{c}_{k}")
+            if c in tags:
+                fresh_counts = F.coalesce(change.getField("o") >= cleared, F.lit(True))
+            values[path] = F.coalesce(F.when(fresh_counts, change.getField("v")), F.when(old_counts, _at(F.col(c), path)))
         merged = _rebuilt(table.schema[c].dataType, values)
         if paths[c] != [()]:  # no empty structs where neither side has one
             merged = F.when(F.col(c).isNotNull() | reduce(lambda a, b: a | b, [F.col(f"_{c}_{k}").isNotNull() for k in place.values()]), merged)
@@ -287,6 +288,17 @@ def deep_patch(table: DataFrame, changes: DataFrame, *, key: str = "id", seq: st
     return joined.select(*out)
 
 
+def _last_variant(named: DataFrame, variants: list[str], c: str) -> DataFrame:
+    """Per key of ``named(_key, _o, _g)``: the variant named last, since when no other was named, and
+    whether another was named before."""
+    per = named.groupBy("_key").agg(F.max(F.struct("_o", "_g")).getField("_g").alias("_last"),
+                                    *[F.max(F.when(F.col("_g") == g, F.col("_o"))).alias(f"_at{i}") for i, g in enumerate(variants)])
+    others = [F.when(F.col("_last") != g, F.col(f"_at{i}")) for i, g in enumerate(variants)]
+    per = per.select(F.col("_key").alias(f"_{c}_key"), F.col("_last").alias(f"_{c}_group"), (F.greatest(*others) if len(others) > 1 else others[0]).alias("_m"))
+    run = named.join(per, (F.col("_key") == F.col(f"_{c}_key")) & (F.col("_g") == F.col(f"_{c}_group")) & F.coalesce(F.col("_o") > F.col("_m"), F.lit(True)))
+    return run.groupBy(f"_{c}_key", f"_{c}_group").agg(F.min("_o").alias(f"_{c}_since"), F.max(F.col("_m").isNotNull()).alias(f"_{c}_other"))
+
+
 def _rebuilt(kind, values: dict[tuple[str, ...], Column], path: tuple[str, ...] = ()) -> Column:
     if not isinstance(kind, StructType):
         return values[path]

@@ -811,3 +811,197 @@ REPORTS.update({
     "machine_wire_coercion_loss": machine_wire_coercion_loss,
     "event_write_batches": event_write_batches,
 })
+
+
+# ------------------------------------------- write batches, groups, updates ----
+
+def event_write_batches_full(spark: SparkSession, d: str) -> DataFrame:
+    """Every event with its write batch of exactly 500 rows, by id."""
+    from .operators.slicing import assign_batches
+
+    return assign_batches(star.table(spark, d, "events").select("event_id"), 500, order_by="event_id")
+
+
+def device_group_patterns(spark: SparkSession, d: str) -> DataFrame:
+    """Groups by StartsWith, EndsWith and Contains rules on names, one group per part, on every machine."""
+    from .operators.conform import conform
+    from .operators.updates import assign_device_groups
+
+    key = F.col("p_partkey").cast("string")
+    test = F.expr("CASE p_partkey % 3 WHEN 0 THEN 'EndsWith' WHEN 1 THEN 'Contains' ELSE 'StartsWith' END")
+    value = F.when(F.col("p_partkey") % 3 == 2, F.concat(F.lit("customer#"), F.lpad(key, 9, "0"))).otherwise(F.concat(key, F.lit("")))
+    rules = F.struct(F.array(F.struct(test.alias("condition"), value.alias("value"))).alias("devicesNamesConditions"))
+    groups = star.table(spark, d, "part").select(F.col("p_partkey").cast("int").alias("id"), (F.col("p_partkey") % 7).cast("int").alias("priority"),
+                                                F.col("p_name").alias("deviceGroupName"), F.lit(False).alias("isUnassignedDeviceGroup"), rules.alias("deviceGroupRules"))
+    out = assign_device_groups(spark, star.machines(spark, d), conform(groups, "device_group"))
+    return out.select("id", "deviceGroupId")
+
+
+def _definitions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Scan definitions of suppliers, and changes of them from events: some name another kind of
+    authentication, some are not allowed."""
+    from .operators.conform import conform
+
+    name = "device_authenticated_scan_definition"
+    defs = star.table(spark, d, "supplier").selectExpr(
+        "CAST(s_suppkey AS STRING) AS id", "'Windows' AS scanType", "s_name AS scanName", "true AS isActive",
+        "named_struct('type', 'Ntlm', 'username', 'user' || s_suppkey, 'domain', 'CORP') AS scanAuthenticationParams")
+    changes = star.table(spark, d, "events").selectExpr(
+        "CAST(user_id % 150 AS STRING) AS id", "event_id", "if(event_type = 'click', 'scan ' || event_id, null) AS scanName",
+        "if(event_type = 'view', int(event_id % 24), null) AS intervalInHours",
+        """CASE event_type WHEN 'purchase' THEN named_struct('type', 'PrivateKey', 'username', 'p' || event_id, 'domain', null, 'privateKey', 'k')
+           WHEN 'error' THEN named_struct('type', 'PrivateKey', 'username', null, 'domain', 'CORP', 'privateKey', null)
+           WHEN 'signup' THEN named_struct('type', 'Kerberos', 'username', null, 'domain', 'd' || event_id, 'privateKey', null) END AS scanAuthenticationParams""")
+    return conform(defs, name), conform(changes, name, keep=["event_id"])
+
+
+def scan_definition_update(spark: SparkSession, d: str) -> DataFrame:
+    """W7 + C8: many changes per definition, merged in order, structs field by field."""
+    from .operators.updates import update_scan_definitions
+
+    out, _ = update_scan_definitions(*_definitions(spark, d), seq="event_id")
+    a = "scanAuthenticationParams"
+    return out.select("id", "scanName", "intervalInHours", f"{a}.type", f"{a}.username", f"{a}.domain", f"{a}.privateKey")
+
+
+def scan_definition_rejected(spark: SparkSession, d: str) -> DataFrame:
+    """W7 + C8: the changes that their kind of authentication does not allow."""
+    from .operators.updates import update_scan_definitions
+
+    _, rejected = update_scan_definitions(*_definitions(spark, d), seq="event_id")
+    return rejected.select("event_id", "id", F.array_join("authErrors", "; ").alias("errors"))
+
+
+def _serialized(spark: SparkSession, d: str) -> DataFrame:
+    return star.table(spark, d, "events").selectExpr(
+        "event_id", """CASE event_type WHEN 'error' THEN '{"indicatorValue": "cut' WHEN 'signup' THEN '[1]' WHEN 'purchase' THEN null
+        WHEN 'view' THEN '{"indicatorValue": "u' || event_id || '", "generateAlert": "perhaps"}'
+        ELSE '{"indicatorValue": "u' || event_id || '", "action": "Block", "generateAlert": true}' END AS row""")
+
+
+_SERIALIZED = "indicatorValue string, action string, generateAlert boolean"
+
+
+def indicator_rows_serialized(spark: SparkSession, d: str) -> DataFrame:
+    """Serialized rows read as typed ones."""
+    from .operators.updates import split_serialized
+
+    return split_serialized(_serialized(spark, d), "row", _SERIALIZED)[0]
+
+
+def indicator_rows_rejected(spark: SparkSession, d: str) -> DataFrame:
+    """The serialized rows that are null, cut off, no object or of a wrong type, with the reason."""
+    from .operators.updates import split_serialized
+
+    return split_serialized(_serialized(spark, d), "row", _SERIALIZED)[1].select("event_id", "reason")
+
+
+def device_group_add(spark: SparkSession, d: str) -> DataFrame:
+    """New groups from events, several per id (the last counts), some of ids that are taken."""
+    from .operators.conform import conform
+    from .operators.updates import add_device_groups
+
+    new = star.table(spark, d, "events").selectExpr("CAST(user_id % 40 AS INT) AS id", "event_id", "'g' || event_id AS deviceGroupName", "false AS isUnassignedDeviceGroup")
+    out = add_device_groups(star.device_groups(spark, d), conform(new, "device_group", keep=["event_id"]), order=["event_id"])
+    return out.select("id", "deviceGroupName")
+
+
+def hunting_results_inferred(spark: SparkSession, d: str) -> DataFrame:
+    """Hunting responses, one per nation, some without rows; a field is a number in one row and text in another."""
+    from .sources.pages import scan_inferred
+
+    path = _landing(spark, "hunting")
+    score = F.expr("parse_json(if(c_custkey % 2 = 0, string(c_custkey * 10), '\"n/a\"'))")
+    row = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("DeviceName"), score.alias("score"), F.struct(F.col("c_nationkey").alias("key")).alias("nation"))
+    rows = star.table(spark, d, "customer").groupBy("c_nationkey").agg(F.collect_list(F.when(F.col("c_nationkey") != 7, row)).alias("Results"))
+    rows.select("c_nationkey", F.to_json(F.struct(F.array().alias("Schema"), "Results")).alias("value")).write.partitionBy("c_nationkey").text(path)
+    return scan_inferred(spark, path).select("id", "DeviceName", "score", F.col("nation.key").alias("nation"))
+
+
+def _land_blobs(spark: SparkSession, df: DataFrame, folder: str, name: str, codec: str, suffix: str) -> None:
+    """``df`` (text rows) as blobs of ``codec`` in ``folder``, under names that end in ``suffix``."""
+    path = _landing(spark, name)
+    df.write.option("compression", codec).text(path)
+    jvm = spark._jvm  # noqa: SLF001 - blobs are given names that do not fit
+    root, to = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    fs.mkdirs(to)
+    for k, st in enumerate(fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "part-*"))):
+        fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(to, f"{name}-{k}{suffix}"))
+
+
+def export_mixed_codecs(spark: SparkSession, d: str) -> DataFrame:
+    """S2 + S1: blobs packed under plain names, plain under packed names, and both as they should be."""
+    from .sources.readers import read_export
+
+    folder = _landing(spark, "mixed")
+    lines = star.machine_wire_records(spark, d).select(F.col("id").cast("long").alias("k"), F.to_json(F.struct("*")).alias("value"))
+    for k, (codec, suffix) in enumerate([("gzip", ".json"), ("none", ".json.gz"), ("gzip", ".json.gz"), ("none", ".json")]):
+        _land_blobs(spark, lines.where(F.col("k") % 4 == k).select("value"), folder, f"blob{k}", codec, suffix)
+    return read_export(spark, "machines", [folder]).select("id", "healthStatus", "rbacGroupId")
+
+
+def export_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """S12 + S2 + S10: blobs ingested as a stream, stopped, more blobs landed, started again from the checkpoint: rows
+    and quarantined lines, each once."""
+    from .plans.contracts import contract
+    from .streaming.changefeed import ingest_export, read_ingested
+
+    folder, table, kind = _landing(spark, "stream"), _landing(spark, "ingested"), contract("machine")
+    lines = star.machine_wire_records(spark, d).select(F.col("id").cast("long").alias("k"), F.to_json(F.struct("*")).alias("value"))
+    cut = star.table(spark, d, "nation").select(F.concat(F.lit('{"id": "cut'), F.col("n_nationkey").cast("string")).alias("value"))
+    _land_blobs(spark, lines.where("k % 2 = 0").select("value"), folder, "even", "gzip", ".json")
+    ingest_export(spark, folder, kind, table, max_files_per_trigger=3).awaitTermination()
+    _land_blobs(spark, lines.where("k % 2 = 1").select("value"), folder, "odd", "gzip", ".json.gz")
+    _land_blobs(spark, cut, folder, "cut", "none", ".json")
+    ingest_export(spark, folder, kind, table, max_files_per_trigger=3).awaitTermination()
+    rows, bad, _ = read_ingested(spark, table, kind)
+    return rows.select(F.lit("row").alias("kind"), "id", "healthStatus").unionByName(
+        bad.select(F.lit("bad").alias("kind"), F.col("_corrupt_record").alias("id"), F.lit(None).cast("string").alias("healthStatus")))
+
+
+# ------------------------------------------------------- dataset readers ----
+
+def _reread(spark: SparkSession, dataset: str, df: DataFrame) -> DataFrame:
+    """``df`` landed as an export of ``dataset`` (gzip NDJSON) and read back by its reader."""
+    from .sources.readers import read_export
+
+    path = _landing(spark, dataset)
+    df.write.option("compression", "gzip").json(path)
+    return read_export(spark, dataset, [path])
+
+
+def software_reread(spark: SparkSession, d: str) -> DataFrame:
+    """The software catalog landed and read."""
+    return _reread(spark, "software", star.software_catalog(spark, d)).select("id", "name", "vendor")
+
+
+def vulnerabilities_reread(spark: SparkSession, d: str) -> DataFrame:
+    """The vulnerability catalog landed and read."""
+    return _reread(spark, "vulnerabilities", star.vulnerability_catalog(spark, d)).select("id", "name", "severity")
+
+
+def recommendations_reread(spark: SparkSession, d: str) -> DataFrame:
+    """Recommendations landed and read."""
+    return _reread(spark, "recommendations", star.recommendations(spark, d)).select("id", "productName", "vendor", "status")
+
+
+def software_inventory_reread(spark: SparkSession, d: str) -> DataFrame:
+    """Every software row of every device landed and read."""
+    return _reread(spark, "software_inventory", star.asset_software(spark, d)).select("deviceId", "softwareVendor", "softwareName", "softwareVersion", "numberOfWeaknesses")
+
+
+def vulnerability_inventory_reread(spark: SparkSession, d: str) -> DataFrame:
+    """Every vulnerability row of every device landed and read."""
+    return _reread(spark, "vulnerability_inventory", star.asset_vulnerabilities(spark, d)).select("deviceId", "cveId", "softwareName", "recommendedSecurityUpdateId")
+
+
+def vulnerability_changes_reread(spark: SparkSession, d: str) -> DataFrame:
+    """The change feed landed and read."""
+    return _reread(spark, "vulnerability_changes", star.vulnerability_changes(spark, d)).select("id", "cveId", "status", _ts("eventTimestamp").alias("eventTimestamp"))
+
+
+REPORTS.update({f.__name__: f for f in (
+    event_write_batches_full, device_group_patterns, scan_definition_update, scan_definition_rejected, indicator_rows_serialized, indicator_rows_rejected,
+    device_group_add, hunting_results_inferred, export_mixed_codecs, export_stream_ingest, software_reread, vulnerabilities_reread, recommendations_reread,
+    software_inventory_reread, vulnerability_inventory_reread, vulnerability_changes_reread)})

@@ -514,3 +514,59 @@ SQL.update({
     "indicators_filtered": w(SUBMISSIONS) + """SELECT indicatorValue, action, title FROM s
 WHERE indicatorType = 'Url' AND action IN ('Block', 'Warn')""",
 })
+
+SQL.update({
+    "event_write_batches_full": "SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // 500 AS batchId FROM events",
+
+    "device_group_patterns": """WITH g AS (
+  SELECT p_partkey AS gid, p_partkey % 7 AS priority, p_partkey % 3 AS test,
+    CASE WHEN p_partkey % 3 = 2 THEN 'customer#' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') ELSE CAST(p_partkey AS VARCHAR) END AS value FROM part),
+hits AS (
+  SELECT c_custkey, gid, priority FROM customer JOIN g ON CASE test WHEN 0 THEN ends_with(lower(c_name), value) WHEN 1 THEN contains(lower(c_name), value)
+    ELSE starts_with(lower(c_name), value) END)
+SELECT CAST(c_custkey AS VARCHAR) AS id, CAST((SELECT first(gid ORDER BY priority, gid) FROM hits h WHERE h.c_custkey = c.c_custkey) AS INTEGER) AS deviceGroupId
+FROM customer c""",
+
+    "scan_definition_update": """WITH c AS (
+  SELECT CAST(user_id % 150 AS VARCHAR) AS id, event_id AS n, event_type AS e FROM events WHERE event_type <> 'error'),
+l AS (
+  SELECT id, max(n) FILTER (e = 'click') AS named, max(n) FILTER (e = 'view') AS timed, max(n) FILTER (e = 'purchase') AS linux, max(n) FILTER (e = 'signup') AS windows
+  FROM c GROUP BY id),
+d AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name, s_suppkey, true AS there FROM supplier),
+j AS (
+  SELECT coalesce(d.id, l.id) AS id, d.s_name, d.s_suppkey, coalesce(there, false) AS there, named, timed, linux, windows,
+    linux IS NOT NULL AND (windows IS NULL OR linux > windows) AS is_linux FROM d FULL OUTER JOIN l ON d.id = l.id)
+SELECT id, CASE WHEN named IS NOT NULL THEN 'scan ' || CAST(named AS VARCHAR) ELSE s_name END AS scanName, CAST(timed % 24 AS INTEGER) AS intervalInHours,
+  CASE WHEN is_linux THEN 'PrivateKey' WHEN windows IS NOT NULL THEN 'Kerberos' WHEN there THEN 'Ntlm' END AS type,
+  CASE WHEN is_linux THEN 'p' || CAST(linux AS VARCHAR) WHEN linux IS NULL AND there THEN 'user' || CAST(s_suppkey AS VARCHAR) END AS username,
+  CASE WHEN is_linux THEN NULL WHEN windows IS NOT NULL THEN 'd' || CAST(windows AS VARCHAR) WHEN there THEN 'CORP' END AS domain,
+  CASE WHEN is_linux THEN 'k' END AS privateKey FROM j""",
+
+    "scan_definition_rejected": """SELECT event_id, CAST(user_id % 150 AS VARCHAR) AS id, 'field not allowed for type PrivateKey: domain' AS errors
+FROM events WHERE event_type = 'error'""",
+
+    "indicator_rows_serialized": """SELECT 'u' || CAST(event_id AS VARCHAR) AS indicatorValue, 'Block' AS action, true AS generateAlert
+FROM events WHERE event_type NOT IN ('error', 'signup', 'purchase', 'view')""",
+
+    "indicator_rows_rejected": """SELECT event_id, CASE event_type WHEN 'error' THEN 'not JSON' WHEN 'signup' THEN 'not a JSON object' WHEN 'purchase' THEN 'no text'
+  ELSE 'a value does not fit its type' END AS reason FROM events WHERE event_type IN ('error', 'signup', 'purchase', 'view')""",
+
+    "device_group_add": """SELECT n_nationkey AS id, n_name AS deviceGroupName FROM nation UNION ALL SELECT 999, 'Unassigned' UNION ALL
+SELECT CAST(user_id % 40 AS INTEGER), 'g' || CAST(max(event_id) AS VARCHAR) FROM events
+WHERE user_id % 40 NOT IN (SELECT n_nationkey FROM nation) AND user_id % 40 <> 999 GROUP BY 1""",
+
+    "hunting_results_inferred": """SELECT c_custkey AS id, c_name AS DeviceName, CASE WHEN c_custkey % 2 = 0 THEN CAST(c_custkey * 10 AS VARCHAR) ELSE 'n/a' END AS score,
+  c_nationkey AS nation FROM customer WHERE c_nationkey <> 7""",
+
+    "export_mixed_codecs": w(M) + "SELECT id, healthStatus, rbacGroupId FROM m",
+
+    "export_stream_ingest": w(M) + """SELECT 'row' AS kind, id, healthStatus FROM m UNION ALL
+SELECT 'bad', '{"id": "cut' || CAST(n_nationkey AS VARCHAR), NULL FROM nation""",
+
+    "software_reread": w(SC) + "SELECT id, name, vendor FROM sc",
+    "vulnerabilities_reread": w(VC) + "SELECT id, name, severity FROM vc",
+    "recommendations_reread": w(RC) + "SELECT id, productName, vendor, status FROM rc",
+    "software_inventory_reread": w(AV) + "SELECT deviceId, softwareVendor, softwareName, softwareVersion, numberOfWeaknesses FROM av",
+    "vulnerability_inventory_reread": w(AV) + "SELECT deviceId, cveId, softwareName, recommendedSecurityUpdateId FROM av",
+    "vulnerability_changes_reread": w(DELTA) + f"SELECT id, cveId, status, strftime(eventTimestamp, {TS}) AS eventTimestamp FROM d",
+})

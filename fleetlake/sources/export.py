@@ -4,9 +4,11 @@
   file (gzip is not splittable) and split plain files; blank lines are
   skipped, a UTF-8 BOM is tolerated (S3).
 * S2 gzip by magic bytes: each blob's first two bytes (``1f 8b``) decide, whatever
-  its name. Where the name says the same, Spark's reader takes the blob; others are
-  decoded on an executor piece by piece (their bytes, at most 2 GB, are one row:
-  land large blobs under a name that fits).
+  its name. Spark lists the blobs, tasks open them and look; only the names of blobs whose
+  name says otherwise reach the driver. Spark's reader takes all others; those are opened again
+  by tasks and decoded as a stream. How a task opens a blob is the argument ``opener`` (a path
+  to a binary stream, e.g. of a cloud client); local files need none. For other file systems
+  without one, Spark hands tasks the blob's bytes (then at most 2 GB each, whole in memory).
 * S9 empty blobs are not errors: :func:`skipped_files` lists them.
 * S10 a malformed line fails the load (``FAILFAST``, the default); opt in to
   ``quarantine`` to get the bad lines back as a second table instead.
@@ -21,8 +23,11 @@ from __future__ import annotations
 import codecs
 import gzip
 import zlib
-from collections.abc import Iterator
-from functools import reduce
+import io
+import re
+from collections.abc import Callable, Iterator
+from functools import partial, reduce
+from typing import BinaryIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,17 +47,16 @@ def _lines_schema() -> StructType:
     return StructType([StructField("path", StringType()), StructField("value", StringType())])
 
 
-LINES_PER_BATCH = 10_000
+LINES_PER_BATCH, PIECE = 10_000, 1 << 20
+Opener = Callable[[str], BinaryIO]
 
 
-def _lines_of(content: bytes) -> Iterator[str]:
-    """Non-blank lines of a blob, decompressed (all gzip members) and decoded piece by piece."""
-    view, packed = memoryview(content), bytes(content[:2]) == GZIP_MAGIC
+def _lines_of(stream) -> Iterator[str]:
+    """Non-blank lines of a blob, read, decompressed (all gzip members) and decoded piece by piece."""
     decoder, unzip, rest = codecs.getincrementaldecoder("utf-8-sig")(), zlib.decompressobj(31), ""
-    at, step = 0, 1 << 20
-    while at < len(view):
-        piece = bytes(view[at : at + step])
-        at += step
+    piece = stream.read(PIECE)
+    packed = piece[:2] == GZIP_MAGIC
+    while piece:
         if packed:
             out = b""
             while piece:
@@ -64,7 +68,8 @@ def _lines_of(content: bytes) -> Iterator[str]:
             piece = out
         *lines, rest = (rest + decoder.decode(piece)).split("\n")
         yield from (x for line in lines if (x := line.strip()))
-    if packed and len(view) and not _ended(unzip):
+        piece = stream.read(PIECE)
+    if packed and not _ended(unzip):
         raise EOFError("a gzip blob is cut off")
     if x := (rest + decoder.decode(b"", True)).strip():
         yield x
@@ -84,88 +89,117 @@ def _fresh(unzip) -> bool:
         return False
 
 
-def _sniff_lines(batches):
-    """Executor side of S2: each file's bytes (gzip or plain, told by content) as lines, a bounded
-    number of them at a time."""
+def open_local(path: str) -> BinaryIO:
+    """A stream over a local file, given as a path or a ``file:`` location."""
+    return open(re.sub(r"^file:(//)?", "", path), "rb")  # noqa: SIM115 - closed by the caller
+
+
+def _sniff_lines(batches, opener: Opener | None = None):
+    """Executor side of S2: blobs (their paths for ``opener``, or their bytes; gzip or plain, told by content) as
+    lines, a bounded number of them at a time."""
     import pandas as pd
 
     for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
+        for path, content in zip(pdf["path"], pdf["path"] if opener else pdf["content"]):
             lines: list[str] = []
-            for line in _lines_of(content if content is not None else b""):
-                lines.append(line)
-                if len(lines) == LINES_PER_BATCH:
-                    yield pd.DataFrame({"path": path, "value": lines})
-                    lines = []
+            with opener(path) if opener else io.BytesIO(content or b"") as stream:
+                for line in _lines_of(stream):
+                    lines.append(line)
+                    if len(lines) == LINES_PER_BATCH:
+                        yield pd.DataFrame({"path": path, "value": lines})
+                        lines = []
             if lines:
                 yield pd.DataFrame({"path": path, "value": lines})
 
 
-def _by_content(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
-    """Blobs whose name agrees with their content (Spark's reader picks the codec by name), and
-    the others. Opens each blob once for its first two bytes, several at a time; folders
-    are listed. Only names reach the driver."""
-    from concurrent.futures import ThreadPoolExecutor
+def decode_blobs(blobs: DataFrame, opener: Opener | None) -> DataFrame:
+    """(path, value) lines of ``blobs``, a frame of ``path``, and ``content`` where there is no ``opener``."""
+    ship_package(blobs.sparkSession)
+    return blobs.select("path", *([] if opener else ["content"])).mapInPandas(partial(_sniff_lines, opener=opener), _lines_schema())
+
+
+def _are_packed(batches, opener: Opener):
+    """Executor side of the look at first bytes."""
+    import pandas as pd
+
+    for pdf in batches:
+        heads = []
+        for path in pdf["path"]:
+            with opener(path) as stream:
+                heads.append(stream.read(2) == GZIP_MAGIC)
+        yield pd.DataFrame({"path": pdf["path"], "file_path": pdf["file_path"], "packed": heads})
 
+
+def opener_for(spark: SparkSession, paths: list[str], opener: Opener | None) -> Opener | None:
+    """The given opener, or the local one where every location is local."""
+    if opener is not None:
+        return opener
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()  # noqa: SLF001 - the file system that Spark itself uses
+    schemes = {jvm.org.apache.hadoop.fs.Path(p).getFileSystem(conf).getUri().getScheme() for p in paths}  # opens nothing
+    return open_local if schemes <= {"file"} else None
+
+
+def _misnamed(spark: SparkSession, paths: list[str], opener: Opener | None) -> list[tuple[str, str]]:
+    """(path, file_path) of blobs by whose name Spark's reader would take the wrong codec. Spark lists the
+    folders; the first two bytes are read by tasks; only these names reach the driver."""
+    listed = blob_listing(spark, paths)
+    if opener is not None:
+        ship_package(spark)
+        heads = listed.select("path", F.col("_metadata.file_path").alias("file_path")).mapInPandas(
+            partial(_are_packed, opener=opener), "path string, file_path string, packed boolean")
+    else:
+        heads = listed.select("path", F.col("_metadata.file_path").alias("file_path"), (F.substring("content", 1, 2) == F.lit(GZIP_MAGIC)).alias("packed"))
+    name = F.lower("path")
+    other = reduce(lambda a, b: a | b, [name.endswith(x) for x in OTHER_CODECS])
+    return [tuple(r) for r in heads.where((F.col("packed") != name.endswith(".gz")) | other).select("path", "file_path").collect()]
+
+
+def blob_listing(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The blobs under ``paths``, with their ``path`` and, only where it is selected, ``content``."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
 
-    def files(path: str) -> list[str]:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(conf)
-        found = fs.globStatus(p) or []
-        out = []
-        for st in found:
-            if st.isDirectory():
-                out += [x for c in fs.listStatus(st.getPath()) if not c.getPath().getName().startswith(("_", "."))
-                        for x in ([c.getPath().toString()] if c.isFile() else files(c.getPath().toString()))]
-            else:
-                out.append(st.getPath().toString())
-        if not found:
-            raise FileNotFoundError(path)
-        return out
-
-    def packed(path: str) -> bool:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        stream = p.getFileSystem(conf).open(p)
-        try:
-            return stream.read() == GZIP_MAGIC[0] and stream.read() == GZIP_MAGIC[1]
-        finally:
-            stream.close()
-
-    named = [f for p in paths for f in files(p)]
-    with ThreadPoolExecutor(16) as pool:
-        agree = [(f, is_packed == f.lower().endswith(".gz") and not f.lower().endswith(OTHER_CODECS))
-                 for f, is_packed in zip(named, pool.map(packed, named))]
-    return [f for f, ok in agree if ok], [f for f, ok in agree if not ok]
-
-
-def raw_lines(spark: SparkSession, paths: list[str], *, detect: str = "content") -> DataFrame:
+
+def raw_lines(spark: SparkSession, paths: list[str], *, detect: str = "content", opener: Opener | None = None) -> DataFrame:
     """(path, value) rows: the non-blank lines of the blobs, as text.
 
     ``detect="content"`` looks at every blob's first bytes: where the name agrees,
     Spark reads it (in splits, if it is plain); a gzip blob under another name, or a
-    plain one named ``.gz``, is decoded on an executor piece by piece. ``"suffix"``
+    plain one named ``.gz``, is decoded by a task as a stream. ``"suffix"``
     trusts all names, ``"magic"`` decodes every blob that way.
     """
-    native, other = _route(spark, paths, detect)
+    if not paths:
+        return spark.createDataFrame([], _lines_schema())
+    native, other = _route(spark, paths, detect, opener)
     parts = []
-    if native:
-        t = spark.read.text(native).select(F.col("_metadata.file_path").alias("path"),
-                                           F.regexp_replace("value", "^[\\s\ufeff]+|\\s+$", "").alias("value"))
+    if native is not None:
+        t = native(spark.read, "text").select(F.col("_metadata.file_path").alias("path"),
+                                              F.regexp_replace("value", "^[\\s\ufeff]+|\\s+$", "").alias("value"))
         parts.append(t.filter(F.length("value") > 0))
-    if other:
-        ship_package(spark)
-        b = spark.read.format("binaryFile").load(other).select("path", "content")
-        parts.append(b.mapInPandas(_sniff_lines, _lines_schema()))
-    if not parts:
-        return spark.createDataFrame([], _lines_schema())
+    if other is not None:
+        parts.append(other)
     return reduce(DataFrame.unionByName, parts)
 
 
-def _route(spark: SparkSession, paths: list[str], detect: str) -> tuple[list[str], list[str]]:
+def _route(spark: SparkSession, paths: list[str], detect: str, opener: Opener | None):
+    """How Spark's reader takes the blobs whose name fits (a function of reader and format), and the decoded
+    lines of the others; either may be None."""
+    def native(excluded: list[str]):
+        def load(reader, fmt: str) -> DataFrame:
+            df = reader.format(fmt).option("recursiveFileLookup", True).load(list(paths))
+            # a filter on a file's own name is applied to the listing, so those files are never opened
+            return df.where(~F.col("_metadata.file_path").isin(excluded)) if excluded else df
+        return load
+
     if detect == "suffix":
-        return list(paths), []
-    return _by_content(spark, paths) if detect == "content" else ([], list(paths))
+        return native([]), None
+    opener = opener_for(spark, paths, opener)
+    if detect == "magic":
+        return None, decode_blobs(blob_listing(spark, paths), opener)
+    wrong = _misnamed(spark, paths, opener)
+    if not wrong:
+        return native([]), None
+    names = [f for _, f in wrong]
+    return native(names), decode_blobs(blob_listing(spark, paths).where(F.col("_metadata.file_path").isin(names)), opener)
 
 
 def parse_records(lines: DataFrame, schema: StructType, *, mode: str = "FAILFAST") -> DataFrame:
@@ -177,7 +211,7 @@ def parse_records(lines: DataFrame, schema: StructType, *, mode: str = "FAILFAST
 
 
 def scan_export(spark: SparkSession, paths: list[str], schema: StructType, *, mode: str = "FAILFAST",
-                detect: str = "content") -> DataFrame:
+                detect: str = "content", opener: Opener | None = None) -> DataFrame:
     """Many NDJSON blobs -> one table conformed to ``schema`` plus ``_source``.
 
     An empty path list gives an empty typed table. Malformed lines fail the
@@ -185,29 +219,31 @@ def scan_export(spark: SparkSession, paths: list[str], schema: StructType, *, mo
     """
     if not paths:
         return spark.createDataFrame([], StructType(schema.fields + [StructField(SOURCE, StringType())]))
-    native, other = _route(spark, paths, detect)
+    native, other = _route(spark, paths, detect, opener)
     parts = []
-    if native:
-        df = (spark.read.schema(wire_schema(schema)).option("mode", mode).json(native)
-                   .withColumn(SOURCE, redact_url(F.col("_metadata.file_path"))))
-        parts.append(conform_to(df, schema, keep=[SOURCE]))
-    if other:
-        recs = parse_records(raw_lines(spark, other, detect="magic"), schema, mode=mode)
-        parts.append(conform_to(recs, schema, keep=[SOURCE]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    if native is not None:
+        df = native(spark.read.schema(wire_schema(schema)).option("mode", mode), "json")
+        parts.append(conform_to(df.withColumn(SOURCE, redact_url(F.col("_metadata.file_path"))), schema, keep=[SOURCE]))
+    if other is not None:
+        parts.append(conform_to(parse_records(other, schema, mode=mode), schema, keep=[SOURCE]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def scan_export_quarantine(spark: SparkSession, paths: list[str], schema: StructType, *,
-                           detect: str = "content") -> tuple[DataFrame, DataFrame]:
+                           detect: str = "content", opener: Opener | None = None) -> tuple[DataFrame, DataFrame]:
     """S10 opt-in: (good rows, bad lines) instead of failing on a malformed line."""
-    lines = raw_lines(spark, paths, detect=detect)
+    return good_and_bad(probe_lines(raw_lines(spark, paths, detect=detect, opener=opener), schema), schema)
+
+
+def probe_lines(lines: DataFrame, schema: StructType) -> DataFrame:
+    """``lines`` (path, value) with the record ``r`` parsed from each, ``_corrupt_record`` in it where that failed."""
     wire = wire_schema(schema)
     probe = StructType(list(wire.fields) + [StructField(CORRUPT, StringType())])  # type: ignore[attr-defined]
-    parsed = lines.select("path", "value", F.from_json("value", probe, {"mode": "PERMISSIVE",
-                                                                        "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+    return lines.select("path", "value", F.from_json("value", probe, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+
+
+def good_and_bad(parsed: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Conformed rows and bad lines of :func:`probe_lines`, both with their ``_source``."""
     ok = F.col(f"r.{CORRUPT}").isNull() & F.col("r").isNotNull()
     good = parsed.filter(ok).select("r.*", redact_url("path").alias(SOURCE)).drop(CORRUPT)
     bad = parsed.filter(~ok).select(redact_url("path").alias(SOURCE), F.col("value").alias(CORRUPT))

@@ -1,8 +1,9 @@
 """Change feed and export ingest as Structured Streaming.
 
 * S12: landed export blobs are read incrementally (``maxFilesPerTrigger``
-  bounds the work per micro-batch) and conformed; the checkpoint gives
-  exactly-once file processing across restarts and executor loss.
+  bounds the work per micro-batch) and conformed. :func:`ingest_export` lands rows
+  and malformed lines in two tables, a folder per micro-batch: a batch that is replayed
+  after a loss overwrites its own folders, so with the checkpoint each blob counts once.
 * X3: each micro-batch of vulnerability changes is applied to the snapshot
   table with the batch operator (X2), which takes repeats and late events in
   any order; no watermark stands before it. The snapshot lives in parts under a
@@ -22,20 +23,72 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..functions.scalars import redact_url
 from ..operators.changes import DEFAULT_TERMINAL, apply_changes
 from ..operators.conform import conform_to, wire_schema
 from ..session import scratch_path
+from ..sources.export import CORRUPT, SOURCE, Opener, decode_blobs, good_and_bad, opener_for, probe_lines
 
 
 def read_export_stream(spark: SparkSession, directory: str, schema: StructType, *,
                        max_files_per_trigger: int = 100) -> DataFrame:
-    """A streaming frame over NDJSON blobs landing in ``directory``."""
+    """A streaming frame over NDJSON blobs landing in ``directory``, whose codec fits
+    their name; a malformed line fails the query. :func:`ingest_export` has neither limit."""
     raw = (spark.readStream.schema(wire_schema(schema)).option("maxFilesPerTrigger", max_files_per_trigger)
                 .option("mode", "FAILFAST").json(directory)
-                .withColumn("_source", F.col("_metadata.file_path")))
-    return conform_to(raw, schema, keep=["_source"])
+                .withColumn(SOURCE, redact_url(F.col("_metadata.file_path"))))
+    return conform_to(raw, schema, keep=[SOURCE])
+
+
+_BLOB = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def ingest_export(spark: SparkSession, directory: str, schema: StructType, table: str, *, checkpoint: str | None = None,
+                  max_files_per_trigger: int = 100, opener: Opener | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """S12 with S2, S3, S10, S11: NDJSON blobs landing in ``directory`` -> rows and quarantined lines under ``table``.
+
+    Every blob is taken once, by the codec that its first bytes tell, by tasks (:mod:`..sources.export`); ``_source``
+    is redacted. A micro-batch holds at most ``max_files_per_trigger`` blobs and writes ``rows/batch=n``,
+    ``quarantine/batch=n`` (malformed lines) and ``blobs/batch=n`` (``_source``, ``n_rows``, ``n_bad``: also
+    of blank blobs; Spark passes over those of no bytes, which ``skipped_files`` finds from a manifest). ``checkpoint`` defaults to ``table/_checkpoint``: started again, the query goes on where it
+    ended, and a batch that was cut off is written anew over its own folders.
+    """
+    opener = opener_for(spark, [directory], opener)
+    blobs = (spark.readStream.format("binaryFile").schema(_BLOB).option("maxFilesPerTrigger", max_files_per_trigger)
+                  .option("recursiveFileLookup", True).load(directory).select("path", *([] if opener else ["content"])))
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        parsed = probe_lines(decode_blobs(batch, opener), schema).persist()
+        try:
+            good, bad = good_and_bad(parsed, schema)
+            counts = good.select(SOURCE, F.lit(1).alias("g"), F.lit(0).alias("b")).unionByName(bad.select(SOURCE, F.lit(0).alias("g"), F.lit(1).alias("b")))
+            counts = counts.unionByName(batch.select(redact_url("path").alias(SOURCE), F.lit(0).alias("g"), F.lit(0).alias("b")))
+            counts = counts.groupBy(SOURCE).agg(F.sum("g").alias("n_rows"), F.sum("b").alias("n_bad"))
+            for name, df in (("rows", good), ("quarantine", bad), ("blobs", counts)):
+                df.write.mode("overwrite").parquet(os.path.join(table, name, f"batch={batch_id}"))
+        finally:
+            parsed.unpersist()
+
+    query = blobs.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint or os.path.join(table, "_checkpoint"))
+    return query.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_ingested(spark: SparkSession, table: str, schema: StructType) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, quarantined lines, blobs) that :func:`ingest_export` has landed so far, with the number of
+    the ``batch``; empty where nothing has landed."""
+    text = StructField(SOURCE, StringType())
+    kinds = {"rows": StructType([*schema.fields, text]), "quarantine": StructType([text, StructField(CORRUPT, StringType())]),
+             "blobs": StructType([text, StructField("n_rows", LongType()), StructField("n_bad", LongType())])}
+    jvm = spark._jvm  # noqa: SLF001 - the file system that Spark itself uses
+    out = []
+    for name, kind in kinds.items():
+        root = jvm.org.apache.hadoop.fs.Path(os.path.join(table, name))
+        kind = StructType([*kind.fields, StructField("batch", LongType())])
+        there = root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root)  # noqa: SLF001
+        out.append(spark.read.schema(kind).parquet(root.toString()) if there else spark.createDataFrame([], kind))
+    return out[0], out[1], out[2]
 
 
 def dedup_changes(changes: DataFrame, *, key: list[str] | None = None, event_time: str = "eventTimestamp",
