@@ -404,39 +404,32 @@ def delete_device_groups(groups: DataFrame, ids: DataFrame) -> DataFrame:
 _RULE_LISTS = {"name": "devicesNamesConditions", "domain": "devicesDomainsConditions", "tag": "devicesTagsConditions", "os": "devicesOsConditions"}
 
 
-def _group_rules(groups: DataFrame) -> DataFrame:
-    """(gid, kind, test, value): one row per rule value of every group, lower-cased."""
-    g = groups.where(~F.coalesce("isUnassignedDeviceGroup", F.lit(False)) & F.col("deviceGroupRules").isNotNull())
-    parts = []
-    for kind, column in _RULE_LISTS.items():
-        each = g.select(F.col("id").alias("gid"), F.explode(F.col(f"deviceGroupRules.{column}")).alias("r"))
-        test = F.lower(F.coalesce(F.col("r.condition"), F.lit("In" if kind == "os" else "")))
-        # a list of values is OR; a rule without values still counts as a rule, and matches nothing
-        values = F.explode_outer("r.valuesList") if kind == "os" else F.col("r.value")
-        each = each.select("gid", F.lit(kind).alias("kind"), F.when(test == "equals", F.lit("in")).otherwise(test).alias("test"), values.alias("value"))
-        parts.append(each.withColumn("value", F.lower("value")))
-    return reduce(DataFrame.unionByName, parts)
-
-
 #: Characters of a prefix or suffix pattern that are looked up, and of the piece of a Contains pattern.
-EDGE, PIECE = 32, 3
-_TESTS = ("startswith", "endswith", "contains")
-
-
-def _index_of(rules: DataFrame) -> DataFrame:
-    """Pattern rules with the key they are found by: the first or last ``EDGE`` characters, or the piece of ``PIECE``
-    characters (the whole of a shorter pattern) that the fewest Contains rules share."""
-    edge = F.least(F.length("value"), F.lit(EDGE))
-    edges = rules.where(F.col("test").isin("startswith", "endswith")).withColumn("size", edge).withColumn(
-        "at", F.expr("if(test = 'startswith', left(value, size), right(value, size))"))
-    inner = rules.where("test = 'contains'").withColumn("size", F.least(F.length("value"), F.lit(PIECE)))
-    pieces = inner.withColumn("at", F.explode(F.expr(_PIECES)))
-    shared = pieces.groupBy("kind", "at").agg(F.count(F.lit(1)).alias("_n"))
-    rarest = pieces.join(shared, ["kind", "at"]).groupBy("gid", "kind", "test", "value", "size").agg(F.min(F.struct("_n", "at")).getField("at").alias("at"))
-    return edges.unionByName(rarest)
+EDGE, PIECE = 32, 8
+_PIECES = "if(size = 0, array(''), array_distinct(transform(sequence(1, length(value) - size + 1), i -> substring(value, i, size))))"
+_KEYS = f"""CASE test WHEN 'in' THEN array(value) WHEN 'startswith' THEN array(left(value, size)) WHEN 'endswith' THEN array(right(value, size))
+    ELSE {_PIECES} END"""
 
 
-_PIECES = "if(size = 0, array(''), array_distinct(transform(sequence(1, length(value) - size + 1), i -> substring(value, i, size))))"
+def _group_rules(groups: DataFrame) -> DataFrame:
+    """(gid, priority, need, kind, test, value, size, at): one row per rule value of every group, lower-cased.
+    ``need`` has a bit for each kind of which the group has rules; ``at`` is the key, ``size`` characters long,
+    that the rule is found by: the whole value, the first or last characters of it, or a piece of it."""
+    g = groups.where(~F.coalesce("isUnassignedDeviceGroup", F.lit(False)) & F.col("deviceGroupRules").isNotNull())
+    lists, need = [], F.lit(0)
+    for k, (kind, column) in enumerate(_RULE_LISTS.items()):
+        rules = F.col(f"deviceGroupRules.{column}")
+        test = "lower(coalesce(r.condition, 'In'))" if kind == "os" else "lower(coalesce(r.condition, ''))"
+        # a list of values is OR; a rule without values still counts as a rule, and matches nothing
+        values = "coalesce(r.valuesList, array())" if kind == "os" else "array(r.value)"
+        lists.append(f"""flatten(transform(coalesce(deviceGroupRules.{column}, array()), r -> transform({values}, v ->
+            named_struct('kind', {k}, 'test', if({test} = 'equals', 'in', {test}), 'value', lower(v)))))""")
+        need = need + F.when(F.size(F.coalesce(rules, F.array().cast(groups.schema["deviceGroupRules"].dataType[column].dataType))) > 0, 1 << k).otherwise(0)
+    rules = g.select(F.col("id").alias("gid"), "priority", need.alias("need"), F.explode(F.expr(f"concat({', '.join(lists)})")).alias("r"))
+    rules = rules.select("gid", "priority", "need", "r.*").where("value is not null and test in ('in', 'startswith', 'endswith', 'contains')")
+    rules = rules.withColumn("size", F.expr(f"CASE test WHEN 'in' THEN -1 WHEN 'contains' THEN least(length(value), {PIECE}) ELSE least(length(value), {EDGE}) END"))
+    # of the pieces of a Contains pattern the one with the least hash, so that patterns spread over keys
+    return rules.withColumn("at", F.expr(f"array_min(transform({_KEYS}, x -> named_struct('h', xxhash64(x), 'x', x))).x"))
 
 
 def assign_device_groups(spark: SparkSession, machines: DataFrame, groups: DataFrame) -> DataFrame:
@@ -449,34 +442,26 @@ def assign_device_groups(spark: SparkSession, machines: DataFrame, groups: DataF
     lists all non-empty lists must match (AND) -- a stated choice. A group
     with no rules matches nothing.
 
-    All conditions are looked up by equi-join: ``Equals`` and ``In`` by the value, ``StartsWith`` and
+    All conditions are looked up by one equi-join: ``Equals`` and ``In`` by the value, ``StartsWith`` and
     ``EndsWith`` by the first or last characters of the lengths that occur in rules (at most
-    ``EDGE`` + 1 lengths a kind), ``Contains`` by one piece of the pattern among the pieces of the value;
-    what a key finds is then held against the whole pattern. So a machine meets the rules that share a
-    key with it, not all rules; nothing is gathered, nothing runs on the driver. A group matches
-    where all its lists do; the best one is a ``min_by``.
+    ``EDGE``), ``Contains`` by a piece of the pattern (at most ``PIECE`` characters) among the pieces of the
+    value; what a key finds is then held against the whole pattern. So a machine meets the rules that
+    share a key with it, not all rules; nothing is gathered, nothing runs on the driver. A group
+    matches where all its lists do (a bit each); the best one is a minimum per machine.
     """
     rules = _group_rules(groups)
-    needed = rules.groupBy("gid").agg(F.count_distinct("kind").alias("_need"))
-    needed = needed.join(groups.select(F.col("id").alias("gid"), "priority"), "gid")
-    index = _index_of(rules.where(F.col("test").isin(*_TESTS) & F.col("value").isNotNull()))
-    # 4 kinds x (2 x 33 edges + 4 pieces) rows at most
-    sizes = F.broadcast(index.select("kind", "test", "size").distinct())
+    # at most 4 kinds x (2 x 33 edges + 9 pieces + 1) rows
+    sizes = F.broadcast(rules.select("kind", "test", "size").distinct())
     name = F.lower("computerDnsName")
     tags = F.coalesce("machineTags", F.array().cast("array<string>"))
-    m = machines.select(F.col("id").alias("_mid"), F.create_map(
-        F.lit("name"), F.array(name), F.lit("domain"), F.array(F.regexp_extract(name, r"^[^.]*\.(.*)$", 1)),
-        F.lit("tag"), F.transform(tags, F.lower), F.lit("os"), F.array(F.lower("osPlatform"))).alias("_v"))
-    values = m.select("_mid", F.explode("_v").alias("kind", "vs")).select("_mid", "kind", F.explode("vs").alias("value")).where("value is not null")
-    keys = values.join(sizes, "kind").where("size <= length(value)")
-    keys = keys.select("_mid", "kind", "test", F.col("value").alias("_value"), F.explode(F.expr(
-        f"CASE test WHEN 'startswith' THEN array(left(value, size)) WHEN 'endswith' THEN array(right(value, size)) ELSE {_PIECES} END")).alias("at"), "size")
-    whole = F.expr("CASE test WHEN 'startswith' THEN startswith(_value, value) WHEN 'endswith' THEN endswith(_value, value) ELSE contains(_value, value) END")
-    by_pattern = keys.join(index, ["kind", "test", "size", "at"]).where(whole).select("_mid", "gid", "kind")
-    by_value = values.join(rules.where("test = 'in'").select("gid", "kind", "value").distinct(), ["kind", "value"]).select("_mid", "gid", "kind")
-    matched = by_pattern.unionByName(by_value).distinct().groupBy("_mid", "gid").agg(F.count(F.lit(1)).alias("_have"))
-    best = (matched.join(needed, (matched["gid"] == needed["gid"]) & (F.col("_have") == F.col("_need")))
-            .groupBy("_mid").agg(F.min(F.struct("priority", matched["gid"].alias("gid"))).alias("_best")))
+    values = F.array(F.array(name), F.array(F.regexp_extract(name, r"^[^.]*\.(.*)$", 1)), F.transform(tags, F.lower), F.array(F.lower("osPlatform")))
+    each = machines.select(F.col("id").alias("_mid"), F.posexplode(values).alias("kind", "vs")).select("_mid", "kind", F.explode("vs").alias("value"))
+    keys = each.where("value is not null").join(sizes, "kind").where("size <= length(value)")
+    keys = keys.select("_mid", "kind", "test", "size", F.col("value").alias("_value"), F.explode(F.expr(_KEYS)).alias("at"))
+    whole = F.expr("CASE test WHEN 'in' THEN true WHEN 'startswith' THEN startswith(_value, value) WHEN 'endswith' THEN endswith(_value, value) ELSE contains(_value, value) END")
+    found = keys.join(rules, ["kind", "test", "size", "at"]).where(whole)
+    matched = found.groupBy("_mid", "gid", "priority", "need").agg(F.bit_or(F.expr("shiftleft(1, kind)")).alias("_have")).where("_have = need")
+    best = matched.groupBy("_mid").agg(F.min(F.struct("priority", "gid")).alias("_best"))
     rest = groups.where(F.coalesce("isUnassignedDeviceGroup", F.lit(False))).agg(F.min(F.struct("priority", "id")).alias("u")).select("u.id").scalar()
     return (machines.join(best, F.col("id") == F.col("_mid"), "left")
             .withColumn("deviceGroupId", F.coalesce(F.col("_best.gid"), rest)).drop("_mid", "_best"))
