@@ -41,6 +41,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many leading underscores as it takes to be no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     column = column.cast(pa.binary())

@@ -10,24 +10,26 @@ SQL functions only.
    Projected gradient minimises the squared, mass-scaled deviations of the expected
    domain totals sum_i r_i n_i p_ik from the targets. Each step is one aggregation over
    the corpus that gives as many numbers as there are domains; the next rates are
-   max(0, r_i - sum_k p_ik g_k), an expression on the row. Rates are written to the
+   max(least, r_i - sum_k p_ik g_k), an expression on the row. Rates are written to the
    shared folder every few steps, so expressions and lineage stay short.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import written
+from fleetlake.llm.common import free_names, written
 
 BUCKETS = 4096
 SAMPLE = 20_000
 #: Target shares are natural shares to this power: under 1 raises the rare domains.
 TEMPERATURE = 0.7
-STEPS = 60
+#: Steps of the projected gradient at most; it ends before when the targets are met or the totals stand still.
+STEPS = 200
 
 
 def _words(text: Column) -> Column:
@@ -91,11 +93,14 @@ def posteriors(docs: DataFrame, domains: list[str], weights: DataFrame, *, prior
 
 
 def fit_rates(members: DataFrame, targets: list[float], *, budget: float | None = None, steps: int = STEPS, every: int = 5,
-              tolerance: float = 1e-4) -> tuple[DataFrame, dict]:
+              least: float = 0.0, tolerance: float = 1e-4) -> tuple[DataFrame, dict]:
     """Rates for ``members(tokens, same, p_0, ...)``: the column ``rate`` is added. ``targets`` are the
     domains' shares; ``budget`` the tokens they share out (None: the least at which no
-    domain with a target falls below one pass of its expected tokens). The second result
-    holds the masses, targets and totals reached."""
+    domain with a target falls below one pass of its expected tokens), ``least`` the least rate
+    of a document. Ends when every total is within ``tolerance`` of its target, or when a step no longer
+    moves the totals (targets out of reach: the nearest totals). The second result holds the
+    masses, targets and totals reached, and the greatest relative deviation ``off``; a warning says when it
+    is above the tolerance."""
     m = len(targets)
     total = sum(targets)
     shares = [t / total for t in targets]
@@ -105,33 +110,42 @@ def fit_rates(members: DataFrame, targets: list[float], *, budget: float | None
         row = df.agg(*[F.sum(F.col("rate") * n * F.col(f"p_{k}")).alias(f"t_{k}") for k in range(m)]).head()
         return [float(x or 0.0) for x in row]
 
-    current = members.withColumn("rate", F.lit(1.0))
+    current = members.withColumn("rate", F.lit(max(1.0, least)))
     mass = totals(current)
     if budget is None:
         budget = max((mass[k] / shares[k] for k in range(m) if shares[k] > 0), default=0.0)
     wanted = [budget * s for s in shares]
     reached, step = mass, 1.0
+
+    def deviation() -> float:
+        return max((abs(reached[k] - wanted[k]) / max(wanted[k], 1.0) for k in range(m) if mass[k] > 0), default=0.0)
+
     for i in range(steps):
-        gap = [(reached[k] - wanted[k]) / mass[k] if mass[k] > 0 else 0.0 for k in range(m)]
-        off = max((abs(reached[k] - wanted[k]) / max(wanted[k], 1.0) for k in range(m) if mass[k] > 0), default=0.0)
-        if off <= tolerance:
+        if deviation() <= tolerance:
             break
+        gap = [(reached[k] - wanted[k]) / mass[k] if mass[k] > 0 else 0.0 for k in range(m)]
         move = sum((F.col(f"p_{k}") * F.lit(step * gap[k]) for k in range(m)), F.lit(0.0))
-        current = current.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - move))
+        current = current.withColumn("rate", F.greatest(F.lit(float(least)), F.col("rate") - move))
         if i % every == every - 1:
             current = written(current, "rates")
-        reached = totals(current)
-    return current, {"mass": mass, "targets": wanted, "reached": reached, "budget": budget}
+        before, reached = reached, totals(current)
+        if all(abs(reached[k] - before[k]) <= 1e-3 * tolerance * max(wanted[k], 1.0) for k in range(m)):
+            break
+    off = deviation()
+    if off > tolerance:
+        warnings.warn(f"domain totals are up to {off:.2%} off their targets: {reached} of {wanted}", stacklevel=2)
+    return current, {"mass": mass, "targets": wanted, "reached": reached, "budget": budget, "off": off}
 
 
 def mix(docs: DataFrame, labelled: DataFrame, *, targets: dict[str, float] | None = None, temperature: float = TEMPERATURE,
-        budget: float | None = None, buckets: int = BUCKETS, sample: int = SAMPLE, steps: int = STEPS, id_col: str = "doc_id",
+        budget: float | None = None, least: float = 0.0, buckets: int = BUCKETS, sample: int = SAMPLE, steps: int = STEPS, id_col: str = "doc_id",
         text_col: str = "text") -> DataFrame:
     """``(id, h, tokens, domain, rate, posteriors)`` for each distinct (id, text) of ``docs``; ``h`` is
     ``xxhash64`` of the text (null as empty), ``domain`` the likeliest domain, ``posteriors`` a map.
 
     ``targets`` gives the domains' shares (domains it leaves out get none); without it they
-    are the labelled domains' natural token shares to the power ``temperature``. Rows that
+    are the labelled domains' natural token shares to the power ``temperature``. ``least`` is the least
+    rate of a document (1: none is dropped). Targets that are missed are warned of (:func:`fit_rates`). Rows that
     repeat id and text count each, and share one result row. Null ids and texts are
     allowed: a text without words has no tokens and rate 1 or as its priors bid. Without
     any labelled row there is one nameless domain and all rates are 1. Other columns
@@ -151,7 +165,7 @@ def mix(docs: DataFrame, labelled: DataFrame, *, targets: dict[str, float] | Non
         aims = [float(targets.get(d, 0.0)) for d in domains]
     if not sum(aims):
         aims = [1.0] * m
-    rated, _ = fit_rates(members, aims, budget=budget, steps=steps)
+    rated, _ = fit_rates(members, aims, budget=budget, steps=steps, least=least)
     likeliest = F.greatest(*[F.col(f"p_{k}") for k in range(m)]) if m > 1 else F.col("p_0")
     domain = F.coalesce(*[F.when(F.col(f"p_{k}") == likeliest, F.lit(d)) for k, d in enumerate(domains)])
     return rated.select(F.col("id").alias(id_col), "h", "tokens", domain.alias("domain"), "rate",
@@ -161,12 +175,13 @@ def mix(docs: DataFrame, labelled: DataFrame, *, targets: dict[str, float] | Non
 def apply_rates(docs: DataFrame, mixed: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` (all columns) with each row as many times as its rate says: the whole part, and
     once more where a hash of id and text falls below the rest. Deterministic."""
-    r = mixed.select(F.col(id_col).alias("_i"), F.col("h").alias("_h"), F.col("rate").alias("_rate"))
+    i, hash_, rate, copy = free_names(docs, "_i", "_h", "_rate", "_copy")
+    r = mixed.select(F.col(id_col).alias(i), F.col("h").alias(hash_), F.col("rate").alias(rate))
     h = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    joined = docs.join(r, docs[id_col].eqNullSafe(F.col("_i")) & (h == F.col("_h")))
-    dice = F.pmod(F.xxhash64(F.col("_i"), F.col("_h"), F.lit(8)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    copies = (F.floor("_rate") + (dice < F.col("_rate") - F.floor("_rate")).cast("int")).cast("int")
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*[docs[c] for c in docs.columns])
+    joined = docs.join(r, docs[id_col].eqNullSafe(F.col(i)) & (h == F.col(hash_)))
+    dice = F.pmod(F.xxhash64(F.col(i), F.col(hash_), F.lit(8)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    copies = (F.floor(rate) + (dice < F.col(rate) - F.floor(rate)).cast("int")).cast("int")
+    return joined.withColumn(copy, F.explode(F.array_repeat(F.lit(1), copies))).select(*[docs[c] for c in docs.columns])
 
 
 def labelled_domains(docs: DataFrame, labels: DataFrame, *, domain_col: str = "lang") -> DataFrame:

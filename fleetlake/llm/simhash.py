@@ -28,11 +28,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm.blocks import BLOCK, block_pairs, runs
-from fleetlake.llm.common import connected_components, prepare, record, slices, utf8, written
+from fleetlake.llm.common import connected_components, free_names, prepare, record, slices, utf8, written
 
 SHINGLE = 3
 MOST_BITS = 3
@@ -195,12 +195,21 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, most_bits: int =
 def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` (all columns) without near-duplicates: of each group the document with
     the smallest id stays (of several texts under that id one, of repeated rows one). Rows
-    with a null id all stay."""
+    with a null id are told apart by their text and come after all ids: where a group has no id, one
+    of them stays."""
     h = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    named = docs.where(docs[id_col].isNotNull()).select(F.struct(docs[id_col].alias("i"), h.alias("h")).alias("key"), docs[text_col].alias("text"))
-    prints = written(fingerprints(named, id_col="key", text_col="text").select(F.col("key").alias("id"), "fp"), "fingerprints")
-    stay = components(prints, **options).select("component.i", "component.h").distinct()
-    stay = stay.select(F.col("i").alias("_i"), F.col("h").alias("_h"), F.lit(True).alias("_stays"))
-    joined = docs.join(stay, (docs[id_col] == F.col("_i")) & (h == F.col("_h")), "left").where(docs[id_col].isNull() | F.col("_stays"))
-    first = F.row_number().over(Window.partitionBy("_i", "_h").orderBy("_i"))
-    return joined.withColumn("_nth", F.when(F.col("_stays"), first).otherwise(1)).where("_nth = 1").select(*[docs[c] for c in docs.columns])
+    key = F.struct(docs[id_col].isNull().alias("n"), docs[id_col].alias("i"), h.alias("h"))
+    prints = written(fingerprints(docs.select(key.alias("key"), docs[text_col].alias("text")), id_col="key", text_col="text")
+                     .select(F.col("key").alias("id"), "fp"), "fingerprints")
+    stay = components(prints, **options).select("component").distinct()
+    rows = prints.groupBy("id").agg(F.count("*").alias("rows"))
+    i, hash_, many = free_names(docs, "_i", "_h", "_many")
+    # a plain side of the join, so that rows of a key that repeats often can be split
+    stay = written(stay.join(rows, F.col("component") == F.col("id")).select(
+        F.col("component.i").alias(i), F.col("component.h").alias(hash_), (F.col("rows") > 1).alias(many)), "stay")
+
+    def found(which: DataFrame) -> DataFrame:
+        return docs.join(which, docs[id_col].eqNullSafe(F.col(i)) & (h == F.col(hash_)))
+
+    once, repeated = found(stay.where(~F.col(many))), found(stay.where(many)).dropDuplicates([i, hash_])
+    return once.unionByName(repeated).drop(i, hash_, many)

@@ -90,9 +90,13 @@ def test_simhash_odd_rows(spark, odd_docs):
     left = simhash.one_of_each_group(odd_docs)
     assert left.columns == odd_docs.columns
     kept = [r["doc_id"] for r in left.collect()]
-    assert kept.count(1) == 1 and 2 not in kept and 5 not in kept and kept.count(4) == 1 and kept.count(None) == 2
+    assert kept.count(1) == 1 and 2 not in kept and 5 not in kept and kept.count(4) == 1 and kept.count(None) == 0
     repeated = odd_docs.where("doc_id = 2")
     assert simhash.one_of_each_group(repeated).count() == 1
+    nameless = [(None, "a b c d", 1), (None, "a b c d", 2), (None, "q r s t u v w", 3), (None, None, 4), (None, "", 5), (9, "q r s t u v w", 6)]
+    df = spark.createDataFrame(nameless, "doc_id long, text string, _i int").withColumn("_many", F.lit("x")).withColumn("_H", F.lit(1))
+    left = simhash.one_of_each_group(df)
+    assert left.columns == df.columns and sorted((r["doc_id"] or 0, r["text"] or "") for r in left.collect()) == [(0, ""), (0, "a b c d"), (9, "q r s t u v w")]
 
 
 def test_components_of_long_chains_and_stars(spark):
