@@ -32,7 +32,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (3-word shingles, at most 3 differing bits):
-    the one with the smallest id; documents without an id all stay."""
+    the one with the smallest id, those without an id told apart by their text and coming last."""
     return one_of_each_group(docs)
 
 
@@ -48,8 +48,8 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture asks: domains are the languages of labelled documents,
-    raised towards the rare ones; rates below one drop, rates above one repeat a document."""
-    return apply_rates(docs, mix(docs, labelled_domains(docs, _labels(spark, sf_dir))))
+    raised towards the rare ones. No rate is below one, so none is dropped; a rate above one repeats."""
+    return apply_rates(docs, mix(docs, labelled_domains(docs, _labels(spark, sf_dir)), least=1.0))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
