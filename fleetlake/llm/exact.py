@@ -1,10 +1,12 @@
 """Exact duplicates by a 128-bit content hash, bytes compared inside groups (operator 11).
 
 Texts are equal when they are identical without ASCII white space. Rows are grouped by
-the MD5 of what is left: only ids, lengths and digests are shuffled. Groups of two and more are then
-checked: the texts of their rows are reduced to the distinct ones per hash, by bytes, each
-map task first by itself, so that a group of any size reaches the shuffle as one row a task.
-A hash that has two or more texts is a collision; its rows are grouped by the text itself.
+the MD5 of what is left: only ids, lengths and digests are shuffled. Groups are then
+checked: texts are reduced to the distinct ones per hash, by bytes, each map task first by
+itself, so that a group of any size reaches the shuffle as one row a task; every distinct text is
+shuffled once, whatever the size of the table (looking up groups first would do without most of them only as
+long as the list of groups can be broadcast). A hash that has two or more texts is a collision; its rows
+are grouped by the text itself.
 
 Group tables are written before rows look them up: both sides of that join are plain tables,
 so Spark broadcasts a small one and splits the rows of a hot group otherwise.
@@ -66,7 +68,7 @@ def exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows = written(numbered.drop("_bare"), "digests")
     groups = written(_groups(rows, ["_hash"]), "groups")
 
-    texts = source.select("_hash", "_bare").join(groups.select("_hash_of"), F.col("_hash") == F.col("_hash_of"), "left_semi").distinct()
+    texts = source.select("_hash", "_bare").distinct()  # compared by bytes, first within a map task
     several = written(texts.groupBy("_hash").agg(F.count("*").alias("_texts")).where("_texts > 1").select(F.col("_hash").alias("_hash_of")), "collisions")
     if several.isEmpty():
         out = _judged(rows, groups, ["_hash"])
