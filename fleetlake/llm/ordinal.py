@@ -86,30 +86,39 @@ class Features:
         return at, value
 
 
-_FEATURES = pa.schema([("grade", pa.int32()), ("at", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))])
+_FEATURES = pa.schema([("grade", pa.int32()), ("place", pa.int64()), ("at", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))])
 
 
 def _featurize(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     features = Features(buckets)
     for batch in slices(batches, "text"):
-        got = [features.of(t) for t in utf8(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([a.astype(np.int32) for a, _ in got], _FEATURES[1].type),
-                                          pa.array([v.astype(np.float32) for _, v in got], _FEATURES[2].type)], schema=_FEATURES)
+        got = [features.of(t) for t in utf8(batch.column(2))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([a.astype(np.int32) for a, _ in got], _FEATURES[2].type),
+                                          pa.array([v.astype(np.float32) for _, v in got], _FEATURES[3].type)], schema=_FEATURES)
+
+
+def _parts(n: int, size: int = 1 << 19) -> Iterator[slice]:
+    return (slice(a, a + size) for a in range(0, n, size))
 
 
 def _screen(row: np.ndarray, at: np.ndarray, value: np.ndarray, grades: np.ndarray, buckets: int, k: int, most: int, support: int) -> np.ndarray:
     """The ``most`` buckets whose mean value in some grade departs most (in standard errors) from
     the mean over all, among those that at least ``support`` rows have."""
     n = len(grades)
-    total, square = np.bincount(at, value, buckets), np.bincount(at, value * value, buckets)
-    mean = total / n
+    square, rows, by_grade = np.zeros(buckets), np.zeros(buckets, np.int64), np.zeros(k * buckets)
+    for part in _parts(len(at)):  # sums of parts, so that no copy of all entries is made
+        a, v = at[part].astype(np.int64), value[part].astype(np.float64)
+        square += np.bincount(a, v * v, buckets)
+        rows += np.bincount(a, minlength=buckets)
+        by_grade += np.bincount(grades[row[part]] * buckets + a, v, k * buckets)
+    by_grade = by_grade.reshape(k, buckets)
+    mean = by_grade.sum(axis=0) / n
     spread = np.sqrt(np.maximum(square / n - mean * mean, 1e-12))
     best = np.zeros(buckets)
     for g in range(k):
         if many := int((grades == g).sum()):
-            own = grades[row] == g
-            best = np.maximum(best, np.abs(np.bincount(at[own], value[own], buckets) / many - mean) / spread * np.sqrt(many))
-    best[np.bincount(at, minlength=buckets) < support] = 0
+            best = np.maximum(best, np.abs(by_grade[g] / many - mean) / spread * np.sqrt(many))
+    best[rows < support] = 0
     return np.sort(np.argsort(-best, kind="stable")[: min(most, int((best > 3).sum()))])
 
 
@@ -118,18 +127,28 @@ def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, *
     """Fits shared weights and ordered thresholds to feature rows and grades 0, 1, ... by Fisher
     scoring on the mean log-likelihood with a ridge. ``most_weights`` buckets get a weight:
     those that tell some grade apart best; the rest stay zero."""
+    sizes = np.array([len(a) for a, _ in rows], np.int64)
+    at, value = (np.concatenate([r[j] for r in rows]) if rows else np.empty(0) for j in (0, 1))
+    return _fit(sizes, at, value, grades, buckets, n_grades, most_weights, support, ridge, steps)
+
+
+def _fit(sizes: np.ndarray, at: np.ndarray, value: np.ndarray, grades: np.ndarray, buckets: int = BUCKETS, n_grades: int | None = None,
+         most_weights: int = 512, support: int = 4, ridge: float = 3e-4, steps: int = 30) -> OrdinalModel:
+    """:func:`fit_ordinal` on the rows' features one after the other, ``sizes`` of them a row."""
     k = int(n_grades if n_grades is not None else grades.max(initial=0) + 1)
     if not len(grades) or k < 2:
         return OrdinalModel(np.zeros(buckets), np.full(max(k - 1, 1), -4.0))  # nothing to tell apart: all are of the top grade
-    n = len(rows)
-    row = np.repeat(np.arange(n), [len(a) for a, _ in rows])
-    at, value = np.concatenate([a for a, _ in rows]), np.concatenate([v for _, v in rows]).astype(np.float64)
+    n = len(sizes)
+    row = np.repeat(np.arange(n, dtype=np.int32), sizes)
     chosen = _screen(row, at, value, grades, buckets, k, most_weights, support)
     place = np.full(buckets, -1)
     place[chosen] = np.arange(len(chosen))
-    own = place[at] >= 0
     x = np.zeros((n, len(chosen)))
-    np.add.at(x, (row[own], place[at[own]]), value[own])
+    for part in _parts(len(at)):
+        to = place[at[part]]
+        own = to >= 0
+        np.add.at(x, (row[part][own], to[own]), value[part][own])
+    del row, at, value
     below = np.clip(np.cumsum(np.bincount(grades, minlength=k))[:-1] / n, 1e-3, 1 - 1e-3)
     t = np.maximum.accumulate(np.log(below / (1 - below)) + 0.01 * np.arange(k - 1))
     w, i = np.zeros(len(chosen)), np.arange(n)
@@ -178,12 +197,16 @@ def train(docs: DataFrame, ratings: DataFrame, *, sample: int = SAMPLE, buckets:
     prepare(docs.sparkSession)
     rated = ratings.select(F.col(id_col).alias("_id"), F.col("grade").cast("int").alias("grade")).where("_id is not null and grade >= 0")
     rated = rated.orderBy(F.xxhash64("_id"), "_id", "grade").limit(sample)  # bounded: may be sent to every executor
-    found = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("text"))
-    found = found.join(F.broadcast(rated), F.col("_doc") == F.col("_id")).orderBy(F.xxhash64("_doc", "text"), "grade").limit(sample)
-    got = found.select("grade", "text").mapInArrow(partial(_featurize, buckets=buckets), "grade int, at array<int>, value array<float>").toArrow()
+    found = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(rated), F.col("_doc") == F.col("_id"))
+    # features are made where the texts lie; rows that repeat an id are cut to the sample after that
+    made = found.select("grade", F.xxhash64("_doc", "text").alias("place"), "text").mapInArrow(
+        partial(_featurize, buckets=buckets), "grade int, place long, at array<int>, value array<float>")
+    got = made.orderBy("place", "grade").limit(sample).drop("place").toArrow()
+    grades = got.column("grade").to_numpy().astype(np.int64)
     at, value = (got.column(c).combine_chunks() for c in ("at", "value"))
-    rows = [(a.values.to_numpy().astype(np.int64), v.values.to_numpy()) for a, v in zip(at, value, strict=True)]
-    return fit_ordinal(rows, got.column("grade").to_numpy().astype(np.int64), buckets=buckets, **options)
+    sizes = np.diff(at.offsets.to_numpy()).astype(np.int64) if len(at) else np.empty(0, np.int64)
+    del got
+    return _fit(sizes, at.flatten().to_numpy(), value.flatten().to_numpy(), grades, buckets, **options)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: OrdinalModel, text: str) -> Iterator[pa.RecordBatch]:
