@@ -2,6 +2,7 @@
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
@@ -11,10 +12,10 @@ SF = "/root/testdata/sf0.001"
 
 
 def norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
-    if isinstance(v, float):
-        return round(v, 6)
+    if isinstance(v, float):  # a column of integers with nulls is one of floats in pandas
+        return str(int(v)) if v.is_integer() else round(v, 6)
     if hasattr(v, "item"):
         return norm(v.item())
     return str(v)
