@@ -1005,3 +1005,53 @@ REPORTS.update({f.__name__: f for f in (
     event_write_batches_full, device_group_patterns, scan_definition_update, scan_definition_rejected, indicator_rows_serialized, indicator_rows_rejected,
     device_group_add, hunting_results_inferred, export_mixed_codecs, export_stream_ingest, software_reread, vulnerabilities_reread, recommendations_reread,
     software_inventory_reread, vulnerability_inventory_reread, vulnerability_changes_reread)})
+
+
+# ------------------------------------------- evidence of drift, sketches ----
+
+def scan_history_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Scan-history records landed as an export, one per event, of which some carry another kind, an unknown
+    field, lack one or are cut off: how many records show each path and kind."""
+    from .operators.coverage import landed_coverage
+
+    path = _landing(spark, "history")
+    records = star.table(spark, d, "events").selectExpr("""concat('{"orgId":"o","sessionId":', if(event_type = 'signup', string(event_id), concat('"s', event_id, '"')),
+        if(event_type = 'error', '', concat(',"numberOfTargets":', user_id)), if(event_type = 'purchase', ',"vendorNote":{"a":1}', ''), ',"scannedTargets":',
+        if(event_type = 'view', '[]', concat('[{"ip":"a","hostname":', if(event_type = 'click', '5', '"h"'), '},{"ip":"b","scanStatus":"Success"}]')),
+        if(event_type = 'error' and event_id % 10 = 0, '', '}')) as value""")
+    records.write.option("compression", "gzip").text(path)
+    return landed_coverage(spark, path, "auth_scan_history_contract")
+
+
+def domain_prevalence_sketched(spark: SparkSession, d: str) -> DataFrame:
+    """G1 by sketches: machines per evidence host, sketched by month in two loads (the month between them landed twice) and merged
+    over all months and over 1995; beside the exact counts, whether both estimates keep within four standard errors."""
+    from .operators import sketches as S
+
+    path = _landing(spark, "sketches")
+    rows = stats.evidence_rows(star.alerts(spark, d)).where("host is not null").select("host", "machineId", "evidenceCreationTime")
+    for part in ("evidenceCreationTime < '1995-07-01'", "evidenceCreationTime >= '1995-06-01'"):
+        S.store_sketches(rows.where(part), path, key="host", value="machineId", time="evidenceCreationTime", unit="month")
+    kept = S.stored_sketches(spark, path)
+    exact = rows.groupBy(F.col("host").alias("id")).agg(
+        F.count_distinct("machineId").alias("machines"), F.count_distinct(F.when(F.year("evidenceCreationTime") == 1995, F.col("machineId"))).alias("machines1995"))
+    out = exact.join(S.merged_counts(kept, ["id"]), "id", "left").join(
+        S.merged_counts(kept, ["id"], since="1995-01-01", until="1995-12-01", out="approx1995"), "id", "left")
+
+    def near(approx: str, count: str) -> Column:
+        return F.coalesce(F.abs(F.coalesce(F.col(approx), F.lit(0)) - F.col(count)) <= F.lit(4 * S.relative_error()) * F.col(count), F.lit(False))
+
+    return out.select(F.col("id").alias("host"), "machines", "machines1995", (near("approxCount", "machines") & near("approx1995", "machines1995")).alias("withinError"))
+
+
+def cve_exposure_sketched(spark: SparkSession, d: str) -> DataFrame:
+    """G6, approximate: per CVE, exposed machines by a sketch, beside the exact count and whether it keeps within four standard errors."""
+    from .operators import sketches as S
+
+    inventory = star.asset_vulnerabilities(spark, d)
+    both = stats.cve_rollup(inventory).join(S.approx_cve_rollup(inventory).withColumnRenamed("exposedMachines", "approx"), "id", "left")
+    near = F.abs(F.col("approx") - F.col("exposedMachines")) <= F.lit(4 * S.relative_error()) * F.col("exposedMachines")
+    return both.select("id", "exposedMachines", F.coalesce(near, F.lit(False)).alias("withinError"))
+
+
+REPORTS.update({f.__name__: f for f in (scan_history_coverage, domain_prevalence_sketched, cve_exposure_sketched)})

@@ -570,3 +570,33 @@ SELECT 'bad', '{"id": "cut' || CAST(n_nationkey AS VARCHAR), NULL FROM nation"""
     "vulnerability_inventory_reread": w(AV) + "SELECT deviceId, cveId, softwareName, recommendedSecurityUpdateId FROM av",
     "vulnerability_changes_reread": w(DELTA) + f"SELECT id, cveId, status, strftime(eventTimestamp, {TS}) AS eventTimestamp FROM d",
 })
+
+SQL.update({
+    "scan_history_coverage": """WITH e AS (SELECT event_type AS t, event_type = 'error' AND event_id % 10 = 0 AS bad FROM events),
+g AS (SELECT t FROM e WHERE NOT bad),
+v AS (
+  SELECT '$' AS path, 'malformed' AS kind, count(*) AS records, 'object' AS expected, 'malformed' AS status FROM e WHERE bad
+  UNION ALL SELECT '$', 'object', count(*), 'object', 'ok' FROM g
+  UNION ALL SELECT '$.orgId', 'text', count(*), 'text', 'ok' FROM g
+  UNION ALL SELECT '$.sessionId', 'text', count(*) FILTER (t <> 'signup'), 'text', 'ok' FROM g
+  UNION ALL SELECT '$.sessionId', 'integer', count(*) FILTER (t = 'signup'), 'text', 'type' FROM g
+  UNION ALL SELECT '$.numberOfTargets', 'integer', count(*) FILTER (t <> 'error'), 'integer', 'ok' FROM g
+  UNION ALL SELECT '$.numberOfTargets', 'absent', count(*) FILTER (t = 'error'), 'integer', 'absent' FROM g
+  UNION ALL SELECT '$.vendorNote', 'object', count(*) FILTER (t = 'purchase'), NULL, 'extra' FROM g
+  UNION ALL SELECT '$.scannedTargets', 'array', count(*), 'array', 'ok' FROM g
+  UNION ALL SELECT '$.scannedTargets[]', 'object', count(*) FILTER (t <> 'view'), 'object', 'ok' FROM g
+  UNION ALL SELECT '$.scannedTargets[].ip', 'text', count(*) FILTER (t <> 'view'), 'text', 'ok' FROM g
+  UNION ALL SELECT '$.scannedTargets[].scanStatus', 'text', count(*) FILTER (t <> 'view'), 'text', 'ok' FROM g
+  UNION ALL SELECT '$.scannedTargets[].hostname', 'integer', count(*) FILTER (t = 'click'), 'text', 'type' FROM g
+  UNION ALL SELECT '$.scannedTargets[].hostname', 'text', count(*) FILTER (t NOT IN ('click', 'view')), 'text', 'ok' FROM g)
+SELECT * FROM v WHERE records > 0
+UNION ALL SELECT '$.' || f, 'absent', n, CASE WHEN f LIKE 'number%' THEN 'integer' ELSE 'text' END, 'missing' FROM (SELECT count(*) AS n FROM g),
+  unnest(['scanDefinitionId', 'scannerId', 'numberOfSuccessfullyScannedTargets', 'scanStatus', 'generalErrorMessage']) AS u(f)
+UNION ALL SELECT '$.scannedTargets[].' || f, 'absent', n, 'text', 'missing' FROM (SELECT count(*) FILTER (t <> 'view') AS n FROM g),
+  unnest(['scanDuration', 'scannedDeviceDescription', 'errorMessage']) AS u(f)""",
+
+    "domain_prevalence_sketched": w(EV) + """SELECT host, count(DISTINCT machineId) AS machines,
+  count(DISTINCT machineId) FILTER (year(evidenceCreationTime) = 1995) AS machines1995, true AS withinError FROM evh WHERE host IS NOT NULL GROUP BY 1""",
+
+    "cve_exposure_sketched": w(AV) + "SELECT cveId AS id, count(DISTINCT deviceId) AS exposedMachines, true AS withinError FROM av GROUP BY 1",
+})
