@@ -19,6 +19,7 @@ from pyspark.sql.types import ArrayType, AtomicType, DataType, StructField, Stru
 
 from ..plans.contracts import contract, declared
 from ..plans.domains import DOMAINS
+from .conform import conform_to
 
 
 def _unpivot_counts(df: DataFrame, rules: dict[str, Column], label: str = "rule") -> DataFrame:
@@ -190,6 +191,42 @@ def union_variants(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def merge_nested_types(schemas: list[StructType]) -> tuple[StructType, list[tuple[str, str, str]]]:
+    """C7 on all levels: (merged struct, conflicts).
+
+    Structs merge field by field (order of first appearance, all nullable), arrays by their elements. Where
+    two types can't meet, the first stays and (path, first type, other type) is reported; elements of an array are ``[]``.
+    """
+    conflicts: list[tuple[str, str, str]] = []
+
+    def meet(a: DataType, b: DataType, path: str) -> DataType:
+        if isinstance(a, StructType) and isinstance(b, StructType):
+            fields = {f.name: f.dataType for f in a.fields}
+            for f in b.fields:
+                here = f"{path}.{f.name}" if path else f.name
+                fields[f.name] = meet(fields[f.name], f.dataType, here) if f.name in fields else meet(f.dataType, f.dataType, here)
+            return StructType([StructField(n, t, True) for n, t in fields.items()])
+        if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+            return ArrayType(meet(a.elementType, b.elementType, path + "[]"), True)
+        if a != b:
+            conflicts.append((path, a.simpleString(), b.simpleString()))
+        return a
+
+    merged: DataType = StructType([])
+    for s in schemas:
+        merged = meet(merged, s, "")
+    return merged, conflicts  # type: ignore[return-value]
+
+
+def union_nested_variants(frames: list[DataFrame]) -> DataFrame:
+    """C7 on data: sibling variants under the merged type of all levels, missing fields null, also in structs
+    within arrays. ``TypeError`` names every field whose types conflict."""
+    merged, conflicts = merge_nested_types([f.schema for f in frames])
+    if conflicts:
+        raise TypeError("; ".join(f"field {p!r}: {a} vs {b}" for p, a, b in conflicts))
+    return reduce(lambda a, b: a.unionByName(b), [conform_to(f, merged) for f in frames])
+
+
 # ------------------------------------------------------------------ C8 ----
 
 # Fields each scan-authentication variant allows (shared base
