@@ -42,33 +42,53 @@ def take_slice(df: DataFrame, order_by, *, top: int | None = None, skip: int | N
         raise ValueError(f"top={top} outside [1, {TOP_MAX}]")
     if skip is not None and skip < 0:
         raise ValueError(f"skip={skip} must be >= 0")
-    names = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
-    if skip and top is None and all(isinstance(k, str) for k in names):
-        return _after(df, names, skip)
+    if skip and top is None:
+        return _after(df, order_by, skip)
     out = df.orderBy(*_keys(order_by))
     if top is not None and skip:
         # limit(skip+top) keeps the plan a bounded top-n before the offset.
         return out.limit(skip + top).offset(skip)
-    if skip:
-        out = out.offset(skip)
     if top is not None:
         out = out.limit(top)
     return out
 
 
-def _after(df: DataFrame, names: list[str], n: int) -> DataFrame:
-    """Rows after the first ``n`` by ascending columns: the n-th row is found as a bounded top-n,
-    and the rest is a filter past it (a plain offset would send the whole sorted table
-    through one task). Rows that tie with it are numbered among themselves."""
-    key = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names)])
+def _ties(df: DataFrame) -> Column:
+    """Deals rows that tie in an order: a hash of the whole row (columns that have no hash left out).
+    Only rows that are equal throughout still tie, and those may stand for each other."""
+    def hashed(kind) -> bool:
+        text = kind.simpleString()
+        return "map<" not in text and "variant" not in text
+
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if hashed(f.dataType)])
+
+
+def _after(df: DataFrame, order_by, n: int) -> DataFrame:
+    """Rows after the first ``n``. Up to ``TOP_MAX`` by ascending columns, the n-th row is found as a bounded top-n and the
+    rest is a filter past it. Else the rows are sorted into ranges, whose bounds Spark samples, and
+    numbered by the counts of the ranges before (:func:`number_rows`); a plain offset would send the
+    whole sorted table through one task. Rows that tie are dealt by a hash, so they fill no one range."""
+    names = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
+    if n > TOP_MAX or not all(isinstance(k, str) for k in names):
+        number = free_name(df, "_number")
+        numbered = number_rows(df, order_by=[*_keys(names), _ties(df)], column=number)
+        return numbered.where(F.col(number) >= n).orderBy(number).drop(number)
+    key = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names)], _ties(df).alias("tie"))
     edge = df.select(key.alias("k")).orderBy("k").limit(n).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     edge = edge.agg(F.max(F.struct("k", "n")).alias("e")).select("e")
-    marked = df.withColumn("_k", key).withColumn("_e", edge.scalar())
-    past = marked.where(F.col("_k") > F.col("_e.k"))
-    ties = marked.where(F.col("_k") == F.col("_e.k"))
-    nth = F.row_number().over(Window.partitionBy("_k").orderBy("_k"))
-    ties = ties.withColumn("_nth", nth).where(F.col("_nth") > F.col("_e.n")).drop("_nth")
-    return past.unionByName(ties).orderBy(*_keys(names)).drop("_k", "_e")
+    k, e, nth = free_name(df, "_k"), free_name(df, "_e"), free_name(df, "_nth")
+    marked = df.withColumn(k, key).withColumn(e, edge.scalar())
+    past = marked.where(F.col(k) > F.col(f"{e}.k"))
+    ties = marked.where(F.col(k) == F.col(f"{e}.k"))  # rows equal to the n-th one
+    ties = ties.withColumn(nth, F.row_number().over(Window.partitionBy(k).orderBy(k))).where(F.col(nth) > F.col(f"{e}.n")).drop(nth)
+    return past.unionByName(ties).orderBy(*_keys(names)).drop(k, e)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it while ``df`` has such a column."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
 
 
 def number_rows(df: DataFrame, *, order_by=None, column: str = "rowNumber") -> DataFrame:

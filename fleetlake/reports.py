@@ -1055,3 +1055,41 @@ def cve_exposure_sketched(spark: SparkSession, d: str) -> DataFrame:
 
 
 REPORTS.update({f.__name__: f for f in (scan_history_coverage, domain_prevalence_sketched, cve_exposure_sketched)})
+
+
+# ------------------------------- change log merged on read, deep skips ----
+
+def vulnerability_changes_log(spark: SparkSession, d: str) -> DataFrame:
+    """X3 by a log: the delta landed as four files, one micro-batch each, appended to the log of the snapshot
+    table and compacted after the second; returns the table merged on read, which equals the batch X2."""
+    import uuid
+
+    from .session import scratch_path
+    from .streaming import changelog
+
+    run = scratch_path(spark, f"x3-log-{uuid.uuid4().hex}")
+    delta = star.vulnerability_changes(spark, d)
+    delta.repartition(4, "eventId").write.parquet(f"{run}/delta")
+    changelog.create_table(star.vulnerability_snapshot(spark, d), f"{run}/table", delta.schema, order=["eventTimestamp", "eventId"], terminal=("Fixed",))
+    stream = spark.readStream.schema(delta.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/delta")
+    changelog.append_changes_stream(stream, f"{run}/table", compact_every=2).awaitTermination()
+    return _apply_output(changelog.read_table(spark, f"{run}/table"))
+
+
+def alerts_after_skip(spark: SparkSession, d: str) -> DataFrame:
+    """L2: all alerts after the first 12 000, newest day first (each day's alerts tie), by severity, then id."""
+    from .operators.slicing import skip
+
+    day = F.date_trunc("day", F.col("alertCreationTime"))
+    alerts = star.alerts(spark, d, with_evidence=False).select("id", "severity", "alertCreationTime")
+    return skip(alerts, 12_000, [day.desc(), F.col("severity"), F.col("id")]).select("id", "severity", _ts("alertCreationTime").alias("alertCreationTime"))
+
+
+def recommendations_after_skip(spark: SparkSession, d: str) -> DataFrame:
+    """L2: what is left of the recommendations beyond the first hundred, by status and id."""
+    from .operators.slicing import skip
+
+    return skip(star.recommendations(spark, d), 100, ["status", "id"]).select("id", "status")
+
+
+REPORTS.update({f.__name__: f for f in (vulnerability_changes_log, alerts_after_skip, recommendations_after_skip)})

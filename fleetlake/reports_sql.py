@@ -600,3 +600,13 @@ UNION ALL SELECT '$.scannedTargets[].' || f, 'absent', n, 'text', 'missing' FROM
 
     "cve_exposure_sketched": w(AV) + "SELECT cveId AS id, count(DISTINCT deviceId) AS exposedMachines, true AS withinError FROM av GROUP BY 1",
 })
+
+
+SQL.update({
+    "vulnerability_changes_log": APPLY,
+
+    "alerts_after_skip": w(A) + f"""SELECT id, severity, strftime(alertCreationTime, {TS}) AS alertCreationTime FROM a
+ORDER BY date_trunc('day', a.alertCreationTime) DESC, severity, id OFFSET 12000""",
+
+    "recommendations_after_skip": w(RC) + "SELECT id, status FROM rc ORDER BY status, id OFFSET 100",
+})
