@@ -98,20 +98,22 @@ class SegmentEncoder:
 
     def _learn(self, keys: list[str]) -> dict:
         """Values of pieces: those that begin and end without white space are encoded together."""
-        whole = [k if k[:1] == "\n" else " " + k for k in keys]
-        odd = {i for i, k in enumerate(keys) if not k or k[-1].isspace()}
-        alone = sorted(odd)
-        rest = [i for i in range(len(keys)) if i not in odd]
-        out = dict(zip((keys[i] for i in alone), map(self.value, self._ids([whole[i] for i in alone])), strict=True))
-        groups = [rest[a : a + TOGETHER] for a in range(0, len(rest), TOGETHER)]
-        for group, ids in zip(groups, self._ids(["".join(whole[i] for i in g) for g in groups]), strict=True):
+        alone = sorted(k for k in keys if not k or k[-1].isspace())
+        rest = [k for k in keys if k and not k[-1].isspace()] if alone else keys
+        out = dict(zip(alone, map(self.value, self._ids([k if k[:1] == "\n" else " " + k for k in alone])), strict=True))
+        whole = [k if k[0] == "\n" else " " + k for k in rest]
+        starts = range(0, len(rest), TOGETHER)
+        joined = ["".join(whole[a : a + TOGETHER]) for a in starts]
+        for a, text, ids in zip(starts, joined, self._ids(joined), strict=True):
+            group = whole[a : a + TOGETHER]
             ids = np.asarray(ids, dtype=np.int64)
-            ends, has = np.cumsum([len(whole[i].encode()) for i in group]), np.cumsum(self.bytes_of[ids])
+            ends = np.cumsum(list(map(len, group)) if text.isascii() else [len(k.encode()) for k in group])
+            has = np.cumsum(self.bytes_of[ids])
             at = np.searchsorted(has, ends)
             if np.array_equal(has[np.minimum(at, len(has) - 1)], ends):
-                out.update(zip((keys[i] for i in group), self.values(ids, at + 1), strict=True))
+                out.update(zip(rest[a : a + TOGETHER], self.values(ids, at + 1), strict=True))
             else:  # a token across two pieces would end here; by the boundaries' rule there is none
-                out.update(zip((keys[i] for i in group), map(self.value, self._ids([whole[i] for i in group])), strict=True))
+                out.update(zip(rest[a : a + TOGETHER], map(self.value, self._ids(group)), strict=True))
         return out
 
     def _cut(self, text: str) -> list[str]:
@@ -138,9 +140,11 @@ class SegmentEncoder:
         found = [list(map(memo.get, keys)) for keys in cut]
         gaps = [[i for i, v in enumerate(values) if v is None] if None in values else () for values in found]
         lacking = {keys[i] for keys, at in zip(cut, gaps, strict=True) for i in at}
-        new = {k: old[k] for k in lacking if k in old}
-        new |= self._learn([k for k in lacking if k not in new])
-        memo.update((k, v) for k, v in new.items() if len(k) <= 64)  # long pieces are rare: not worth their room
+        new = {k: old[k] for k in lacking if k in old} if old else {}
+        new |= self._learn([k for k in lacking if k not in new] if new else list(lacking))
+        memo.update(new)
+        for k in [k for k in new if len(k) > 64]:  # long pieces are rare: not worth their room
+            del memo[k]
         out = []
         for keys, values, at, head in zip(cut, found, gaps, heads, strict=True):
             for i in at:
