@@ -7,9 +7,11 @@ plan gives, for each length, ranges of ranks and the sequence and offset of each
 rank; its size depends on the capacity, not on the documents. Pieces then take the
 planned slots by a join on length and rank within length.
 
-Ranks are dealt without a sort of a whole length: pieces of one length are spread
-over salts, numbered within (length, salt), and shifted by the counts of the salts
-before, so a length that holds a third of all pieces is numbered by many tasks.
+Pieces of full length need no plan: each is a sequence by itself and is not shuffled. Ranks of the
+others are dealt without a sort of a whole length: every piece has a number of its own, by a hash of
+which the pieces of one length are spread over salts, as many as their count asks for; they are numbered
+within (length, salt) and shifted by the counts of the salts before. So a length that holds a third of
+all pieces is numbered by many tasks at any size, and so are pieces with equal or no ids.
 """
 
 from __future__ import annotations
@@ -22,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import prepare, slices, written
+from fleetlake.llm.common import free_names, prepare, slices, written
 from fleetlake.llm.tokens import VOCABULARY, encoder
 
 CAPACITY = 1024
 END_ID = 2
-SALTS = 64
+#: Salts of a length at least, and pieces to a salt of a length with more.
+SALTS, PER_SALT = 64, 500_000
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
@@ -115,27 +118,34 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return rows
 
 
-def pack(pieces: DataFrame, *, capacity: int = CAPACITY, salts: int = SALTS, salt_cols: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
+def pack(pieces: DataFrame, *, capacity: int = CAPACITY, salts: int = SALTS, per_salt: int = PER_SALT) -> DataFrame:
     """``pieces`` (with a column ``length`` in 1..capacity) and for each its ``sequence_id`` and
     ``offset``; sequences are gapless from offset 0. All columns of ``pieces`` are kept;
     those named ``sequence_id`` or ``offset`` are replaced. Rows may repeat: each has its
     own slot. An empty table gives an empty table."""
     spark = pieces.sparkSession
-    pieces = written(pieces.drop("sequence_id", "offset"), "pieces")  # tokenized once; ranks must not move between jobs
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(salts)).cast("int"))
-    counts = salted.groupBy("length", "_salt").agg(F.count("*").alias("n"))
-    per = sorted((r["length"], r["_salt"], r["n"]) for r in counts.collect())  # at most capacity x salts numbers
-    total: dict[int, int] = {}
-    before = []
-    for length, salt, n in per:
-        before.append((length, salt, total.get(length, 0)))
-        total[length] = total.get(length, 0) + n
+    pieces = pieces.drop("sequence_id", "offset")
+    columns = [F.col(f"`{c}`") for c in pieces.columns]
+    row, salt, many, n, before, rank, slot = free_names(pieces, "_row", "_salt", "_many", "_n", "_before", "_rank", "_slot")
+    # tokenized once, numbered once: ranks must not move between jobs
+    pieces = written(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
+    total = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity numbers
+    total.pop(capacity, 0)
     lines = plan(total, capacity)
-    shift = spark.createDataFrame(before, "length long, _salt int, _before long")
-    slots = spark.createDataFrame(lines, "_length long, _from long, _to long, _sequence long, offset long")
-    rank = F.row_number().over(Window.partitionBy("length", "_salt").orderBy(*salt_cols)).cast("long") - 1
-    ranked = (salted.withColumn("_in", rank).join(F.broadcast(shift), ["length", "_salt"])
-              .withColumn("_rank", F.col("_before") + F.col("_in")))
+    planned = max((first + end - begin for _, begin, end, first, _ in lines), default=0)
+    whole = pieces.where(F.col("length") == capacity).select(*columns, (F.col(row) + planned).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+
+    spread = spark.createDataFrame([(k, max(salts, -(-v // per_salt))) for k, v in total.items()], f"length long, {many} long")
+    salted = pieces.where(F.col("length") < capacity).join(F.broadcast(spread), "length").withColumn(salt, F.pmod(F.xxhash64(row), F.col(many)))
+    of = Window.partitionBy("length").orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)  # a row per salt
+    shift = salted.groupBy("length", salt).agg(F.count("*").alias(n)).select("length", salt, F.coalesce(F.sum(n).over(of), F.lit(0)).alias(before))
+    # the join has the keys of the window, so the pieces are shuffled once
+    ranked = salted.withColumn(rank, F.row_number().over(Window.partitionBy("length", salt).orderBy(row)).cast("long") - 1).join(shift, ["length", salt])
+    ranked = ranked.withColumn(rank, F.col(rank) + F.col(before))
     # The plan has at most a few lines for each length and bin content: a few thousand rows.
-    placed = ranked.join(F.broadcast(slots), (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-    return placed.select(*pieces.columns, (F.col("_sequence") + F.col("_rank") - F.col("_from")).alias("sequence_id"), "offset")
+    slots = spark.createDataFrame(lines, "s_length long, s_from long, s_to long, s_sequence long, s_offset long")
+    slots = slots.select(F.struct("*").alias(slot))
+    inside = (F.col("length") == F.col(f"{slot}.s_length")) & (F.col(rank) >= F.col(f"{slot}.s_from")) & (F.col(rank) < F.col(f"{slot}.s_to"))
+    placed = ranked.join(F.broadcast(slots), inside)
+    placed = placed.select(*columns, (F.col(f"{slot}.s_sequence") + F.col(rank) - F.col(f"{slot}.s_from")).alias("sequence_id"), F.col(f"{slot}.s_offset").alias("offset"))
+    return placed.unionByName(whole)

@@ -194,6 +194,28 @@ def test_plan_is_as_good_as_best_fit_decreasing():
     assert max(f + b - a for _, a, b, f, _ in plan) <= len(room)
 
 
+@pytest.mark.parametrize("per_salt", [7, 500_000])
+def test_packing_of_hot_lengths_equal_ids_and_clashing_names(spark, per_salt):
+    """Half of the pieces are full, most others have one length and one id: every row has a slot of its own,
+    full ones a sequence each, and the sequences are those of best-fit decreasing."""
+    lengths = [1024] * 60 + [500] * 50 + [24] * 5 + [1] * 3 + [1023]
+    pieces = spark.createDataFrame([(None if i % 2 else 1, n, "x", 5) for i, n in enumerate(lengths)], "doc_id long, length long, _row string, _slot int").repartition(3)
+    got = packing.pack(pieces, salts=2, per_salt=per_salt)
+    assert got.columns == ["doc_id", "length", "_row", "_slot", "sequence_id", "offset"]
+    rows = got.collect()
+    assert Counter(r["length"] for r in rows) == Counter(lengths) and {(r["_row"], r["_slot"]) for r in rows} == {("x", 5)}
+    by = defaultdict(list)
+    for r in rows:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for x in by.values():
+        at = 0
+        for offset, length in sorted(x):
+            assert offset == at
+            at += length
+        assert at <= 1024 and (len(x) == 1 or 1024 not in [n for _, n in x])
+    assert len(by) == 60 + 1 + 25
+
+
 @pytest.mark.parametrize("which", ["documents", "odd"])
 def test_packing_round_trip(spark, odd_docs, which):
     docs = odd_docs if which == "odd" else spark.read.parquet(f"{SF}/documents.parquet")
