@@ -3,7 +3,7 @@
 Markup is stripped to *lines*, one for each block of the page. What markup itself
 declares not to be the article (scripts, styles, menus, page headers and footers,
 sidebars, notices, adverts, forms, reader comments) leaves empty lines behind, and
-so does a line that is links for the most part; but an element that holds the page's
+so does a line that is links for the most part, unless it is a sentence with words of its own; but an element that holds the page's
 article or main part, or most of its text, is never left out. Then the text lengths of
 ``window`` neighbouring lines are summed for each line: the distribution *surges* where
 text begins and *dives* to zero where a window is empty. Text between a surge and the
@@ -31,12 +31,15 @@ from fleetlake.llm.common import prepare, slices, utf8
 
 WINDOW = 3
 THICK = 80
+#: Characters outside links with which a sentence that is links for the most part counts as text.
+OWN = 10
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>|<(/?)([a-zA-Z][^\s/>"']*)([^>]*)>""", re.DOTALL)
 #: One whole ``name``, ``name=value``, ``name="value"`` or ``name='value'``.
 _ATTRIBUTE = re.compile(r"""([^\s/>="']+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>"'][^\s>]*)))?""")
 _TOKEN = re.compile(r"[a-z0-9_-]+")
 _WORD = re.compile(r"[a-z]+")
+_SENTENCE = re.compile(r"""[.!?\u2026]["'\u201d\u2019)\]]*\Z""")
 _CLOSED = re.compile(r"""(?:^|[\s"'])/\Z""")
 #: Elements whose content is never page text; their content is skipped as it stands. (An annotation repeats a formula as source.)
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "object", "canvas", "annotation", "annotation-xml")
@@ -51,13 +54,13 @@ VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "area", "base", "col"
 ITEMS = {"li", "dd", "dt", "option", "tr", "td", "th"}
 #: Tokens of a class, id or role that name a part beside the article.
 PARTS = set("nav navbar navigation menu menubar sidebar comment comments respond disqus reply replies related recommended recommendations breadcrumb "
-            "breadcrumbs pagination pager footer complementary contentinfo ad ads adv advert adverts advertisement advertising sponsor sponsored cookie "
+            "breadcrumbs responses pagination pager footer complementary contentinfo ad ads adv advert adverts advertisement advertising sponsor sponsored cookie "
             "cookies consent gdpr promo promotion newsletter subscribe subscription signup login popup modal share sharing".split())
 #: Tokens that mark an element as not the article.
 MARKS = PARTS | set("banner notice notices alert social overlay masthead toolbar widget widgets search tags toc".split())
 #: Words that a mark may stand with in one token (main-nav, comment-list, ad-300x250); with any other word it is another token (has-sidebar).
 WITH = set("site main global page top bottom left right primary secondary post entry article block box bar links list area section items item icons "
-           "buttons form body inner x".split())
+           "buttons form body inner x reader readers user users visitor wide narrow large small cta".split())
 
 
 def _marked(token: str) -> set[str]:
@@ -270,8 +273,8 @@ def main_blocks(page: str, window: int = WINDOW, thick: int = THICK) -> list[str
     lines, runs = [], []
     for release in (False, True):
         lines = lines_of(page, thick, release)
-        # a line of links weighs nothing, unless the article holds it
-        weight = [len(text) if inside else (free if 2 * free > len(text) else 0) for text, free, inside in lines]
+        # a line of links weighs nothing, unless the article holds it or it is a sentence around links
+        weight = [len(text) if inside else (free if 2 * free > len(text) or (free >= OWN and _SENTENCE.search(text)) else 0) for text, free, inside in lines]
         runs = _runs(weight, window)
         marked = any(text and inside for text, _, inside in lines)
         if marked or any(h >= thick for _, _, h in runs):

@@ -467,3 +467,20 @@ def test_page_query(spark):
     got = html_text.extract_main_text(odd).collect()
     assert [r["n_chars"] for r in got if r["page_id"] is None] == [0] and len(got) == 3
     assert html_text.extract_main_text(odd.limit(0)).count() == 0
+
+
+def test_sentences_around_links_and_compound_names_of_parts():
+    """Without an article element: a paragraph that is mostly a link is text, a list of links is not. Comments,
+    adverts and calls to sign up go by every word of their name, also inside an article."""
+    from fleetlake.llm.html_text import main_blocks
+
+    first = "The committee met in the town hall on Monday and heard all of the reports that had been asked for in spring."
+    linked = "Its members read <a href='/r'>the long report on the state of the old bridge and the road that leads to it</a> aloud."
+    page = f"<html><body><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li></ul><p>{first}</p><p>{linked}</p><p>{first}</p><p>See also: <a href='/x'>another story of the same week and place</a></p></body></html>"
+    assert main_blocks(page) == [first, linked.replace("<a href='/r'>", "").replace("</a>", ""), first]
+    for name in ("reader-responses", "user-comments", "promo-box-wide", "newsletter-cta", "responses"):
+        page = f"<html><body><article><p>{first}</p><div class='{name}'><p>Buy now and write to us, as so many others have done before you.</p></div><p>{first}</p></article></body></html>"
+        assert main_blocks(page) == [first, first], name
+    for name in ("wide", "reader-view", "user-story", "large-text", "discussion"):  # not parts by their name
+        page = f"<html><body><article><div class='{name}'><p>{first}</p></div><p>{first}</p></article></body></html>"
+        assert main_blocks(page) == [first, first], name
