@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..plans.joins import spread
 from . import quality as Q
 from .changes import latest_per_key
 from .conform import conform
@@ -447,7 +448,8 @@ def assign_device_groups(spark: SparkSession, machines: DataFrame, groups: DataF
     ``EDGE``), ``Contains`` by a piece of the pattern (at most ``PIECE`` characters) among the pieces of the
     value; what a key finds is then held against the whole pattern. So a machine meets the rules that
     share a key with it, not all rules; nothing is gathered, nothing runs on the driver. A group
-    matches where all its lists do (a bit each); the best one is a minimum per machine.
+    matches where all its lists do (a bit each); the best one is a minimum per machine. Machines are spread
+    over tasks by id before their keys are made, as each makes many rows.
     """
     rules = _group_rules(groups)
     # at most 4 kinds x (2 x 33 edges + 9 pieces + 1) rows
@@ -455,7 +457,8 @@ def assign_device_groups(spark: SparkSession, machines: DataFrame, groups: DataF
     name = F.lower("computerDnsName")
     tags = F.coalesce("machineTags", F.array().cast("array<string>"))
     values = F.array(F.array(name), F.array(F.regexp_extract(name, r"^[^.]*\.(.*)$", 1)), F.transform(tags, F.lower), F.array(F.lower("osPlatform")))
-    each = machines.select(F.col("id").alias("_mid"), F.posexplode(values).alias("kind", "vs")).select("_mid", "kind", F.explode("vs").alias("value"))
+    held = spread(machines.where("id is not null").select(F.col("id").alias("_mid"), "computerDnsName", "machineTags", "osPlatform"), "_mid")
+    each = held.select("_mid", F.posexplode(values).alias("kind", "vs")).select("_mid", "kind", F.explode("vs").alias("value"))
     keys = each.where("value is not null").join(sizes, "kind").where("size <= length(value)")
     keys = keys.select("_mid", "kind", "test", "size", F.col("value").alias("_value"), F.explode(F.expr(_KEYS)).alias("at"))
     whole = F.expr("CASE test WHEN 'in' THEN true WHEN 'startswith' THEN startswith(_value, value) WHEN 'endswith' THEN endswith(_value, value) ELSE contains(_value, value) END")

@@ -1,4 +1,4 @@
-"""Join planning helpers: size-checked broadcast, key frames, semi / anti joins.
+"""Join planning helpers: size-checked broadcast, key frames, semi / anti joins, rows spread over tasks.
 
 Broadcast is only ever requested for a side whose row count has been proven
 under a bound: a literal key list (its length is known on the driver), or a
@@ -21,6 +21,8 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringTy
 # lists, estimated bytes for tables (rows x estimated row width).
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# Least number of tasks that rows are spread over; a session with more shuffle partitions sets more.
+SPREAD_TASKS = 128
 
 
 def rows_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -80,3 +82,14 @@ def anti_join(df: DataFrame, keys: DataFrame, column: str, key_column: str | Non
     if max_broadcast_bytes is not None:
         k = bounded_broadcast(k, max_broadcast_bytes)
     return df.join(k, on=column, how="left_anti")
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` dealt over tasks by a hash of ``columns`` (none: evenly, whatever the rows hold).
+
+    For rows that grow in the step after (exploded, or gathered in a hash map): a small file is one task, and
+    AQE merges small shuffle partitions by the bytes that come in. A number of partitions that is
+    given is kept, so a task gets its share of the rows whatever their size.
+    """
+    most = max(SPREAD_TASKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(most, *[F.col(c) for c in columns])
