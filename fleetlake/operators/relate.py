@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import url_host
-from ..plans.joins import bounded_broadcast, key_frame, semi_join
+from ..plans.joins import bounded_broadcast, key_frame, semi_join, spread
 from .conform import conform
 
 SOFTWARE_ID_SEPARATOR = "-_-"  # fixed value: upstream software id = vendor-_-name
@@ -241,7 +241,7 @@ def user_machines(logons: DataFrame, machines: DataFrame, accounts=None) -> Data
 def _assets(pairs: DataFrame, key: str, machines: DataFrame) -> DataFrame:
     m = machines.select("id", "computerDnsName", "osPlatform", F.col("machineTags").alias("tags"),
                         "rbacGroupName", F.col("rbacGroupId").cast("bigint").alias("rbacGroupId"))
-    p = pairs.select(key, F.col("machineId").alias("id")).distinct()
+    p = spread(pairs.select(key, F.col("machineId").alias("id")).where("id is not null"), key, "id").distinct()
     return conform(p.join(m, "id", "inner"), "public_asset_dto", keep=[key])
 
 

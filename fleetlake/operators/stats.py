@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.joins import spread
 from .conform import conform
 from .relate import evidence_bridge, software_id
 
@@ -197,9 +198,10 @@ def remediation_progress(task_machines: DataFrame, vuln_inventory: DataFrame) ->
     A targeted device is fixed when no inventory row links it to the
     recommendation any more.
     """
-    still = vuln_inventory.select(F.col("recommendationReference").alias("recommendationId"),
-                                  F.col("deviceId").alias("id")).distinct().withColumn("_open", F.lit(True))
-    t = task_machines.select("taskId", "recommendationId", "id").distinct()
-    j = t.join(still, ["recommendationId", "id"], "left")
+    on = ["recommendationId", "id"]  # both sides are spread by it, so neither a distinct nor the join shuffles again
+    still = spread(vuln_inventory.select(F.col("recommendationReference").alias("recommendationId"), F.col("deviceId").alias("id")).dropna(), *on)
+    still = still.distinct().withColumn("_open", F.lit(True))
+    t = spread(task_machines.select("taskId", *on), *on).distinct()
+    j = t.join(still, on, "left")
     return j.groupBy(F.col("taskId").alias("id")).agg(
         F.count(F.lit(1)).alias("targetDevices"), F.count_if(F.col("_open").isNull()).alias("fixedDevices"))

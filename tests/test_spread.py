@@ -1,7 +1,9 @@
 """Work is dealt over tasks where few rows or bytes come in and many go out."""
+import random
 
 from pyspark.sql import functions as F
 
+from fleetlake.operators import relate, stats
 from fleetlake.operators import updates as U
 from fleetlake.operators.conform import conform
 from fleetlake.plans.joins import SPREAD_TASKS, spread
@@ -38,3 +40,21 @@ def test_device_groups_spread_machines_before_their_keys(spark):
     assert by_number(out, "_mid") == 1
     want = {str(i): 3 if str(i).startswith("77") else 2 if i % 10 == 9 else 1 for i in range(1000)}
     assert {r.id: r.deviceGroupId for r in out.collect()} == {**want, None: None}
+
+
+def test_remediation_progress_is_spread_by_pair(spark):
+    rng = random.Random(5)
+    ids, recs = [*map(str, range(30)), None], [*(f"r{i}" for i in range(6)), None]
+    rows = [(rng.choice(ids), rng.choice(recs), rng.random() < 0.4) for _ in range(300)]
+    inv = conform(spark.createDataFrame(rows, "deviceId string, recommendationReference string, securityUpdateAvailable boolean"), "asset_vulnerability")
+    machines = conform(spark.createDataFrame([(i,) for i in ids if i != "7"], "id string"), "machine")
+    tasks = conform(spark.createDataFrame([(f"t{i}", f"r{i % 4}") for i in range(6)] + [("none", None)], "id string, recommendationReference string"), "remediation_task")
+    targets = relate.remediation_machines(tasks, inv, machines)
+    out = stats.remediation_progress(targets, inv.where("securityUpdateAvailable"))
+    assert by_number(out, "recommendationId", "id") >= 3  # pairs, targets, open ones
+    want = {}
+    for t in range(6):
+        aimed = {d for d, r, _ in rows if r == f"r{t % 4}" and d not in (None, "7")}
+        still = {d for d, r, o in rows if r == f"r{t % 4}" and o}
+        want[f"t{t}"] = (len(aimed), len(aimed - still))
+    assert {r.id: (r.targetDevices, r.fixedDevices) for r in out.collect()} == want
