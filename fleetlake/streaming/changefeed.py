@@ -42,6 +42,9 @@ def read_export_stream(spark: SparkSession, directory: str, schema: StructType,
     return conform_to(raw, schema, keep=[SOURCE])
 
 
+#: Bytes of blobs, packed as they may be, whose lines one task parses: gzip packs JSON lines ten times and more.
+BLOB_BYTES_PER_TASK = 4 << 20
+
 _BLOB = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -57,10 +60,13 @@ def ingest_export(spark: SparkSession, directory: str, schema: StructType, table
     """
     opener = opener_for(spark, [directory], opener)
     blobs = (spark.readStream.format("binaryFile").schema(_BLOB).option("maxFilesPerTrigger", max_files_per_trigger)
-                  .option("recursiveFileLookup", True).load(directory).select("path", *([] if opener else ["content"])))
+                  .option("recursiveFileLookup", True).load(directory).select("path", "length", *([] if opener else ["content"])))
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        parsed = probe_lines(decode_blobs(batch, opener), schema).persist()
+        # a blob is decoded by one task; its lines, far larger than it, are parsed, kept and written by many
+        tasks = 1 + (batch.agg(F.sum("length")).head()[0] or 0) // BLOB_BYTES_PER_TASK
+        lines = decode_blobs(batch, opener)
+        parsed = probe_lines(lines.repartition(tasks) if tasks > 1 else lines, schema).persist()
         try:
             good, bad = good_and_bad(parsed, schema)
             counts = good.select(SOURCE, F.lit(1).alias("g"), F.lit(0).alias("b")).unionByName(bad.select(SOURCE, F.lit(0).alias("g"), F.lit(1).alias("b")))

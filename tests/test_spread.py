@@ -1,12 +1,18 @@
 """Work is dealt over tasks where few rows or bytes come in and many go out."""
+import gzip
+import json
+import os
 import random
 
 from pyspark.sql import functions as F
 
+from fleetlake import reports
 from fleetlake.operators import relate, stats
 from fleetlake.operators import updates as U
 from fleetlake.operators.conform import conform
+from fleetlake.plans.contracts import contract
 from fleetlake.plans.joins import SPREAD_TASKS, spread
+from fleetlake.streaming import changefeed
 
 
 def plan(df) -> str:
@@ -58,3 +64,24 @@ def test_remediation_progress_is_spread_by_pair(spark):
         still = {d for d, r, o in rows if r == f"r{t % 4}" and o}
         want[f"t{t}"] = (len(aimed), len(aimed - still))
     assert {r.id: (r.targetDevices, r.fixedDevices) for r in out.collect()} == want
+
+
+def test_lines_of_a_large_blob_are_parsed_by_several_tasks(spark, tmp, monkeypatch):
+    monkeypatch.setattr(changefeed, "BLOB_BYTES_PER_TASK", 2000)
+    folder, table, kind = f"{tmp}/landed", f"{tmp}/table", contract("machine")
+    os.makedirs(folder)
+    lines = "".join(json.dumps({"id": str(i), "healthStatus": "Active"}) + "\n" for i in range(4000)) + '{"id": "cut\n'
+    with open(f"{folder}/a.json.gz", "wb") as f:
+        f.write(gzip.compress(lines.encode()))
+    changefeed.ingest_export(spark, folder, kind, table).awaitTermination()
+    rows, bad, blobs = changefeed.read_ingested(spark, table, kind)
+    assert sorted(int(r.id) for r in rows.collect()) == list(range(4000)) and bad.count() == 1
+    assert [(r.n_rows, r.n_bad) for r in blobs.collect()] == [(4000, 1)]
+    assert len(rows.inputFiles()) > 2  # one task wrote one before
+
+
+def test_landed_blobs_are_bounded(spark, tmp, monkeypatch):
+    monkeypatch.setattr(reports, "_BLOB_ROWS", 300)
+    reports._land_blobs(spark, spark.range(0, 1000, 1, 1).select(F.col("id").cast("string").alias("value")), f"{tmp}/blobs", "even", "gzip", ".json")
+    sizes = [len(gzip.open(f"{tmp}/blobs/{n}").read().split()) for n in os.listdir(f"{tmp}/blobs") if not n.startswith(".")]
+    assert sorted(sizes) == [100, 300, 300, 300]
