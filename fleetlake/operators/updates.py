@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..plans.joins import spread
+from ..plans.joins import BROADCAST_MAX_BYTES, estimated_row_bytes, rows_at_most, spread
 from . import quality as Q
 from .changes import latest_per_key
 from .conform import conform
@@ -407,6 +407,8 @@ _RULE_LISTS = {"name": "devicesNamesConditions", "domain": "devicesDomainsCondit
 
 #: Characters of a prefix or suffix pattern that are looked up, and of the piece of a Contains pattern.
 EDGE, PIECE = 32, 8
+#: Parts, by machine, in which a key is joined with many rules.
+KEY_PARTS = 16
 _PIECES = "if(size = 0, array(''), array_distinct(transform(sequence(1, length(value) - size + 1), i -> substring(value, i, size))))"
 _KEYS = f"""CASE test WHEN 'in' THEN array(value) WHEN 'startswith' THEN array(left(value, size)) WHEN 'endswith' THEN array(right(value, size))
     ELSE {_PIECES} END"""
@@ -449,7 +451,8 @@ def assign_device_groups(spark: SparkSession, machines: DataFrame, groups: DataF
     value; what a key finds is then held against the whole pattern. So a machine meets the rules that
     share a key with it, not all rules; nothing is gathered, nothing runs on the driver. A group
     matches where all its lists do (a bit each); the best one is a minimum per machine. Machines are spread
-    over tasks by id before their keys are made, as each makes many rows.
+    over tasks by id before their keys are made, as each makes many rows. Few rules are broadcast; many are repeated
+    ``KEY_PARTS`` times, so that a key that most machines have (a piece of a common name) is joined in so many parts.
     """
     rules = _group_rules(groups)
     # at most 4 kinds x (2 x 33 edges + 9 pieces + 1) rows
@@ -462,7 +465,14 @@ def assign_device_groups(spark: SparkSession, machines: DataFrame, groups: DataF
     keys = each.where("value is not null").join(sizes, "kind").where("size <= length(value)")
     keys = keys.select("_mid", "kind", "test", "size", F.col("value").alias("_value"), F.explode(F.expr(_KEYS)).alias("at"))
     whole = F.expr("CASE test WHEN 'in' THEN true WHEN 'startswith' THEN startswith(_value, value) WHEN 'endswith' THEN endswith(_value, value) ELSE contains(_value, value) END")
-    found = keys.join(rules, ["kind", "test", "size", "at"]).where(whole)
+    on = ["kind", "test", "size", "at"]
+    if rows_at_most(rules, BROADCAST_MAX_BYTES // estimated_row_bytes(rules.schema)):
+        found = keys.join(F.broadcast(rules), on).where(whole)
+    else:
+        parts = F.explode(F.sequence(F.lit(0), F.lit(KEY_PARTS - 1)))
+        # merged: repeated rules are small as shuffled bytes, but not as a broadcast table
+        keys = keys.withColumn("_part", F.pmod(F.xxhash64("_mid"), F.lit(KEY_PARTS)).cast("int"))
+        found = keys.join(rules.withColumn("_part", parts).hint("merge"), [*on, "_part"]).where(whole)
     matched = found.groupBy("_mid", "gid", "priority", "need").agg(F.bit_or(F.expr("shiftleft(1, kind)")).alias("_have")).where("_have = need")
     best = matched.groupBy("_mid").agg(F.min(F.struct("priority", "gid")).alias("_best"))
     rest = groups.where(F.coalesce("isUnassignedDeviceGroup", F.lit(False))).agg(F.min(F.struct("priority", "id")).alias("u")).select("u.id").scalar()

@@ -48,6 +48,18 @@ def test_device_groups_spread_machines_before_their_keys(spark):
     assert {r.id: r.deviceGroupId for r in out.collect()} == {**want, None: None}
 
 
+def test_many_rules_are_joined_in_parts(spark, monkeypatch):
+    g, m = groups_and_machines(spark)
+    few = {r.id: r.deviceGroupId for r in U.assign_device_groups(spark, m, g).collect()}
+    monkeypatch.setattr(U, "BROADCAST_MAX_BYTES", 0)
+    out = U.assign_device_groups(spark, m, g)
+    assert "_part#" in plan(out) and "SortMergeJoin [kind" in plan(out) and {r.id: r.deviceGroupId for r in out.collect()} == few
+
+
+def test_pattern_groups_spread_machines(spark):
+    assert by_number(reports.device_group_patterns(spark, "/root/testdata/sf0.001"), "_mid") == 1
+
+
 def test_remediation_progress_is_spread_by_pair(spark):
     rng = random.Random(5)
     ids, recs = [*map(str, range(30)), None], [*(f"r{i}" for i in range(6)), None]
